@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import values as V
-from jobtide.schema import CLEANED_COLUMNS, EXPECTED_COLUMNS, RAW_SCHEMA
+from jobtide.schema import CLEANED_COLUMNS, RAW_SCHEMA
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(index: Column, texts: list) -> Column:
-    kind = "boolean" if isinstance(texts[0], bool) else "string"
-    return F.get(F.array(*[F.lit(t).cast(kind) for t in texts]), index.cast("int"))
+def literal(value) -> str:
+    if value is None:
+        return "NULL"
+    return str(value).lower() if isinstance(value, bool) else f'"{value}"'
+
+
+def pick(index: str, texts: list) -> str:
+    """SQL text choosing one of ``texts`` by position."""
+    return f"get(array({', '.join(map(literal, texts))}), CAST({index} AS INT))"
 
 
 def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,52 +29,49 @@ def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(customers, orders.o_custkey == customers.c_custkey)
 
 
-def _cleaned(df: DataFrame, city: Column, state: Column, seniority: Column) -> DataFrame:
-    order, cust, nation = F.col("o_orderkey"), F.col("c_custkey"), F.col("c_nationkey")
-    segment = F.col("c_mktsegment")
-    url = lambda kind, key: F.concat(F.lit(f"https://example.org/{kind}/"), key)
+def _cleaned(df: DataFrame, city: str, state: str, seniority: str) -> DataFrame:
     columns = {
-        "ID": F.concat(F.lit("job-"), order),
-        "TITLE": pick(order % 5, V.TITLES),
-        "JOB_CATEGORY": pick(order % 3, V.CATEGORIES),
-        "JOB_DATE": F.to_date("o_orderdate"),
+        "ID": "concat('job-', o_orderkey)",
+        "TITLE": pick("o_orderkey % 5", V.TITLES),
+        "JOB_CATEGORY": pick("o_orderkey % 3", V.CATEGORIES),
+        "JOB_DATE": "CAST(o_orderdate AS DATE)",
         "CITY": pick(city, V.CITIES),
         "STATE": pick(state, V.STATES),
-        "EMPLOYMENT_TYPE": pick(order % 4, V.EMPLOYMENT),
-        "ORGANIZATION": F.col("c_name"),
-        "ORGANIZATION_URL": url("org", cust),
-        "URL": url("job", order),
-        "SOURCE_TYPE": pick(order % 2, V.SOURCE_TYPES),
-        "SOURCE": F.lower(segment),
-        "SOURCE_DOMAIN": F.concat(F.lower(segment), F.lit(".example.org")),
-        "ORGANIZATION_LOGO": url("logo", nation),
-        "REMOTE_DERIVED": order % 3 == 0,
-        "RECRUITER_NAME": pick(order % 7, V.RECRUITERS),
-        "RECRUITER_TITLE": F.col("o_orderpriority"),
-        "RECRUITER_URL": url("recruiter", order % 7),
-        "LINKEDIN_ORG_URL": url("page", cust),
-        "ORG_SIZE": pick(cust % 4, V.SIZES),
-        "LINKEDIN_ORG_INDUSTRY": segment,
-        "LINKEDIN_ORG_HEADQUARTERS": F.concat(F.lit("Nation "), nation),
-        "LINKEDIN_ORG_TYPE": F.col("o_orderstatus"),
-        "LINKEDIN_ORG_FOUNDEDDATE": (1900 + cust % 120).cast("string"),
-        "LINKEDIN_ORG_SPECIALTIES": F.array("o_orderpriority", F.lower(segment)),
-        "LINKEDIN_ORG_LOCATIONS": F.array(F.concat(F.lit("Nation "), nation)),
-        "LINKEDIN_ORG_DESCRIPTION": F.concat("c_name", F.lit(" in "), segment),
-        "LINKEDIN_ORG_RECRUITMENT_AGENCY_DERIVED": pick(cust % 3, V.AGENCY),
+        "EMPLOYMENT_TYPE": pick("o_orderkey % 4", V.EMPLOYMENT),
+        "ORGANIZATION": "c_name",
+        "ORGANIZATION_URL": "concat('https://example.org/org/', c_custkey)",
+        "URL": "concat('https://example.org/job/', o_orderkey)",
+        "SOURCE_TYPE": pick("o_orderkey % 2", V.SOURCE_TYPES),
+        "SOURCE": "lower(c_mktsegment)",
+        "SOURCE_DOMAIN": "concat(lower(c_mktsegment), '.example.org')",
+        "ORGANIZATION_LOGO": "concat('https://example.org/logo/', c_nationkey)",
+        "REMOTE_DERIVED": "o_orderkey % 3 = 0",
+        "RECRUITER_NAME": pick("o_orderkey % 7", V.RECRUITERS),
+        "RECRUITER_TITLE": "o_orderpriority",
+        "RECRUITER_URL": "concat('https://example.org/recruiter/', o_orderkey % 7)",
+        "LINKEDIN_ORG_URL": "concat('https://example.org/page/', c_custkey)",
+        "ORG_SIZE": pick("c_custkey % 4", V.SIZES),
+        "LINKEDIN_ORG_INDUSTRY": "c_mktsegment",
+        "LINKEDIN_ORG_HEADQUARTERS": "concat('Nation ', c_nationkey)",
+        "LINKEDIN_ORG_TYPE": "o_orderstatus",
+        "LINKEDIN_ORG_FOUNDEDDATE": "CAST(1900 + c_custkey % 120 AS STRING)",
+        "LINKEDIN_ORG_SPECIALTIES": "array(o_orderpriority, lower(c_mktsegment))",
+        "LINKEDIN_ORG_LOCATIONS": "array(concat('Nation ', c_nationkey))",
+        "LINKEDIN_ORG_DESCRIPTION": "concat(c_name, ' in ', c_mktsegment)",
+        "LINKEDIN_ORG_RECRUITMENT_AGENCY_DERIVED": pick("c_custkey % 3", V.AGENCY),
         "SENIORITY": pick(seniority, V.SENIORITIES),
-        "DIRECTAPPLY": order % 2 == 1,
-        "LINKEDIN_ORG_SLUG": F.concat(F.lit("org-"), cust),
+        "DIRECTAPPLY": "o_orderkey % 2 = 1",
+        "LINKEDIN_ORG_SLUG": "concat('org-', c_custkey)",
     }
     assert list(columns) == CLEANED_COLUMNS
-    return df.select(*[c.alias(n) for n, c in columns.items()])
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned table: one posting per order."""
-    order, cust = F.col("o_orderkey"), F.col("c_custkey")
     return _cleaned(
-        _orders_customers(spark, sf_dir), cust % 26, (cust + order % 2) % 13, order % 40
+        _orders_customers(spark, sf_dir),
+        "c_custkey % 26", "(c_custkey + o_orderkey % 2) % 13", "o_orderkey % 40",
     )
 
 
@@ -77,62 +80,63 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     disagree on city, state and seniority."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     df = _orders_customers(spark, sf_dir).join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    order, cust, line = F.col("o_orderkey"), F.col("c_custkey"), F.col("l_linenumber")
-    return _cleaned(df, (cust + line % 2) % 26, (cust + line % 2) % 13, (order + line) % 40)
+    return _cleaned(
+        df,
+        "(c_custkey + l_linenumber % 2) % 26",
+        "(c_custkey + l_linenumber % 2) % 13",
+        "(o_orderkey + l_linenumber) % 40",
+    )
+
+
+def _place(locality: str, region: str) -> str:
+    return (
+        f"struct(struct({locality} AS addressLocality, {region} AS addressRegion, "
+        "CAST(NULL AS STRING) AS streetAddress) AS address)"
+    )
 
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed records: one per order, with nested locations and list-valued columns."""
-    order, cust = F.col("o_orderkey"), F.col("c_custkey")
-    df = _orders_customers(spark, sf_dir).withColumns({
-        "locality": pick(cust % 29, V.RAW_CITIES),
-        "state": pick((cust + order % 2) % 13, V.STATES),
-    })
-    quoted = F.concat(F.lit(" '"), F.col("state"), F.lit("' "))
-    region = F.when(order % 2 == 0, F.col("state")).otherwise(quoted)
-
-    def place(locality, region):
-        return F.struct(F.struct(
-            locality.cast("string").alias("addressLocality"),
-            region.cast("string").alias("addressRegion"),
-            F.lit(None).cast("string").alias("streetAddress"),
-        ).alias("address"))
-
-    none, locality = F.lit(None), F.col("locality")
+    df = _orders_customers(spark, sf_dir).selectExpr(
+        "*",
+        f"{pick('c_custkey % 29', V.RAW_CITIES)} AS locality",
+        f"{pick('(c_custkey + o_orderkey % 2) % 13', V.STATES)} AS state",
+    ).selectExpr("*", """CASE WHEN o_orderkey % 2 = 0 THEN state ELSE concat(" '", state, "' ") END AS region""")
+    none = "CAST(NULL AS STRING)"
     columns = {
-        "id": F.concat(F.lit("job-"), order),
-        "title": pick(order % 7, V.RAW_TITLES),
-        "job_category": pick(order % 3, V.CATEGORIES),
-        "date_created": F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T23:30:00-05:00")),
-        "locations_raw": F.when(order % 3 == 0, F.array(place(locality, region)))
-        .when(order % 3 == 1, F.array(place(none, region), place(locality, none)))
-        .otherwise(F.array(place(locality, none), place(F.lit("Elsewhere"), region))),
-        "employment_type": F.split(pick(order % 4, V.RAW_EMPLOYMENT), r"\|"),
-        "organization": F.when(cust % 11 == 0, F.lit("")).otherwise(F.col("c_name")),
-        "url": F.concat(F.lit("https://example.org/job/"), order),
-        "linkedin_org_size": pick(cust % 4, V.RAW_SIZES),
-        "linkedin_org_industry": F.col("c_mktsegment"),
-        "remote_derived": order % 3 == 0,
-        "recruiter_name": pick(order % 7, V.RECRUITERS),
-        "linkedin_org_specialties": F.array("o_orderpriority", F.lower("c_mktsegment")),
-        "seniority": pick(order % 40, V.SENIORITIES),
-        "directapply": order % 2 == 1,
+        "id": "concat('job-', o_orderkey)",
+        "title": pick("o_orderkey % 7", V.RAW_TITLES),
+        "job_category": pick("o_orderkey % 3", V.CATEGORIES),
+        "date_created": "concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T23:30:00-05:00')",
+        "locations_raw": f"""CASE o_orderkey % 3 WHEN 0 THEN array({_place('locality', 'region')})
+            WHEN 1 THEN array({_place(none, 'region')}, {_place('locality', none)})
+            ELSE array({_place('locality', none)}, {_place('"Elsewhere"', 'region')}) END""",
+        "employment_type": f"split({pick('o_orderkey % 4', V.RAW_EMPLOYMENT)}, '[|]')",
+        "organization": "CASE WHEN c_custkey % 11 = 0 THEN '' ELSE c_name END",
+        "url": "concat('https://example.org/job/', o_orderkey)",
+        "linkedin_org_size": pick("c_custkey % 4", V.RAW_SIZES),
+        "linkedin_org_industry": "c_mktsegment",
+        "remote_derived": "o_orderkey % 3 = 0",
+        "recruiter_name": pick("o_orderkey % 7", V.RECRUITERS),
+        "linkedin_org_specialties": "array(o_orderpriority, lower(c_mktsegment))",
+        "seniority": pick("o_orderkey % 40", V.SENIORITIES),
+        "directapply": "o_orderkey % 2 = 1",
     }
-    typed = {f.name: f.dataType for f in RAW_SCHEMA.fields}
-    return df.select(*[
-        columns.get(n, F.lit(None).cast(typed[n])).alias(n) for n in (c.lower() for c in EXPECTED_COLUMNS)
-    ], F.col("o_orderstatus"))
+    return df.selectExpr(
+        *[
+            f"{columns.get(f.name, f'CAST(NULL AS {f.dataType.simpleString()})')} AS {f.name}"
+            for f in RAW_SCHEMA.fields
+        ],
+        "o_orderstatus",
+    )
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Translations for the organisations of one market segment and for their cities."""
     known = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
-    city = pick(F.col("c_custkey") % 26, V.CITIES)
-    organisations = known.select(
-        F.col("c_name").alias("value"), F.concat(F.lit("Org "), F.col("c_custkey")).alias("translated")
-    )
-    cities = known.select(city.alias("value"), F.upper(city).alias("translated")).where("value is not null").distinct()
-    return organisations.union(cities)
+    organisations = known.selectExpr("c_name AS value", "concat('Org ', c_custkey) AS translated")
+    cities = known.selectExpr(f"{pick('c_custkey % 26', V.CITIES)} AS value").where("value IS NOT NULL").distinct()
+    return organisations.union(cities.selectExpr("value", "upper(value) AS translated"))
 
 
 def salary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,9 +20,8 @@ def count_distinct_mart(
     return df.groupBy(*dims).agg(F.countDistinct(key).alias(name))
 
 
-def daily_mart(df: DataFrame) -> DataFrame:
-    """Distinct postings per category and day; month and year follow from the day."""
-    days = count_distinct_mart(df, ["JOB_CATEGORY", "JOB_DATE"])
+def daily_columns(days: DataFrame) -> DataFrame:
+    """Daily counts laid out as the daily mart; month and year follow from the day."""
     return days.select(
         F.to_date("JOB_DATE").alias("date"),
         F.month("JOB_DATE").alias("month"),
@@ -32,6 +31,11 @@ def daily_mart(df: DataFrame) -> DataFrame:
     )
 
 
+def daily_mart(df: DataFrame) -> DataFrame:
+    """Distinct postings per category and day."""
+    return daily_columns(count_distinct_mart(df, ["JOB_CATEGORY", "JOB_DATE"]))
+
+
 def sum_by(df: DataFrame, keys: list, value: str, name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum(value).alias(name))
 

@@ -8,6 +8,8 @@ hot, go through an ordinary shuffle join.  Both ways give the same rows.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,19 +41,26 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df`` when held in memory, by one aggregate job."""
-    return df.agg(F.sum(_row_bytes(df).cast("long"))).first()[0] or 0
+class Measured(NamedTuple):
+    """A frame with its row count and whether it may be broadcast."""
+
+    frame: DataFrame
+    rows: int
+    fits: bool
 
 
-def measured(df: DataFrame, limit: int = BROADCAST_LIMIT) -> tuple[DataFrame, bool]:
-    """``df``, and whether it may be broadcast; a small ``df`` comes back cached."""
+def measure(df: DataFrame, limit: int = BROADCAST_LIMIT) -> Measured:
+    """Size of ``df`` when held in memory, by one aggregate job.
+
+    A small frame comes back cached, so its work is not repeated by the join.
+    """
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if measured_bytes(held) <= limit:
+    rows, size = held.agg(F.count(F.lit(1)), F.sum(_row_bytes(held).cast("long"))).first()
+    if (size or 0) <= limit:
         _kept.append(held)
-        return held, True
+        return Measured(held, rows, True)
     held.unpersist()
-    return df, False
+    return Measured(df, rows, False)
 
 
 def hot_keys(fact: DataFrame, on: str) -> DataFrame:
@@ -87,10 +96,10 @@ def lookup_join(
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Join ``fact`` to ``side`` (unique on ``on``); ``how`` is inner, left, left_semi or left_anti."""
-    side, small = measured(side.withColumnRenamed(on, _KEY), limit)
-    if small:
-        return _match(fact, F.broadcast(side), on, how, null_safe)
-    return _split_match(fact, side, on, how, null_safe)
+    entries = measure(side.withColumnRenamed(on, _KEY), limit)
+    if entries.fits:
+        return _match(fact, F.broadcast(entries.frame), on, how, null_safe)
+    return _split_match(fact, entries.frame, on, how, null_safe)
 
 
 def keep_new(batch: DataFrame, history: DataFrame, on: str = "ID", limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -100,12 +109,12 @@ def keep_new(batch: DataFrame, history: DataFrame, on: str = "ID", limit: int =
     the history is scanned in place and never shuffled; otherwise both key sets are
     reduced to distinct keys before they meet.
     """
-    keys, small = measured(batch.select(on).distinct(), limit)
+    keys = measure(batch.select(on).distinct(), limit)
     old = history.select(on)
-    if small:
-        known = _match(old, F.broadcast(keys.withColumnRenamed(on, _KEY)), on, "left_semi", True).distinct()
+    if keys.fits:
+        known = _match(old, F.broadcast(keys.frame.withColumnRenamed(on, _KEY)), on, "left_semi", True).distinct()
     else:
-        known = _match(keys, old.distinct().withColumnRenamed(on, _KEY), on, "left_semi", True)
+        known = _match(keys.frame, old.distinct().withColumnRenamed(on, _KEY), on, "left_semi", True)
     return lookup_join(batch, known, on, "left_anti", null_safe=True, limit=limit)
 
 
@@ -123,12 +132,12 @@ def map_values(
     """
     entries = dictionary.groupBy("value").agg(F.max("translated").alias("translated"))
     occurring = df.select(*columns).unpivot([], columns, "column", "value").distinct()
-    used, small = measured(occurring.join(entries, "value"), limit)
+    used = measure(occurring.join(entries, "value"), limit)
     for column in columns:
-        side = used.where(F.col("column") == column).select(
+        side = used.frame.where(F.col("column") == column).select(
             F.col("value").alias(_KEY), F.col("translated").alias("__translated")
         )
-        fits = small or measured(side, limit)[1]
+        fits = used.fits or measure(side, limit).fits
         joined = (
             _match(df, F.broadcast(side), column, "left", False)
             if fits else _split_match(df, side, column, "left", False)

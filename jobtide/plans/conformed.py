@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.functions.rules import standard_city, standard_seniority
-from jobtide.operators.aggregate import collapse, distinct_rows
+from jobtide.operators.aggregate import distinct_rows
+from jobtide.operators.copies import collapse_copies
 from jobtide.operators.lookup import BROADCAST_LIMIT, lookup_join
 from jobtide.plans.dimensions import (
     city_dimension,
@@ -16,6 +17,9 @@ from jobtide.plans.dimensions import (
 )
 from jobtide.schema import CLEANED_COLUMNS, KEPT_COLUMNS, STANDARDISED_COLUMNS
 
+# Narrow columns that any two copies of a posting share.
+COPY_PROBE = ["ID", "JOB_CATEGORY", "JOB_DATE"]
+
 
 def join_city(df: DataFrame, cities: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Adds CITY_STANDARDIZED; rows whose CITY is null or unknown to the dimension go."""
@@ -45,11 +49,14 @@ def conformed_postings(
       so their inner joins are a null filter plus the rule expression itself;
     * MAX over the states of a city does not depend on the posting, so the state
       dimension is reduced to one row per city before its join and nothing fans out;
-    * grouping by the 28 kept columns also removes exact duplicates, so no DISTINCT runs.
-
-    What is left is one measured broadcast and the one shuffle of the grouping, which
-    combines copies on the map side.  ``states`` may be the stored state dimension of
-    the same cleaned table.
+    * grouping by the 28 kept columns also removes exact duplicates, so no DISTINCT runs;
+    * rows equal in all kept columns are equal in ID, category and day, so only rows that
+      repeat in those three are grouped at all.
+
+    What is left is a map-only pass at full width with one measured broadcast, after two
+    narrow passes (city with state; the three probe columns).  Copies, also when they are
+    a large share of the rows, are combined on the map side before they are shuffled.
+    ``states`` may be the stored state dimension of the same cleaned table.
     """
     if states is None:
         states = state_dimension(city_dimension(cleaned))
@@ -61,7 +68,8 @@ def conformed_postings(
     placed = join_state(located, states, limit).withColumnsRenamed(
         {"CITY_STANDARDIZED": "CITY", "STATE_STANDARDIZED": "STATE"}
     )
-    return collapse(placed, KEPT_COLUMNS, STANDARDISED_COLUMNS).select(*CLEANED_COLUMNS)
+    collapsed = collapse_copies(placed, KEPT_COLUMNS, STANDARDISED_COLUMNS, COPY_PROBE, limit)
+    return collapsed.select(*CLEANED_COLUMNS)
 
 
 def posting_links(cleaned: DataFrame) -> DataFrame:

@@ -7,13 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobtide.operators.aggregate import daily_mart
 from jobtide.operators.lookup import release
 from jobtide.operators.trend import wow_trend
 from jobtide.plans.conformed import conformed_postings, posting_links
 from jobtide.plans.dimensions import city_dimension, seniority_dimension, state_dimension
 from jobtide.plans.ingest import IngestReport, Layout, ingest
-from jobtide.plans.marts import MART_DIMS, mart
+from jobtide.plans.marts import count_marts
 from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA
 from jobtide.sources.tables import cached, create_table, overwrite_table, read_table, table_exists
 
@@ -42,9 +41,8 @@ def refresh_models(spark: SparkSession, layout: Layout, as_of: dt.date) -> dict[
     tables["base_seniority"] = store("base_seniority", seniority_dimension(cleaned))
     tables["conformed"] = store("conformed", conformed_postings(cleaned, tables["base_state"]))
     tables["posting_links"] = store("posting_links", posting_links(cleaned))
-    for name in MART_DIMS:
-        tables[name] = store(name, mart(tables["conformed"], name))
-    tables["daily"] = store("daily", daily_mart(tables["conformed"]))
+    for name, made in count_marts(tables["conformed"]).items():
+        tables[name] = store(name, made)
     with cached(tables["daily"]) as daily:
         tables["wow_trend"] = store("wow_trend", wow_trend(daily, as_of))
     release()
