@@ -20,8 +20,15 @@ def literal(value) -> str:
 
 
 def pick(index: str, texts: list) -> str:
-    """SQL text choosing one of ``texts`` by position."""
-    return f"get(array({', '.join(map(literal, texts))}), CAST({index} AS INT))"
+    """SQL text choosing one of ``texts`` by position.
+
+    Not ``array[index]``: the optimizer takes that for cheap and repeats it wherever the
+    column is used.
+    """
+    chosen = f"CAST({index} AS INT)"
+    if isinstance(texts[0], bool):
+        return f"CASE {chosen} " + " ".join(f"WHEN {i} THEN {literal(t)}" for i, t in enumerate(texts)) + " END"
+    return f"elt({chosen} + 1, {', '.join(map(literal, texts))})"
 
 
 def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

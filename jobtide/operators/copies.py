@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.operators.aggregate import collapse, count_distinct_mart
-from jobtide.operators.lookup import BROADCAST_LIMIT, measure
+from jobtide.operators.aggregate import count_distinct_mart
+from jobtide.operators.lookup import BROADCAST_LIMIT, keep
 
 _TAG = "__copy_tag"
+# Memory one hash takes in a broadcast table.
+_HASH_BYTES = 32
 
 
 def split_copies(
@@ -21,35 +23,29 @@ def split_copies(
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """``(alone, repeated)``: rows whose ``probe`` columns occur once, and the rest.
 
-    Rows equal in ``probe`` always land on the same side.  The first is None when the
-    repeated hashes are too many to broadcast (then every row is on the second side),
-    the second is None when nothing repeats.
+    Rows equal in ``probe`` always land on the same side.  The second is None when nothing
+    repeats.  The first is None, and all rows are on the second side, when most rows
+    repeat (reading twice would cost more than it saves) or when the repeated hashes are
+    too many to broadcast.
     """
     tag = F.xxhash64(*probe)
-    repeats = df.groupBy(tag.alias(_TAG)).count().where("count > 1").select(_TAG)
-    side = measure(repeats, limit)
-    if not side.fits:
-        return None, df
-    if not side.rows:
+    counts = df.groupBy(tag.alias(_TAG)).agg(F.count(F.lit(1)).alias("n"))
+    again = F.col("n") > 1
+    rows, repeated, hashes = counts.agg(
+        F.sum("n"), F.sum(F.when(again, F.col("n"))), F.count_if(again)
+    ).first()
+    if not repeated:
         return df, None
-    tagged, hashes = df.withColumn(_TAG, tag), F.broadcast(side.frame)
+    if repeated * 2 > rows or hashes * _HASH_BYTES > limit:
+        return None, df
+    repeats = F.broadcast(keep(counts.where(again).select(_TAG)))
+    tagged = df.withColumn(_TAG, tag)
     return (
-        tagged.join(hashes, _TAG, "left_anti").drop(_TAG),
-        tagged.join(hashes, _TAG, "left_semi").drop(_TAG),
+        tagged.join(repeats, _TAG, "left_anti").drop(_TAG),
+        tagged.join(repeats, _TAG, "left_semi").drop(_TAG),
     )
 
 
-def collapse_copies(
-    df: DataFrame, keys: list[str], greatest: list[str], probe: list[str], limit: int = BROADCAST_LIMIT
-) -> DataFrame:
-    """The rows of :func:`collapse`; ``probe`` is a narrow subset of ``keys``."""
-    alone, repeated = split_copies(df, probe, limit)
-    if repeated is None:
-        return alone.select(*keys, *greatest)
-    collapsed = collapse(repeated, keys, greatest)
-    return collapsed if alone is None else alone.select(*keys, *greatest).unionByName(collapsed)
-
-
 def count_distinct_split(
     alone: DataFrame | None, repeated: DataFrame | None, dims: list[str], key: str = "ID", name: str = "total_jobs"
 ) -> DataFrame:

@@ -31,6 +31,13 @@ def release() -> None:
         _kept.pop().unpersist()
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """``df`` cached until :func:`release`."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _kept.append(held)
+    return held
+
+
 def _row_bytes(df: DataFrame) -> Column:
     size = F.lit(16)
     for f in df.schema.fields:
@@ -87,6 +94,16 @@ def _split_match(fact: DataFrame, side: DataFrame, on: str, how: str, null_safe:
     )
 
 
+def join_measured(
+    fact: DataFrame, side: Measured, on: str, side_key: str, how: str = "inner", null_safe: bool = False
+) -> DataFrame:
+    """Join ``fact`` to a measured side that is unique on ``side_key``."""
+    entries = side.frame.withColumnRenamed(side_key, _KEY)
+    if side.fits:
+        return _match(fact, F.broadcast(entries), on, how, null_safe)
+    return _split_match(fact, entries, on, how, null_safe)
+
+
 def lookup_join(
     fact: DataFrame,
     side: DataFrame,
@@ -96,10 +113,7 @@ def lookup_join(
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """Join ``fact`` to ``side`` (unique on ``on``); ``how`` is inner, left, left_semi or left_anti."""
-    entries = measure(side.withColumnRenamed(on, _KEY), limit)
-    if entries.fits:
-        return _match(fact, F.broadcast(entries.frame), on, how, null_safe)
-    return _split_match(fact, entries.frame, on, how, null_safe)
+    return join_measured(fact, measure(side, limit), on, on, how, null_safe)
 
 
 def keep_new(batch: DataFrame, history: DataFrame, on: str = "ID", limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -112,7 +126,7 @@ def keep_new(batch: DataFrame, history: DataFrame, on: str = "ID", limit: int =
     keys = measure(batch.select(on).distinct(), limit)
     old = history.select(on)
     if keys.fits:
-        known = _match(old, F.broadcast(keys.frame.withColumnRenamed(on, _KEY)), on, "left_semi", True).distinct()
+        known = join_measured(old, keys, on, on, "left_semi", null_safe=True).distinct()
     else:
         known = _match(keys.frame, old.distinct().withColumnRenamed(on, _KEY), on, "left_semi", True)
     return lookup_join(batch, known, on, "left_anti", null_safe=True, limit=limit)
@@ -137,12 +151,10 @@ def map_values(
         side = used.frame.where(F.col("column") == column).select(
             F.col("value").alias(_KEY), F.col("translated").alias("__translated")
         )
-        fits = used.fits or measure(side, limit).fits
-        joined = (
-            _match(df, F.broadcast(side), column, "left", False)
-            if fits else _split_match(df, side, column, "left", False)
-        )
-        df = joined.withColumn(column, F.coalesce("__translated", column)).drop("__translated")
+        entries = used._replace(frame=side) if used.fits else measure(side, limit)
+        df = join_measured(df, entries, column, _KEY, "left").withColumn(
+            column, F.coalesce("__translated", column)
+        ).drop("__translated")
     return df
 
 

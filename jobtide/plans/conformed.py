@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.functions.rules import standard_city, standard_seniority
-from jobtide.operators.aggregate import distinct_rows
-from jobtide.operators.copies import collapse_copies
-from jobtide.operators.lookup import BROADCAST_LIMIT, lookup_join
+from jobtide.operators.aggregate import collapse, distinct_rows
+from jobtide.operators.copies import split_copies
+from jobtide.operators.lookup import BROADCAST_LIMIT, join_measured, lookup_join, measure
 from jobtide.plans.dimensions import (
     city_dimension,
     city_lookup,
@@ -60,16 +62,24 @@ def conformed_postings(
     """
     if states is None:
         states = state_dimension(city_dimension(cleaned))
-    located = cleaned.where(F.col("CITY").isNotNull() & F.col("SENIORITY").isNotNull()).select(
-        *KEPT_COLUMNS,
-        standard_city(F.col("CITY")).alias("CITY_STANDARDIZED"),
-        standard_seniority(F.col("SENIORITY")).alias("SENIORITY"),
-    )
-    placed = join_state(located, states, limit).withColumnsRenamed(
-        {"CITY_STANDARDIZED": "CITY", "STATE_STANDARDIZED": "STATE"}
-    )
-    collapsed = collapse_copies(placed, KEPT_COLUMNS, STANDARDISED_COLUMNS, COPY_PROBE, limit)
-    return collapsed.select(*CLEANED_COLUMNS)
+    state_of = measure(state_lookup(states), limit)
+
+    def place(rows: DataFrame) -> DataFrame:
+        located = rows.select(
+            *KEPT_COLUMNS,
+            standard_city(F.col("CITY")).alias("CITY"),
+            standard_seniority(F.col("SENIORITY")).alias("SENIORITY"),
+        )
+        return join_measured(located, state_of, "CITY", "CITY_STANDARDIZED").withColumnRenamed(
+            "STATE_STANDARDIZED", "STATE"
+        )
+
+    placeable = cleaned.where(F.col("CITY").isNotNull() & F.col("SENIORITY").isNotNull())
+    alone, repeated = split_copies(placeable, COPY_PROBE, limit)
+    parts = [] if alone is None else [place(alone).select(*CLEANED_COLUMNS)]
+    if repeated is not None:
+        parts.append(collapse(place(repeated), KEPT_COLUMNS, STANDARDISED_COLUMNS).select(*CLEANED_COLUMNS))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def posting_links(cleaned: DataFrame) -> DataFrame:
