@@ -23,7 +23,7 @@ from conftest import SMALL
 def record(n, title="Data Engineer", **more):
     place = {"address": {"addressLocality": "Sidney", "addressRegion": "NSW", "streetAddress": None}}
     return {
-        "id": f"{n}", "title": title, "date_created": "2025-05-18T10:00:00", "locations_raw": [place],
+        "id": None if n is None else f"{n}", "title": title, "date_created": "2025-05-18T10:00:00", "locations_raw": [place],
         "employment_type": ["FULL_TIME"], "organization": "Acme", "seniority": "", **more,
     }
 
