@@ -443,7 +443,7 @@ def u1_role_choices(spark, sf_dir):
 
 @query
 def u2_facet_values(spark, sf_dir):
-    return lst.detail_choices(lst.job_details(conformed(spark, sf_dir)))
+    return lst.detail_choices(conformed(spark, sf_dir))
 
 
 # --- scalar functions -----------------------------------------------------------------------------

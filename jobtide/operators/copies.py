@@ -46,6 +46,16 @@ def split_copies(
     )
 
 
+def distinct_split(
+    df: DataFrame, columns: list[str], probe: list[str], limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """The rows of a DISTINCT over ``columns``; ``probe`` is a few of them."""
+    alone, repeated = split_copies(df.select(*columns), probe, limit)
+    if repeated is None:
+        return alone
+    return repeated.distinct() if alone is None else alone.unionByName(repeated.distinct())
+
+
 def count_distinct_split(
     alone: DataFrame | None, repeated: DataFrame | None, dims: list[str], key: str = "ID", name: str = "total_jobs"
 ) -> DataFrame:

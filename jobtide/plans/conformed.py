@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.functions.rules import standard_city, standard_seniority
-from jobtide.operators.aggregate import collapse, distinct_rows
-from jobtide.operators.copies import split_copies
+from jobtide.operators.aggregate import collapse
+from jobtide.operators.copies import distinct_split, split_copies
 from jobtide.operators.lookup import BROADCAST_LIMIT, join_measured, lookup_join, measure
 from jobtide.plans.dimensions import (
     city_dimension,
@@ -21,6 +21,7 @@ from jobtide.schema import CLEANED_COLUMNS, KEPT_COLUMNS, STANDARDISED_COLUMNS
 
 # Narrow columns that any two copies of a posting share.
 COPY_PROBE = ["ID", "JOB_CATEGORY", "JOB_DATE"]
+LINK_COLUMNS = ["ID", "TITLE", "JOB_CATEGORY", "URL"]
 
 
 def join_city(df: DataFrame, cities: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -82,6 +83,6 @@ def conformed_postings(
     return reduce(DataFrame.unionByName, parts)
 
 
-def posting_links(cleaned: DataFrame) -> DataFrame:
+def posting_links(cleaned: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Distinct links; their order is applied when they are read."""
-    return distinct_rows(cleaned, ["ID", "TITLE", "JOB_CATEGORY", "URL"])
+    return distinct_split(cleaned, LINK_COLUMNS, ["ID", "JOB_CATEGORY"], limit)

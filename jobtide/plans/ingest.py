@@ -21,7 +21,7 @@ from jobtide.operators.lookup import keep_new, normalise_via_dictionary, release
 from jobtide.operators.project import blank_to_null, project_contract, relevant_columns, upper_names
 from jobtide.schema import CLEANED_SCHEMA, SEARCH_TITLES, TRANSLATED_COLUMNS
 from jobtide.sources.landing import CORRUPT, is_rejected, read_raw, split_rejects
-from jobtide.sources.tables import append_table, read_table, scratch_path, delete_path
+from jobtide.sources.tables import append_table, delete_path, read_table, scratch_path
 
 
 @dataclass(frozen=True)
@@ -63,18 +63,22 @@ def clean_records(good: DataFrame) -> DataFrame:
     return relevant_columns(derived)
 
 
-def new_postings(cleaned: DataFrame, history: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Rows not loaded before, empty text as null, four columns translated."""
-    fresh = blank_to_null(keep_new(cleaned, history))
-    return normalise_via_dictionary(fresh, TRANSLATED_COLUMNS, dictionary)
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a scratch table and read it back.
+
+    Later steps read the columns they need, and a lost executor costs no second parse.
+    """
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(CLEANED_SCHEMA).parquet(path)
 
 
 def ingest_records(records: DataFrame, layout: Layout) -> IngestReport:
     """Ingest one batch of raw records (as :func:`read_raw` gives them).
 
-    The text is parsed once: the cleaned batch is written to a scratch table by a
-    map-only job, which also counts the rows, and later steps read columns of that.
-    Running the same batch again adds nothing.
+    The text is parsed once, by a map-only job that also counts the rows (a task that is
+    run again counts once, as nothing is shuffled there).  The rows not loaded before are
+    kept in a second scratch table, which is counted, translated and appended.  Running
+    the same batch again adds nothing.
     """
     spark = records.sparkSession
     seen = Observation()
@@ -85,25 +89,24 @@ def ingest_records(records: DataFrame, layout: Layout) -> IngestReport:
         F.count_if(~is_rejected(CORRUPT) & has_phrase(F.col("title"), SEARCH_TITLES)).alias("title_kept"),
     )
     good, _ = split_rejects(counted)
-    batch_path = scratch_path(spark, "ingest-batch")
+    scratch = scratch_path(spark, "ingest")
     try:
-        clean_records(good).write.parquet(batch_path)
+        batch = _staged(clean_records(good), f"{scratch}/batch")
         counts = {name: seen.get.get(name, 0) for name in ("landed", "rejected", "title_kept")}
+        counts["appended"] = 0
         if not counts["title_kept"]:
             return IngestReport("no_data", counts)
-        batch = spark.read.schema(CLEANED_SCHEMA).parquet(batch_path)
-        before = read_table(spark, layout.cleaned, CLEANED_SCHEMA)
-        counts["existing"] = before.count()
-        dictionary = read_table(spark, layout.dictionary)
-        append_table(
-            new_postings(batch, before, dictionary), layout.cleaned, layout.partition_by, CLEANED_SCHEMA
-        )
-        counts["total"] = read_table(spark, layout.cleaned, CLEANED_SCHEMA).count()
-        counts["appended"] = counts["total"] - counts["existing"]
-        return IngestReport("loaded" if counts["appended"] else "nothing_new", counts)
+        history = read_table(spark, layout.cleaned, CLEANED_SCHEMA)
+        fresh = _staged(blank_to_null(keep_new(batch, history)), f"{scratch}/fresh")
+        counts["appended"] = fresh.count()
+        if not counts["appended"]:
+            return IngestReport("nothing_new", counts)
+        translated = normalise_via_dictionary(fresh, TRANSLATED_COLUMNS, read_table(spark, layout.dictionary))
+        append_table(translated, layout.cleaned, layout.partition_by, CLEANED_SCHEMA)
+        return IngestReport("loaded", counts)
     finally:
         release()
-        delete_path(spark, batch_path)
+        delete_path(spark, scratch)
 
 
 def ingest(spark: SparkSession, layout: Layout) -> IngestReport:

@@ -134,8 +134,12 @@ def filter_details(
     return facet_filter(details, Job_Role=role, STATE=state, CITY=city, ORGANIZATION=organization)
 
 
-def detail_choices(details: DataFrame) -> DataFrame:
-    return facet_values(details, DETAIL_FACETS)
+def detail_choices(conformed: DataFrame) -> DataFrame:
+    """What each of the four selectors offers.
+
+    Read from the conformed table: the listing's DISTINCT and order change none of it.
+    """
+    return facet_values(display_names(conformed, DETAIL_NAMES), DETAIL_FACETS)
 
 
 def link_table(details: DataFrame) -> DataFrame:

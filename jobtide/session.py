@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes shuffles from what the map side wrote and splits skewed
-# join partitions; the high initial number only bounds the largest reduce partition.
+# join partitions.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,13 +18,21 @@ SETTINGS = {
 }
 
 
-def open_session(app: str = "jobtide", master: str | None = None, **extra: str) -> SparkSession:
-    """Session with :data:`SETTINGS`; ``extra`` uses ``__`` for ``.`` in names."""
+def open_session(
+    app: str = "jobtide", master: str | None = None, cores: int | None = None, **extra: str
+) -> SparkSession:
+    """Session with :data:`SETTINGS`; ``extra`` uses ``__`` for ``.`` in names.
+
+    ``cores`` is the number of executor cores of a cluster.  Adaptive execution merges
+    small shuffle partitions but never splits a plain one, so it starts from three per core.
+    """
+    settings = dict(SETTINGS)
+    if cores:
+        settings["spark.sql.shuffle.partitions"] = str(max(200, 3 * cores))
+    settings.update({name.replace("__", "."): value for name, value in extra.items()})
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in SETTINGS.items():
+    for name, value in settings.items():
         builder = builder.config(name, value)
-    for name, value in extra.items():
-        builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()

@@ -15,20 +15,31 @@ from jobtide.schema import RAW_SCHEMA
 from jobtide.sources.landing import CORRUPT, with_corrupt_column
 
 
-def landing_stream(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, multi_line: bool = False) -> DataFrame:
-    return (
+def landing_stream(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = RAW_SCHEMA,
+    multi_line: bool = False,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    reader = (
         spark.readStream.schema(with_corrupt_column(schema))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multi_line)
-        .json(path)
     )
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(path)
 
 
-def ingest_arrivals(spark: SparkSession, layout: Layout) -> list[IngestReport]:
-    """Ingest the files that arrived since the last call; one report per micro-batch."""
+def ingest_arrivals(spark: SparkSession, layout: Layout, files_per_batch: int | None = None) -> list[IngestReport]:
+    """Ingest the files that arrived since the last call; one report per micro-batch.
+
+    ``files_per_batch`` splits a large arrival into several batches; all are taken.
+    """
     reports: list[IngestReport] = []
     query = (
-        landing_stream(spark, layout.landing, multi_line=layout.multi_line)
+        landing_stream(spark, layout.landing, multi_line=layout.multi_line, files_per_batch=files_per_batch)
         .writeStream.foreachBatch(lambda batch, _: reports.append(ingest_records(batch, layout)))
         .option("checkpointLocation", layout.table("_arrivals"))
         .trigger(availableNow=True)

@@ -54,7 +54,7 @@ def test_ingest_counts_and_is_idempotent(spark, layout):
     land(layout, "Data Analyst", "a", [record(1)])
     report = ingest(spark, layout)
     assert report.status == "loaded"
-    assert report.counts == {"landed": 6, "rejected": 1, "title_kept": 3, "existing": 0, "appended": 3, "total": 3}
+    assert report.counts == {"landed": 6, "rejected": 1, "title_kept": 3, "appended": 3}
     rows = cleaned(spark, layout).orderBy("JOB_CATEGORY", "ID").collect()
     assert [(r.ID, r.JOB_CATEGORY) for r in rows] == [("1", "Data Analyst"), (None, "Data Engineer"), ("1", "Data Engineer")]
     assert {(r.CITY, r.STATE, r.ORGANIZATION, r.SENIORITY) for r in rows} == {("Sydney", "New South Wales", "Acme Ltd", "NA")}
@@ -86,7 +86,11 @@ def test_arrivals_take_each_file_once(spark, layout):
     second = ingest_arrivals(spark, layout)
     assert [(r.counts["landed"], r.counts["appended"]) for r in second] == [(2, 1)]
     assert ingest_arrivals(spark, layout) == []
-    assert {r.ID for r in cleaned(spark, layout).collect()} == {"1", "2", "3"}
+    for n in (4, 5, 6):
+        land(layout, "Data Engineer", f"c{n}", [record(n), record(3)])
+    split = ingest_arrivals(spark, layout, files_per_batch=1)
+    assert [r.counts["appended"] for r in split] == [1, 1, 1]
+    assert {r.ID for r in cleaned(spark, layout).collect()} == {"1", "2", "3", "4", "5", "6"}
 
 
 def test_refresh_runs_twice(spark, layout, rows):
@@ -129,6 +133,13 @@ def test_conformed_equals_fan_out_form(spark, rows):
     df.unpersist()
 
 
+def test_links_are_distinct(spark, rows):
+    df = mixed(spark)
+    want = rows(df.select("ID", "TITLE", "JOB_CATEGORY", "URL").distinct())
+    assert rows(conf.posting_links(df)) == want
+    assert rows(conf.posting_links(df, limit=-1)) == want
+
+
 def test_state_belongs_to_the_city(spark):
     df = X.postings(spark, SMALL)
     per_city = conf.conformed_postings(df).groupBy("CITY").agg(F.countDistinct("STATE").alias("n"))
