@@ -14,7 +14,9 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "static",
+    # HotSpot leaves methods above 8000 bytes uncompiled; past it Spark falls back to
+    # smaller generated functions instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
