@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from jobtide.llm.pii import op4_pii
+from jobtide.llm.urls import SQL as URL_SQL
+from jobtide.llm.urls import op9_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
+    "op9_urls": op9_urls,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_urls": URL_SQL,
+}
