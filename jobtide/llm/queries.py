@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from jobtide.llm.language import op2_language
 from jobtide.llm.pii import op4_pii
 from jobtide.llm.urls import SQL as URL_SQL
 from jobtide.llm.urls import op9_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language": op2_language,
     "op4_pii": op4_pii,
     "op9_urls": op9_urls,
 }
