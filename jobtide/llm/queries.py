@@ -10,17 +10,21 @@ from jobtide.llm.decontaminate import SQL as BENCHMARK_SQL
 from jobtide.llm.decontaminate import op1_decontaminate
 from jobtide.llm.language import op2_language
 from jobtide.llm.pii import op4_pii
+from jobtide.llm.spotsigs import SQL as SPOT_SQL
+from jobtide.llm.spotsigs import op3_spotsigs
 from jobtide.llm.urls import SQL as URL_SQL
 from jobtide.llm.urls import op9_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language": op2_language,
+    "op3_spotsigs": op3_spotsigs,
     "op4_pii": op4_pii,
     "op9_urls": op9_urls,
 }
 
 ORACLE: dict[str, str] = {
     "op1_decontaminate": BENCHMARK_SQL,
+    "op3_spotsigs": SPOT_SQL,
     "op9_urls": URL_SQL,
 }
