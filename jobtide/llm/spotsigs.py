@@ -1,7 +1,8 @@
 """Document fingerprints from spot signatures, DataFrame functions only.
 
 A common word (anchor) and the next ``CHAIN`` content words after it within ``REACH`` words
-form a signature; so do the first content words of a text, which stand after its start.  The
+form a signature; so do the first content words of a text, which stand after its start.  Where
+``REACH`` words pass without a common word, as in lists of names, every word is an anchor.  The
 signature set of a text ignores case, punctuation and the common words between.  A text whose
 words give no signature has one of its own, made of the whole text.
 
@@ -51,7 +52,10 @@ def signatures(text: Column) -> Column:
         return F.array_join(F.slice(F.filter(near, lambda w: ~_is_anchor(w)), 1, CHAIN), " ")
 
     def spots(words: Column) -> Column:
-        places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: _is_anchor(words[i]))
+        def bare(i: Column) -> Column:
+            return (i >= REACH) & ~F.exists(F.slice(words, i - REACH + 1, F.lit(REACH)), _is_anchor)
+
+        places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: _is_anchor(words[i]) | bare(i))
         after = F.transform(places, lambda i: F.concat(words[i], F.lit(" "), chain(words, i + 2)))
         return F.concat(F.array(F.concat(F.lit("^ "), chain(words, F.lit(1)))), after)
 
@@ -142,7 +146,8 @@ def _sql_signatures(texts: str, column: str, name: str) -> str:
 {name}_p AS (SELECT doc_id, w, unnest(range(0, len(w) + 1)) AS i FROM {name}_w WHERE len(w) > 0),
 {name}_c AS (SELECT doc_id, CASE WHEN i = 0 THEN '^' ELSE w[i] END || ' ' ||
   array_to_string(list_slice(list_filter(list_slice(w, i + 1, i + {REACH}), lambda x: NOT list_contains({_ANCHOR_LIST}, x)), 1, {CHAIN}), ' ') AS s
-  FROM {name}_p WHERE i = 0 OR list_contains({_ANCHOR_LIST}, w[i])),
+  FROM {name}_p WHERE i = 0 OR list_contains({_ANCHOR_LIST}, w[i]) OR (i > {REACH}
+    AND len(list_filter(list_slice(w, i - {REACH}, i - 1), lambda x: list_contains({_ANCHOR_LIST}, x))) = 0)),
 {name}_u AS (SELECT DISTINCT doc_id, substr(md5(s), 1, 16) AS h FROM {name}_c WHERE NOT ends_with(s, ' ')),
 {name}_g AS (SELECT doc_id, list(h ORDER BY h) AS sigs FROM {name}_u GROUP BY doc_id),
 {name} AS (SELECT t.doc_id, coalesce(g.sigs, [substr(md5('= ' || body), 1, 16)]) AS sigs
