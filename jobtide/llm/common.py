@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from jobtide.sources.tables import scratch_path
@@ -44,6 +45,10 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def shuffle_parts(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def small_enough(rows: int, bytes_per_row: int, limit: int = BROADCAST_BYTES) -> bool:
     return rows * bytes_per_row <= limit
 
@@ -91,15 +96,13 @@ def salted_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str], salts
     are counted inside the parts and shifted by the sizes of the parts before.  ``df`` has
     to be a stored table, as it is read twice.
     """
-    from pyspark.sql import Window as W
-
     keyed = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     sizes = keyed.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
     over = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
     before = F.sum("_n").over(over.orderBy("_salt").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_n")
-    shifts = sizes.select(*keys, "_salt", before.alias("_before"))
+    shifts = sizes.select(
+        *[F.col(c).alias(f"_own_{c}") for c in keys], F.col("_salt").alias("_own_salt"), before.alias("_before"))
     inside = F.row_number().over(W.partitionBy(*keys, "_salt").orderBy(*order)) - 1
-    ranked = keyed.withColumn("_inside", inside)
-    on = [ranked[c].eqNullSafe(shifts[c]) for c in [*keys, "_salt"]]
-    joined = ranked.join(shifts, on, "inner")
-    return joined.select(*[ranked[c] for c in df.columns], (F.col("_inside") + F.col("_before")).cast("bigint").alias(name))
+    on = [F.col(c).eqNullSafe(F.col(f"_own_{c}")) for c in keys] + [F.col("_salt") == F.col("_own_salt")]
+    joined = keyed.withColumn("_inside", inside).join(shifts, on, "inner")
+    return joined.select(*df.columns, (F.col("_inside") + F.col("_before")).cast("bigint").alias(name))

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from jobtide.llm.dac import op8_token_files
 from jobtide.llm.decontaminate import SQL as BENCHMARK_SQL
 from jobtide.llm.decontaminate import op1_decontaminate
 from jobtide.llm.language import op2_language
+from jobtide.llm.packing import op5_packing
 from jobtide.llm.pii import op4_pii
 from jobtide.llm.spotsigs import SQL as SPOT_SQL
 from jobtide.llm.spotsigs import op3_spotsigs
@@ -20,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_spotsigs": op3_spotsigs,
     "op4_pii": op4_pii,
+    "op5_packing": op5_packing,
+    "op8_token_files": op8_token_files,
     "op9_urls": op9_urls,
 }
 
