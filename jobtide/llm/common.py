@@ -106,3 +106,19 @@ def salted_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str], salts
     on = [F.col(c).eqNullSafe(F.col(f"_own_{c}")) for c in keys] + [F.col("_salt") == F.col("_own_salt")]
     joined = keyed.withColumn("_inside", inside).join(shifts, on, "inner")
     return joined.select(*df.columns, (F.col("_inside") + F.col("_before")).cast("bigint").alias(name))
+
+
+def salted_offsets(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], salts: int, name: str) -> DataFrame:
+    """Sum of ``value`` over the rows before each one within ``keys``, in salted parts as in
+    :func:`salted_ranks`.  ``df`` has to be a stored table."""
+    keyed = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
+    sizes = keyed.groupBy(*keys, "_salt").agg(F.sum(value).alias("_n"))
+    over = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
+    rows = (W.unboundedPreceding, W.currentRow)
+    before = F.sum("_n").over(over.orderBy("_salt").rowsBetween(*rows)) - F.col("_n")
+    shifts = sizes.select(
+        *[F.col(c).alias(f"_own_{c}") for c in keys], F.col("_salt").alias("_own_salt"), before.alias("_before"))
+    inside = F.sum(value).over(W.partitionBy(*keys, "_salt").orderBy(*order).rowsBetween(*rows)) - F.col(value)
+    on = [F.col(c).eqNullSafe(F.col(f"_own_{c}")) for c in keys] + [F.col("_salt") == F.col("_own_salt")]
+    joined = keyed.withColumn("_inside", inside).join(shifts, on, "inner")
+    return joined.select(*df.columns, (F.col("_inside") + F.col("_before")).cast("bigint").alias(name))

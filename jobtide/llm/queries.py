@@ -12,6 +12,7 @@ from jobtide.llm.decontaminate import op1_decontaminate
 from jobtide.llm.language import op2_language
 from jobtide.llm.packing import op5_packing
 from jobtide.llm.pii import op4_pii
+from jobtide.llm.sharding import op6_sharding
 from jobtide.llm.spotsigs import SQL as SPOT_SQL
 from jobtide.llm.spotsigs import op3_spotsigs
 from jobtide.llm.urls import SQL as URL_SQL
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_spotsigs": op3_spotsigs,
     "op4_pii": op4_pii,
     "op5_packing": op5_packing,
+    "op6_sharding": op6_sharding,
     "op8_token_files": op8_token_files,
     "op9_urls": op9_urls,
 }
