@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from jobtide.llm.dac import op8_token_files
 from jobtide.llm.decontaminate import SQL as BENCHMARK_SQL
 from jobtide.llm.decontaminate import op1_decontaminate
+from jobtide.llm.extract import op10_main_text
 from jobtide.llm.language import op2_language
 from jobtide.llm.packing import op5_packing
 from jobtide.llm.pii import op4_pii
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op8_token_files": op8_token_files,
     "op9_urls": op9_urls,
+    "op10_main_text": op10_main_text,
 }
 
 ORACLE: dict[str, str] = {
