@@ -11,6 +11,7 @@ from jobtide.llm.decontaminate import SQL as BENCHMARK_SQL
 from jobtide.llm.decontaminate import op1_decontaminate
 from jobtide.llm.extract import op10_main_text
 from jobtide.llm.language import op2_language
+from jobtide.llm.near import op7_near_duplicates
 from jobtide.llm.packing import op5_packing
 from jobtide.llm.pii import op4_pii
 from jobtide.llm.sharding import op6_sharding
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_packing": op5_packing,
     "op6_sharding": op6_sharding,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_token_files": op8_token_files,
     "op9_urls": op9_urls,
     "op10_main_text": op10_main_text,
