@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import let, running_sums, table
+from jobtide.llm.common import let, running_sums, table, unused
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE = KINDS[:4]
@@ -147,20 +147,23 @@ def _of_kind(spans: Column, kind: str) -> Column:
 
 
 def find_pii(df: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
-    """Add the array of spans of each text: by kind in the order of ``KINDS``, then start."""
+    """Add the array of spans of each text: by kind in the order of ``KINDS``, then start.
+
+    A column of that name is replaced.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
-    names = [f"_{into}_{k}" for k in KINDS]
-    out = df.select("*", *[spans_of(k, body, PATTERNS[k], k in BASE).alias(n) for k, n in zip(KINDS, names)])
+    column = {k: unused(df, f"_{into}_{k}") for k in KINDS}
+    out = df.select("*", *[spans_of(k, body, PATTERNS[k], k in BASE).alias(n) for k, n in column.items()])
     for kind, pattern in STRICT.items():
-        have = F.col(f"_{into}_{kind}")
+        have = F.col(column[kind])
         # Only text whose whole match failed can hold more: as many matches as spans end it.
         tried = F.regexp_count(body, F.lit(PATTERNS[kind])) > F.size(have)
         worth = body.rlike(r"[0-9]{4}[\x20-]?[0-9]{4}[\x20-]?[0-9]{4}") if kind == "card" else F.contains(body, F.lit("+"))
         more = F.when(worth & tried, spans_of(kind, body, pattern, False)).otherwise(F.array().cast(f"array<{SPAN}>"))
         fresh = _apart(more, have)
-        out = out.withColumn(f"_{into}_{kind}", F.array_sort(
+        out = out.withColumn(column[kind], F.array_sort(
             F.concat(have, fresh), lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(0)))
-    return out.withColumn(into, F.concat(*[F.col(n) for n in names])).drop(*names)
+    return out.withColumn(into, F.concat(*[F.col(n) for n in column.values()])).drop(*column.values())
 
 
 def redact(df: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame:

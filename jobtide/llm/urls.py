@@ -108,13 +108,18 @@ def template_purity(shapes: DataFrame, weight: float = WEIGHT, z: float = Z) ->
 
 
 def judge_urls(df: DataFrame, url: str = "url", rules=RULES, reject: float = REJECT) -> DataFrame:
-    """Add host, path, rule, verdict, template and purity (the template's block share)."""
-    pages = with_shape(apply_rules(split_url(df, url), rules))
+    """Add host, path, rule, verdict, template and purity (the template's block share).
+
+    Columns of these names are replaced.
+    """
+    added = ("host", "path", "rule", "verdict", "template", "purity")
+    kept = [c for c in df.columns if c.lower() not in (*added, "shape", "rule_verdict")]
+    pages = with_shape(apply_rules(split_url(df.select(kept), url), rules))
     shapes = stored(generalise(shape_counts(pages)), "shapes")
     purity = template_purity(shapes)
     verdict = F.coalesce("rule_verdict", F.when(F.col("purity") >= reject, "block").otherwise("allow"))
     return pages.join(purity, ["host", "shape"], "left").withColumn("verdict", verdict).select(
-        *df.columns, "host", "path", "rule", "verdict", "template", "purity")
+        *kept, *added)
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
