@@ -1,13 +1,15 @@
 """Documents whose shingle sets have a Jaccard of at least a threshold, and their groups.
 
-1. *Rarity.*  Shingles of all documents are counted in 2**32 buckets: tasks send sorted,
-   counted runs of them by range, and one task per range adds them up in an array of the size
-   of its range.  The most frequent buckets (at most ``MAX_FREQUENT``, whatever the corpus) are
-   what the order of shingles needs: rare ones first, frequent ones by their count.
-2. *Classes.*  Equal sets are one class; from here on a class is one row.
-3. *Prefixes.*  Two sets above the threshold share one of their first
-   ``n - ceil(t n) + 1`` shingles in that order.  Classes that share a prefix shingle fall
-   into one cluster, by links from the smallest class that has the shingle.  No pair is formed.
+1. *Rarity.*  The shingles of all documents are counted.  A task sends those of some thousand
+   documents (a batch) as sorted 32-bit buckets, dealt over ranges; a range adds up its buckets and
+   answers each batch with the counts of those that any other document has, too.  A bucket that is
+   frequent inside a batch is sent once with its count, so no range gathers a frequent one.
+2. *Prefixes.*  Two sets above the threshold share one of their first
+   ``n - ceil(t n) + 1`` shingles, rare ones first.  Shingles of one document alone come first of
+   all and are shared with nobody, so only what reaches beyond them is kept; most documents
+   have nothing left and no partner.  Equal sets are one class, from here on one row.
+3. *Clusters.*  Classes that share a prefix bucket fall into one cluster, by links from the
+   smallest class that has the bucket.  No pair is formed.
 4. *Blocks.*  A cluster is dealt over chunks of about ``CHUNK`` classes, and each pair of chunks is
    a block: every pair of classes meets in one block only.  In a small block the length filter,
    the positional bound of the first shared prefix shingle and the suffix filter (the sum of
@@ -16,8 +18,7 @@
    presence matrices.  A block returns a spanning forest of its links.
 5. *Components* of the links, by smallest labels with shortcuts over written tables.
 
-Links, classes and labels stay in tables; only the list of frequent buckets, of fixed size,
-goes through the driver.
+Counts, links, classes and labels stay in tables; nothing of them goes through the driver.
 
 Null text and text without words have an empty set, link with nothing and are a group of their
 own.  Equal texts, repeated rows included, are in one group.  A group's id is the smallest doc_id
@@ -31,6 +32,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +40,8 @@ from jobtide.llm.common import maybe_broadcast, shuffle_parts, stored, table
 from jobtide.llm.shingles import shingle_sets
 
 SHINGLE, PERCENT = 3, 90
-# Buckets counted less than FREQUENT times are all rare; tokens gathered before they are sent.
-FREQUENT, MAX_FREQUENT, FLUSH_TOKENS = 8, 1 << 21, 1 << 21
+# Shingles and documents of a batch, and the count from which a bucket is frequent in it.
+BATCH_TOKENS, BATCH_DOCUMENTS, OFTEN, NOBODY = 1 << 21, 60_000, 32, 0xFFFF
 CHUNK, SUFFIX_BITS, DENSE_COLUMNS, FEW = 384, 4, 1 << 13, 8
 
 
@@ -59,129 +61,154 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-def bucket_counts(docs: DataFrame, size: int) -> DataFrame:
-    """(buckets, counts) of all buckets with at least ``FREQUENT`` shingles, by range, stored."""
-    parts = shuffle_parts(docs.sparkSession)
-    bits = max(4, (4 * parts - 1).bit_length())
-    shift = 32 - bits
-
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[np.ndarray] = []
-        held = 0
-
-        def send() -> pa.RecordBatch:
-            buckets, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            cuts = np.searchsorted(buckets, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(shift))
-            rows = [(r, _planes(np.diff(b, prepend=b[:1])), _planes(c), int(b[0]))
-                    for r, (b, c) in enumerate(zip(np.split(buckets, cuts), np.split(counts, cuts))) if len(b)]
-            ranges, gaps, times, firsts = zip(*rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ranges, pa.int32()), pa.array(firsts, pa.int64()), pa.array(gaps, pa.binary()), pa.array(times, pa.binary())],
-                ["range", "first", "gaps", "times"])
-
-        for batch in batches:
-            for _, tokens in _sets(batch, size):
-                if len(tokens):
-                    waiting.append((tokens >> np.uint64(32)).astype(np.uint32))
-                    held += len(tokens)
-                if held >= FLUSH_TOKENS:
-                    yield send()
-                    waiting, held = [], 0
-        if waiting:
-            yield send()
-
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, sums = -1, np.zeros(1 << shift, np.int64)
-
-        def done() -> pa.RecordBatch:
-            often = np.flatnonzero(sums >= FREQUENT)
-            buckets = (often + (at << shift)).astype("<u4")
-            counts = np.minimum(sums[often], 0xFFFFFFFF).astype("<u4")
-            return pa.RecordBatch.from_arrays(
-                [pa.array([buckets.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], ["buckets", "counts"])
-
-        for batch in batches:
-            for r, first, gaps, times in zip(*(batch.column(c).to_pylist() for c in ("range", "first", "gaps", "times"))):
-                if r != at:
-                    if at >= 0:
-                        yield done()
-                    at = r
-                    sums[:] = 0
-                steps = _from_planes(gaps).astype(np.int64)
-                sums[np.cumsum(steps) + first - (r << shift)] += _from_planes(times)
-        if at >= 0:
-            yield done()
-
-    sent = docs.select("doc_id", "text").mapInArrow(runs, "range int, first bigint, gaps binary, times binary")
-    dealt = sent.repartition(parts, "range").sortWithinPartitions("range")
-    return stored(dealt.mapInArrow(added, "buckets binary, counts binary"), "buckets")
-
-
-def frequent_buckets(counts: DataFrame, most: int = MAX_FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted buckets, counts) of at most ``most`` buckets, the most frequent ones.
-
-    The number of buckets is counted by powers of two first, which sets the least count, so no
-    more than ``most`` of them are collected.
-    """
-
-    @F.udf("array<bigint>")
-    def by_power(data):
-        powers = np.log2(np.maximum(np.frombuffer(data, "<u4"), 1)).astype(int)
-        return np.bincount(powers, minlength=32).tolist()
-
-    sums = counts.select(F.posexplode(by_power("counts")).alias("power", "n")).groupBy("power").agg(F.sum("n").alias("n")).collect()
-    per_power, least, total = {r["power"]: r["n"] for r in sums}, 32, 0
-    while least > 0 and total + per_power.get(least - 1, 0) <= most:
-        least -= 1
-        total += per_power.get(least, 0)
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = []
-            for buckets, times in zip(batch.column("buckets").to_pylist(), batch.column("counts").to_pylist()):
-                times = np.frombuffer(times, "<u4")
-                often = times >= (1 << least)
-                pairs.append((np.frombuffer(buckets, "<u4")[often].tobytes(), times[often].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], ["buckets", "counts"])
-
-    rows = counts.mapInArrow(kept, "buckets binary, counts binary").collect()
-    buckets = np.frombuffer(b"".join(bytes(r["buckets"]) for r in rows), "<u4")
-    times = np.frombuffer(b"".join(bytes(r["counts"]) for r in rows), "<u4")
-    order = np.argsort(buckets)
-    return buckets[order], times[order]
-
-
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def rare_first(tokens: np.ndarray, buckets: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Shingles ordered by the count of their bucket, equal ones by hash."""
-    own = (tokens >> np.uint64(32)).astype(np.uint32)
-    at = np.minimum(np.searchsorted(buckets, own), max(len(buckets) - 1, 0))
-    count = np.where(buckets[at] == own, times[at], 0) if len(buckets) else np.zeros(len(tokens), np.uint32)
-    return tokens[np.lexsort((tokens, count))]
-
-
 def _digest(tokens: np.ndarray) -> bytes:
     return blake2b(tokens.astype("<u8").tobytes(), digest_size=16).digest()
 
 
+_SENT = pa.schema([
+    ("range", pa.int32()), ("batch", pa.int64()), ("first", pa.int64()), ("gaps", pa.binary()), ("owners", pa.binary()),
+    ("times", pa.binary()), ("ids", pa.list_(pa.int64())), ("classes", pa.binary()), ("sizes", pa.binary()),
+    ("often", pa.binary()), ("often_owners", pa.binary())])
+_SENT_DDL = ("range int, batch bigint, first bigint, gaps binary, owners binary, times binary, ids array<bigint>, "
+             "classes binary, sizes binary, often binary, often_owners binary")
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _send_batch(number: int, names: list, digests: list[bytes], buckets: list[np.ndarray], shift: int) -> pa.RecordBatch:
+    """One row for each range with buckets of the batch, and one that lists its documents."""
+    sizes = np.array([len(b) for b in buckets], np.int64)
+    flat = np.concatenate(buckets)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)[order]
+    first = np.ones(len(flat), bool)
+    first[1:] = flat[1:] != flat[:-1]
+    runs = np.diff(np.flatnonzero(first), append=len(flat))
+    often = np.repeat(runs >= OFTEN, runs)
+    keep = ~often | first
+    times = np.where(often, np.repeat(runs, runs), 1)[keep]
+    sent, owners = flat[keep], np.where(often, NOBODY, owner)[keep].astype("<u2")
+    edges = np.arange(0, (1 << 32) + 1, 1 << shift, dtype=np.uint64)
+    cuts = np.searchsorted(sent, edges)
+    rows = []
+    for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+        if b > a:
+            gaps = np.diff(sent[a:b].astype(np.int64), prepend=int(sent[a]))
+            rows.append((r, number, int(sent[a]), _planes(gaps), owners[a:b].tobytes(), _planes(times[a:b]), *[None] * 5))
+    listing = (names, b"".join(digests), sizes.astype("<u4").tobytes(), flat[often].astype("<u4").tobytes(), owner[often].astype("<u2").tobytes())
+    rows.append((number % (len(edges) - 1), number, None, None, None, None, *listing))
+    return _rows(rows, _SENT)
+
+
+def _answer_range(at: int, rows: list[tuple], shift: int) -> pa.RecordBatch:
+    """The counts of a range's shared buckets for each batch; listings go on as they are."""
+    base, out = at << shift, []
+    places = [None if r[1] is None else np.cumsum(_from_planes(r[2]).astype(np.int64)) + r[1] - base for r in rows]
+    sent = [p for p in places if p is not None]
+    if sent:
+        times = np.concatenate([_from_planes(r[4]) for r in rows if r[1] is not None])
+        # A bucket stands several times in a batch, once for each owner.
+        _, which = np.unique(np.concatenate(sent), return_inverse=True)
+        total = np.bincount(which, weights=times)[which].astype(np.int64)
+        totals = iter(np.split(total, np.cumsum([len(p) for p in sent])[:-1]))
+    for (number, first, _, owners, _, *listing), place in zip(rows, places):
+        if first is None:
+            out.append((0, number, None, None, None, None, *listing))
+            continue
+        count = next(totals)
+        shared = count > 1
+        own = np.frombuffer(owners, "<u2")[shared]
+        counts = np.minimum(count[shared], 0xFFFFFFFF)
+        out.append((0, number, 0, (place[shared] + base).astype("<u4").tobytes(), own.tobytes(), _planes(counts), *[None] * 5))
+    return _rows(out, _SENT)
+
+
+def _batch_prefixes(rows: list[tuple], percent: int) -> list[tuple]:
+    """(doc_id, class, n, alone, prefix) of a batch's documents from all answers to it."""
+    listing = next(r for r in rows if r[1] is None)
+    ids, classes, sizes, often, often_owners = listing[5:]
+    answers = [r for r in rows if r[1] is not None]
+    bucket = np.concatenate([np.zeros(0, "<u4"), *[np.frombuffer(r[2], "<u4") for r in answers]]).astype(np.int64)
+    owner = np.concatenate([np.zeros(0, "<u2"), *[np.frombuffer(r[3], "<u2") for r in answers]]).astype(np.int64)
+    count = np.concatenate([np.zeros(0, "<u4"), *[_from_planes(r[4]) for r in answers]]).astype(np.int64)
+    common = owner == NOBODY
+    known, known_count = bucket[common], count[common]
+    order = np.argsort(known)
+    held, held_owner = np.frombuffer(often, "<u4").astype(np.int64), np.frombuffer(often_owners, "<u2").astype(np.int64)
+    held_count = known_count[order][np.searchsorted(known[order], held)] if len(held) else held
+    bucket = np.concatenate([bucket[~common], held])
+    owner = np.concatenate([owner[~common], held_owner])
+    count = np.concatenate([count[~common], held_count])
+    order = np.lexsort((bucket, count, owner))
+    bucket, ends = bucket[order], np.searchsorted(owner[order], np.arange(len(ids) + 1))
+    out = []
+    for k, (name, n) in enumerate(zip(ids, np.frombuffer(sizes, "<u4").tolist())):
+        a, b = int(ends[k]), int(ends[k + 1])
+        alone = n - (b - a)
+        reach = max(0, prefix_length(n, percent) - alone)
+        out.append((name, classes[16 * k:16 * k + 16], n, alone, bucket[a:min(b, a + reach)].tolist()))
+    return out
+
+
 def document_prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, class, n, prefix) of all documents, stored."""
-    buckets, times = frequent_buckets(bucket_counts(docs, size))
-    shared = docs.sparkSession.sparkContext.broadcast((buckets, times))
+    """(doc_id, class, n, alone, prefix) of all documents, stored.
+
+    ``alone`` shingles stand before the prefix and are in no other document.
+    """
+    parts = shuffle_parts(docs.sparkSession)
+    bits = max(4, parts.bit_length() + 2)
+    shift = 32 - bits
+    result = pa.schema([("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("alone", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = TaskContext.get().partitionId() << 32, 0
+        names, digests, buckets = [], [], []
         for batch in batches:
-            rows = [(name, _digest(t), len(t), rare_first(t, *shared.value)[:prefix_length(len(t), percent)].view(np.int64).tolist())
-                    for name, t in _sets(batch, size)]
-            columns = list(zip(*rows)) or [(), (), (), ()]
-            types = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "class", "n", "prefix"])
+            for name, tokens in _sets(batch, size):
+                names.append(name)
+                digests.append(_digest(tokens))
+                buckets.append((tokens >> np.uint64(32)).astype(np.uint32))
+                held += len(tokens)
+                if held >= BATCH_TOKENS or len(names) >= BATCH_DOCUMENTS:
+                    yield _send_batch(number, names, digests, buckets, shift)
+                    number, held = number + 1, 0
+                    names, digests, buckets = [], [], []
+        if names:
+            yield _send_batch(number, names, digests, buckets, shift)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, rows in _grouped(batches, _SENT.names):
+            yield _answer_range(at, rows, shift)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _grouped(batches, _SENT.names[1:]):
+            yield _rows(_batch_prefixes([(None, *r) for r in rows], percent), result)
 
     read = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return stored(read.mapInArrow(prefixes, "doc_id bigint, class binary, n bigint, prefix array<bigint>"), "prefixes")
+    sent = read.mapInArrow(send, _SENT_DDL).repartition(parts, "range").sortWithinPartitions("range")
+    answered = sent.mapInArrow(answer, _SENT_DDL).repartition(parts, "batch").sortWithinPartitions("batch")
+    return stored(answered.mapInArrow(merge, "doc_id bigint, class binary, n bigint, alone bigint, prefix array<bigint>"), "prefixes")
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[object, list[tuple]]]:
+    """(value, rows of the other columns) of each run of equal values in the first column."""
+    at, rows = None, []
+    for batch in batches:
+        for value, *row in zip(*(batch.column(c).to_pylist() for c in names)):
+            if value != at:
+                if at is not None:
+                    yield at, rows
+                at, rows = value, []
+            rows.append(tuple(row))
+    if at is not None:
+        yield at, rows
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -244,15 +271,16 @@ def _linked(shared: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> n
 
 
 def _positional_bound(places: dict[int, int], prefix: list[int], a: int, b: int) -> int:
-    """The most that two sets can share, from the first prefix shingle they share."""
+    """The most that two sets can share, from the first prefix bucket they share; a and b are
+    the sizes without the shingles that one document has alone."""
     for j, token in enumerate(prefix):
         if (i := places.get(token)) is not None:
-            return 1 + min(a - i - 1, b - j - 1)
+            return min(a - i, b - j)
     return 0
 
 
 def _few_links(
-    sets: list[np.ndarray], prefixes: list[list[int]], left: list[int], right: list[int], percent: int
+    sets: list[np.ndarray], prefixes: list[list[int]], alone: list[int], left: list[int], right: list[int], percent: int
 ) -> Iterator[tuple[int, int]]:
     """Links of a small block, pair by pair: length, positional and suffix filter, then the overlap."""
     counts = [_suffix_counts(s) for s in sets]
@@ -262,7 +290,7 @@ def _few_links(
             a, b = len(sets[i]), len(sets[j])
             if (left is right and i >= j) or 100 * min(a, b) < percent * max(a, b):
                 continue
-            if not _linked(_positional_bound(places[i], prefixes[j], a, b), a, b, percent):
+            if not _linked(_positional_bound(places[i], prefixes[j], a - alone[i], b - alone[j]), a, b, percent):
                 continue
             if not _linked(np.minimum(counts[i], counts[j]).sum(), a, b, percent):
                 continue
@@ -302,10 +330,10 @@ def _many_links(sets: list[np.ndarray], left: list[int], right: list[int], perce
 
 
 def block_links(blocks: DataFrame, percent: int) -> DataFrame:
-    """(a, b) links inside blocks of (cluster, i, j, side, class, prefix, tokens), a forest of each block."""
+    """(a, b) links inside blocks of (block, side, class, alone, prefix, tokens), a forest of each block."""
 
-    def forest(rows: list[tuple[int, bytes, list[int], bytes]], same: bool) -> list[tuple[bytes, bytes]]:
-        sides, names, prefixes, tokens = zip(*rows)
+    def forest(rows: list[tuple[int, bytes, int, list[int], bytes]], same: bool) -> list[tuple[bytes, bytes]]:
+        sides, names, alone, prefixes, tokens = zip(*rows)
         sets = [np.frombuffer(t, "<u8") for t in tokens]
         left = [k for k, side in enumerate(sides) if side == 0]
         right = left if same else [k for k, side in enumerate(sides) if side == 1]
@@ -318,7 +346,7 @@ def block_links(blocks: DataFrame, percent: int) -> DataFrame:
             return x
 
         few = len(rows) <= FEW
-        found = _few_links(sets, prefixes, left, right, percent) if few else _many_links(sets, left, right, percent)
+        found = _few_links(sets, prefixes, alone, left, right, percent) if few else _many_links(sets, left, right, percent)
         out = []
         for i, j in found:
             a, b = find(i), find(j)
@@ -328,25 +356,12 @@ def block_links(blocks: DataFrame, percent: int) -> DataFrame:
         return out
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows = None, []
-
-        def done() -> pa.RecordBatch:
-            found = forest(rows, at[1] == at[2])
-            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], ["a", "b"])
-
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("cluster", "i", "j", "side", "class", "prefix", "tokens")]
-            for cluster, i, j, *row in zip(*columns):
-                if (cluster, i, j) != at:
-                    if at is not None:
-                        yield done()
-                    at, rows = (cluster, i, j), []
-                rows.append(tuple(row))
-        if at is not None:
-            yield done()
+        for block, rows in _grouped(batches, ["block", "side", "class", "alone", "prefix", "tokens"]):
+            found = forest(rows, block["i"] == block["j"])
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
     parts = shuffle_parts(blocks.sparkSession)
-    dealt = blocks.repartition(parts, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "side")
+    dealt = blocks.repartition(parts, "block").sortWithinPartitions("block", "side")
     return dealt.mapInArrow(links, "a binary, b binary")
 
 
@@ -355,15 +370,15 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     members = document_prefixes(docs, size, percent)
     classes = stored(
         members.where("n > 0").groupBy("class").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "classes")
+            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("alone").alias("alone"), F.first("prefix").alias("prefix")), "classes")
     dealt = stored(clusters(classes), "dealt")
     wanted = dealt.join(classes.select("class", "doc_id"), "class").select("doc_id", "class")
     sets = candidate_sets(docs, stored(wanted, "wanted"), size)
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    filled = dealt.join(sets, "class").join(classes.select("class", "prefix"), "class")
-    blocks = filled.select("cluster", "chunk", "class", "prefix", "tokens", other).select(
-        "cluster", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-        F.when(F.col("chunk") <= F.col("other"), 0).otherwise(1).alias("side"), "class", "prefix", "tokens")
+    filled = dealt.join(sets, "class").join(classes.select("class", "alone", "prefix"), "class")
+    blocks = filled.select("*", other).select(
+        F.struct("cluster", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")).alias("block"),
+        F.when(F.col("chunk") <= F.col("other"), 0).otherwise(1).alias("side"), "class", "alone", "prefix", "tokens")
     labels = components(stored(block_links(blocks, percent), "links"))
     ids = labels.join(classes.select("class", "doc_id"), F.col("node") == F.col("class"))
     least = ids.groupBy("label").agg(F.min("doc_id").alias("component_id"))
