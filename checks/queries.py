@@ -554,7 +554,8 @@ def _landed(spark, sf_dir, partition_by=()) -> Layout:
     """Raw records and the dictionary of the driver tables, written as a run would find them."""
     root = tables.scratch_path(spark, "run")
     layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", partition_by)
-    X.raw_postings(spark, sf_dir).drop("o_orderstatus").write.partitionBy("job_category").json(layout.landing)
+    raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus")
+    raw.write.partitionBy("job_category").option("ignoreNullFields", False).json(layout.landing)
     X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
     return layout
 

@@ -35,8 +35,15 @@ def has_substring(c: Column, phrases: list[str]) -> Column:
 
 
 def written_date(c: Column) -> Column:
-    """Date part of an ISO text exactly as written: no shift to the session zone."""
-    return F.to_date(c)
+    """Date part of an ISO text exactly as written: no shift to the session zone.
+
+    Text that is no date becomes null; :func:`is_bad_date` tells it from a missing one.
+    """
+    return c.try_cast("date")
+
+
+def is_bad_date(c: Column) -> Column:
+    return (F.trim(c) != "") & c.try_cast("date").isNull()
 
 
 def first_in_locations(locations: Column, field: str) -> Column:

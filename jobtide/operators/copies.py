@@ -7,43 +7,65 @@ Keys that differ but share a hash only send a few rows too many down that path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.operators.aggregate import count_distinct_mart
-from jobtide.operators.lookup import BROADCAST_LIMIT, keep
+from jobtide.operators.lookup import BROADCAST_LIMIT
+from jobtide.sources.tables import stored_scratch
 
 _TAG = "__copy_tag"
 # Memory one hash takes in a broadcast table.
 _HASH_BYTES = 32
+# Bits of the map that stands in for hashes too many to broadcast: 16 MiB, whatever their number.
+MAP_BITS = 1 << 27
+# Fixed by Spark: bits of one bitmap of its bitmap functions.
+_BITMAP_BITS = 1 << 15
+
+
+def _bit(tag: Column, bits: int) -> Column:
+    return F.pmod(tag, F.lit(bits))
+
+
+def _flagged(df: DataFrame, hashes: DataFrame, bits: int) -> DataFrame:
+    """Add ``__again``: whether the bit of a row's hash is set in the map of ``hashes``."""
+    at = _bit(F.col(_TAG), bits)
+    maps = hashes.select(at.alias("__bit")).groupBy(F.floor(F.col("__bit") / _BITMAP_BITS).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.col("__bit") % _BITMAP_BITS).alias("__map"))
+    bucket = F.floor(at / _BITMAP_BITS)
+    joined = df.join(F.broadcast(maps), bucket == F.col("__bucket"), "left")
+    place = at % _BITMAP_BITS
+    byte = F.conv(F.hex(F.substring("__map", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (place % 8).cast("int")) == 1
+    return joined.withColumn("__again", F.coalesce(is_set, F.lit(False))).drop("__bucket", "__map")
 
 
 def split_copies(
-    df: DataFrame, probe: list[str], limit: int = BROADCAST_LIMIT
-) -> tuple[DataFrame | None, DataFrame | None]:
+    df: DataFrame, probe: list[str], limit: int = BROADCAST_LIMIT, bits: int = MAP_BITS
+) -> tuple[DataFrame, DataFrame | None]:
     """``(alone, repeated)``: rows whose ``probe`` columns occur once, and the rest.
 
     Rows equal in ``probe`` always land on the same side.  The second is None when nothing
-    repeats.  The first is None, and all rows are on the second side, when most rows
-    repeat (reading twice would cost more than it saves) or when the repeated hashes are
-    too many to broadcast.
+    repeats.  The hashes that repeat are counted once, into a scratch table.  While they fit
+    a broadcast they decide exactly; past that a bitmap of fixed size does, in which a few
+    rows that occur once share a bit with a hash that repeats and take the exact path too.
+    Rows that are alone meet no shuffle for any number of copies.
     """
     tag = F.xxhash64(*probe)
     counts = df.groupBy(tag.alias(_TAG)).agg(F.count(F.lit(1)).alias("n"))
-    again = F.col("n") > 1
-    rows, repeated, hashes = counts.agg(
-        F.sum("n"), F.sum(F.when(again, F.col("n"))), F.count_if(again)
-    ).first()
-    if not repeated:
+    again = stored_scratch(counts.where("n > 1").select(_TAG), "copies")
+    hashes = again.count()
+    if not hashes:
         return df, None
-    if repeated * 2 > rows or hashes * _HASH_BYTES > limit:
-        return None, df
-    repeats = F.broadcast(keep(counts.where(again).select(_TAG)))
     tagged = df.withColumn(_TAG, tag)
-    return (
-        tagged.join(repeats, _TAG, "left_anti").drop(_TAG),
-        tagged.join(repeats, _TAG, "left_semi").drop(_TAG),
-    )
+    if hashes * _HASH_BYTES <= limit:
+        repeats = F.broadcast(again)
+        return (
+            tagged.join(repeats, _TAG, "left_anti").drop(_TAG),
+            tagged.join(repeats, _TAG, "left_semi").drop(_TAG),
+        )
+    flagged = _flagged(tagged, again, bits)
+    return tuple(flagged.where(side).drop(_TAG, "__again") for side in (~F.col("__again"), F.col("__again")))
 
 
 def distinct_split(
@@ -51,24 +73,19 @@ def distinct_split(
 ) -> DataFrame:
     """The rows of a DISTINCT over ``columns``; ``probe`` is a few of them."""
     alone, repeated = split_copies(df.select(*columns), probe, limit)
-    if repeated is None:
-        return alone
-    return repeated.distinct() if alone is None else alone.unionByName(repeated.distinct())
+    return alone if repeated is None else alone.unionByName(repeated.distinct())
 
 
 def count_distinct_split(
-    alone: DataFrame | None, repeated: DataFrame | None, dims: list[str], key: str = "ID", name: str = "total_jobs"
+    alone: DataFrame, repeated: DataFrame | None, dims: list[str], key: str = "ID", name: str = "total_jobs"
 ) -> DataFrame:
     """The rows of :func:`count_distinct_mart` over both sides of a split.
 
     The split must have been made on the key and some of ``dims``: then no key of a
     group is on both sides, and on the first side every non-null key counts once.
     """
-    parts = []
-    if alone is not None:
-        parts.append(alone.groupBy(*dims).agg(F.count(key).alias(name)))
-    if repeated is not None:
-        parts.append(count_distinct_mart(repeated, dims, key, name))
-    if len(parts) == 1:
-        return parts[0]
-    return parts[0].unionByName(parts[1]).groupBy(*dims).agg(F.sum(name).alias(name))
+    single = alone.groupBy(*dims).agg(F.count(key).alias(name))
+    if repeated is None:
+        return single
+    both = single.unionByName(count_distinct_mart(repeated, dims, key, name))
+    return both.groupBy(*dims).agg(F.sum(name).alias(name))

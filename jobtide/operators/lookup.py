@@ -8,6 +8,9 @@ hot, go through an ordinary shuffle join.  Both ways give the same rows.
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark import StorageLevel
@@ -18,23 +21,43 @@ from pyspark.sql import types as T
 from jobtide.schema import MISSING_TEXT
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
-# A key is hot when it holds at least 1/HOT_SHARE of the rows, so at most HOT_SHARE are.
+# At least this many keys can be hot, however few partitions a shuffle has.
 HOT_SHARE = 1000
+# The least memory of a row in a broadcast table, which bounds the rows of one that fits.
+_LEAST_ROW_BYTES = 24
 
 _KEY = "__lookup_key"
-_kept: list[DataFrame] = []
+_scopes = threading.local()
+
+
+def _kept() -> list[list[DataFrame]]:
+    if not hasattr(_scopes, "held"):
+        _scopes.held = [[]]
+    return _scopes.held
 
 
 def release() -> None:
-    """Drop the cached lookup sides of finished queries."""
-    while _kept:
-        _kept.pop().unpersist()
+    """Drop the cached lookup sides of the innermost scope of this thread."""
+    held = _kept()[-1]
+    while held:
+        held.pop().unpersist()
+
+
+@contextmanager
+def lookup_scope() -> Iterator[None]:
+    """Lookup sides cached inside the block are dropped at its end, those of other jobs are not."""
+    _kept().append([])
+    try:
+        yield
+    finally:
+        release()
+        _kept().pop()
 
 
 def keep(df: DataFrame) -> DataFrame:
     """``df`` cached until :func:`release`."""
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _kept.append(held)
+    _kept()[-1].append(held)
     return held
 
 
@@ -57,24 +80,31 @@ class Measured(NamedTuple):
 
 
 def measure(df: DataFrame, limit: int = BROADCAST_LIMIT) -> Measured:
-    """Size of ``df`` when held in memory, by one aggregate job.
+    """Whether ``df`` fits in memory, by one aggregate job.
 
-    A small frame comes back cached, so its work is not repeated by the join.
+    No more rows are cached than a fitting frame can have, so a large one fills no memory.  A
+    frame that fits comes back cached and is not computed again by the join.
     """
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    most = min(max(limit, 0) // _LEAST_ROW_BYTES + 1, (1 << 31) - 1)
+    held = keep(df.limit(most))
     rows, size = held.agg(F.count(F.lit(1)), F.sum(_row_bytes(held).cast("long"))).first()
-    if (size or 0) <= limit:
-        _kept.append(held)
+    if (size or 0) <= limit and rows < most:
         return Measured(held, rows, True)
+    _kept()[-1].remove(held)
     held.unpersist()
     return Measured(df, rows, False)
 
 
+def hot_share(df: DataFrame) -> int:
+    """A key is hot when it holds at least 1/share of the rows: an average shuffle partition."""
+    return max(HOT_SHARE, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def hot_keys(fact: DataFrame, on: str) -> DataFrame:
-    """The at most ``HOT_SHARE`` keys (null included) holding 1/HOT_SHARE of the rows."""
+    """The keys (null included) that hold 1/share of the rows each; at most share of them."""
     counts = fact.groupBy(F.col(on).alias(_KEY)).count()
     total = counts.select(F.sum("count")).scalar()
-    return counts.where(F.col("count") * HOT_SHARE >= total).select(_KEY)
+    return counts.where(F.col("count") * hot_share(fact) >= total).select(_KEY)
 
 
 def _match(fact: DataFrame, side: DataFrame, on: str, how: str, null_safe: bool) -> DataFrame:
@@ -144,9 +174,9 @@ def map_values(
     broadcast depends on the distinct values of the batch, not on the dictionary.  A
     value listed twice takes its greatest entry.
     """
-    entries = dictionary.groupBy("value").agg(F.max("translated").alias("translated"))
+    words = dictionary.groupBy("value").agg(F.max("translated").alias("translated"))
     occurring = df.select(*columns).unpivot([], columns, "column", "value").distinct()
-    used = measure(occurring.join(entries, "value"), limit)
+    used = measure(occurring.join(words, "value"), limit)
     for column in columns:
         side = used.frame.where(F.col("column") == column).select(
             F.col("value").alias(_KEY), F.col("translated").alias("__translated")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,9 +54,9 @@ def conformed_postings(
     * rows equal in all kept columns are equal in ID, category and day, so only rows that
       repeat in those three are grouped at all.
 
-    What is left is a map-only pass at full width with one measured broadcast, after two
-    narrow passes (city with state; the three probe columns).  Copies, also when they are
-    a large share of the rows, are combined on the map side before they are shuffled.
+    What is left without copies is a map-only pass at full width with one measured broadcast,
+    after two narrow passes (city with state; the three probe columns).  With copies the full
+    width is read once more, for the rows that repeat, and only those are shuffled.
     ``states`` may be the stored state dimension of the same cleaned table.
     """
     if states is None:
@@ -77,10 +75,10 @@ def conformed_postings(
 
     placeable = cleaned.where(F.col("CITY").isNotNull() & F.col("SENIORITY").isNotNull())
     alone, repeated = split_copies(placeable, COPY_PROBE, limit)
-    parts = [] if alone is None else [place(alone).select(*CLEANED_COLUMNS)]
-    if repeated is not None:
-        parts.append(collapse(place(repeated), KEPT_COLUMNS, STANDARDISED_COLUMNS).select(*CLEANED_COLUMNS))
-    return reduce(DataFrame.unionByName, parts)
+    single = place(alone).select(*CLEANED_COLUMNS)
+    if repeated is None:
+        return single
+    return single.unionByName(collapse(place(repeated), KEPT_COLUMNS, STANDARDISED_COLUMNS).select(*CLEANED_COLUMNS))
 
 
 def posting_links(cleaned: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:

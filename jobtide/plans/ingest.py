@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,17 +12,26 @@ from pyspark.sql import functions as F
 from jobtide.functions.text import (
     employee_range,
     has_phrase,
+    is_bad_date,
     list_to_text,
     posting_city,
     posting_state,
     written_date,
 )
 from jobtide.operators.filters import title_phrase_filter
-from jobtide.operators.lookup import keep_new, normalise_via_dictionary, release
+from jobtide.operators.lookup import keep_new, lookup_scope, normalise_via_dictionary
 from jobtide.operators.project import blank_to_null, project_contract, relevant_columns, upper_names
-from jobtide.schema import CLEANED_SCHEMA, SEARCH_TITLES, TRANSLATED_COLUMNS
-from jobtide.sources.landing import CORRUPT, is_rejected, read_raw, split_rejects
-from jobtide.sources.tables import append_table, delete_path, read_table, scratch_path
+from jobtide.schema import (
+    CLEANED_COLUMNS,
+    CLEANED_SCHEMA,
+    EXPECTED_COLUMNS,
+    RAW_SCHEMA,
+    REJECTED_SCHEMA,
+    SEARCH_TITLES,
+    TRANSLATED_COLUMNS,
+)
+from jobtide.sources.landing import CORRUPT, conform, is_rejected, landed_keys, read_landed
+from jobtide.sources.tables import append_table, create_table, delete_path, read_table, scratch_path, table_exists
 
 
 @dataclass(frozen=True)
@@ -33,6 +43,8 @@ class Layout:
     dictionary: str
     partition_by: Sequence[str] = ("JOB_DATE",)
     multi_line: bool = False
+    # "error": a contract column that no landed record has fails the ingest; "null" fills it.
+    on_missing: str = "error"
 
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -41,26 +53,43 @@ class Layout:
     def cleaned(self) -> str:
         return self.table("cleaned_postings")
 
+    @property
+    def rejected(self) -> str:
+        return self.table("rejected")
+
 
 @dataclass(frozen=True)
 class IngestReport:
-    """Exact row counts of one ingest; ``status`` is loaded, no_data or nothing_new."""
+    """Exact row counts of one ingest; ``status`` is loaded, no_data or nothing_new.
+
+    landed = rejected + title_dropped + known + appended.
+    """
 
     status: str
     counts: dict[str, int] = field(default_factory=dict)
 
+    @property
+    def title_dropped(self) -> int:
+        return self.counts["landed"] - self.counts["rejected"] - self.counts["title_kept"]
+
+    @property
+    def known(self) -> int:
+        return self.counts["title_kept"] - self.counts["appended"]
 
-def clean_records(good: DataFrame) -> DataFrame:
-    """Parsed records to the 31 cleaned columns; map-side work only."""
-    contract = project_contract(upper_names(title_phrase_filter(good, "title")))
-    derived = contract.withColumns({
+
+def _derived(contract: DataFrame) -> DataFrame:
+    return contract.withColumns({
         "JOB_DATE": written_date(F.col("DATE_CREATED")),
         "CITY": posting_city(F.col("LOCATIONS_RAW")),
         "STATE": posting_state(F.col("LOCATIONS_RAW")),
         "EMPLOYMENT_TYPE": list_to_text(F.col("EMPLOYMENT_TYPE")),
         "ORG_SIZE": employee_range(F.col("LINKEDIN_ORG_SIZE")),
     })
-    return relevant_columns(derived)
+
+
+def clean_records(good: DataFrame) -> DataFrame:
+    """Parsed records to the 31 cleaned columns; map-side work only."""
+    return relevant_columns(_derived(project_contract(upper_names(title_phrase_filter(good, "title")))))
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
@@ -69,46 +98,98 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     Later steps read the columns they need, and a lost executor costs no second parse.
     """
     df.write.parquet(path)
-    return df.sparkSession.read.schema(CLEANED_SCHEMA).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _files_of(landed: DataFrame) -> list[str]:
+    """The files of one micro-batch; Spark names them with escapes."""
+    return [unquote(r[0]) for r in landed.select(F.input_file_name()).distinct().collect()]
+
 
+def _check_contract(spark: SparkSession, layout: Layout, filled: dict[str, int], files: list[str]) -> None:
+    """Raise when a contract column is in no landed record.
 
-def ingest_records(records: DataFrame, layout: Layout) -> IngestReport:
-    """Ingest one batch of raw records (as :func:`read_raw` gives them).
+    Columns with any value are there.  Only for the others are the records' keys read.
+    """
+    empty = [c.lower() for c in EXPECTED_COLUMNS if not filled[c.lower()] and c != "JOB_CATEGORY"]
+    if layout.on_missing != "error" or not empty:
+        return
+    there = landed_keys(spark, files, empty, layout.multi_line)
+    missing = [c.upper() for c in empty if c not in there]
+    if missing:
+        raise ValueError(f"expected columns missing in source data: {missing}")
+
+
+def _store_rejected(rejected: DataFrame, layout: Layout) -> None:
+    """Append rows that are not in the table of rejected rows yet."""
+    spark = rejected.sparkSession
+    if not table_exists(spark, layout.rejected):
+        create_table(spark, layout.rejected, REJECTED_SCHEMA)
+    known = read_table(spark, layout.rejected, REJECTED_SCHEMA)
+    same = [rejected[c].eqNullSafe(known[c]) for c in ("file", "reason", "text")]
+    append_table(rejected.join(known, same, "left_anti"), layout.rejected, schema=REJECTED_SCHEMA)
+
+
+def ingest_records(landed: DataFrame, layout: Layout, into: str | None = None) -> IngestReport:
+    """Ingest one batch of landed records (as :func:`read_landed` gives them).
 
     The text is parsed once, by a map-only job that also counts the rows (a task that is
-    run again counts once, as nothing is shuffled there).  The rows not loaded before are
-    kept in a second scratch table, which is counted, translated and appended.  Running
-    the same batch again adds nothing.
+    run again counts once, as nothing is shuffled there).  Records that are no JSON or have
+    a date that is none go to the table of rejected rows with their file, text and reason;
+    every other record is kept.  The rows not loaded before are kept in a second scratch
+    table, which is counted, translated and appended, or written to ``into``.  Running the
+    same batch again adds nothing.
     """
-    spark = records.sparkSession
+    spark = landed.sparkSession
+    names = [f.name for f in RAW_SCHEMA.fields]
+    wanted = ~is_rejected(CORRUPT) & has_phrase(F.col("title"), SEARCH_TITLES)
+    reason = F.when(is_rejected(CORRUPT), "not JSON").when(wanted & is_bad_date(F.col("date_created")), "bad date")
     seen = Observation()
-    counted = records.observe(
+    counted = landed.observe(
         seen,
         F.count(F.lit(1)).alias("landed"),
-        F.count_if(is_rejected(CORRUPT)).alias("rejected"),
-        F.count_if(~is_rejected(CORRUPT) & has_phrase(F.col("title"), SEARCH_TITLES)).alias("title_kept"),
+        F.count(reason).alias("rejected"),
+        F.count_if(wanted & reason.isNull()).alias("title_kept"),
+        *[F.count(F.col(n)).alias(f"filled_{n}") for n in names],
     )
-    good, _ = split_rejects(counted)
+    noted = counted.where(wanted | reason.isNotNull()).withColumns({
+        "_reason": reason,
+        "_file": F.input_file_name(),
+        "_text": F.when(reason.isNotNull(), F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*names)))),
+    })
+    cleaned = _derived(upper_names(conform(noted).drop(CORRUPT)))
     scratch = scratch_path(spark, "ingest")
     try:
-        batch = _staged(clean_records(good), f"{scratch}/batch")
-        counts = {name: seen.get.get(name, 0) for name in ("landed", "rejected", "title_kept")}
-        counts["appended"] = 0
-        if not counts["title_kept"]:
-            return IngestReport("no_data", counts)
-        history = read_table(spark, layout.cleaned, CLEANED_SCHEMA)
-        fresh = _staged(blank_to_null(keep_new(batch, history)), f"{scratch}/fresh")
-        counts["appended"] = fresh.count()
-        if not counts["appended"]:
-            return IngestReport("nothing_new", counts)
-        translated = normalise_via_dictionary(fresh, TRANSLATED_COLUMNS, read_table(spark, layout.dictionary))
-        append_table(translated, layout.cleaned, layout.partition_by, CLEANED_SCHEMA)
-        return IngestReport("loaded", counts)
+        with lookup_scope():
+            staged = _staged(cleaned.select(*CLEANED_COLUMNS, "_REASON", "_FILE", "_TEXT"), f"{scratch}/batch")
+            batch = staged.where("_REASON IS NULL").select(*CLEANED_COLUMNS)
+            counts = {name: seen.get.get(name, 0) for name in ("landed", "rejected", "title_kept")}
+            counts["appended"] = 0
+            if counts["landed"] > counts["rejected"]:
+                files = [layout.landing] if into is None else _files_of(landed)
+                _check_contract(spark, layout, {n: seen.get.get(f"filled_{n}", 0) for n in names}, files)
+            if counts["rejected"]:
+                rejected = staged.where("_REASON IS NOT NULL")
+                _store_rejected(rejected.select(
+                    F.col("_FILE").alias("file"), F.col("JOB_CATEGORY").alias("job_category"),
+                    F.col("_REASON").alias("reason"), F.col("_TEXT").alias("text")), layout)
+            if not counts["title_kept"]:
+                return IngestReport("no_data", counts)
+            history = read_table(spark, layout.cleaned, CLEANED_SCHEMA)
+            fresh = _staged(blank_to_null(keep_new(batch, history)), f"{scratch}/fresh")
+            counts["appended"] = fresh.count()
+            if not counts["appended"]:
+                return IngestReport("nothing_new", counts)
+            translated = normalise_via_dictionary(fresh, TRANSLATED_COLUMNS, read_table(spark, layout.dictionary))
+            if into is None:
+                append_table(translated, layout.cleaned, layout.partition_by, CLEANED_SCHEMA)
+            else:
+                translated.write.mode("overwrite").parquet(into)
+            return IngestReport("loaded", counts)
     finally:
-        release()
         delete_path(spark, scratch)
 
 
 def ingest(spark: SparkSession, layout: Layout) -> IngestReport:
-    """Ingest everything under the landing directory."""
-    return ingest_records(read_raw(spark, layout.landing, multi_line=layout.multi_line), layout)
+    """Ingest everything under the landing directory: the backfill.  The daily run takes arrivals."""
+    return ingest_records(read_landed(spark, layout.landing, multi_line=layout.multi_line), layout)

@@ -7,14 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobtide.operators.lookup import release
+from jobtide.operators.lookup import lookup_scope
 from jobtide.operators.trend import wow_trend
 from jobtide.plans.conformed import conformed_postings, posting_links
 from jobtide.plans.dimensions import city_dimension, seniority_dimension, state_dimension
-from jobtide.plans.ingest import IngestReport, Layout, ingest
+from jobtide.plans.ingest import IngestReport, Layout
 from jobtide.plans.marts import count_marts
 from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA
-from jobtide.sources.tables import cached, create_table, overwrite_table, read_table, table_exists
+from jobtide.sources.tables import create_table, overwrite_table, read_table, table_exists
+from jobtide.streaming.incremental import ingest_arrivals, total_report
 
 
 @dataclass(frozen=True)
@@ -36,22 +37,21 @@ def refresh_models(spark: SparkSession, layout: Layout, as_of: dt.date) -> dict[
     def store(name: str, df: DataFrame) -> DataFrame:
         return overwrite_table(df, layout.table(name))
 
-    tables = {"base_city": store("base_city", city_dimension(cleaned))}
-    tables["base_state"] = store("base_state", state_dimension(tables["base_city"]))
-    tables["base_seniority"] = store("base_seniority", seniority_dimension(cleaned))
-    tables["conformed"] = store("conformed", conformed_postings(cleaned, tables["base_state"]))
-    tables["posting_links"] = store("posting_links", posting_links(cleaned))
-    for name, made in count_marts(tables["conformed"]).items():
-        tables[name] = store(name, made)
-    with cached(tables["daily"]) as daily:
-        tables["wow_trend"] = store("wow_trend", wow_trend(daily, as_of))
-    release()
+    with lookup_scope():
+        tables = {"base_city": store("base_city", city_dimension(cleaned))}
+        tables["base_state"] = store("base_state", state_dimension(tables["base_city"]))
+        tables["base_seniority"] = store("base_seniority", seniority_dimension(cleaned))
+        tables["conformed"] = store("conformed", conformed_postings(cleaned, tables["base_state"]))
+        tables["posting_links"] = store("posting_links", posting_links(cleaned))
+        for name, made in count_marts(tables["conformed"]).items():
+            tables[name] = store(name, made)
+        tables["wow_trend"] = store("wow_trend", wow_trend(tables["daily"], as_of))
     return tables
 
 
 def refresh(spark: SparkSession, layout: Layout, as_of: dt.date) -> RunResult:
-    """Ingest what has landed, then rebuild the models as of ``as_of``."""
+    """Ingest what has landed since the last run, then rebuild the models as of ``as_of``."""
     if not table_exists(spark, layout.cleaned):
         create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
-    report = ingest(spark, layout)
+    report = total_report(ingest_arrivals(spark, layout))
     return RunResult(report, refresh_models(spark, layout, as_of))

@@ -76,3 +76,6 @@ RAW_SCHEMA = _struct(
     {"EMPLOYMENT_TYPE": T.ArrayType(T.StringType())},
 )
 CLEANED_SCHEMA = _struct(CLEANED_COLUMNS)
+
+# Landed rows that cannot be cleaned, with where they came from.
+REJECTED_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("file", "job_category", "reason", "text")])

@@ -17,20 +17,51 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def read_raw(
+def text_schema(schema: T.StructType) -> T.StructType:
+    """The same names, every field as the text it landed as; lists and objects stay JSON text."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def _typed(c: Column, kind: T.DataType) -> Column:
+    """Landed text as ``kind``; what cannot be read as it becomes null."""
+    if isinstance(kind, T.StringType):
+        return c
+    if not isinstance(kind, T.ArrayType):
+        return c.try_cast(kind)
+    text = F.trim(c)
+    listed = F.from_json(text, kind)
+    if isinstance(kind.elementType, T.StructType):
+        # A list of one may land as the object itself.
+        alone = F.when(F.startswith(text, F.lit("{")), F.array(F.from_json(text, kind.elementType)))
+    else:
+        alone = F.when(c.isNotNull(), F.array(c.try_cast(kind.elementType)))
+    return F.when(F.startswith(text, F.lit("[")), listed).otherwise(alone)
+
+
+def conform(landed: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """Landed text columns to the declared types, field by field.
+
+    A field of another type than declared costs that field at most, never the record: a
+    plain value where a list is declared becomes a list of one, anything unreadable null.
+    """
+    typed = {f.name: _typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields}
+    return landed.select(*[typed.get(c, F.col(f"`{c}`")) for c in landed.columns])
+
+
+def read_landed(
     spark: SparkSession,
     path: str,
     schema: T.StructType = RAW_SCHEMA,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Records under ``path``; ``job_category=<title>`` directories give the title tag.
+    """Records under ``path`` as text columns; ``job_category=<title>`` directories give the title tag.
 
-    The schema is declared, never inferred.  One record per line keeps large files
+    The columns are declared, never inferred.  One record per line keeps large files
     splittable; ``multi_line`` reads pages that are one JSON array each.  A page or
-    line that does not parse becomes a row with only the corrupt-text column set.
+    line that is no JSON becomes a row with only the corrupt-text column set.
     """
     return (
-        spark.read.schema(with_corrupt_column(schema))
+        spark.read.schema(with_corrupt_column(text_schema(schema)))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multi_line)
@@ -38,6 +69,26 @@ def read_raw(
     )
 
 
+def read_raw(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = RAW_SCHEMA,
+    multi_line: bool = False,
+) -> DataFrame:
+    """:func:`read_landed` with the declared types."""
+    return conform(read_landed(spark, path, schema, multi_line), schema)
+
+
+def landed_keys(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = False) -> set[str]:
+    """Which of ``names`` any landed record has as a key, whatever its value."""
+    text = spark.read.option("wholetext", multi_line).option("recursiveFileLookup", True).text(paths)
+    record = F.explode(F.from_json("value", T.ArrayType(T.StringType()))) if multi_line else F.col("value")
+    keys = F.json_object_keys("record")
+    found = text.select(record.alias("record")).agg(
+        *[F.max(F.array_contains(keys, name)).alias(name) for name in names]).first()
+    return {name for name in names if found[name]}
+
+
 def parse_json_text(df: DataFrame, column: str, schema: T.StructType, into: str) -> DataFrame:
     """Parse a JSON text column into a struct that also carries the corrupt text."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}

@@ -44,6 +44,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored_scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the scratch folder and read back; deleted when the driver ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    fs, target = _filesystem(spark, path)
+    fs.deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _filesystem(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
@@ -54,6 +64,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    fs, source = _filesystem(spark, path)
+    if not fs.rename(source, _filesystem(spark, to)[1]):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     fs, target = _filesystem(spark, path)
     return fs.exists(target)
@@ -115,21 +131,28 @@ def append_table(
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Full refresh: write beside the table, swap when complete, return the new table.
 
-    A failed write leaves the old table in place.
+    A failed write or swap leaves the old table in place and nothing beside it.
     """
     spark = df.sparkSession
     staging, retired = f"{path}__new_{uuid.uuid4().hex}", f"{path}__old_{uuid.uuid4().hex}"
     rows = df.hint("rebalance", *partition_by) if partition_by else df
-    _writer(rows, partition_by).parquet(staging)
-    fs, target = _filesystem(spark, path)
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    had_table = fs.exists(target)
-    if had_table and not fs.rename(target, path_of(retired)):
-        raise OSError(f"cannot move the old table {path} aside")
-    if not fs.rename(path_of(staging), target):
-        raise OSError(f"cannot move the new table into {path}")
+    had_table = False
+    try:
+        _writer(rows, partition_by).parquet(staging)
+        had_table = table_exists(spark, path)
+        if had_table:
+            rename_path(spark, path, retired)
+        try:
+            rename_path(spark, staging, path)
+        except OSError:
+            if had_table:
+                rename_path(spark, retired, path)
+                had_table = False
+            raise
+    finally:
+        delete_path(spark, staging)
     if had_table:
-        fs.delete(path_of(retired), True)
+        delete_path(spark, retired)
     spark.catalog.refreshByPath(path)
     return spark.read.schema(df.schema).parquet(path)
 

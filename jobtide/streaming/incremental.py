@@ -1,8 +1,10 @@
 """The daily incremental pull: each landed file is ingested once.
 
 A file stream remembers which landing files it has read.  One call takes all files
-that arrived since the last, then stops.  The ingest itself skips postings already
-stored, so a batch repeated after a failure adds nothing.
+that arrived since the last, then stops.  New rows of a call are compared with the rows stored
+before it and kept beside the table until its end, one folder for each micro-batch, so that
+the rows do not depend on how the files are dealt over micro-batches.  A micro-batch repeated
+after a failure overwrites its folder, and what a failed call left behind is taken first.
 """
 
 from __future__ import annotations
@@ -10,9 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from jobtide.operators.lookup import keep_new, lookup_scope
 from jobtide.plans.ingest import IngestReport, Layout, ingest_records
-from jobtide.schema import RAW_SCHEMA
-from jobtide.sources.landing import CORRUPT, with_corrupt_column
+from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, RAW_SCHEMA
+from jobtide.sources.landing import CORRUPT, text_schema, with_corrupt_column
+from jobtide.sources.tables import append_table, delete_path, read_table, table_exists
 
 
 def landing_stream(
@@ -22,8 +26,9 @@ def landing_stream(
     multi_line: bool = False,
     files_per_batch: int | None = None,
 ) -> DataFrame:
+    """Landed records as text columns, as :func:`jobtide.sources.landing.read_landed` gives them."""
     reader = (
-        spark.readStream.schema(with_corrupt_column(schema))
+        spark.readStream.schema(with_corrupt_column(text_schema(schema)))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multi_line)
     )
@@ -32,18 +37,41 @@ def landing_stream(
     return reader.json(path)
 
 
+def _take_arrived(spark: SparkSession, layout: Layout, arrived: str) -> None:
+    """Append the rows kept beside the table, once, and remove them there."""
+    if not table_exists(spark, arrived):
+        return
+    rows = spark.read.schema(CLEANED_SCHEMA).option("recursiveFileLookup", True).parquet(arrived).select(*CLEANED_COLUMNS)
+    with lookup_scope():
+        new = keep_new(rows, read_table(spark, layout.cleaned, CLEANED_SCHEMA))
+        append_table(new, layout.cleaned, layout.partition_by, CLEANED_SCHEMA)
+    delete_path(spark, arrived)
+
+
 def ingest_arrivals(spark: SparkSession, layout: Layout, files_per_batch: int | None = None) -> list[IngestReport]:
     """Ingest the files that arrived since the last call; one report per micro-batch.
 
-    ``files_per_batch`` splits a large arrival into several batches; all are taken.
+    ``files_per_batch`` splits a large arrival into several batches; the stored rows are the
+    same for every value.
     """
+    arrived = layout.table("_arriving")
+    _take_arrived(spark, layout, arrived)
     reports: list[IngestReport] = []
     query = (
         landing_stream(spark, layout.landing, multi_line=layout.multi_line, files_per_batch=files_per_batch)
-        .writeStream.foreachBatch(lambda batch, _: reports.append(ingest_records(batch, layout)))
+        .writeStream.foreachBatch(
+            lambda batch, number: reports.append(ingest_records(batch, layout, f"{arrived}/batch={number}")))
         .option("checkpointLocation", layout.table("_arrivals"))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    _take_arrived(spark, layout, arrived)
     return reports
+
+
+def total_report(reports: list[IngestReport]) -> IngestReport:
+    """The counts of all micro-batches of a call."""
+    counts = {name: sum(r.counts[name] for r in reports) for name in ("landed", "rejected", "title_kept", "appended")}
+    status = "loaded" if counts["appended"] else "nothing_new" if counts["title_kept"] else "no_data"
+    return IngestReport(status, counts)

@@ -41,13 +41,13 @@ def test_ways_agree(rows, fact, side, how, null_safe):
 def test_hot_keys_are_few_and_found(fact):
     hot = {r[0] for r in lookup.hot_keys(fact, "k").collect()}
     assert {"hot", None} <= hot
-    assert len(hot) <= lookup.HOT_SHARE
+    assert len(hot) <= lookup.hot_share(fact)
 
 
 def test_measure(spark):
     assert lookup.measure(spark.range(0).withColumn("t", F.lit("x")), 10)[1:] == (0, True)
     df = spark.range(10).withColumn("t", F.lit("x" * 100))
-    assert lookup.measure(df, 10 * 100)[1:] == (10, False)
+    assert not lookup.measure(df, 10 * 100).fits
     assert lookup.measure(df, 10 * 200)[1:] == (10, True)
 
 
@@ -86,9 +86,6 @@ def postings(spark):
 @pytest.mark.parametrize("limit", [NEVER, ALWAYS])
 def test_split_keeps_copies_together(rows, postings, limit):
     alone, repeated = copies.split_copies(postings, ["ID", "c"], limit)
-    if limit == NEVER:
-        assert alone is None and rows(repeated) == rows(postings)
-        return
     assert rows(alone.union(repeated)) == rows(postings)
     keys = lambda df: {tuple(r) for r in df.select("ID", "c").collect()}
     assert not keys(alone) & keys(repeated)
@@ -100,7 +97,7 @@ def test_split_without_copies_or_with_many(spark, postings):
     unique = postings.dropDuplicates(["ID", "c"])
     alone, repeated = copies.split_copies(unique, ["ID", "c"])
     assert repeated is None and alone.count() == unique.count()
-    assert copies.split_copies(unique.union(unique), ["ID", "c"])[0] is None
+    assert copies.split_copies(unique.union(unique), ["ID", "c"])[0].isEmpty()
     assert copies.split_copies(unique.limit(0), ["ID"])[1] is None
 
 
@@ -110,3 +107,35 @@ def test_count_distinct_over_a_split(rows, postings, limit, dims):
     alone, repeated = copies.split_copies(postings, ["ID", "c"], limit)
     got = copies.count_distinct_split(alone, repeated, dims)
     assert rows(got) == rows(count_distinct_mart(postings, dims))
+
+
+def test_map_of_few_bits_only_widens_the_exact_side(rows, postings):
+    exact_alone, _ = copies.split_copies(postings, ["ID", "c"])
+    alone, repeated = copies.split_copies(postings, ["ID", "c"], NEVER, bits=64)
+    assert rows(alone.union(repeated)) == rows(postings)
+    assert set(rows(alone)) <= set(rows(exact_alone))
+    assert rows(collapse(postings, ["ID", "c"], ["s"])) == rows(alone.union(collapse(repeated, ["ID", "c"], ["s"])))
+
+
+def test_scopes_drop_their_own_sides_only(spark):
+    outer = lookup.measure(spark.range(3), ALWAYS).frame
+    with lookup.lookup_scope():
+        inner = lookup.measure(spark.range(4), ALWAYS).frame
+        assert inner.is_cached
+        lookup.release()
+        assert not inner.is_cached and outer.is_cached
+    assert outer.is_cached
+
+
+def test_a_large_side_is_not_cached(spark):
+    large = spark.range(100000)
+    assert not lookup.measure(large, 24 * 100).fits
+    assert not large.is_cached and not lookup.measure(large, 24 * 100).frame.is_cached
+
+
+def test_hot_share_follows_the_shuffle(spark, fact):
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    try:
+        assert lookup.hot_share(fact) == 5000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

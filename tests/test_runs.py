@@ -1,5 +1,6 @@
 """Whole runs: ingest twice, arrivals, refresh, and properties of the conformed table."""
 
+import dataclasses
 import datetime as dt
 import json
 
@@ -13,7 +14,7 @@ from jobtide.plans import dimensions as dims
 from jobtide.plans.ingest import Layout, ingest
 from jobtide.plans.marts import all_marts, count_marts, mart
 from jobtide.plans.refresh import refresh
-from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, KEPT_COLUMNS, STANDARDISED_COLUMNS
+from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, EXPECTED_COLUMNS, KEPT_COLUMNS, STANDARDISED_COLUMNS
 from jobtide.sources import tables
 from jobtide.streaming.incremental import ingest_arrivals
 
@@ -23,7 +24,7 @@ from conftest import SMALL
 def record(n, title="Data Engineer", **more):
     place = {"address": {"addressLocality": "Sidney", "addressRegion": "NSW", "streetAddress": None}}
     return {
-        "id": None if n is None else f"{n}", "title": title, "date_created": "2025-05-18T10:00:00", "locations_raw": [place],
+        **{c.lower(): None for c in EXPECTED_COLUMNS if c != "JOB_CATEGORY"}, "id": None if n is None else f"{n}", "title": title, "date_created": "2025-05-18T10:00:00", "locations_raw": [place],
         "employment_type": ["FULL_TIME"], "organization": "Acme", "seniority": "", **more,
     }
 
@@ -93,6 +94,62 @@ def test_arrivals_take_each_file_once(spark, layout):
     assert {r.ID for r in cleaned(spark, layout).collect()} == {"1", "2", "3", "4", "5", "6"}
 
 
+@pytest.mark.parametrize("files_per_batch", [None, 1, 2])
+def test_rows_do_not_depend_on_the_micro_batches(spark, layout, rows, files_per_batch):
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    land(layout, "Data Engineer", "a", [record(1), record(2)])
+    land(layout, "Data Analyst", "b", [record(1)])
+    land(layout, "Data Scientist", "c", [record(1), record(3)])
+    ingest_arrivals(spark, layout, files_per_batch)
+    assert rows(cleaned(spark, layout).select("ID", "JOB_CATEGORY")) == [
+        ("1", "Data Analyst"), ("1", "Data Engineer"), ("1", "Data Scientist"), ("2", "Data Engineer"), ("3", "Data Scientist")]
+    land(layout, "Data Analyst", "d", [record(2), record(4)])
+    assert [r.counts["appended"] for r in ingest_arrivals(spark, layout, files_per_batch)] == [1]
+
+
+def test_a_field_of_another_type_costs_no_record(spark, layout):
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    place = record(0)["locations_raw"][0]
+    drifting = [
+        record(1, employment_type="FULL_TIME"), record(2, linkedin_org_specialties="data"), record(3, remote_derived="yes"),
+        record(4, locations_raw=place), record(5, lats_derived="north", id=5), record(6, linkedin_org_employees="many"), record(7),
+    ]
+    bad = [record(8, date_created="next week"), "{broken"]
+    land(layout, "Data Engineer", "a", [*drifting, *bad, record(9, "Florist", date_created="never")])
+    report = ingest(spark, layout)
+    assert report.counts == {"landed": 10, "rejected": 2, "title_kept": 7, "appended": 7}
+    assert report.counts["landed"] == report.counts["appended"] + report.known + report.title_dropped + report.counts["rejected"]
+    got = {r.ID: r for r in cleaned(spark, layout).collect()}
+    assert set(got) == {str(n) for n in range(1, 8)}
+    assert got["1"].EMPLOYMENT_TYPE == "FULL_TIME" and got["2"].LINKEDIN_ORG_SPECIALTIES == ["data"]
+    assert got["3"].REMOTE_DERIVED is True and got["4"].CITY == "Sydney"
+    for _ in range(2):
+        kept = tables.read_table(spark, layout.rejected).collect()
+        assert {(r.reason, r.job_category) for r in kept} == {("not JSON", "Data Engineer"), ("bad date", "Data Engineer")}
+        assert len(kept) == 2 and all(r.file.endswith("a.json") for r in kept)
+        assert any("next week" in r.text for r in kept) and any(r.text == "{broken" for r in kept)
+        assert ingest(spark, layout).status == "nothing_new"
+
+
+def test_a_missing_contract_column_fails_before_the_append(spark, layout):
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    lacking = {k: v for k, v in record(1).items() if k not in ("url", "linkedin_org_slug")}
+    land(layout, "Data Engineer", "a", [lacking])
+    with pytest.raises(ValueError, match="'URL', 'LINKEDIN_ORG_SLUG'"):
+        ingest(spark, layout)
+    assert cleaned(spark, layout).count() == 0
+    filling = dataclasses.replace(layout, on_missing="null")
+    assert ingest(spark, filling).counts["appended"] == 1
+
+
+def test_refresh_reads_new_files_only(spark, layout):
+    land(layout, "Data Engineer", "a", [record(n) for n in range(1, 6)])
+    assert refresh(spark, layout, dt.date(2025, 5, 21)).ingest.counts["landed"] == 5
+    land(layout, "Data Engineer", "b", [record(n) for n in range(4, 8)])
+    second = refresh(spark, layout, dt.date(2025, 5, 21)).ingest
+    assert second.counts["landed"] == 4 and second.counts["appended"] == 2 and second.known == 2
+
+
 def test_refresh_runs_twice(spark, layout, rows):
     land(layout, "Data Engineer", "a", [record(n) for n in range(1, 6)])
     first = refresh(spark, layout, dt.date(2025, 5, 21))

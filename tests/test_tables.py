@@ -119,3 +119,20 @@ def test_cleaned_schema_reads_back_in_order(spark, tmp_path):
     path = str(tmp_path / "cleaned")
     tables.create_table(spark, path, CLEANED_SCHEMA)
     assert tables.read_table(spark, path).schema.names == CLEANED_SCHEMA.names
+
+
+def test_old_table_reads_after_a_failed_swap(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.overwrite_table(spark.range(3), path)
+    real = tables.rename_path
+
+    def failing(session, source, to):
+        if "__new_" in source:
+            raise OSError("no rename")
+        real(session, source, to)
+
+    monkeypatch.setattr(tables, "rename_path", failing)
+    with pytest.raises(OSError, match="no rename"):
+        tables.overwrite_table(spark.range(9), path)
+    assert tables.read_table(spark, path).count() == 3
+    assert os.listdir(tmp_path) == ["t"]

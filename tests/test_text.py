@@ -35,9 +35,10 @@ def test_written_date_keeps_the_day(spark):
     assert apply(spark, text.written_date, texts) == [dt.date(2025, 5, 18)] * 4 + [None]
 
 
-def test_bad_date_raises(spark):
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be"):
-        apply(spark, text.written_date, ["next week"])
+def test_bad_date_is_told_from_a_missing_one(spark):
+    df = spark.createDataFrame([("soon",), ("2025-05-18T10:00:00",), (None,), (" ",)], "d string")
+    got = df.select(text.written_date(F.col("d")).cast("string"), F.coalesce(text.is_bad_date(F.col("d")), F.lit(False))).collect()
+    assert [tuple(r) for r in got] == [(None, True), ("2025-05-18", False), (None, False), (None, False)]
 
 
 def places(*pairs):
