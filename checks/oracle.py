@@ -7,14 +7,15 @@ rules are joined as a relation and the lowest rule number wins.
 from __future__ import annotations
 
 from checks import values as V
-from jobtide.functions.rules import (
+from checks.rule_values import (
     CITY_RULES,
     CITY_STATES,
+    CLEANED_COLUMNS,
+    KEPT_COLUMNS,
     SENIORITY_DEFAULT,
     SENIORITY_RULES,
     VAGUE_STATES,
 )
-from jobtide.schema import CLEANED_COLUMNS, KEPT_COLUMNS
 
 ORACLE: dict[str, str] = {}
 
@@ -137,8 +138,8 @@ def values(rows) -> str:
 
 
 CITY_RULE = f"SELECT * FROM (VALUES {values((i, h, k, v) for i, (h, k, v) in enumerate(CITY_RULES))}) r(n, how, pat, val)"
-SEN_RULE = f"SELECT * FROM (VALUES {values((i, k, v) for i, (_, k, v) in enumerate(SENIORITY_RULES))}) r(n, pat, val)"
-STATE_RULE = f"SELECT * FROM (VALUES {values(CITY_STATES.items())}) r(city, code)"
+SEN_RULE = f"SELECT * FROM (VALUES {values((i, k, v) for i, (k, v) in enumerate(SENIORITY_RULES))}) r(n, pat, val)"
+STATE_RULE = f"SELECT * FROM (VALUES {values(CITY_STATES)}) r(city, code)"
 _VAGUE = "(" + ", ".join(map(lit, VAGUE_STATES)) + ")"
 
 CITY_MAP = """SELECT c.CITY, coalesce(arg_min(r.val, r.n), c.CITY) AS CITY_STANDARDIZED
@@ -222,6 +223,10 @@ BY = {
 }
 ask("s9_mart_read", CONFORM, BY["by_city"])
 
+ask("s10_cached_result", [*CONFORM, "by_city"], """SELECT m.JOB_CATEGORY, m.CITY, m.total_jobs, t.most FROM by_city m
+    JOIN (SELECT JOB_CATEGORY, max(total_jobs) AS most FROM by_city GROUP BY 1) t ON m.JOB_CATEGORY = t.JOB_CATEGORY""",
+    by_city=BY["by_city"])
+
 ask("p1_upper_names", [], """SELECT p_partkey AS P_PARTKEY, p_name AS P_NAME, p_brand AS P_BRAND, p_type AS P_TYPE,
     p_size AS P_SIZE, p_retailprice AS P_RETAILPRICE FROM part""")
 ask("p2_contract", [], "SELECT p_partkey, p_type, p_brand, CAST(NULL AS VARCHAR) AS p_origin FROM part")
@@ -231,6 +236,7 @@ ask("p5_title_contains", P, f"SELECT ID, TITLE FROM postings WHERE {_CONTAINS.fo
 ask("p6_blank_to_null", P, """SELECT ID, CASE WHEN SENIORITY <> '' THEN SENIORITY END AS SENIORITY,
     CASE WHEN RECRUITER_NAME <> '' THEN RECRUITER_NAME END AS RECRUITER_NAME, DIRECTAPPLY FROM postings""")
 
+# The columns of the detail listing and the names they are shown under.
 _DETAIL = """JOB_CATEGORY AS Job_Role, TITLE, JOB_DATE AS Post_Date, EMPLOYMENT_TYPE, SENIORITY, CITY, STATE,
     ORGANIZATION, URL AS {link}, LINKEDIN_ORG_URL, LINKEDIN_ORG_INDUSTRY, REMOTE_DERIVED AS IS_REMOTE,
     LINKEDIN_ORG_RECRUITMENT_AGENCY_DERIVED AS Job_By_Agency, DIRECTAPPLY"""
@@ -267,6 +273,8 @@ ask("a5_jobs_daily", DAYS, "SELECT * FROM daily")
 ask("a6_weekly_sums", [*DAYS, "weekly"], "SELECT * FROM weekly", weekly=WEEKLY.format(days="daily"))
 ask("a7_collapse", P, """SELECT ID, TITLE, JOB_CATEGORY, RECRUITER_NAME, EMPLOYMENT_TYPE, max(CITY) AS CITY,
     max(STATE) AS STATE, max(SENIORITY) AS SENIORITY FROM postings GROUP BY 1, 2, 3, 4, 5""", postings=SIGHTINGS)
+ask("a7_collapse_all_keys", P, f"""SELECT {', '.join(f"array_to_string({n}, '|') AS {n}" if n in ARRAYS else n for n in KEPT_COLUMNS)},
+    max(CITY) AS CITY, max(STATE) AS STATE, max(SENIORITY) AS SENIORITY FROM postings GROUP BY ALL""", postings=SIGHTINGS)
 ask("a8_date_bounds", DAYS, "SELECT min(date) AS MIN_DATE, max(date) AS MAX_DATE FROM daily")
 ask("a9_job_totals", P, f"""SELECT JOB_CATEGORY AS Title, count(DISTINCT ID) AS Total_Jobs FROM postings
     WHERE {_CONTAINS.format(c='postings.TITLE')} GROUP BY 1""")
@@ -347,6 +355,21 @@ INGEST = ["raw", "raw_cleaned", "dictionary"]
 ask("c1_ingest", [*P, *INGEST, "fresh"], f"""SELECT {flat(CLEANED_COLUMNS)} FROM postings WHERE LINKEDIN_ORG_TYPE = 'F'
     UNION ALL SELECT {flat(CLEANED_COLUMNS)} FROM fresh""", fresh=ingested("o_orderstatus <> 'F'"))
 ask("c1_clean_records", ["raw", "raw_cleaned"], f"SELECT {flat(CLEANED_COLUMNS)} FROM raw_cleaned")
+# Records whose fields drift in type by order: plain text for a list, an object for a list of them.
+DRIFT_RAW = RAW.replace(
+    "CASE WHEN o_orderkey % 3 = 2 THEN coalesce(",
+    f"CASE WHEN o_orderkey % 5 = 4 THEN CASE WHEN o_orderkey % 3 <> 1 THEN {_LOCALITY} END WHEN o_orderkey % 3 = 2 THEN coalesce(",
+).replace(" AS state,", " AS all_states, CASE WHEN o_orderkey % 15 <> 14 THEN all_states END AS state,")
+DRIFT_CLEANED = RAW_CLEANED.replace(
+    "[o_orderpriority, lower(c_mktsegment)]",
+    "CASE WHEN o_orderkey % 5 = 2 THEN [o_orderpriority] ELSE [o_orderpriority, lower(c_mktsegment)] END",
+) + " AND o_orderkey % 97 <> 0"
+ask("c1_drifting_types", [*INGEST, "fresh"], f"SELECT {flat(CLEANED_COLUMNS)} FROM fresh",
+    raw=DRIFT_RAW, raw_cleaned=DRIFT_CLEANED, fresh=ingested())
+ask("c1_rejected", R, f"""SELECT 'bad date' AS reason, job_category, id FROM raw
+    WHERE {_PHRASE.format(c='title')} AND o_orderkey % 97 = 0
+    UNION ALL SELECT 'not JSON', job_category, concat('{{broken ', id) FROM raw WHERE o_orderkey % 89 = 0""")
+ask("c1_arrivals_split", [*INGEST, "fresh"], f"SELECT {flat(CLEANED_COLUMNS)} FROM fresh", fresh=ingested())
 ask("c1_arrivals", [*INGEST, "fresh"], f"SELECT {flat(CLEANED_COLUMNS)} FROM fresh", fresh=ingested())
 ask("c2_city_dimension", RULED, "SELECT * FROM city_dim")
 ask("c3_state_dimension", RULED, "SELECT * FROM state_dim")
@@ -367,6 +390,11 @@ ask("c9_state_listing", CONFORM, f"SELECT * FROM ({BY['by_state']}) WHERE JOB_CA
 ask("c9_city_listing", CONFORM, f"SELECT * FROM ({BY['by_city']}) ORDER BY total_jobs DESC")
 ask("c9_org_listing", CONFORM, f"SELECT * FROM ({BY['by_org']}) WHERE JOB_CATEGORY = 'Data Engineer' ORDER BY total_jobs DESC")
 ask("c10_skills_listing", [], "SELECT DISTINCT p_type AS Job_Title, p_name AS skill FROM part ORDER BY 1")
+ask("c11_refresh_conformed", [*INGEST, *CONFORM], f"SELECT {flat(CLEANED_COLUMNS)} FROM conformed", postings=ingested())
+ask("c11_refresh_dimensions", [*INGEST, *RULED], """SELECT 'base_city' AS model, CITY AS a, CITY_STANDARDIZED AS b, STATE AS c,
+    NULL AS d FROM city_dim UNION ALL SELECT 'base_state', CITY_STANDARDIZED, STATE_STANDARDIZED, NULL, NULL FROM state_dim
+    UNION ALL SELECT 'base_seniority', SENIORITY, SENIORITY_STANDARDIZED, NULL, NULL FROM sen_dim
+    UNION ALL SELECT DISTINCT 'posting_links', ID, TITLE, JOB_CATEGORY, URL FROM postings""", postings=ingested())
 ask("c11_refresh_run", [*INGEST, *TRENDS], _LONG, postings=ingested())
 
 ask("d1_trend_cards", TRENDS, f"""SELECT week_start AS WEEK_START, JOB_CATEGORY, this_week_jobs AS THIS_WEEK,

@@ -21,7 +21,7 @@ from jobtide.plans import listings as lst
 from jobtide.plans import marts
 from jobtide.plans.ingest import Layout, clean_records, ingest
 from jobtide.plans.refresh import refresh
-from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA
+from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, KEPT_COLUMNS, STANDARDISED_COLUMNS
 from jobtide.sources import landing, tables
 from jobtide.streaming.incremental import ingest_arrivals
 
@@ -48,10 +48,19 @@ def conformed(spark, sf_dir) -> DataFrame:
     return conf.conformed_postings(X.postings(spark, sf_dir))
 
 
+def stored_conformed(spark, sf_dir) -> DataFrame:
+    """The conformed table as a run stores it, for reads that need it more than once."""
+    return tables.stored_scratch(conformed(spark, sf_dir), "conformed")
+
+
 def daily(spark, sf_dir) -> DataFrame:
     return agg.daily_mart(conformed(spark, sf_dir))
 
 
+def stored_daily(spark, sf_dir) -> DataFrame:
+    return tables.stored_scratch(daily(spark, sf_dir), "daily")
+
+
 def wow(spark, sf_dir) -> DataFrame:
     return trend.wow_trend(daily(spark, sf_dir), AS_OF)
 
@@ -155,6 +164,14 @@ def s9_mart_read(spark, sf_dir):
     return lst.city_listing(tables.read_table(spark, path))
 
 
+@query
+def s10_cached_result(spark, sf_dir):
+    """Cities beside the greatest total of their category, from one evaluation of the mart."""
+    with tables.cached(city_mart(spark, sf_dir)) as held:
+        most = held.groupBy("JOB_CATEGORY").agg(F.max("total_jobs").alias("most"))
+        return tables.stored_scratch(held.join(most, "JOB_CATEGORY"), "cached")
+
+
 # --- projections, filters, predicates ----------------------------------------------
 
 
@@ -207,7 +224,7 @@ def p8_facet_filter(spark, sf_dir):
 
 @query
 def p9_before_newest(spark, sf_dir):
-    return filters.before_newest(daily(spark, sf_dir))
+    return filters.before_newest(stored_daily(spark, sf_dir))
 
 
 @query
@@ -323,6 +340,11 @@ def a7_collapse(spark, sf_dir):
     return agg.collapse(X.sightings(spark, sf_dir), keys, ["CITY", "STATE", "SENIORITY"])
 
 
+@query
+def a7_collapse_all_keys(spark, sf_dir):
+    return flat(agg.collapse(X.sightings(spark, sf_dir), KEPT_COLUMNS, STANDARDISED_COLUMNS))
+
+
 @query
 def a8_date_bounds(spark, sf_dir):
     return agg.bounds(daily(spark, sf_dir))
@@ -335,7 +357,7 @@ def a9_job_totals(spark, sf_dir):
 
 @query
 def a10_daily_jobs(spark, sf_dir):
-    return lst.daily_jobs(daily(spark, sf_dir))
+    return lst.daily_jobs(stored_daily(spark, sf_dir))
 
 
 @query
@@ -360,14 +382,13 @@ def a14_distinct_values(spark, sf_dir):
 
 @query
 def a15_stage_counts(spark, sf_dir):
-    raw = X.raw_postings(spark, sf_dir).select("title", "o_orderstatus")
-    kept = text.has_phrase(F.col("title"), V.CATEGORIES)
-    return agg.stage_counts(raw, {
-        "landed": F.lit(True),
-        "title_kept": kept,
-        "known": kept & (F.col("o_orderstatus") == "F"),
-        "fresh": kept & (F.col("o_orderstatus") != "F"),
-    })
+    """The counts of a real ingest over a table that holds some of the postings."""
+    layout = _landed(spark, sf_dir)
+    _with_history(spark, sf_dir, layout)
+    report = ingest(spark, layout)
+    stages = {"landed": report.counts["landed"], "title_kept": report.counts["title_kept"],
+              "known": report.known, "fresh": report.counts["appended"]}
+    return spark.createDataFrame(list(stages.items()), "stage string, rows bigint")
 
 
 # --- windows -------------------------------------------------------------------------------
@@ -437,7 +458,7 @@ def o7_preview(spark, sf_dir):
 
 @query
 def u1_role_choices(spark, sf_dir):
-    fact = conformed(spark, sf_dir)
+    fact = stored_conformed(spark, sf_dir)
     return lst.role_choices([marts.mart(fact, name) for name in ("by_state", "by_city", "by_org")])
 
 
@@ -560,15 +581,23 @@ def _landed(spark, sf_dir, partition_by=()) -> Layout:
     return layout
 
 
-@query
-def c1_ingest(spark, sf_dir):
-    layout = _landed(spark, sf_dir)
+def _with_history(spark, sf_dir, layout: Layout) -> None:
     history = X.postings(spark, sf_dir).where(F.col("LINKEDIN_ORG_TYPE") == "F")
     tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA)
     tables.append_table(history, layout.cleaned, schema=CLEANED_SCHEMA)
+
+
+def _ingested(spark, layout: Layout) -> DataFrame:
+    return flat(tables.read_table(spark, layout.cleaned, CLEANED_SCHEMA).select(*CLEANED_COLUMNS))
+
+
+@query
+def c1_ingest(spark, sf_dir):
+    layout = _landed(spark, sf_dir)
+    _with_history(spark, sf_dir, layout)
     for _ in range(2):
         ingest(spark, layout)
-    return flat(tables.read_table(spark, layout.cleaned, CLEANED_SCHEMA).select(*CLEANED_COLUMNS))
+    return _ingested(spark, layout)
 
 
 @query
@@ -582,7 +611,56 @@ def c1_arrivals(spark, sf_dir):
     tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA)
     ingest_arrivals(spark, layout)
     ingest_arrivals(spark, layout)
-    return flat(tables.read_table(spark, layout.cleaned, CLEANED_SCHEMA).select(*CLEANED_COLUMNS))
+    return _ingested(spark, layout)
+
+
+@query
+def c1_arrivals_split(spark, sf_dir):
+    """Arrivals taken a few files at a time."""
+    layout = _landed(spark, sf_dir)
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA)
+    ingest_arrivals(spark, layout, files_per_batch=2)
+    return _ingested(spark, layout)
+
+
+def _drifted(spark, sf_dir) -> Layout:
+    """Landed records that differ in field types, some with bad dates, and broken lines beside them."""
+    root = tables.scratch_path(spark, "drift")
+    layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", ())
+    X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA)
+    raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus")
+    key = F.replace("id", F.lit("job-"), F.lit("")).cast("bigint")
+    dated = raw.withColumn("date_created", F.when(key % 97 == 0, F.lit("next week")).otherwise(F.col("date_created")))
+    other = {
+        1: ("employment_type", F.array_join("employment_type", ", ")),
+        2: ("linkedin_org_specialties", F.get("linkedin_org_specialties", F.lit(0))),
+        3: ("remote_derived", F.when(F.col("remote_derived"), "yes").otherwise("no")),
+        4: ("locations_raw", F.get("locations_raw", F.lit(0))),
+    }
+    for part in range(5):
+        name, value = other.get(part, ("id", F.col("id")))
+        rows = dated.where(key % 5 == part).withColumn(name, value)
+        rows.write.mode("append").partitionBy("job_category").option("ignoreNullFields", False).json(layout.landing)
+    broken = raw.where(key % 89 == 0).select(F.concat(F.lit("{broken "), "id").alias("value"), "job_category")
+    broken.write.mode("append").partitionBy("job_category").text(layout.landing)
+    return layout
+
+
+@query
+def c1_drifting_types(spark, sf_dir):
+    layout = _drifted(spark, sf_dir)
+    ingest(spark, layout)
+    return _ingested(spark, layout)
+
+
+@query
+def c1_rejected(spark, sf_dir):
+    layout = _drifted(spark, sf_dir)
+    for _ in range(2):
+        ingest(spark, layout)
+    kept = spark.read.parquet(layout.rejected)
+    return kept.select("reason", "job_category", F.coalesce(F.get_json_object("text", "$.id"), "text").alias("id"))
 
 
 @query
@@ -617,7 +695,7 @@ def c6_posting_links(spark, sf_dir):
 
 @query
 def c7_all_marts(spark, sf_dir):
-    return _long_form(marts.all_marts(conformed(spark, sf_dir), AS_OF))
+    return _long_form(marts.all_marts(stored_conformed(spark, sf_dir), AS_OF))
 
 
 def _long_form(made: dict[str, DataFrame]) -> DataFrame:
@@ -661,9 +739,44 @@ def c10_skills_listing(spark, sf_dir):
     return lst.top_skills(X.skills(spark, sf_dir))
 
 
+def _refreshed(spark, sf_dir) -> dict[str, DataFrame]:
+    """The models after two runs, each with one part of the landing."""
+    root = tables.scratch_path(spark, "run")
+    layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", ())
+    X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
+    raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus")
+    early = F.crc32(F.col("id").cast("binary")) % 2 == 0
+    for part in (early, ~early):
+        rows = raw.where(part).write.mode("append").partitionBy("job_category")
+        rows.option("ignoreNullFields", False).json(layout.landing)
+        result = refresh(spark, layout, AS_OF)
+    return result.tables
+
+
 @query
 def c11_refresh_run(spark, sf_dir):
-    return _long_form(refresh(spark, _landed(spark, sf_dir), AS_OF).tables)
+    return _long_form(_refreshed(spark, sf_dir))
+
+
+@query
+def c11_refresh_conformed(spark, sf_dir):
+    return flat(_refreshed(spark, sf_dir)["conformed"].select(*CLEANED_COLUMNS))
+
+
+@query
+def c11_refresh_dimensions(spark, sf_dir):
+    """The other four models as (model, a, b, c, d)."""
+    made = _refreshed(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    columns = {
+        "base_city": ["CITY", "CITY_STANDARDIZED", "STATE"], "base_state": ["CITY_STANDARDIZED", "STATE_STANDARDIZED"],
+        "base_seniority": ["SENIORITY", "SENIORITY_STANDARDIZED"], "posting_links": ["ID", "TITLE", "JOB_CATEGORY", "URL"],
+    }
+    return landing.union_pages([
+        made[model].select(F.lit(model).alias("model"), *[
+            (F.col(names[i]) if i < len(names) else none).alias(letter) for i, letter in enumerate("abcd")])
+        for model, names in columns.items()
+    ])
 
 
 @query

@@ -1,8 +1,8 @@
-"""Aggregations: count-distinct marts, weekly sums, collapse, stage counts."""
+"""Aggregations: count-distinct marts, weekly sums, collapse."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -56,9 +56,3 @@ def distinct_rows(df: DataFrame, columns: list[str]) -> DataFrame:
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-null values of one column."""
     return df.select(column).where(F.col(column).isNotNull()).distinct()
-
-
-def stage_counts(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
-    """``(stage, rows)``: how many rows satisfy each named condition, in one pass."""
-    counted = df.agg(*[F.count_if(cond).alias(name) for name, cond in stages.items()])
-    return counted.unpivot([], list(stages), "stage", "rows")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobtide.functions.salary import band_columns, exact_mean
 from jobtide.operators.aggregate import bounds, count_distinct_mart, distinct_rows, sum_by
+from jobtide.operators.copies import distinct_split
 from jobtide.operators.filters import ALL, before_newest, facet_filter, title_contains_filter
 from jobtide.operators.order import by_total_descending, in_order, sort_keys, unknown_last
 from jobtide.operators.project import display_names
@@ -122,9 +123,10 @@ def job_details(conformed: DataFrame) -> DataFrame:
     """Distinct detail rows, newest first, then by role.
 
     Link and title break ties, so a day with most of the postings is still sorted by
-    several tasks.
+    several tasks.  Only rows that share link and role with another one are compared.
     """
-    shown = display_names(conformed, DETAIL_NAMES).distinct()
+    shown = display_names(conformed, DETAIL_NAMES)
+    shown = distinct_split(shown, shown.columns, ["LinkedIn_Post_Link", "Job_Role"])
     return in_order(shown, "-Post_Date", "Job_Role", "LinkedIn_Post_Link", "TITLE")
 
 
