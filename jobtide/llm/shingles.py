@@ -21,7 +21,7 @@ _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers: dict[str, np.ndarray] = {}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if n > len(_powers.get("up", ())):
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(n, base, np.uint64)
@@ -42,7 +42,7 @@ def _hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     space = _IS_SPACE[raw]
     edge = np.diff(space.astype(np.int8), prepend=np.int8(1), append=np.int8(1))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    up, down = _power(len(raw) + 1)
+    up, down = powers(len(raw) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE_VALUES[raw] * up[:len(raw)])])
     return starts, mix((sums[ends] - sums[starts]) * down[starts])
 
