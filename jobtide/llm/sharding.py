@@ -2,8 +2,8 @@
 
 Documents with equal texts are linked.  Every document starts in the shard of its id's hash,
 and balanced label propagation moves linked ones: in each round a group's documents move
-towards the shard that holds most of the group and has room left, as many as the shard's quota
-admits.  Documents of a group in one shard are alike, so the rounds work on cells of (group,
+towards the shards that hold most of the group, as few of them as have room for it, and as many
+documents as the shards' quotas admit.  Documents of a group in one shard are alike, so the rounds work on cells of (group,
 shard, number) and a group of any size is at most one row per shard; no pair of documents is
 ever formed.  Rounds stop when nothing moves.
 
@@ -31,13 +31,6 @@ def _by_shard(values: list[int]) -> Column:
     return F.array(*[F.lit(v).cast("bigint") for v in values])
 
 
-def _loads(cells: DataFrame, shards: int) -> list[int]:
-    loads = [0] * shards
-    for row in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect():
-        loads[row["shard"]] = row["n"]
-    return loads
-
-
 def first_cells(docs: DataFrame, shards: int) -> DataFrame:
     """(group, shard, n) of all groups with more than one document, by the hash of their ids."""
     start = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")
@@ -46,25 +39,46 @@ def first_cells(docs: DataFrame, shards: int) -> DataFrame:
     return cells.join(linked, "group", "left_semi")
 
 
+def _totals(rows: DataFrame, shards: int) -> list[int]:
+    """Sum of ``n`` by shard."""
+    totals = [0] * shards
+    for row in rows.groupBy("shard").agg(F.sum("n").alias("n")).collect():
+        totals[row["shard"]] = row["n"]
+    return totals
+
+
 def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """Move cells towards the largest cell of their group that has room, under the quotas."""
+    """Move cells towards the largest cells of their group, under the quotas.
+
+    A shard has room for what its quota leaves besides the documents that want to stay: those in
+    the largest cell of their group.  Where more come than others leave, the surplus is dealt with
+    by :func:`within_quotas`.
+    """
     shards, salts = len(quotas), shuffle_parts(cells.sparkSession)
     cells = stored(cells, "cells")
+    # A group's cells in order of size; the hash settles ties differently for each group.
+    by_size = W.partitionBy("group").orderBy(F.desc("n"), F.xxhash64("group", "shard"), "shard")
+    before = W.partitionBy("group").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
+
+    def earlier(value: Column) -> Column:
+        return F.coalesce(F.sum(value).over(before), F.lit(0))
+
     for _ in range(rounds):
-        room = [q - used for q, used in zip(quotas, _loads(cells, shards))]
-        free = _by_shard(room)
-        # A group's cells in order of size; the hash settles ties differently for each group.
-        weight = F.struct("n", F.xxhash64("group", "shard").alias("h"), "shard")
-        open_weight = F.when(free[F.col("shard")] > 0, weight)
-        goal = cells.groupBy("group").agg(F.max(open_weight).alias("goal"))
-        moves = stored(
-            cells.join(goal, "group").where(weight < F.col("goal"))
-            .select("group", "shard", "n", F.col("goal.shard").alias("goal")),
-            "moves")
-        # Several cells of a group move to the same goal one after another.
-        placed = salted_offsets(moves, ["goal"], "n", ["group", "shard"], salts, "before")
-        admitted = F.greatest(F.least(free[F.col("goal")] - F.col("before"), F.col("n")), F.lit(0))
-        taken = stored(placed.withColumn("moved", admitted).where("moved > 0"), "taken")
+        placed = stored(
+            cells.withColumn("place", F.row_number().over(by_size))
+            .withColumn("all", F.sum("n").over(W.partitionBy("group"))), "placed")
+        free = _by_shard([max(0, q - n) for q, n in zip(quotas, _totals(placed.where("place = 1"), shards))])
+        room = free[F.col("shard")]
+        # The largest cells are goals until they and their room hold the whole group.
+        marked = placed.withColumn("is_goal", earlier(F.col("n") + room) < F.col("all"))
+        goals = marked.where("is_goal").select(
+            "group", F.col("shard").alias("goal"), earlier(room).alias("from"), (earlier(room) + room).alias("to"))
+        movers = marked.where("NOT is_goal").select("group", "shard", "n", earlier(F.col("n")).alias("at"))
+        share = F.least(F.col("at") + F.col("n"), F.col("to")) - F.greatest("at", "from")
+        moves = stored(movers.join(goals, "group").select("group", "shard", "goal", share.alias("n")).where("n > 0"), "moves")
+        queued = salted_offsets(moves, ["goal"], "n", ["group", "shard"], salts, "ahead")
+        admitted = F.greatest(F.least(free[F.col("goal")] - F.col("ahead"), F.col("n")), F.lit(0))
+        taken = stored(queued.withColumn("moved", admitted).where("moved > 0"), "taken")
         if taken.isEmpty():
             return cells
         signed = cells.unionByName(taken.select("group", F.col("goal").alias("shard"), F.col("moved").alias("n"))).unionByName(
@@ -81,7 +95,7 @@ def within_quotas(cells: DataFrame, quotas: list[int]) -> tuple[DataFrame, list[
     kept = F.greatest(F.least(quota[F.col("shard")] - F.col("before"), F.col("n")), F.lit(0))
     split = cells.withColumn("kept", kept)
     stay = split.where("kept > 0").select("group", "shard", F.col("kept").alias("n"))
-    room = [q - used for q, used in zip(quotas, _loads(stay, len(quotas)))]
+    room = [q - used for q, used in zip(quotas, _totals(stay, len(quotas)))]
     over = stored(split.where("n > kept").select("group", "shard", (F.col("n") - F.col("kept")).alias("n")), "over")
     if over.isEmpty():
         return stay, room
@@ -96,7 +110,7 @@ def within_quotas(cells: DataFrame, quotas: list[int]) -> tuple[DataFrame, list[
         "group", F.col("to.shard").alias("shard"),
         (F.least(F.col("at") + F.col("n"), F.col("to.b")) - F.greatest("at", F.col("to.a"))).alias("n")).where("n > 0")
     cells = stored(stay.unionByName(parts).groupBy("group", "shard").agg(F.sum("n").alias("n")), "cells")
-    return cells, [q - used for q, used in zip(quotas, _loads(cells, len(quotas)))]
+    return cells, [q - used for q, used in zip(quotas, _totals(cells, len(quotas)))]
 
 
 def _pick(places: Column, rank: Column) -> Column:
