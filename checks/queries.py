@@ -80,7 +80,7 @@ def s1_read_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def s1_landing_round_trip(spark, sf_dir):
-    path = tables.scratch_path(spark, "landing")
+    path = tables.scratch_folder(spark, "landing") + "/rows"
     X.raw_postings(spark, sf_dir).drop("o_orderstatus").write.partitionBy("job_category").json(path)
     raw = landing.read_raw(spark, path)
     return raw.select("id", "title", "job_category", "date_created", "organization", F.size("locations_raw").alias("places"))
@@ -140,7 +140,7 @@ def s6_existing_ids(spark, sf_dir):
 
 @query
 def s7_append(spark, sf_dir):
-    path = tables.scratch_path(spark, "cleaned")
+    path = tables.scratch_folder(spark, "cleaned") + "/rows"
     cleaned = X.postings(spark, sf_dir)
     tables.create_table(spark, path, CLEANED_SCHEMA)
     tables.append_table(cleaned, path, schema=CLEANED_SCHEMA)
@@ -151,7 +151,7 @@ def s7_append(spark, sf_dir):
 
 @query
 def s8_full_refresh(spark, sf_dir):
-    path = tables.scratch_path(spark, "by_type")
+    path = tables.scratch_folder(spark, "by_type") + "/rows"
     cleaned = X.postings(spark, sf_dir)
     tables.overwrite_table(cleaned.select("JOB_CATEGORY", "TITLE"), path)
     return tables.overwrite_table(agg.count_distinct_mart(cleaned, ["JOB_CATEGORY"]), path)
@@ -159,7 +159,7 @@ def s8_full_refresh(spark, sf_dir):
 
 @query
 def s9_mart_read(spark, sf_dir):
-    path = tables.scratch_path(spark, "by_city")
+    path = tables.scratch_folder(spark, "by_city") + "/rows"
     tables.overwrite_table(city_mart(spark, sf_dir), path)
     return lst.city_listing(tables.read_table(spark, path))
 
@@ -573,7 +573,7 @@ def f15_reported_period(spark, sf_dir):
 
 def _landed(spark, sf_dir, partition_by=()) -> Layout:
     """Raw records and the dictionary of the driver tables, written as a run would find them."""
-    root = tables.scratch_path(spark, "run")
+    root = tables.scratch_folder(spark, "run")
     layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", partition_by)
     raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus")
     raw.write.partitionBy("job_category").option("ignoreNullFields", False).json(layout.landing)
@@ -625,7 +625,7 @@ def c1_arrivals_split(spark, sf_dir):
 
 def _drifted(spark, sf_dir) -> Layout:
     """Landed records that differ in field types, some with bad dates, and broken lines beside them."""
-    root = tables.scratch_path(spark, "drift")
+    root = tables.scratch_folder(spark, "drift")
     layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", ())
     X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
     tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA)
@@ -741,7 +741,7 @@ def c10_skills_listing(spark, sf_dir):
 
 def _refreshed(spark, sf_dir) -> dict[str, DataFrame]:
     """The models after two runs, each with one part of the landing."""
-    root = tables.scratch_path(spark, "run")
+    root = tables.scratch_folder(spark, "run")
     layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", ())
     X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
     raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus")

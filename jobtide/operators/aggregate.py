@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from jobtide.operators.lookup import BROADCAST_LIMIT, measure
+
 
 def count_distinct_mart(
     df: DataFrame,
@@ -40,9 +43,30 @@ def sum_by(df: DataFrame, keys: list, value: str, name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum(value).alias(name))
 
 
-def collapse(df: DataFrame, keys: list[str], greatest: list[str]) -> DataFrame:
-    """One row per distinct ``keys`` (null equals null) with the greatest of the others."""
-    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in greatest])
+def collapse(df: DataFrame, keys: list[str], greatest: list[str], limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """One row per distinct ``keys`` (null equals null) with the greatest of the others.
+
+    A greatest text has no hash form, and sorting the full width is the dearest part of this.
+    While the different texts of ``greatest`` fit a broadcast, each is replaced by its place
+    in their order, the greatest place is taken, and the text put back.
+    """
+    texts = df.select(*greatest).unpivot([], greatest, "__column", "__text").where("__text IS NOT NULL").distinct()
+    occurring = measure(texts, limit)
+    if not occurring.fits:
+        return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in greatest])
+    place = F.row_number().over(W.partitionBy("__column").orderBy("__text"))
+    places = occurring.frame.withColumn("__place", place)
+
+    def side(column: str) -> DataFrame:
+        own = places.where(F.col("__column") == column)
+        return F.broadcast(own.select(F.col("__text").alias("__of"), F.col("__place").alias(f"__{column}")))
+
+    for c in greatest:
+        df = df.join(side(c), F.col(c) == F.col("__of"), "left").drop(c, "__of")
+    made = df.groupBy(*keys).agg(*[F.max(f"__{c}").alias(f"__max_{c}") for c in greatest])
+    for c in greatest:
+        made = made.join(side(c), F.col(f"__max_{c}") == F.col(f"__{c}"), "left").withColumnRenamed("__of", c).drop(f"__{c}")
+    return made.select(*keys, *greatest)
 
 
 def bounds(df: DataFrame, column: str = "date") -> DataFrame:

@@ -30,9 +30,9 @@ def _bit(tag: Column, bits: int) -> Column:
 def _flagged(df: DataFrame, hashes: DataFrame, bits: int) -> DataFrame:
     """Add ``__again``: whether the bit of a row's hash is set in the map of ``hashes``."""
     at = _bit(F.col(_TAG), bits)
-    maps = hashes.select(at.alias("__bit")).groupBy(F.floor(F.col("__bit") / _BITMAP_BITS).alias("__bucket")).agg(
-        F.bitmap_construct_agg(F.col("__bit") % _BITMAP_BITS).alias("__map"))
     bucket = F.floor(at / _BITMAP_BITS)
+    bits_set = hashes.select(bucket.alias("__bucket"), (at % _BITMAP_BITS).alias("__bit"))
+    maps = bits_set.groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__map"))
     joined = df.join(F.broadcast(maps), bucket == F.col("__bucket"), "left")
     place = at % _BITMAP_BITS
     byte = F.conv(F.hex(F.substring("__map", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")

@@ -44,14 +44,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored_scratch(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written under the scratch folder and read back; deleted when the driver ends."""
-    spark = df.sparkSession
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the scratch folder, deleted when the driver ends."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
     fs, target = _filesystem(spark, path)
+    fs.mkdirs(target)
     fs.deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def stored_scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the scratch folder and read back; deleted when the driver ends."""
+    path = f"{scratch_folder(df.sparkSession, name)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _filesystem(spark: SparkSession, path: str):

@@ -7,6 +7,7 @@ import pytest
 
 from checks import fixtures as X
 from jobtide.operators import lookup, trend
+from jobtide.operators.copies import split_copies
 from jobtide.operators.filters import facet_filter
 from jobtide.plans import conformed as conf
 from jobtide.plans import dimensions as dims
@@ -95,3 +96,16 @@ def test_newest_day_is_a_subquery_not_a_join(spark):
     daily = spark.createDataFrame([(dt.date(2025, 5, 5), "Data Analyst", 1)], "date date, JOB_CATEGORY string, total_jobs bigint")
     text = plan(lst.daily_jobs(daily))
     assert "Subquery" in text and "Join" not in text
+
+
+def test_copies_are_grouped_without_sorting_the_full_width(spark):
+    text = plan(conf.conformed_postings(X.sightings(spark, SMALL)))
+    assert "HashAggregate(keys=[ID" in text and "SortAggregate(key=[ID" not in text
+
+
+def test_rows_alone_meet_no_shuffle_past_the_broadcast_limit(spark, stored):
+    alone, repeated = split_copies(stored.union(stored.where("JOB_CATEGORY = 'Data Analyst'")), conf.COPY_PROBE, limit=-1)
+    text = plan(alone)
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+?)#", text)) <= {"__bucket"}
+    assert alone.count() < stored.count() and alone.union(repeated).count() > stored.count()
