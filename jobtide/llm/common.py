@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import ctypes
+import functools
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,6 +36,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Let tasks hand texts to Python in short batches, for the rest of the session.
+
+    A batch is held several times over (in the JVM, on its way, in Python), and ten thousand
+    rows, Spark's default, are a lot when each is a text.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task that gives freed memory back at its end, as its process lives on beside other tasks."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name near ``name`` that the frame does not have."""
     taken = {c.lower() for c in df.columns}

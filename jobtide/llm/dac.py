@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import stored, table
+from jobtide.llm.common import short_batches, stored, table, tidy
 from jobtide.llm.tokens import default_tokenizer, encoder
 
 MAGIC, BLOCK_BITS, FILE_IDS, END_ID = b"DAC1", 512, 1 << 18, 2
@@ -94,6 +94,7 @@ class CodedIds:
 def write_files(docs: DataFrame, tokenizer: str, end_id: int = END_ID, file_ids: int = FILE_IDS) -> DataFrame:
     """Token files of all documents by ascending doc_id, stored."""
 
+    @tidy
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         names: list[int | None] = []
@@ -122,6 +123,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int = END_ID, file_ids:
         if runs:
             yield file()
 
+    short_batches(docs.sparkSession)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     return stored(ordered.mapInArrow(coded, FILE_SCHEMA), "token-files")
@@ -135,6 +137,7 @@ def read_documents(files: DataFrame) -> DataFrame:
         shift[row["part"]] = total
         total += row["n"]
 
+    @tidy
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file in batch.to_pylist():

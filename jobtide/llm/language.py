@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from jobtide.llm.common import table
+from jobtide.llm.common import short_batches, table, tidy
 
 FEATURE_BITS, ORDERS = 20, 3
 LANDMARKS, FIT_ROWS, RIDGE = 40, 250, 1e-3
@@ -185,6 +185,7 @@ def predict(model: Model):
     """A function from a text column to struct<lang_pred, score>."""
 
     @F.pandas_udf("lang_pred string, score double")
+    @tidy
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         width = len(model.landmarks)
         for texts in batches:
@@ -209,6 +210,7 @@ def held_out() -> Column:
 
 def learn(docs: DataFrame) -> Model:
     """Fit on labelled documents outside the held-out third."""
+    short_batches(docs.sparkSession)
     usable = docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     return fit(sample_texts(usable))
 

@@ -36,12 +36,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import maybe_broadcast, shuffle_parts, stored, table
+from jobtide.llm.common import maybe_broadcast, short_batches, shuffle_parts, stored, table, tidy
 from jobtide.llm.shingles import shingle_sets
 
 SHINGLE, PERCENT = 3, 90
 # Shingles and documents of a batch, and the count from which a bucket is frequent in it.
-BATCH_TOKENS, BATCH_DOCUMENTS, OFTEN, NOBODY = 1 << 21, 60_000, 32, 0xFFFF
+BATCH_TOKENS, BATCH_DOCUMENTS, OFTEN, NOBODY = 1 << 20, 60_000, 32, 0xFFFF
 CHUNK, SUFFIX_BITS, DENSE_COLUMNS, FEW = 384, 4, 1 << 13, 8
 
 
@@ -167,6 +167,7 @@ def document_prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     shift = 32 - bits
     result = pa.schema([("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("alone", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
+    @tidy
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = TaskContext.get().partitionId() << 32, 0
         names, digests, buckets = [], [], []
@@ -183,10 +184,12 @@ def document_prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
         if names:
             yield _send_batch(number, names, digests, buckets, shift)
 
+    @tidy
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, rows in _grouped(batches, _SENT.names):
             yield _answer_range(at, rows, shift)
 
+    @tidy
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _grouped(batches, _SENT.names[1:]):
             yield _rows(_batch_prefixes([(None, *r) for r in rows], percent), result)
@@ -254,6 +257,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(
         side, F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left_semi")
 
+    @tidy
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [(_digest(t), t.astype("<u8").tobytes()) for _, t in _sets(batch, size)]
@@ -355,6 +359,7 @@ def block_links(blocks: DataFrame, percent: int) -> DataFrame:
                 out.append((names[i], names[j]))
         return out
 
+    @tidy
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _grouped(batches, ["block", "side", "class", "alone", "prefix", "tokens"]):
             found = forest(rows, block["i"] == block["j"])
@@ -367,6 +372,7 @@ def block_links(blocks: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
+    short_batches(docs.sparkSession)
     members = document_prefixes(docs, size, percent)
     classes = stored(
         members.where("n > 0").groupBy("class").agg(

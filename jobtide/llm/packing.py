@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import salted_ranks, shuffle_parts, stored, table
+from jobtide.llm.common import salted_ranks, short_batches, shuffle_parts, stored, table, tidy
 from jobtide.llm.tokens import default_tokenizer, encoder
 
 CAPACITY, END_ID = 2048, 0
@@ -51,6 +51,7 @@ def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of all documents with their lengths and checksums."""
 
+    @tidy
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names: list[int | None] = []
@@ -67,6 +68,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                 [pa.array(names, pa.int64()), *[pa.array(c, t) for c, t in zip(columns, types)]],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    short_batches(docs.sparkSession)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(pieces, PIECE_SCHEMA)
 
 

@@ -19,7 +19,7 @@ import numpy as np
 
 from jobtide.llm.shingles import mix, powers
 
-MEMO_PARTS, RECENT_PARTS, POOL_IDS, PIECE_BYTES, LONG_BYTES = 2_000_000, 100_000, 16_000_000, 1 << 19, 1 << 21
+MEMO_PARTS, RECENT_PARTS, POOL_IDS, PIECE_BYTES, LONG_BYTES = 1_500_000, 50_000, 12_000_000, 1 << 19, 1 << 21
 _BLANK_RUN, _LINE_RUN, _CUT = re.compile(r" \s"), re.compile(r"\n\s"), re.compile(rb"[ \n]")
 _BYTE_VALUES = np.random.default_rng(11).integers(1, 1 << 63, (2, 256), np.uint64) | np.uint64(1)
 
@@ -43,8 +43,9 @@ class _Column:
         self._data, self.size = np.zeros(1 << 12, kind), 0
 
     def extend(self, values: np.ndarray) -> None:
-        while self.size + len(values) > len(self._data):
-            self._data = np.concatenate([self._data, np.zeros_like(self._data)])
+        if self.size + len(values) > len(self._data):
+            room = max(self.size + len(values), len(self._data) * 3 // 2)
+            self._data = np.concatenate([self._data[:self.size], np.zeros(room - self.size, self._data.dtype)])
         self._data[self.size:self.size + len(values)] = values
         self.size += len(values)
 
@@ -71,15 +72,17 @@ class Encoder:
 
     def _clear(self) -> None:
         # Hashes of known parts, sorted, with their numbers; those of the last batches in a dict.
-        self._keys, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self._keys, self._numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self._recent: dict[int, int] = {}
-        self._checks, self._starts, self._lengths = _Column(np.uint64), _Column(np.int64), _Column(np.int64)
-        self._pool = _Column(np.uint32)
+        self._checks, self._starts, self._lengths = _Column(np.uint64), _Column(np.int32), _Column(np.int32)
+        self._pool = _Column(np.uint16 if len(self._opens) <= 1 << 16 else np.uint32)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Numbers of sorted hashes, -1 for new ones."""
         at = np.minimum(np.searchsorted(self._keys, keys), max(len(self._keys) - 1, 0))
-        found = np.where(self._keys[at] == keys, self._numbers[at], -1) if len(self._keys) else np.full(len(keys), -1)
+        found = np.full(len(keys), -1, np.int64)
+        if len(self._keys):
+            found = np.where(self._keys[at] == keys, self._numbers[at], found)
         absent = np.flatnonzero(found < 0)
         found[absent] = [self._recent.get(k, -1) for k in keys[absent].tolist()]
         return found
@@ -88,7 +91,7 @@ class Encoder:
         self._recent.update(zip(keys.tolist(), range(self._checks.size - len(keys), self._checks.size)))
         if len(self._recent) >= RECENT_PARTS:
             all_keys = np.concatenate([self._keys, np.fromiter(self._recent.keys(), np.uint64, len(self._recent))])
-            numbers = np.concatenate([self._numbers, np.fromiter(self._recent.values(), np.int64, len(self._recent))])
+            numbers = np.concatenate([self._numbers, np.fromiter(self._recent.values(), np.int32, len(self._recent))])
             order = np.argsort(all_keys, kind="stable")
             self._keys, self._numbers, self._recent = all_keys[order], numbers[order], {}
 
@@ -156,9 +159,9 @@ class Encoder:
             # Two parts share a hash.
             return self.whole([p.decode("utf-8", "surrogatepass") for p in pieces])
         at = at[which]
-        sizes = lengths[at]
+        sizes = lengths[at].astype(np.int64)
         places = np.concatenate([[0], np.cumsum(sizes)])
-        ids = pool[np.repeat(part_starts[at] - places[:-1], sizes) + np.arange(places[-1])]
+        ids = pool[np.repeat(part_starts[at] - places[:-1], sizes) + np.arange(places[-1])].astype(np.uint32)
         cuts = places[np.searchsorted(starts, edges)]
         return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
