@@ -98,11 +98,6 @@ def test_newest_day_is_a_subquery_not_a_join(spark):
     assert "Subquery" in text and "Join" not in text
 
 
-def test_copies_are_grouped_without_sorting_the_full_width(spark):
-    text = plan(conf.conformed_postings(X.sightings(spark, SMALL)))
-    assert "HashAggregate(keys=[ID" in text and "SortAggregate(key=[ID" not in text
-
-
 def test_rows_alone_meet_no_shuffle_past_the_broadcast_limit(spark, stored):
     alone, repeated = split_copies(stored.union(stored.where("JOB_CATEGORY = 'Data Analyst'")), conf.COPY_PROBE, limit=-1)
     text = plan(alone)
