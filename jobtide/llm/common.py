@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from jobtide.sources.tables import scratch_path
+from jobtide.sources.tables import stored_scratch
 
 # A-Z only, as the word rules ask; other letters stay as they are.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -28,12 +28,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     The folder is deleted when the driver ends.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored_scratch(df, name)
 
 
 def short_batches(spark: SparkSession) -> None:

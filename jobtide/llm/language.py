@@ -11,8 +11,9 @@ Only the sample is bounded (``LANDMARKS`` and ``FIT_ROWS`` texts per language, c
 hash of their ids); every text is scored whole, in pieces of any length.
 
 Null texts and texts without a letter are ``und`` with score 0.  Without any labelled text
-all are ``und``.  Equal scores go to the first language by name.  Repeated rows each get a
-row; rows with null ``lang`` are scored, not learned from.
+all are ``und``; more than ``MOST_LANGUAGES`` label values are an error.  Equal scores go to the
+first language by name.  Repeated rows each get a row; rows with null ``lang`` are scored, not
+learned from.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from jobtide.llm.common import short_batches, table, tidy
 
 FEATURE_BITS, ORDERS = 20, 3
 LANDMARKS, FIT_ROWS, RIDGE = 40, 250, 1e-3
+MOST_LANGUAGES = 500
 UNKNOWN = "und"
 # Texts of one presence matrix, and letters hashed at once.
 ROWS_AT_ONCE, CHARS_AT_ONCE = 64, 1 << 18
@@ -168,6 +170,9 @@ def sample_texts(labelled: DataFrame, per_language: int = FIT_ROWS) -> list[tupl
     are wanted meet in the ranking, however many rows a language has.
     """
     counts = labelled.groupBy("lang").count().withColumnRenamed("count", "_n")
+    languages = counts.limit(MOST_LANGUAGES + 1).count()
+    if languages > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: is this the language column?")
     place = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
     near = labelled.join(F.broadcast(counts), "lang").withColumn("_at", place).where(
         F.col("_at") * F.col("_n") <= 2 * per_language + 20)
