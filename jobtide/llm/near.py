@@ -241,7 +241,7 @@ def clusters(classes: DataFrame) -> DataFrame:
     spark = classes.sparkSession
     tokens = classes.select("class", F.explode("prefix").alias("token"))
     common = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"), "common")
-    postings = stored(tokens.join(maybe_broadcast(common, common.count(), 16), "token", "left_semi"), "postings")
+    postings = stored(tokens.join(maybe_broadcast(common, common.count(), 64), "token", "left_semi"), "postings")
     heads = postings.groupBy("token").agg(F.min("class").alias("a"))
     links = postings.join(heads, "token").where(F.col("class") != F.col("a")).select("a", F.col("class").alias("b")).distinct()
     found = stored(components(links), "clusters")
@@ -253,7 +253,7 @@ def clusters(classes: DataFrame) -> DataFrame:
 
 def candidate_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(class, tokens) of the wanted (doc_id, class) rows, stored."""
-    side = maybe_broadcast(wanted.select(F.col("doc_id").alias("_doc_id")).distinct(), wanted.count(), 24)
+    side = maybe_broadcast(wanted.select(F.col("doc_id").alias("_doc_id")).distinct(), wanted.count(), 64)
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(
         side, F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left_semi")
 
