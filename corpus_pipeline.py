@@ -58,11 +58,11 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .where("n > 1").select(own), "repeated")
     single = docs
     if not repeated.isEmpty():
-        ids = maybe_broadcast(repeated, repeated.count(), 16)
+        ids = maybe_broadcast(repeated, repeated.count(), 64)
         several = docs.join(ids, same, "left_semi").dropDuplicates(["doc_id", "text"])
         single = docs.join(ids, same, "left_anti").unionByName(several)
     goes = stored(groups.where("doc_id != component_id").select(F.col("doc_id").alias(own)).distinct(), "goes")
-    return single.join(maybe_broadcast(goes, goes.count(), 16), same, "left_anti")
+    return single.join(maybe_broadcast(goes, goes.count(), 64), same, "left_anti")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     goes = stored(
         decontaminate(docs, items).where("contaminated").select(F.col("doc_id").alias(own), F.col("key").alias(key)), "goes")
     same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(key))
-    return docs.join(maybe_broadcast(goes, goes.count(), 24), same, "left_anti")
+    return docs.join(maybe_broadcast(goes, goes.count(), 64), same, "left_anti")
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
