@@ -16,7 +16,7 @@
    the smaller counts over 16 hash ranges bounds the overlap) drop pairs, and the exact
    overlap verifies the rest; a large block takes all overlaps at once from products of
    presence matrices.  A block returns a spanning forest of its links.
-5. *Components* of the links, by smallest labels with shortcuts over written tables.
+5. *Components* of the links, by smallest labels with hooks and shortcuts over written tables.
 
 Counts, links, classes and labels stay in tables; nothing of them goes through the driver.
 
@@ -214,26 +214,31 @@ def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
         yield at, rows
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, label) for all nodes of (a, b) edges; the label is the smallest node reachable.
 
-    Each round takes the smallest label of the neighbours and then the label's own label.
+    Each round takes the smallest label of the neighbours, hands it to the node that the old label
+    names as well, so that whole trees are hooked on, and then takes the label's own label.  Rounds
+    go on until nothing moves; in chains of shuffled nodes their number grows with the logarithm.
     """
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels")
-    for _ in range(rounds):
+    while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("_a")).agg(F.min("label").alias("_near"))
         next_ = labels.join(near, F.col("node") == F.col("_a")).select(
             "node", F.col("label").alias("_old"), F.least("label", "_near").alias("_new"))
+        # Of all that name a node as their label, the least new label, where it is below the node.
+        hooks = next_.where(F.col("_new") < F.col("_old")).groupBy(F.col("_old").alias("_root")).agg(F.min("_new").alias("_hook"))
+        hooked = next_.join(hooks, F.col("node") == F.col("_root"), "left").select(
+            "node", "_old", F.least("_new", "_hook").alias("_new"))
         own = labels.select(F.col("node").alias("_of"), F.col("label").alias("_short"))
         moved = stored(
-            next_.join(own, F.col("_new") == F.col("_of")).select(
+            hooked.join(own, F.col("_new") == F.col("_of")).select(
                 "node", F.least("_new", "_short").alias("label"), (F.least("_new", "_short") != F.col("_old")).alias("_moved")),
             "labels")
         labels = moved.select("node", "label")
         if moved.where("_moved").isEmpty():
             return labels
-    raise RuntimeError("labels still move")
 
 
 def clusters(classes: DataFrame) -> DataFrame:

@@ -224,6 +224,14 @@ def test_buckets_frequent_in_a_batch_are_counted(spark, monkeypatch):
     assert got[500] == got[7] == 7 and sum(a != b for a, b in got.items()) == 1
 
 
+def test_components_of_a_long_shuffled_chain(spark):
+    names = list(range(3000))
+    random.Random(6).shuffle(names)
+    chain = list(zip(names[:2500], names[1:2500])) + list(zip(names[2500:], names[2501:]))
+    got = {r.node: r.label for r in near.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
+    assert got == {n: min(part) for part in (names[:2500], names[2500:]) for n in part}
+
+
 def test_large_and_small_blocks_find_the_same_links():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 60, 50).astype(np.uint64) << np.uint64(57)) for _ in range(12)]
