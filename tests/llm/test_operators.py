@@ -72,6 +72,14 @@ def test_added_spans(spark):
     assert found(spark, "part 123-45-6789") == []
 
 
+@pytest.mark.parametrize("separator", [" ", "-"])
+def test_cards_with_every_digit_apart(spark, separator):
+    card = separator.join("4111111111111111")
+    assert found(spark, f"card {card}.") == [("card", card, True)]
+    row = pii.redact(pii.find_pii(spark.createDataFrame([(f"card {card}.",)], "text string"))).first()
+    assert row["text"] == "card <card>."
+
+
 def test_redaction_joins_overlaps_and_keeps_the_rest(spark):
     text = "a@b.cd, 10.0.0.1 \U0001F600 a.b@c.de4111111111111111 end"
     row = pii.redact(pii.find_pii(spark.createDataFrame([(text,), (None,), ("clean",)], "text string"))).collect()
