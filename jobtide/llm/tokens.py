@@ -5,7 +5,9 @@ front of it.  So the ids of a text are those of its parts, cut before every blan
 end, one after another.  Parts repeat a lot: each is encoded by the tokenizer once and looked up
 afterwards, by two 64-bit hashes that are computed for a whole batch at a time, in a memo of
 bounded size.  A text with a blank or line end before other white space or at its end, or with
-other white space at its start, is encoded whole, as there a cut could fall inside a token.
+other white space at its start, is encoded whole, as there a cut could fall inside a token.  So is a
+text that holds an added token of the file, special ones included: as is the library's default, it
+becomes the id of that token.
 """
 
 from __future__ import annotations
@@ -62,7 +64,9 @@ class Encoder:
         # A task has one core.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        added = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
+        # No match in any text without added tokens.
+        self._added = re.compile("|".join(added) or r"(?!)")
         vocabulary = self._tokenizer.get_vocab()
         # Byte-level files write a blank and a line end as these letters; they open a part.
         self._opens = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -119,7 +123,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, uint32."""
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
-        odd = [i for i, t in enumerate(texts) if _unsafe(t)]
+        odd = [i for i, t in enumerate(texts) if _unsafe(t) or self._added.search(t)]
         for i, ids in zip(odd, self.whole([texts[i] for i in odd])):
             out[i] = ids
         skip = set(odd)

@@ -107,6 +107,16 @@ def test_parts_give_the_ids_of_whole_texts():
         assert all(np.array_equal(a, b) for a, b in zip(encoder.encode(texts), encoder.whole(texts)))
 
 
+def test_added_tokens_have_the_ids_of_the_library():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.default_tokenizer())
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a b<|endoftext|><|endoftext|>c\nd", "one <|endoftext| > two", "one two"]
+    got = [ids.tolist() for ids in tokens.Encoder(tokens.default_tokenizer()).encode(texts)]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert got[0] == [505, 220, 50256, 734]
+
+
 def test_long_texts_are_encoded_in_pieces(monkeypatch):
     monkeypatch.setattr(tokens, "LONG_BYTES", 200)
     monkeypatch.setattr(tokens, "PIECE_BYTES", 50)
