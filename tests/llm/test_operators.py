@@ -344,6 +344,34 @@ def test_repeated_unnamed_blocks_go_and_repeated_articles_stay(spark):
     assert got == {r[0]: " ".join(r[3].split()) for r in rows}
 
 
+def main_texts(spark, rows):
+    pages = spark.createDataFrame([(i, url, data.page(body)) for i, (url, body) in enumerate(rows)], "page_id bigint, url string, html string")
+    return [r.text for r in extract.extract_text(pages).orderBy("page_id").collect()]
+
+
+def some_prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+
+
+def test_many_copies_of_an_article_cut_no_page(spark):
+    rng = random.Random(8)
+    copy, bodies = some_prose(rng, 400), [some_prose(rng, 60) for _ in range(60)]
+    texts = [(f"copy {i}", copy) for i in range(30)] + [(f"title {i}", body) for i, body in enumerate(bodies)]
+    marked = [("http://m.example/", f"<article><h1>{t}</h1><p>{b}</p></article>") for t, b in texts]
+    plain = [("http://p.example/", f"<div class='t'>{t}</div><div class='x2'><p>{b}</p></div>") for t, b in texts]
+    assert main_texts(spark, marked + plain) == [f"{t} {b}" for t, b in texts] * 2
+
+
+def test_unique_blocks_of_a_mostly_repeated_zone_stay(spark):
+    rng = random.Random(9)
+    notes, rows, wanted = [some_prose(rng, 30) for _ in range(4)], [], []
+    for _ in range(40):
+        own = some_prose(rng, 12)
+        rows.append(("http://z.example/", "".join(f"<div>{t}</div>" for t in [*notes[:2], own, *notes[2:]])))
+        wanted.append(own)
+    assert main_texts(spark, rows) == wanted
+
+
 @pytest.mark.parametrize("html,text", [
     ("<header>Top</header><main><h1>A</h1>b</main><aside>side</aside>", "A b"),
     ("<div class='cookie-notice'>We use</div><p>x &lt;b&gt; &eacute;&nbsp;y", "x <b> é y"),
