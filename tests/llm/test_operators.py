@@ -372,6 +372,18 @@ def test_unique_blocks_of_a_mostly_repeated_zone_stay(spark):
     assert main_texts(spark, rows) == wanted
 
 
+def test_small_hosts_are_judged_by_themselves(spark):
+    rng = random.Random(10)
+    other = [("http://other.example/", f"<div>{some_prose(rng, 90)}</div>") for _ in range(60)]
+    repeats = [("http://repeats.example/", f"<section>{data.PROSE * 3}</section><p>{some_prose(rng, 20)}</p>") for _ in range(60)]
+    for n in (5, 40):
+        own = [some_prose(rng, 30) for _ in range(n)]
+        slogan = [("http://small.example/", f"<div>now in every shop</div><div>{t}</div>") for t in own]
+        section = [("http://section.example/", f"<section>{t}</section>") for t in own]
+        got = main_texts(spark, slogan + section + other + repeats)
+        assert got[:2 * n] == own * 2
+
+
 @pytest.mark.parametrize("html,text", [
     ("<header>Top</header><main><h1>A</h1>b</main><aside>side</aside>", "A b"),
     ("<div class='cookie-notice'>We use</div><p>x &lt;b&gt; &eacute;&nbsp;y", "x <b> é y"),
