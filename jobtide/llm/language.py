@@ -101,21 +101,29 @@ class Model:
     weights: np.ndarray  # landmarks x languages
 
 
-def _presence(texts: list[str | None], column_of: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Presence matrix over the landmarks' features; whether a text has a letter."""
+def _presence(texts: list[str | None], column_of: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Presence matrix over the landmarks' features; the number of all distinct features of a text,
+    those of no landmark included; whether a text has a letter."""
     rows = np.zeros((len(texts), width + 1), np.float32)
     lettered = np.zeros(len(texts), bool)
     waiting: list[tuple[int, np.ndarray]] = []
     size = 0
+    # Distinct (row, feature) of features that no landmark has, as one number each.
+    others = np.zeros(0, np.int64)
 
     def flush() -> None:
-        nonlocal waiting, size
+        nonlocal waiting, size, others
         if not waiting:
             return
         codes = np.concatenate([c for _, c in waiting])
         owner = np.repeat([r for r, _ in waiting], [len(c) for _, c in waiting])
+        found = [others]
         for at, feature in _features(codes):
-            rows[owner[at], column_of[feature]] = 1
+            column = column_of[feature]
+            rows[owner[at], column] = 1
+            apart = column < 0
+            found.append(np.unique(owner[at[apart]] << FEATURE_BITS | feature[apart]))
+        others = np.unique(np.concatenate(found))
         waiting, size = [], 0
 
     for row, text in enumerate(texts):
@@ -130,12 +138,12 @@ def _presence(texts: list[str | None], column_of: np.ndarray, width: int) -> tup
             if size >= CHARS_AT_ONCE or len(text or "") > CHARS_AT_ONCE:
                 flush()
     flush()
-    return rows[:, :width], lettered
+    known = rows[:, :width]
+    return known, known.sum(axis=1) + np.bincount(others >> FEATURE_BITS, minlength=len(texts)), lettered
 
 
-def _kernel(presence: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
-    size = np.sqrt(np.maximum(presence.sum(axis=1, keepdims=True), 1))
-    return (presence @ landmarks) / size
+def _kernel(presence: np.ndarray, landmarks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return (presence @ landmarks) / np.sqrt(np.maximum(sizes, 1)).astype(np.float32)[:, None]
 
 
 def fit(texts: list[tuple[str, list[int]]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
@@ -156,7 +164,8 @@ def fit(texts: list[tuple[str, list[int]]], landmarks: int = LANDMARKS, ridge: f
     marks = matrix(chosen)
     marks = (marks / np.sqrt(np.maximum(marks.sum(axis=1, keepdims=True), 1))).T.astype(np.float32)
     between = (marks.T @ marks).astype(np.float64)
-    known = _kernel(matrix([f for _, f in texts]), marks).astype(np.float64)
+    sizes = np.array([len(f) for _, f in texts])
+    known = _kernel(matrix([f for _, f in texts]), marks, sizes).astype(np.float64)
     target = np.array([[float(lang == own) for own in languages] for lang, _ in texts])
     system = known.T @ known + ridge * len(texts) * between + 1e-6 * np.eye(len(chosen))
     weights = np.linalg.solve(system, known.T @ target) if chosen else np.zeros((0, len(languages)))
@@ -197,10 +206,10 @@ def predict(model: Model):
             names, scores = [], []
             for start in range(0, len(texts), ROWS_AT_ONCE):
                 part = [t if isinstance(t, str) else None for t in texts.iloc[start:start + ROWS_AT_ONCE]]
-                presence, lettered = _presence(part, model.column_of, width)
+                presence, sizes, lettered = _presence(part, model.column_of, width)
                 if not model.languages:
                     lettered[:] = False
-                values = _kernel(presence, model.landmarks) @ model.weights if model.languages else np.zeros((len(part), 1))
+                values = _kernel(presence, model.landmarks, sizes) @ model.weights if model.languages else np.zeros((len(part), 1))
                 best = values.argmax(axis=1)
                 names += [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
                 scores += [float(min(1.0, max(0.0, v))) if ok else 0.0 for v, ok in zip(values.max(axis=1), lettered)]

@@ -275,6 +275,20 @@ def test_language_of_long_text_in_pieces(spark, monkeypatch):
     assert whole.lang_pred.tolist() == ["bb", "aa", "und", "und", "bb"]
 
 
+@pytest.mark.parametrize("at_once", [16, 1 << 18])
+def test_the_norm_counts_the_ngrams_of_no_landmark(spark, monkeypatch, at_once):
+    import pandas as pd
+
+    strange = " ".join(f"{a}{b}{a}{a}" for a in "жщюяэ" for b in "бгдйл")
+    texts = ["xyz zyx yxz", f"xyz zyx yxz {strange}", None, strange, "aba"]
+    model = language.fit([("aa", language.text_features("aba bab abba " * 4)), ("bb", language.text_features("xyz zyx yxz " * 4))])
+    monkeypatch.setattr(language, "CHARS_AT_ONCE", at_once)
+    scores = next(language.predict(model).func(iter([pd.Series(texts)]))).score
+    assert scores[0] > 0.9 and scores[1] < scores[0] / 2
+    _, sizes, _ = language._presence(texts, model.column_of, len(model.landmarks))
+    assert sizes.tolist() == [len(language.text_features(t)) for t in texts]
+
+
 def test_no_labelled_text_means_unknown(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id bigint, text string, lang string")
     scored = docs.select(language.predict(language.learn(docs))("text").alias("p")).first()["p"]
