@@ -9,7 +9,9 @@ words give no signature has one of its own, made of the whole text.
 The fingerprint is the set's size, a digest of the sorted set and its 16 smallest members:
 equal sets have equal fingerprints, and different sets differ.  Sets fall into classes by
 length; two sets can only reach a likeness of ``least`` when the shorter has at least that
-share of the longer, so pairs of far classes are not intersected.  Likeness is Jaccard.
+share of the longer.  Likeness is Jaccard.  The query compares fixed pairs, a text with its edited
+form and with the next one, and wants each exact value: there the class is a column only, no bound
+is passed, and neither partitions nor prunes anything.
 
 Null text is empty text; two empty texts are equal.  Rows are kept as they are: repeated rows
 give repeated results, ties in doc_id stand in the order of their text's hash, null ids last.
