@@ -12,6 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())])
 PAGES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())])
 ITEMS = pa.schema([("item_id", pa.int64()), ("text", pa.string())])
+LABELS = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())])
 
 PROSE = (
     "the little house stood on a hill of green grass and the river was far from it so that the "
@@ -51,6 +52,13 @@ def benchmark() -> pa.Table:
     return pa.table({"item_id": [1, 2, 3, 4, 2], "text": [ITEM, "unique words", None, "", "unique words"]}, schema=ITEMS)
 
 
+def labels() -> pa.Table:
+    """Labels with nulls, an id without a document, two labels of one id, and values that are no label."""
+    rows = [(i * 3, i % 2, 1 if i in (6, 9) else 0) for i in range(18)]
+    rows += [(None, 0, 1), (27, 1, 0), (999, 0, 1), (54, None, None), (57, 0, 7)]
+    return pa.table({"doc_id": [r[0] for r in rows], "quality": [r[1] for r in rows], "toxic": [r[2] for r in rows]}, schema=LABELS)
+
+
 def page(body: str) -> str:
     return f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>{body}</body></html>"
 
