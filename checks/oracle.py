@@ -213,6 +213,8 @@ ask("s5_reject_split", [], """SELECT event_id, CASE WHEN json_valid(t) THEN 'goo
 ask("s6_existing_ids", P, f"SELECT ID FROM postings WHERE {_CONTAINS.format(c='TITLE')}")
 ask("s7_append", P, """SELECT ID, TITLE, JOB_DATE, CITY, REMOTE_DERIVED FROM postings UNION ALL
     SELECT concat('again-', ID), TITLE, JOB_DATE, CITY, REMOTE_DERIVED FROM postings""")
+ask("s7_append_by_day", P, "SELECT ID, TITLE, JOB_DATE, CITY, REMOTE_DERIVED FROM postings")
+ask("s8_extended_table", P, "SELECT ID, TITLE, JOB_CATEGORY, URL FROM postings")
 ask("s8_full_refresh", P, "SELECT JOB_CATEGORY, count(DISTINCT ID) AS total_jobs FROM postings GROUP BY 1")
 
 BY = {
@@ -370,13 +372,16 @@ ask("c1_rejected", R, f"""SELECT 'bad date' AS reason, job_category, id FROM raw
     WHERE {_PHRASE.format(c='title')} AND o_orderkey % 97 = 0
     UNION ALL SELECT 'not JSON', job_category, concat('{{broken ', id) FROM raw WHERE o_orderkey % 89 = 0""")
 ask("c1_arrivals_split", [*INGEST, "fresh"], f"SELECT {flat(CLEANED_COLUMNS)} FROM fresh", fresh=ingested())
+ask("c1_arrivals_missing_key", [*INGEST, "fresh"], f"SELECT {flat(CLEANED_COLUMNS)} FROM fresh", fresh=ingested())
 ask("c1_arrivals", [*INGEST, "fresh"], f"SELECT {flat(CLEANED_COLUMNS)} FROM fresh", fresh=ingested())
 ask("c2_city_dimension", RULED, "SELECT * FROM city_dim")
 ask("c3_state_dimension", RULED, "SELECT * FROM state_dim")
 ask("c4_seniority_dimension", RULED, "SELECT * FROM sen_dim")
 ask("c5_conformed", CONFORM, f"SELECT {flat(CLEANED_COLUMNS)} FROM conformed")
 ask("c5_conformed_copies", CONFORM, f"SELECT {flat(CLEANED_COLUMNS)} FROM conformed", postings=SIGHTINGS)
+ask("c5_conformed_split", CONFORM, f"SELECT {flat(CLEANED_COLUMNS)} FROM conformed", postings=SIGHTINGS)
 ask("c6_posting_links", P, "SELECT DISTINCT ID, TITLE, JOB_CATEGORY, URL FROM postings ORDER BY JOB_CATEGORY, ID, TITLE", postings=SIGHTINGS)
+ask("c6_posting_links_in_place", P, "SELECT DISTINCT ID, TITLE, JOB_CATEGORY, URL FROM postings ORDER BY JOB_CATEGORY, ID, TITLE", postings=SIGHTINGS)
 
 _LONG = f"""SELECT 'by_city' AS mart, JOB_CATEGORY AS role, CITY AS item, total_jobs AS total FROM ({BY['by_city']})
     UNION ALL SELECT 'by_org', JOB_CATEGORY, ORGANIZATION, total_jobs FROM ({BY['by_org']})
@@ -390,6 +395,7 @@ ask("c9_state_listing", CONFORM, f"SELECT * FROM ({BY['by_state']}) WHERE JOB_CA
 ask("c9_city_listing", CONFORM, f"SELECT * FROM ({BY['by_city']}) ORDER BY total_jobs DESC")
 ask("c9_org_listing", CONFORM, f"SELECT * FROM ({BY['by_org']}) WHERE JOB_CATEGORY = 'Data Engineer' ORDER BY total_jobs DESC")
 ask("c10_skills_listing", [], "SELECT DISTINCT p_type AS Job_Title, p_name AS skill FROM part ORDER BY 1")
+ask("c11_refresh_rebuilt", [*INGEST, *TRENDS], _LONG, postings=ingested())
 ask("c11_refresh_conformed", [*INGEST, *CONFORM], f"SELECT {flat(CLEANED_COLUMNS)} FROM conformed", postings=ingested())
 ask("c11_refresh_dimensions", [*INGEST, *RULED], """SELECT 'base_city' AS model, CITY AS a, CITY_STANDARDIZED AS b, STATE AS c,
     NULL AS d FROM city_dim UNION ALL SELECT 'base_state', CITY_STANDARDIZED, STATE_STANDARDIZED, NULL, NULL FROM state_dim

@@ -14,12 +14,13 @@ from jobtide.functions import calendar as cal
 from jobtide.functions import rules, text
 from jobtide.functions.salary import exact_mean
 from jobtide.operators import aggregate as agg
-from jobtide.operators import filters, lookup, order, project, sets, trend
+from jobtide.operators import copies, filters, lookup, order, project, sets, trend
 from jobtide.plans import conformed as conf
 from jobtide.plans import dimensions as dims
 from jobtide.plans import listings as lst
 from jobtide.plans import marts
-from jobtide.plans.ingest import Layout, clean_records, ingest
+from jobtide.plans.backfill import ingest
+from jobtide.plans.ingest import Layout, clean_records, rejected_rows
 from jobtide.plans.refresh import refresh
 from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, KEPT_COLUMNS, STANDARDISED_COLUMNS
 from jobtide.sources import landing, tables
@@ -53,6 +54,14 @@ def stored_conformed(spark, sf_dir) -> DataFrame:
     return tables.stored_scratch(conformed(spark, sf_dir), "conformed")
 
 
+def stored_sightings(spark, sf_dir) -> DataFrame:
+    """The cleaned table with copies as a run stores it, bucketed by ID."""
+    path = tables.scratch_folder(spark, "sightings") + "/rows"
+    tables.create_table(spark, path, CLEANED_SCHEMA, buckets=("ID", int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    tables.append_table(X.sightings(spark, sf_dir), path, schema=CLEANED_SCHEMA)
+    return tables.read_table(spark, path, CLEANED_SCHEMA)
+
+
 def daily(spark, sf_dir) -> DataFrame:
     return agg.daily_mart(conformed(spark, sf_dir))
 
@@ -149,6 +158,17 @@ def s7_append(spark, sf_dir):
     return tables.read_table(spark, path).select("ID", "TITLE", "JOB_DATE", "CITY", "REMOTE_DERIVED")
 
 
+@query
+def s7_append_by_day(spark, sf_dir):
+    """The default layout of the cleaned table, a folder for each day."""
+    days = Layout("", "", "").partition_by
+    path = tables.scratch_folder(spark, "cleaned") + "/rows"
+    cleaned = X.postings(spark, sf_dir)
+    tables.create_table(spark, path, CLEANED_SCHEMA, days)
+    tables.append_table(cleaned, path, days, CLEANED_SCHEMA)
+    return tables.read_table(spark, path, CLEANED_SCHEMA).select("ID", "TITLE", "JOB_DATE", "CITY", "REMOTE_DERIVED")
+
+
 @query
 def s8_full_refresh(spark, sf_dir):
     path = tables.scratch_folder(spark, "by_type") + "/rows"
@@ -157,6 +177,19 @@ def s8_full_refresh(spark, sf_dir):
     return tables.overwrite_table(agg.count_distinct_mart(cleaned, ["JOB_CATEGORY"]), path)
 
 
+@query
+def s8_extended_table(spark, sf_dir):
+    """A refreshed table with two later parts, each a version of its own."""
+    path = tables.scratch_folder(spark, "links") + "/rows"
+    links = X.postings(spark, sf_dir).select("ID", "TITLE", "JOB_CATEGORY", "URL")
+    part = F.crc32(F.col("ID").cast("binary")) % 3
+    tables.overwrite_table(links, path)
+    tables.overwrite_table(links.where(part == 0), path)
+    for upto in (1, 2):
+        tables.extend_table(links.where(part == upto), path, upto)
+    return tables.read_table(spark, path)
+
+
 @query
 def s9_mart_read(spark, sf_dir):
     path = tables.scratch_folder(spark, "by_city") + "/rows"
@@ -623,6 +656,21 @@ def c1_arrivals_split(spark, sf_dir):
     return _ingested(spark, layout)
 
 
+@query
+def c1_arrivals_missing_key(spark, sf_dir):
+    """Arrivals one file at a time, some of them without a contract column: the call as a whole has it."""
+    root = tables.scratch_folder(spark, "lacking")
+    layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", ())
+    X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA)
+    raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus").coalesce(1)
+    early = F.crc32(F.col("id").cast("binary")) % 2 == 0
+    for rows in (raw.where(early).drop("linkedin_org_slug"), raw.where(~early)):
+        rows.write.mode("append").partitionBy("job_category").option("ignoreNullFields", False).json(layout.landing)
+    ingest_arrivals(spark, layout, files_per_batch=1)
+    return _ingested(spark, layout)
+
+
 def _drifted(spark, sf_dir) -> Layout:
     """Landed records that differ in field types, some with bad dates, and broken lines beside them."""
     root = tables.scratch_folder(spark, "drift")
@@ -659,7 +707,7 @@ def c1_rejected(spark, sf_dir):
     layout = _drifted(spark, sf_dir)
     for _ in range(2):
         ingest(spark, layout)
-    kept = spark.read.parquet(layout.rejected)
+    kept = rejected_rows(spark, layout)
     return kept.select("reason", "job_category", F.coalesce(F.get_json_object("text", "$.id"), "text").alias("id"))
 
 
@@ -685,7 +733,14 @@ def c5_conformed(spark, sf_dir):
 
 @query
 def c5_conformed_copies(spark, sf_dir):
-    return flat(conf.conformed_postings(X.sightings(spark, sf_dir)))
+    return flat(conf.conformed_postings(stored_sightings(spark, sf_dir), in_place=True))
+
+
+@query
+def c5_conformed_split(spark, sf_dir):
+    """Copies in rows that are not dealt by ID, told by a Bloom filter."""
+    rows = tables.stored_scratch(X.sightings(spark, sf_dir), "sightings")
+    return flat(conf.conformed_postings(rows, again=copies.copy_filter(rows, marts.MART_PROBE, limit=-1)))
 
 
 @query
@@ -693,6 +748,11 @@ def c6_posting_links(spark, sf_dir):
     return order.read_order(conf.posting_links(X.sightings(spark, sf_dir)), "posting_links")
 
 
+@query
+def c6_posting_links_in_place(spark, sf_dir):
+    return conf.posting_links(stored_sightings(spark, sf_dir), in_place=True)
+
+
 @query
 def c7_all_marts(spark, sf_dir):
     return _long_form(marts.all_marts(stored_conformed(spark, sf_dir), AS_OF))
@@ -739,34 +799,44 @@ def c10_skills_listing(spark, sf_dir):
     return lst.top_skills(X.skills(spark, sf_dir))
 
 
-def _refreshed(spark, sf_dir) -> dict[str, DataFrame]:
-    """The models after two runs, each with one part of the landing."""
+def _refreshed(spark, sf_dir, whole: bool = False, **layout_options) -> dict[str, DataFrame]:
+    """The models after two runs, each with one part of the landing.
+
+    The second extends the models of the first, or builds all of them again.
+    """
     root = tables.scratch_folder(spark, "run")
-    layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", ())
+    layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", **layout_options)
     X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
     raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus")
     early = F.crc32(F.col("id").cast("binary")) % 2 == 0
     for part in (early, ~early):
         rows = raw.where(part).write.mode("append").partitionBy("job_category")
         rows.option("ignoreNullFields", False).json(layout.landing)
-        result = refresh(spark, layout, AS_OF)
+        result = refresh(spark, layout, AS_OF, whole)
     return result.tables
 
 
 @query
 def c11_refresh_run(spark, sf_dir):
-    return _long_form(_refreshed(spark, sf_dir))
+    return _long_form(_refreshed(spark, sf_dir, partition_by=()))
+
+
+@query
+def c11_refresh_rebuilt(spark, sf_dir):
+    """All models built again from a table bucketed by ID."""
+    return _long_form(_refreshed(spark, sf_dir, whole=True, partition_by=(), buckets=4))
 
 
 @query
 def c11_refresh_conformed(spark, sf_dir):
+    """With the default layout of the cleaned table."""
     return flat(_refreshed(spark, sf_dir)["conformed"].select(*CLEANED_COLUMNS))
 
 
 @query
 def c11_refresh_dimensions(spark, sf_dir):
     """The other four models as (model, a, b, c, d)."""
-    made = _refreshed(spark, sf_dir)
+    made = _refreshed(spark, sf_dir, partition_by=())
     none = F.lit(None).cast("string")
     columns = {
         "base_city": ["CITY", "CITY_STANDARDIZED", "STATE"], "base_state": ["CITY_STANDARDIZED", "STATE_STANDARDIZED"],

@@ -76,6 +76,8 @@ SENIORITY_RULES = [
     (HAS, "director", "Manager/Executive"),
 ]
 SENIORITY_DEFAULT = "Not Applicable"
+# Every standardised seniority, in the order of the texts.
+SENIORITY_NAMES = sorted({value for *_, value in SENIORITY_RULES} | {SENIORITY_DEFAULT})
 
 # State texts that say nothing, and the state of nine cities.
 VAGUE_STATES = ["of", "on", "australia", "na"]

@@ -3,10 +3,19 @@
 A 64-bit hash of a few key columns is counted first.  A row whose hash occurs once
 cannot have a copy, so it needs no shuffle at all; the others take the exact path.
 Keys that differ but share a hash only send a few rows too many down that path.
+
+The hashes that repeat are kept in a scratch table and told to every task: as they are while
+they fit a broadcast, else as a Bloom filter whose size follows from their number, so that a stated
+share of the rows that are alone is mistaken at most.  Where even that filter is larger than what may
+be broadcast, no row is taken for alone and all take the exact path.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+from math import ceil, log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,73 +26,115 @@ from jobtide.sources.tables import stored_scratch
 _TAG = "__copy_tag"
 # Memory one hash takes in a broadcast table.
 _HASH_BYTES = 32
-# Bits of the map that stands in for hashes too many to broadcast: 16 MiB, whatever their number.
-MAP_BITS = 1 << 27
+# The share of rows that are alone which a Bloom filter may mistake, and the most memory it may take.
+FALSE_SHARE = 0.01
+FILTER_LIMIT = 8 * BROADCAST_LIMIT
 # Fixed by Spark: bits of one bitmap of its bitmap functions.
 _BITMAP_BITS = 1 << 15
+# Bits set for a hash; each is 15 bits of one of two further hashes.
+_PROBES = 6
+
+
+def _blocks(hashes: int, share: float) -> int:
+    """Blocks of a filter of so many hashes: the size for half the share, as hashes are dealt unevenly."""
+    bits = -_PROBES / log(1 - (share / 2) ** (1 / _PROBES))
+    return max(1, ceil(hashes * bits / _BITMAP_BITS))
+
 
+def _places(tag: Column) -> list[Column]:
+    """The bits of a hash within its block."""
+    wide, narrow = F.xxhash64(tag), F.hash(tag).cast("bigint")
+    mask = F.lit(_BITMAP_BITS - 1).cast("bigint")
+    return [F.shiftrightunsigned(wide, 15 * k).bitwiseAND(mask) for k in range(4)] + [
+        F.shiftrightunsigned(narrow, 15 * k).bitwiseAND(mask) for k in range(_PROBES - 4)]
 
-def _bit(tag: Column, bits: int) -> Column:
-    return F.pmod(tag, F.lit(bits))
 
+@dataclass(frozen=True)
+class CopyFilter:
+    """Which rows of a frame may have a copy, by a hash of its ``probe`` columns.
 
-def _flagged(df: DataFrame, hashes: DataFrame, bits: int) -> DataFrame:
-    """Add ``__again``: whether the bit of a row's hash is set in the map of ``hashes``."""
-    at = _bit(F.col(_TAG), bits)
-    bucket = F.floor(at / _BITMAP_BITS)
-    bits_set = hashes.select(bucket.alias("__bucket"), (at % _BITMAP_BITS).alias("__bit"))
-    maps = bits_set.groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__map"))
-    joined = df.join(F.broadcast(maps), bucket == F.col("__bucket"), "left")
-    place = at % _BITMAP_BITS
-    byte = F.conv(F.hex(F.substring("__map", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    is_set = F.getbit(byte, (place % 8).cast("int")) == 1
-    return joined.withColumn("__again", F.coalesce(is_set, F.lit(False))).drop("__bucket", "__map")
+    It can be asked about any rows of that frame, or rows made from them with the same ``probe`` columns.
+    """
+
+    probe: tuple[str, ...]
+    repeated: int  # hashes that repeat
+    hashes: DataFrame | None = None  # the hashes, while they are broadcast as they are
+    blocks: int = 0
+    maps: DataFrame | None = None  # (block, bits) of the Bloom filter
+
+    def split(self, df: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+        """``(alone, repeated)``: rows that have no copy, and the rest.  None stands for no rows."""
+        if not self.repeated:
+            return df, None
+        tagged = df.withColumn(_TAG, F.xxhash64(*self.probe))
+        if self.hashes is not None:
+            sides = F.broadcast(self.hashes)
+            return tuple(tagged.join(sides, _TAG, how).drop(_TAG) for how in ("left_anti", "left_semi"))
+        if self.maps is None:
+            return None, df
+        flagged = tagged.join(
+            F.broadcast(self.maps), F.pmod(_TAG, F.lit(self.blocks)) == F.col("__block"), "left").withColumn("__again", self._is_set())
+        return tuple(
+            flagged.where(side).drop(_TAG, "__again", "__block", "__map") for side in (~F.col("__again"), F.col("__again")))
+
+    def _is_set(self) -> Column:
+        def bit(place: Column) -> Column:
+            byte = F.substring("__map", (F.floor(place / 8) + 1).cast("int"), F.lit(1))
+            return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int")) == 1
+
+        return F.coalesce(reduce(lambda a, b: a & b, map(bit, _places(F.col(_TAG)))), F.lit(False))
+
+
+def copy_filter(
+    df: DataFrame, probe: list[str], limit: int = BROADCAST_LIMIT, share: float = FALSE_SHARE, filter_limit: int = FILTER_LIMIT,
+) -> CopyFilter:
+    """Count the hashes of ``probe`` once and keep those that repeat."""
+    counts = df.groupBy(F.xxhash64(*probe).alias(_TAG)).agg(F.count(F.lit(1)).alias("n"))
+    again = stored_scratch(counts.where("n > 1").select(_TAG), "copies")
+    repeated = again.count()
+    if repeated * _HASH_BYTES <= limit:
+        return CopyFilter(tuple(probe), repeated, again)
+    blocks = _blocks(repeated, share)
+    if blocks * _BITMAP_BITS // 8 > filter_limit:
+        return CopyFilter(tuple(probe), repeated)
+    bits = again.select(
+        F.pmod(_TAG, F.lit(blocks)).alias("__block"), F.explode(F.array(*_places(F.col(_TAG)))).alias("__bit"))
+    maps = bits.groupBy("__block").agg(F.bitmap_construct_agg("__bit").alias("__map"))
+    return CopyFilter(tuple(probe), repeated, None, blocks, stored_scratch(maps, "copy-filter"))
 
 
 def split_copies(
-    df: DataFrame, probe: list[str], limit: int = BROADCAST_LIMIT, bits: int = MAP_BITS
-) -> tuple[DataFrame, DataFrame | None]:
-    """``(alone, repeated)``: rows whose ``probe`` columns occur once, and the rest.
+    df: DataFrame, probe: list[str], limit: int = BROADCAST_LIMIT, share: float = FALSE_SHARE
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """``(alone, repeated)`` of a frame by its own filter.
 
     Rows equal in ``probe`` always land on the same side.  The second is None when nothing
-    repeats.  The hashes that repeat are counted once, into a scratch table.  While they fit
-    a broadcast they decide exactly; past that a bitmap of fixed size does, in which a few
-    rows that occur once share a bit with a hash that repeats and take the exact path too.
-    Rows that are alone meet no shuffle for any number of copies.
+    repeats, the first where a filter would be too large.
     """
-    tag = F.xxhash64(*probe)
-    counts = df.groupBy(tag.alias(_TAG)).agg(F.count(F.lit(1)).alias("n"))
-    again = stored_scratch(counts.where("n > 1").select(_TAG), "copies")
-    hashes = again.count()
-    if not hashes:
-        return df, None
-    tagged = df.withColumn(_TAG, tag)
-    if hashes * _HASH_BYTES <= limit:
-        repeats = F.broadcast(again)
-        return (
-            tagged.join(repeats, _TAG, "left_anti").drop(_TAG),
-            tagged.join(repeats, _TAG, "left_semi").drop(_TAG),
-        )
-    flagged = _flagged(tagged, again, bits)
-    return tuple(flagged.where(side).drop(_TAG, "__again") for side in (~F.col("__again"), F.col("__again")))
+    return copy_filter(df, probe, limit, share).split(df)
 
 
 def distinct_split(
-    df: DataFrame, columns: list[str], probe: list[str], limit: int = BROADCAST_LIMIT
+    df: DataFrame, columns: list[str], probe: list[str], limit: int = BROADCAST_LIMIT, again: CopyFilter | None = None
 ) -> DataFrame:
     """The rows of a DISTINCT over ``columns``; ``probe`` is a few of them."""
-    alone, repeated = split_copies(df.select(*columns), probe, limit)
-    return alone if repeated is None else alone.unionByName(repeated.distinct())
+    rows = df.select(*columns)
+    alone, repeated = again.split(rows) if again else split_copies(rows, probe, limit)
+    if repeated is None:
+        return alone
+    return repeated.distinct() if alone is None else alone.unionByName(repeated.distinct())
 
 
 def count_distinct_split(
-    alone: DataFrame, repeated: DataFrame | None, dims: list[str], key: str = "ID", name: str = "total_jobs"
+    alone: DataFrame | None, repeated: DataFrame | None, dims: list[str], key: str = "ID", name: str = "total_jobs"
 ) -> DataFrame:
     """The rows of :func:`count_distinct_mart` over both sides of a split.
 
     The split must have been made on the key and some of ``dims``: then no key of a
     group is on both sides, and on the first side every non-null key counts once.
     """
+    if alone is None:
+        return count_distinct_mart(repeated, dims, key, name)
     single = alone.groupBy(*dims).agg(F.count(key).alias(name))
     if repeated is None:
         return single

@@ -23,8 +23,6 @@ from jobtide.schema import MISSING_TEXT
 BROADCAST_LIMIT = 64 * 1024 * 1024
 # At least this many keys can be hot, however few partitions a shuffle has.
 HOT_SHARE = 1000
-# The least memory of a row in a broadcast table, which bounds the rows of one that fits.
-_LEAST_ROW_BYTES = 24
 
 _KEY = "__lookup_key"
 _scopes = threading.local()
@@ -80,19 +78,14 @@ class Measured(NamedTuple):
 
 
 def measure(df: DataFrame, limit: int = BROADCAST_LIMIT) -> Measured:
-    """Whether ``df`` fits in memory, by one aggregate job.
+    """Whether ``df`` fits in memory, by one aggregate job that also keeps it for the join.
 
-    No more rows are cached than a fitting frame can have, so a large one fills no memory.  A
-    frame that fits comes back cached and is not computed again by the join.
+    The frame is computed once, in its own partitions; what exceeds the executors' memory stays on
+    their disks.
     """
-    most = min(max(limit, 0) // _LEAST_ROW_BYTES + 1, (1 << 31) - 1)
-    held = keep(df.limit(most))
+    held = keep(df)
     rows, size = held.agg(F.count(F.lit(1)), F.sum(_row_bytes(held).cast("long"))).first()
-    if (size or 0) <= limit and rows < most:
-        return Measured(held, rows, True)
-    _kept()[-1].remove(held)
-    held.unpersist()
-    return Measured(df, rows, False)
+    return Measured(held, rows, (size or 0) <= limit)
 
 
 def hot_share(df: DataFrame) -> int:

@@ -1,10 +1,9 @@
-"""Ingest: landed records to new rows of the cleaned table."""
+"""Ingest: landed records to new rows for the cleaned table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +29,12 @@ from jobtide.schema import (
     SEARCH_TITLES,
     TRANSLATED_COLUMNS,
 )
-from jobtide.sources.landing import CORRUPT, conform, is_rejected, landed_keys, read_landed
-from jobtide.sources.tables import append_table, create_table, delete_path, read_table, scratch_path, table_exists
+from jobtide.sources.landing import CORRUPT, absent_keys, conform, is_rejected, names_of, parse_landed
+from jobtide.sources.tables import delete_path, read_table, scratch_path, table_exists
+
+RECORD = "_record"
+# The contract columns that are keys of the records; the title comes from the folder.
+LANDED_KEYS = [c.lower() for c in EXPECTED_COLUMNS if c != "JOB_CATEGORY"]
 
 
 @dataclass(frozen=True)
@@ -42,6 +45,8 @@ class Layout:
     landing: str
     dictionary: str
     partition_by: Sequence[str] = ("JOB_DATE",)
+    # Buckets of the cleaned table by ID; 0 for none.  Each is read by one task when postings are collapsed.
+    buckets: int = 0
     multi_line: bool = False
     # "error": a contract column that no landed record has fails the ingest; "null" fills it.
     on_missing: str = "error"
@@ -101,47 +106,49 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _files_of(landed: DataFrame) -> list[str]:
-    """The files of one micro-batch; Spark names them with escapes."""
-    return [unquote(r[0]) for r in landed.select(F.input_file_name()).distinct().collect()]
-
-
-def _check_contract(spark: SparkSession, layout: Layout, filled: dict[str, int], files: list[str]) -> None:
-    """Raise when a contract column is in no landed record.
+def check_contract(layout: Layout, absent: Sequence[int | None]) -> None:
+    """Raise when a contract column is a key of no landed record.
 
-    Columns with any value are there.  Only for the others are the records' keys read.
+    ``absent`` has the keys that no record of a batch has, see :func:`absent_keys`; None where a
+    batch has no records.
     """
-    empty = [c.lower() for c in EXPECTED_COLUMNS if not filled[c.lower()] and c != "JOB_CATEGORY"]
-    if layout.on_missing != "error" or not empty:
-        return
-    there = landed_keys(spark, files, empty, layout.multi_line)
-    missing = [c.upper() for c in empty if c not in there]
-    if missing:
+    masks = [mask for mask in absent if mask is not None]
+    nowhere = masks[0] if masks else 0
+    for mask in masks:
+        nowhere &= mask
+    if nowhere and layout.on_missing == "error":
+        missing = [name.upper() for name in names_of(nowhere, LANDED_KEYS)]
         raise ValueError(f"expected columns missing in source data: {missing}")
 
 
-def _store_rejected(rejected: DataFrame, layout: Layout) -> None:
-    """Append rows that are not in the table of rejected rows yet."""
-    spark = rejected.sparkSession
+def rejected_rows(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The rejected records with file, title, reason and text, each once."""
     if not table_exists(spark, layout.rejected):
-        create_table(spark, layout.rejected, REJECTED_SCHEMA)
-    known = read_table(spark, layout.rejected, REJECTED_SCHEMA)
-    same = [rejected[c].eqNullSafe(known[c]) for c in ("file", "reason", "text")]
-    append_table(rejected.join(known, same, "left_anti"), layout.rejected, schema=REJECTED_SCHEMA)
+        return spark.createDataFrame([], REJECTED_SCHEMA)
+    rows = spark.read.schema(REJECTED_SCHEMA).option("recursiveFileLookup", True).parquet(layout.rejected)
+    return rows.distinct()
 
 
-def ingest_records(landed: DataFrame, layout: Layout, into: str | None = None) -> IngestReport:
-    """Ingest one batch of landed records (as :func:`read_landed` gives them).
+@dataclass(frozen=True)
+class Taken:
+    """What a batch left: its report, and the contract keys that none of its records has."""
+
+    report: IngestReport
+    absent: int | None
 
-    The text is parsed once, by a map-only job that also counts the rows (a task that is
-    run again counts once, as nothing is shuffled there).  Records that are no JSON or have
-    a date that is none go to the table of rejected rows with their file, text and reason;
-    every other record is kept.  The rows not loaded before are kept in a second scratch
-    table, which is counted, translated and appended, or written to ``into``.  Running the
-    same batch again adds nothing.
+
+def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Taken:
+    """Take one batch of landed text (as :func:`landed_lines` gives it).
+
+    The text is read and parsed once, by a map-only job that also counts the rows and notes which
+    contract keys are absent (a task that is run again counts once, as nothing is shuffled
+    there).  Records that are no JSON or have a date that is none go to the folder ``name`` of
+    the rejected rows with their file, text and reason, so that a batch taken again writes its own
+    folder anew; every other record is kept.  The rows not loaded before are kept in a second
+    scratch table, which is counted, translated and written to ``into``.
     """
-    spark = landed.sparkSession
-    names = [f.name for f in RAW_SCHEMA.fields]
+    spark = lines.sparkSession
+    landed = parse_landed(lines, record=RECORD)
     wanted = ~is_rejected(CORRUPT) & has_phrase(F.col("title"), SEARCH_TITLES)
     reason = F.when(is_rejected(CORRUPT), "not JSON").when(wanted & is_bad_date(F.col("date_created")), "bad date")
     seen = Observation()
@@ -150,46 +157,39 @@ def ingest_records(landed: DataFrame, layout: Layout, into: str | None = None) -
         F.count(F.lit(1)).alias("landed"),
         F.count(reason).alias("rejected"),
         F.count_if(wanted & reason.isNull()).alias("title_kept"),
-        *[F.count(F.col(n)).alias(f"filled_{n}") for n in names],
+        F.bit_and(F.when(~is_rejected(CORRUPT), absent_keys(F.col(RECORD), LANDED_KEYS))).alias("absent"),
     )
     noted = counted.where(wanted | reason.isNotNull()).withColumns({
         "_reason": reason,
         "_file": F.input_file_name(),
-        "_text": F.when(reason.isNotNull(), F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*names)))),
+        "_text": F.when(reason.isNotNull(), F.col(RECORD)),
     })
-    cleaned = _derived(upper_names(conform(noted).drop(CORRUPT)))
+    cleaned = _derived(upper_names(conform(noted.drop(RECORD)).drop(CORRUPT)))
     scratch = scratch_path(spark, "ingest")
     try:
         with lookup_scope():
             staged = _staged(cleaned.select(*CLEANED_COLUMNS, "_REASON", "_FILE", "_TEXT"), f"{scratch}/batch")
             batch = staged.where("_REASON IS NULL").select(*CLEANED_COLUMNS)
-            counts = {name: seen.get.get(name, 0) for name in ("landed", "rejected", "title_kept")}
+            counts = {name: seen.get.get(name) or 0 for name in ("landed", "rejected", "title_kept")}
             counts["appended"] = 0
-            if counts["landed"] > counts["rejected"]:
-                files = [layout.landing] if into is None else _files_of(landed)
-                _check_contract(spark, layout, {n: seen.get.get(f"filled_{n}", 0) for n in names}, files)
+            absent = seen.get.get("absent")
+            rejects = f"{layout.rejected}/{name}"
             if counts["rejected"]:
-                rejected = staged.where("_REASON IS NOT NULL")
-                _store_rejected(rejected.select(
+                staged.where("_REASON IS NOT NULL").select(
                     F.col("_FILE").alias("file"), F.col("JOB_CATEGORY").alias("job_category"),
-                    F.col("_REASON").alias("reason"), F.col("_TEXT").alias("text")), layout)
+                    F.col("_REASON").alias("reason"), F.col("_TEXT").alias("text"),
+                ).write.mode("overwrite").parquet(rejects)
+            elif table_exists(spark, rejects):
+                delete_path(spark, rejects)
             if not counts["title_kept"]:
-                return IngestReport("no_data", counts)
+                return Taken(IngestReport("no_data", counts), absent)
             history = read_table(spark, layout.cleaned, CLEANED_SCHEMA)
             fresh = _staged(blank_to_null(keep_new(batch, history)), f"{scratch}/fresh")
             counts["appended"] = fresh.count()
             if not counts["appended"]:
-                return IngestReport("nothing_new", counts)
+                return Taken(IngestReport("nothing_new", counts), absent)
             translated = normalise_via_dictionary(fresh, TRANSLATED_COLUMNS, read_table(spark, layout.dictionary))
-            if into is None:
-                append_table(translated, layout.cleaned, layout.partition_by, CLEANED_SCHEMA)
-            else:
-                translated.write.mode("overwrite").parquet(into)
-            return IngestReport("loaded", counts)
+            translated.write.mode("overwrite").parquet(into)
+            return Taken(IngestReport("loaded", counts), absent)
     finally:
         delete_path(spark, scratch)
-
-
-def ingest(spark: SparkSession, layout: Layout) -> IngestReport:
-    """Ingest everything under the landing directory: the backfill.  The daily run takes arrivals."""
-    return ingest_records(read_landed(spark, layout.landing, multi_line=layout.multi_line), layout)

@@ -48,25 +48,65 @@ def conform(landed: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     return landed.select(*[typed.get(c, F.col(f"`{c}`")) for c in landed.columns])
 
 
+def landed_lines(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The text under ``path``: a row per line, or per file with ``multi_line``.
+
+    Directories ``job_category=<title>`` add the title.
+    """
+    return spark.read.text(path, wholetext=multi_line)
+
+
+def parse_landed(lines: DataFrame, schema: T.StructType = RAW_SCHEMA, record: str | None = None) -> DataFrame:
+    """Lines or whole files as one row per record, every declared field as text.
+
+    The columns are declared, never inferred.  A text that is a JSON array gives a row for each of
+    its elements; blank ones give none.  A text that is no JSON becomes a row with only the
+    corrupt-text column set.  ``record`` names a column that keeps the text of the record.
+    """
+    tagged = "job_category" in lines.columns
+    fields = text_schema(T.StructType([f for f in schema.fields if not (tagged and f.name == "job_category")]))
+    listed = F.from_json("value", T.ArrayType(T.StringType()))
+    each = F.when(F.startswith(F.ltrim("value"), F.lit("[")) & listed.isNotNull(), listed).otherwise(F.array("value"))
+    kept = ["job_category"] if tagged else []
+    records = lines.select(*kept, F.explode(each).alias("_record")).where(F.trim("_record") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = records.withColumn("_parsed", F.from_json("_record", with_corrupt_column(fields), options))
+    columns = {f.name: F.col(f"_parsed.`{f.name}`") for f in fields.fields}
+    if tagged:
+        columns["job_category"] = F.col("job_category").cast("string")
+    corrupt = F.coalesce(f"_parsed.{CORRUPT}", F.when(F.col("_parsed").isNull(), F.col("_record")))
+    return parsed.select(
+        *[columns[f.name].alias(f.name) for f in schema.fields], corrupt.alias(CORRUPT),
+        *([F.col("_record").alias(record)] if record else []))
+
+
 def read_landed(
     spark: SparkSession,
     path: str,
     schema: T.StructType = RAW_SCHEMA,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Records under ``path`` as text columns; ``job_category=<title>`` directories give the title tag.
+    """Records under ``path`` as text columns, see :func:`parse_landed`.
 
-    The columns are declared, never inferred.  One record per line keeps large files
-    splittable; ``multi_line`` reads pages that are one JSON array each.  A page or
-    line that is no JSON becomes a row with only the corrupt-text column set.
+    One record per line keeps large files splittable; ``multi_line`` reads pages that are one
+    JSON array each, a file in one task.
     """
-    return (
-        spark.read.schema(with_corrupt_column(text_schema(schema)))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", multi_line)
-        .json(path)
-    )
+    return parse_landed(landed_lines(spark, path, multi_line), schema)
+
+
+def absent_keys(record: Column, names: list[str]) -> Column:
+    """The ``names`` that are no key of a record, as bits in their order; null for what is no object.
+
+    The bitwise AND over records has the names that none of them has.
+    """
+    listed = F.array(*[F.lit(n) for n in names])
+    bit = lambda name: F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.array_position(listed, name) - 1).cast("int"))
+    missing = F.array_except(listed, F.json_object_keys(record))
+    return F.aggregate(missing, F.lit(0).cast("bigint"), lambda mask, name: mask.bitwiseOR(bit(name)))
+
+
+def names_of(mask: int, names: list[str]) -> list[str]:
+    return [name for place, name in enumerate(names) if mask >> place & 1]
 
 
 def read_raw(
@@ -79,16 +119,6 @@ def read_raw(
     return conform(read_landed(spark, path, schema, multi_line), schema)
 
 
-def landed_keys(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = False) -> set[str]:
-    """Which of ``names`` any landed record has as a key, whatever its value."""
-    text = spark.read.option("wholetext", multi_line).option("recursiveFileLookup", True).text(paths)
-    record = F.explode(F.from_json("value", T.ArrayType(T.StringType()))) if multi_line else F.col("value")
-    keys = F.json_object_keys("record")
-    found = text.select(record.alias("record")).agg(
-        *[F.max(F.array_contains(keys, name)).alias(name) for name in names]).first()
-    return {name for name in names if found[name]}
-
-
 def parse_json_text(df: DataFrame, column: str, schema: T.StructType, into: str) -> DataFrame:
     """Parse a JSON text column into a struct that also carries the corrupt text."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}

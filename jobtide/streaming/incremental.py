@@ -3,70 +3,50 @@
 A file stream remembers which landing files it has read.  One call takes all files
 that arrived since the last, then stops.  New rows of a call are compared with the rows stored
 before it and kept beside the table until its end, one folder for each micro-batch, so that
-the rows do not depend on how the files are dealt over micro-batches.  A micro-batch repeated
-after a failure overwrites its folder, and what a failed call left behind is taken first.
+the rows do not depend on how the files are dealt over micro-batches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
-from jobtide.operators.lookup import keep_new, lookup_scope
-from jobtide.plans.ingest import IngestReport, Layout, ingest_records
-from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, RAW_SCHEMA
-from jobtide.sources.landing import CORRUPT, text_schema, with_corrupt_column
-from jobtide.sources.tables import append_table, delete_path, read_table, table_exists
+from jobtide.plans.arrivals import Arrivals
+from jobtide.plans.ingest import IngestReport, Layout, take_records
 
 
 def landing_stream(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType = RAW_SCHEMA,
-    multi_line: bool = False,
-    files_per_batch: int | None = None,
+    spark: SparkSession, path: str, multi_line: bool = False, files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Landed records as text columns, as :func:`jobtide.sources.landing.read_landed` gives them."""
-    reader = (
-        spark.readStream.schema(with_corrupt_column(text_schema(schema)))
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", multi_line)
-    )
+    """Landed text, as :func:`jobtide.sources.landing.landed_lines` gives it."""
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
-
-
-def _take_arrived(spark: SparkSession, layout: Layout, arrived: str) -> None:
-    """Append the rows kept beside the table, once, and remove them there."""
-    if not table_exists(spark, arrived):
-        return
-    rows = spark.read.schema(CLEANED_SCHEMA).option("recursiveFileLookup", True).parquet(arrived).select(*CLEANED_COLUMNS)
-    with lookup_scope():
-        new = keep_new(rows, read_table(spark, layout.cleaned, CLEANED_SCHEMA))
-        append_table(new, layout.cleaned, layout.partition_by, CLEANED_SCHEMA)
-    delete_path(spark, arrived)
+    return reader.text(path, wholetext=multi_line)
 
 
 def ingest_arrivals(spark: SparkSession, layout: Layout, files_per_batch: int | None = None) -> list[IngestReport]:
     """Ingest the files that arrived since the last call; one report per micro-batch.
 
-    ``files_per_batch`` splits a large arrival into several batches; the stored rows are the
-    same for every value.
+    ``files_per_batch`` splits a large arrival into several batches; the stored rows, or the
+    error of a broken contract, are the same for every value.
     """
-    arrived = layout.table("_arriving")
-    _take_arrived(spark, layout, arrived)
+    arrivals = Arrivals(spark, layout)
     reports: list[IngestReport] = []
+
+    def take(batch: DataFrame, number: int) -> None:
+        taken = take_records(batch, layout, f"arrival={number}", arrivals.rows(number))
+        arrivals.note(number, taken.absent)
+        reports.append(taken.report)
+
     query = (
-        landing_stream(spark, layout.landing, multi_line=layout.multi_line, files_per_batch=files_per_batch)
-        .writeStream.foreachBatch(
-            lambda batch, number: reports.append(ingest_records(batch, layout, f"{arrived}/batch={number}")))
+        landing_stream(spark, layout.landing, layout.multi_line, files_per_batch)
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", layout.table("_arrivals"))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    _take_arrived(spark, layout, arrived)
+    arrivals.store()
     return reports
 
 

@@ -109,14 +109,41 @@ def test_count_distinct_over_a_split(rows, postings, limit, dims):
     assert rows(got) == rows(count_distinct_mart(postings, dims))
 
 
-def test_map_of_few_bits_only_widens_the_exact_side(rows, postings):
+def test_a_filter_only_widens_the_exact_side(rows, postings):
     exact_alone, _ = copies.split_copies(postings, ["ID", "c"])
-    alone, repeated = copies.split_copies(postings, ["ID", "c"], NEVER, bits=64)
+    alone, repeated = copies.split_copies(postings, ["ID", "c"], NEVER, share=0.9)
     assert rows(alone.union(repeated)) == rows(postings)
     assert set(rows(alone)) <= set(rows(exact_alone))
     assert rows(collapse(postings, ["ID", "c"], ["s"])) == rows(alone.union(collapse(repeated, ["ID", "c"], ["s"])))
 
 
+@pytest.mark.parametrize("repeated", [3000, 40000])
+def test_a_filter_mistakes_few_rows_however_many_hashes_it_has(spark, repeated):
+    """A map of fixed size, full at 2,000 hashes, would take every row; this one is sized by their number."""
+    copied = spark.range(repeated).select(F.concat(F.lit("c"), F.col("id")).alias("ID"))
+    single = spark.range(50000).select(F.concat(F.lit("s"), F.col("id")).alias("ID"))
+    made = copies.copy_filter(copied.union(copied).union(single), ["ID"], NEVER)
+    assert made.maps is not None and made.blocks * 4096 < 2 * repeated + 4096
+    alone, again = made.split(single)
+    assert again.count() <= copies.FALSE_SHARE * 50000
+    assert made.split(copied)[0].isEmpty() and made.split(copied)[1].count() == repeated
+
+
+def test_past_the_largest_filter_all_rows_take_the_exact_path(rows, postings):
+    made = copies.copy_filter(postings, ["ID", "c"], NEVER, filter_limit=0)
+    alone, repeated = made.split(postings)
+    assert alone is None and rows(repeated) == rows(postings)
+    assert rows(copies.count_distinct_split(alone, repeated, ["c"])) == rows(count_distinct_mart(postings, ["c"]))
+
+
+def test_one_filter_serves_rows_made_from_its_own(rows, postings):
+    made = copies.copy_filter(postings, ["ID", "c"])
+    part = postings.where("s IS NOT NULL")
+    alone, repeated = made.split(part)
+    assert rows(alone.union(repeated)) == rows(part)
+    assert rows(copies.count_distinct_split(alone, repeated, ["c"])) == rows(count_distinct_mart(part, ["c"]))
+
+
 def test_scopes_drop_their_own_sides_only(spark):
     outer = lookup.measure(spark.range(3), ALWAYS).frame
     with lookup.lookup_scope():
@@ -127,10 +154,21 @@ def test_scopes_drop_their_own_sides_only(spark):
     assert outer.is_cached
 
 
-def test_a_large_side_is_not_cached(spark):
-    large = spark.range(100000)
-    assert not lookup.measure(large, 24 * 100).fits
-    assert not large.is_cached and not lookup.measure(large, 24 * 100).frame.is_cached
+def test_a_large_side_is_computed_once_in_its_own_partitions(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for batch in batches:
+            counted.add(len(batch))
+            yield batch
+
+    large = spark.range(0, 1000, 1, 5).mapInPandas(note, "id long")
+    side = lookup.measure(large, 100)
+    assert not side.fits and side.rows == 1000
+    assert side.frame.count() == 1000 and counted.value == 1000
+    assert side.frame.rdd.getNumPartitions() == 5
+    assert "SinglePartition" not in side.frame._jdf.queryExecution().executedPlan().toString()
+    lookup.release()
 
 
 def test_hot_share_follows_the_shuffle(spark, fact):

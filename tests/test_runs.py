@@ -11,7 +11,10 @@ from checks import fixtures as X
 from jobtide.operators.aggregate import collapse, daily_mart
 from jobtide.plans import conformed as conf
 from jobtide.plans import dimensions as dims
-from jobtide.plans.ingest import Layout, ingest
+from jobtide.plans import refresh as runs
+from jobtide.plans.arrivals import Arrivals
+from jobtide.plans.backfill import ingest
+from jobtide.plans.ingest import Layout, rejected_rows
 from jobtide.plans.marts import all_marts, count_marts, mart
 from jobtide.plans.refresh import refresh
 from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, EXPECTED_COLUMNS, KEPT_COLUMNS, STANDARDISED_COLUMNS
@@ -124,7 +127,7 @@ def test_a_field_of_another_type_costs_no_record(spark, layout):
     assert got["1"].EMPLOYMENT_TYPE == "FULL_TIME" and got["2"].LINKEDIN_ORG_SPECIALTIES == ["data"]
     assert got["3"].REMOTE_DERIVED is True and got["4"].CITY == "Sydney"
     for _ in range(2):
-        kept = tables.read_table(spark, layout.rejected).collect()
+        kept = rejected_rows(spark, layout).collect()
         assert {(r.reason, r.job_category) for r in kept} == {("not JSON", "Data Engineer"), ("bad date", "Data Engineer")}
         assert len(kept) == 2 and all(r.file.endswith("a.json") for r in kept)
         assert any("next week" in r.text for r in kept) and any(r.text == "{broken" for r in kept)
@@ -142,6 +145,147 @@ def test_a_missing_contract_column_fails_before_the_append(spark, layout):
     assert ingest(spark, filling).counts["appended"] == 1
 
 
+def lacking(n, *names, **more):
+    return {k: v for k, v in record(n, **more).items() if k not in names}
+
+
+@pytest.mark.parametrize("files_per_batch", [None, 1, 2])
+def test_a_column_that_some_file_has_is_there(spark, layout, files_per_batch):
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    land(layout, "Data Engineer", "a", [lacking(1, "linkedin_org_slug")])
+    land(layout, "Data Engineer", "b", [record(2), lacking(3, "url")])
+    assert sum(r.counts["appended"] for r in ingest_arrivals(spark, layout, files_per_batch)) == 3
+    assert sorted(r.ID for r in cleaned(spark, layout).collect()) == ["1", "2", "3"]
+
+
+@pytest.mark.parametrize("files_per_batch", [None, 1, 2])
+@pytest.mark.parametrize("mended_by", ["file", "layout"])
+def test_a_column_that_no_file_has_stops_the_call_and_the_next_goes_on(spark, layout, files_per_batch, mended_by):
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    land(layout, "Data Engineer", "a", [lacking(1, "linkedin_org_slug")])
+    land(layout, "Data Engineer", "b", [lacking(2, "linkedin_org_slug"), lacking(3, "linkedin_org_slug", "url")])
+    for _ in range(2):
+        with pytest.raises(ValueError, match=r"\['LINKEDIN_ORG_SLUG'\]"):
+            ingest_arrivals(spark, layout, files_per_batch)
+        assert cleaned(spark, layout).count() == 0
+    if mended_by == "file":
+        land(layout, "Data Engineer", "c", [record(1), record(4)])
+        ingest_arrivals(spark, layout, files_per_batch)
+        assert sorted(r.ID for r in cleaned(spark, layout).collect()) == ["1", "2", "3", "4"]
+    else:
+        ingest_arrivals(spark, dataclasses.replace(layout, on_missing="null"), files_per_batch)
+        assert sorted(r.ID for r in cleaned(spark, layout).collect()) == ["1", "2", "3"]
+    land(layout, "Data Engineer", "d", [record(2), record(5)])
+    assert [r.counts["appended"] for r in ingest_arrivals(spark, layout, files_per_batch)] == [1]
+
+
+@pytest.mark.parametrize("step", ["append_table", "rename_path", "_mark"])
+def test_a_call_that_stops_is_gone_on_with(spark, layout, monkeypatch, step):
+    from jobtide.plans import arrivals
+
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    land(layout, "Data Engineer", "a", [record(1), record(2)])
+    stops = [True]
+
+    def stopping(real, after):
+        def run(*args, **kwargs):
+            if after:
+                real(*args, **kwargs)
+            if stops.pop() if stops else False:
+                raise RuntimeError("stopped")
+            if not after:
+                real(*args, **kwargs)
+        return run
+
+    owner = Arrivals if step == "_mark" else arrivals
+    monkeypatch.setattr(owner, step, stopping(getattr(owner, step), after=step != "rename_path"))
+    with pytest.raises(RuntimeError, match="stopped"):
+        ingest_arrivals(spark, layout)
+    land(layout, "Data Engineer", "b", [record(2), record(3)])
+    ingest_arrivals(spark, layout)
+    assert sorted(r.ID for r in cleaned(spark, layout).collect()) == (["1", "2", "2", "3"] if step == "rename_path" else ["1", "2", "3"])
+
+
+def test_landed_text_is_read_once(spark, layout):
+    """Of the rows that the stream reports as read, each is counted as often as it is scanned."""
+    from jobtide.plans.ingest import take_records
+    from jobtide.streaming.incremental import landing_stream
+
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    land(layout, "Data Engineer", "a", [record(n) for n in range(20)] + ["{broken", record(99, date_created="x")])
+    query = landing_stream(spark, layout.landing).writeStream.foreachBatch(
+        lambda batch, number: take_records(batch, layout, f"arrival={number}", layout.table(f"rows-{number}")) and None
+    ).option("checkpointLocation", layout.table("_once")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 22
+    assert rejected_rows(spark, layout).count() == 2
+
+
+def test_arrays_blank_lines_and_scalars(spark, layout):
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    page = json.dumps([record(1), record(2)])
+    land(layout, "Data Engineer", "a", [page, "", "   ", record(3), "[]", "[{", "5"])
+    report = ingest(spark, layout)
+    assert report.counts == {"landed": 5, "rejected": 2, "title_kept": 3, "appended": 3}
+    assert sorted(r.text for r in rejected_rows(spark, layout).collect()) == ["5", "[{"]
+    whole = dataclasses.replace(layout, root=layout.root + "2", landing=layout.landing + "2", multi_line=True)
+    tables.create_table(spark, whole.cleaned, CLEANED_SCHEMA, whole.partition_by)
+    land(whole, "Data Engineer", "a", [page])
+    land(whole, "Data Engineer", "b", ["[{", "]"])
+    assert ingest(spark, whole).counts == {"landed": 3, "rejected": 1, "title_kept": 2, "appended": 2}
+
+
+def states(n, state, city="Elsewhere"):
+    place = {"address": {"addressLocality": city, "addressRegion": state, "streetAddress": None}}
+    return record(n, locations_raw=[place], organization=f"Org {n}")
+
+
+@pytest.mark.parametrize("options", [{"partition_by": ()}, {"buckets": 2}])
+def test_extended_models_equal_rebuilt_ones(spark, layout, rows, options):
+    layout = dataclasses.replace(layout, **options)
+    days = dt.date(2025, 5, 21)
+    parts = [
+        [states(1, "NSW"), states(1, "VIC", "Other"), states(2, "QLD"), record(None)],
+        [states(3, "ACT"), states(3, "ACT", "Third"), record(4), record(None), states(1, "WA")],
+        [states(5, "WA"), record(6, seniority=None), states(7, None, None)],  # the state of a known city changes
+        [record(8, "Florist")],
+        [states(9, "TAS", "Third"), states(9, "TAS", "Third"), states(9, "NT")],
+    ]
+    for number, part in enumerate(parts):
+        land(layout, "Data Engineer" if number % 2 else "Data Analyst", f"part{number}", part)
+        extended = refresh(spark, layout, days).tables
+        got = {name: rows(df) for name, df in extended.items()}
+        rebuilt = runs.refresh_models(spark, layout, days, whole=True) if number in (2, 4) else None
+        if rebuilt:
+            assert got == {name: rows(df) for name, df in rebuilt.items()}
+    assert len(got["conformed"]) == 9
+
+
+def test_extending_reads_no_cleaned_table(spark, layout, monkeypatch):
+    land(layout, "Data Engineer", "a", [record(n) for n in range(1, 6)])
+    refresh(spark, layout, dt.date(2025, 5, 21))
+    land(layout, "Data Engineer", "b", [record(n) for n in range(5, 8)])
+    ingest_arrivals(spark, layout)
+    monkeypatch.setattr(runs, "_cleaned", lambda *_: pytest.fail("the cleaned table is read"))
+    made = runs.refresh_models(spark, layout, dt.date(2025, 5, 21))
+    assert made["conformed"].count() == 7 and made["by_type"].first()["total_jobs"] == 7
+
+
+def test_a_refresh_that_stopped_between_models_builds_them_again(spark, layout, monkeypatch, rows):
+    days = dt.date(2025, 5, 21)
+    land(layout, "Data Engineer", "a", [record(n) for n in range(1, 6)])
+    refresh(spark, layout, days)
+    land(layout, "Data Engineer", "b", [record(n) for n in range(5, 8)])
+    monkeypatch.setattr(runs, "posting_links", lambda *_, **__: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        refresh(spark, layout, days)
+    assert runs.made_from(spark, layout) is None
+    monkeypatch.undo()
+    made = refresh(spark, layout, days).tables
+    assert rows(made["by_type"]) == [("Data Engineer", 7)] and made["conformed"].count() == made["posting_links"].count() == 7
+    assert refresh(spark, layout, days).tables["conformed"].count() == 7
+
+
 def test_refresh_reads_new_files_only(spark, layout):
     land(layout, "Data Engineer", "a", [record(n) for n in range(1, 6)])
     assert refresh(spark, layout, dt.date(2025, 5, 21)).ingest.counts["landed"] == 5

@@ -121,18 +121,70 @@ def test_cleaned_schema_reads_back_in_order(spark, tmp_path):
     assert tables.read_table(spark, path).schema.names == CLEANED_SCHEMA.names
 
 
-def test_old_table_reads_after_a_failed_swap(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("step", ["parquet", "write_text", "rename_path", "after"])
+def test_readers_find_the_old_table_or_the_new_one(spark, tmp_path, monkeypatch, step):
     path = str(tmp_path / "t")
     tables.overwrite_table(spark.range(3), path)
-    real = tables.rename_path
+    rows = spark.range(9)
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    if step == "parquet":
+        rows = rows.withColumn("id", F.raise_error(F.lit("no")).cast("long"))
+    elif step == "after":  # stopped when the pointer stands, before anything is tidied up
+        calls = iter([tables._pointers, stop])
+        monkeypatch.setattr(tables, "_pointers", lambda *a: next(calls)(*a))
+    else:
+        monkeypatch.setattr(tables, step, stop)
+    with pytest.raises(BaseException):
+        tables.overwrite_table(rows, path)
+    monkeypatch.undo()
+    assert tables.read_table(spark, path).count() == (9 if step == "after" else 3)
+    assert tables.overwrite_table(spark.range(5), path).count() == tables.read_table(spark, path).count() == 5
+    tables.overwrite_table(spark.range(6), path)
+    folders = [name for name in os.listdir(path) if name.startswith("version-")]
+    assert len(folders) == 2 and len(tables.list_names(spark, f"{path}/_pointers")) == 1
+    assert os.listdir(tmp_path) == ["t"]
 
-    def failing(session, source, to):
-        if "__new_" in source:
-            raise OSError("no rename")
-        real(session, source, to)
 
-    monkeypatch.setattr(tables, "rename_path", failing)
-    with pytest.raises(OSError, match="no rename"):
-        tables.overwrite_table(spark.range(9), path)
-    assert tables.read_table(spark, path).count() == 3
-    assert os.listdir(tmp_path) == ["t"]
+def test_two_refreshes_at_once_are_an_error(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.overwrite_table(spark.range(3), path)
+    before = tables.current_version(spark, path)
+    tables.overwrite_table(spark.range(4), path)
+    with pytest.raises(OSError, match="cannot move"):
+        tables._write_version(spark.range(5), path, (), tables.Version(before.number, 0, before.folders), (), 0)
+    assert tables.read_table(spark, path).count() == 4
+
+
+def test_extended_tables_are_written_as_one_folder_now_and_then(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    monkeypatch.setattr(tables, "MOST_FOLDERS", 3)
+    with pytest.raises(ValueError, match="never refreshed"):
+        tables.extend_table(spark.range(1), path, 1)
+    tables.overwrite_table(spark.range(2), path, upto=4)
+    for k in range(5):
+        tables.extend_table(spark.range(10 * k, 10 * k + 2), path, 5 + k)
+        version = tables.current_version(spark, path)
+        assert version.upto == 5 + k and len(version.folders) <= 3
+    assert tables.read_table(spark, path).count() == 12
+
+
+@pytest.mark.parametrize("partition_by", [(), ("d",)])
+def test_bucketed_table(spark, tmp_path, rows, partition_by):
+    path, schema = str(tmp_path / "b"), T.StructType.fromDDL("k string, v array<string>, d date")
+    tables.create_table(spark, path, schema, partition_by, ("k", 3))
+    with pytest.raises(ValueError, match="exists"):
+        tables.create_table(spark, path, schema)
+    assert tables.read_table(spark, path, schema).count() == 0
+    df = spark.range(60).select(
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("k"), F.col("id") % 20)).alias("k"),
+        F.array(F.lit("a")).alias("v"), F.lit("2025-05-01").cast("date").alias("d"))
+    for _ in range(2):
+        tables.append_table(df.select("d", "v", "k"), path, schema=schema)
+    spark.sql(f"DROP TABLE {tables._registered(spark, path)}")  # as in another session
+    back = tables.read_table(spark, path, schema)
+    assert rows(back.select("k", "v", "d")) == rows(df.union(df))
+    plan = back.groupBy("k", "d").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
