@@ -14,6 +14,8 @@ from jobtide.plans import dimensions as dims
 from jobtide.plans import listings as lst
 from jobtide.plans.ingest import clean_records
 from jobtide.plans.marts import count_marts, mart
+from jobtide.schema import CLEANED_SCHEMA
+from jobtide.sources import tables
 from jobtide.sources.tables import existing_postings
 
 from conftest import SMALL
@@ -47,6 +49,25 @@ def test_conformed_is_map_only_without_copies(stored):
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "Python" not in text
 
 
+def test_a_bucketed_table_is_collapsed_where_it_lies(spark, tmp_path):
+    path = str(tmp_path / "bucketed")
+    tables.create_table(spark, path, CLEANED_SCHEMA, buckets=("ID", 4))
+    tables.append_table(X.sightings(spark, SMALL), path, schema=CLEANED_SCHEMA)
+    text = plan(conf.conformed_postings(tables.read_table(spark, path, CLEANED_SCHEMA), in_place=True))
+    below = text[text.index("HashAggregate(keys=[ID"):]
+    # The scan, which says that it is bucketed, comes before the lookup sides and what they were made by.
+    wide = below[:below.index("Bucketed: true")]
+    assert "Exchange hashpartitioning" not in wide and "Sort" not in wide
+    links = plan(conf.posting_links(tables.read_table(spark, path, CLEANED_SCHEMA), in_place=True))
+    assert "Exchange" not in links and "Bucketed: true" in links
+
+
+def test_finding_new_rows_counts_no_side_in_one_task(stored):
+    text = plan(lookup.keep_new(stored, stored.select("ID")))
+    assert "SinglePartition" not in text and "Limit" not in text
+    lookup.release()
+
+
 def test_large_dimensions_are_not_broadcast_whole(stored):
     text = plan(lookup.lookup_join(stored.select("ID", "CITY"), dims.city_lookup(dims.city_dimension(stored)), "CITY", limit=-1))
     assert "Union" in text and "CartesianProduct" not in text
