@@ -1,21 +1,22 @@
 """Documents whose shingle sets have a Jaccard of at least a threshold, and their groups.
 
-1. *Rarity.*  The shingles of all documents are counted.  A task sends those of some thousand
-   documents (a batch) as sorted 32-bit buckets, dealt over ranges; a range adds up its buckets and
-   answers each batch with the counts of those that any other document has, too.  A bucket that is
-   frequent inside a batch is sent once with its count, so no range gathers a frequent one.
+1. *Rarity.*  The 64-bit shingles of all documents are counted.  A task sends those of some thousand
+   documents (a batch) sorted, as gaps, dealt over ranges; a range adds up its shingles, a slice at
+   a time, and answers each batch with the counts of those that any other document has, too.  A
+   shingle that is frequent inside a batch is sent once with its count, so no range gathers a
+   frequent one.  The number of ranges grows with the text.
 2. *Prefixes.*  Two sets above the threshold share one of their first
    ``n - ceil(t n) + 1`` shingles, rare ones first.  Shingles of one document alone come first of
    all and are shared with nobody, so only what reaches beyond them is kept; most documents
    have nothing left and no partner.  Equal sets are one class, from here on one row.
-3. *Clusters.*  Classes that share a prefix bucket fall into one cluster, by links from the
-   smallest class that has the bucket.  No pair is formed.
-4. *Blocks.*  A cluster is dealt over chunks of about ``CHUNK`` classes, and each pair of chunks is
-   a block: every pair of classes meets in one block only.  In a small block the length filter,
-   the positional bound of the first shared prefix shingle and the suffix filter (the sum of
-   the smaller counts over 16 hash ranges bounds the overlap) drop pairs, and the exact
-   overlap verifies the rest; a large block takes all overlaps at once from products of
-   presence matrices.  A block returns a spanning forest of its links.
+3. *Clusters.*  Classes that share a prefix shingle fall into one cluster, by links from the
+   smallest class that has the shingle.  No pair is formed.
+4. *Blocks.*  A cluster is dealt over chunks of about ``CHUNK`` classes and ``CHUNK_SHINGLES``, and
+   each pair of chunks is a block: every pair of classes meets in one block only.  The length
+   filter, the positional bound of the first shared prefix shingle and the suffix filter (the
+   sum of the smaller counts over 16 hash ranges bounds the overlap) drop pairs; only classes
+   with a pair left are compared, a few pairs one by one, many by products of presence matrices.
+   A block returns a spanning forest of its links.
 5. *Components* of the links, by smallest labels with hooks and shortcuts over written tables.
 
 Counts, links, classes and labels stay in tables; nothing of them goes through the driver.
@@ -40,9 +41,12 @@ from jobtide.llm.common import maybe_broadcast, short_batches, shuffle_parts, st
 from jobtide.llm.shingles import shingle_sets
 
 SHINGLE, PERCENT = 3, 90
-# Shingles and documents of a batch, and the count from which a bucket is frequent in it.
+# Shingles and documents of a batch, and the count from which a shingle is frequent in it.
 BATCH_TOKENS, BATCH_DOCUMENTS, OFTEN, NOBODY = 1 << 20, 60_000, 32, 0xFFFF
-CHUNK, SUFFIX_BITS, DENSE_COLUMNS, FEW = 384, 4, 1 << 13, 8
+# Shingles that a range is meant to hold, and those it adds up at once.  There are at most as many
+# ranges as leave 32 shingles of a batch for each, so past some terabytes of text the batches have to grow, too.
+RANGE_SHINGLES, SLICE_SHINGLES = 1 << 22, 1 << 20
+CHUNK, CHUNK_SHINGLES, SUFFIX_BITS, DENSE_COLUMNS, FEW = 384, 1 << 21, 4, 1 << 13, 8
 
 
 def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -53,12 +57,26 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int | None, np.nda
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """32-bit numbers with all first bytes, then all second bytes: small ones compress well."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Numbers with all first bytes, then all second bytes, as many as the greatest needs."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def _from_planes(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _packed(values: np.ndarray) -> tuple[int, bytes]:
+    """Sorted shingles as the first one, signed, and the gaps."""
+    return int(values[:1].view(np.int64)[0]), _planes(np.diff(values, prepend=values[:1]))
+
+
+def _unpacked(first: int, gaps: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(gaps), dtype=np.uint64) + np.array([first], np.int64).view(np.uint64)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -82,10 +100,10 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _send_batch(number: int, names: list, digests: list[bytes], buckets: list[np.ndarray], shift: int) -> pa.RecordBatch:
-    """One row for each range with buckets of the batch, and one that lists its documents."""
-    sizes = np.array([len(b) for b in buckets], np.int64)
-    flat = np.concatenate(buckets)
+def _send_batch(number: int, names: list, digests: list[bytes], sets: list[np.ndarray], shift: int) -> pa.RecordBatch:
+    """One row for each range with shingles of the batch, and one that lists its documents."""
+    sizes = np.array([len(b) for b in sets], np.int64)
+    flat = np.concatenate(sets)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)[order]
     first = np.ones(len(flat), bool)
@@ -95,38 +113,53 @@ def _send_batch(number: int, names: list, digests: list[bytes], buckets: list[np
     keep = ~often | first
     times = np.where(often, np.repeat(runs, runs), 1)[keep]
     sent, owners = flat[keep], np.where(often, NOBODY, owner)[keep].astype("<u2")
-    edges = np.arange(0, (1 << 32) + 1, 1 << shift, dtype=np.uint64)
-    cuts = np.searchsorted(sent, edges)
+    ranges = 1 << (64 - shift)
+    cuts = np.append(np.searchsorted(sent, np.arange(ranges, dtype=np.uint64) << np.uint64(shift)), len(sent))
     rows = []
     for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
         if b > a:
-            gaps = np.diff(sent[a:b].astype(np.int64), prepend=int(sent[a]))
-            rows.append((r, number, int(sent[a]), _planes(gaps), owners[a:b].tobytes(), _planes(times[a:b]), *[None] * 5))
-    listing = (names, b"".join(digests), sizes.astype("<u4").tobytes(), flat[often].astype("<u4").tobytes(), owner[often].astype("<u2").tobytes())
-    rows.append((number % (len(edges) - 1), number, None, None, None, None, *listing))
+            rows.append((r, number, *_packed(sent[a:b]), owners[a:b].tobytes(), _planes(times[a:b]), *[None] * 5))
+    listing = (names, b"".join(digests), sizes.astype("<u4").tobytes(), flat[often].astype("<u8").tobytes(), owner[often].astype("<u2").tobytes())
+    rows.append((number % ranges, number, None, None, None, None, *listing))
     return _rows(rows, _SENT)
 
 
-def _answer_range(at: int, rows: list[tuple], shift: int) -> pa.RecordBatch:
-    """The counts of a range's shared buckets for each batch; listings go on as they are."""
-    base, out = at << shift, []
-    places = [None if r[1] is None else np.cumsum(_from_planes(r[2]).astype(np.int64)) + r[1] - base for r in rows]
-    sent = [p for p in places if p is not None]
-    if sent:
-        times = np.concatenate([_from_planes(r[4]) for r in rows if r[1] is not None])
-        # A bucket stands several times in a batch, once for each owner.
-        _, which = np.unique(np.concatenate(sent), return_inverse=True)
-        total = np.bincount(which, weights=times)[which].astype(np.int64)
-        totals = iter(np.split(total, np.cumsum([len(p) for p in sent])[:-1]))
-    for (number, first, _, owners, _, *listing), place in zip(rows, places):
+def _totals(places: list[np.ndarray], times: list[np.ndarray]) -> list[np.ndarray]:
+    """How often each shingle of the sorted lists stands in all of them, a slice of their values at a time."""
+    out = [np.zeros(len(p), np.int64) for p in places]
+    size = sum(map(len, places))
+    # Hashes are spread evenly, so slices of equal width have about equal sizes.
+    slices = size // SLICE_SHINGLES + 1
+    low, high = min(int(p[0]) for p in places), max(int(p[-1]) for p in places)
+    ends = np.array([low + (high - low) * k // slices for k in range(1, slices)], np.uint64)
+    cuts = [np.concatenate([[0], np.searchsorted(p, ends), [len(p)]]) for p in places]
+    for k in range(len(ends) + 1):
+        parts = [slice(int(c[k]), int(c[k + 1])) for c in cuts]
+        # A shingle stands several times in a batch, once for each owner.
+        _, which = np.unique(np.concatenate([p[s] for p, s in zip(places, parts)]), return_inverse=True)
+        if not len(which):
+            continue
+        total = np.bincount(which, weights=np.concatenate([t[s] for t, s in zip(times, parts)]))[which].astype(np.int64)
+        for o, s, found in zip(out, parts, np.split(total, np.cumsum([s.stop - s.start for s in parts])[:-1])):
+            o[s] = found
+    return out
+
+
+def _answer_range(rows: list[tuple]) -> pa.RecordBatch:
+    """The counts of a range's shared shingles for each batch; listings go on as they are."""
+    out = []
+    sent = [r for r in rows if r[1] is not None]
+    places = [_unpacked(r[1], r[2]) for r in sent]
+    counts = iter(zip(places, _totals(places, [_from_planes(r[4]) for r in sent]))) if sent else iter(())
+    for number, first, _, owners, _, *listing in rows:
         if first is None:
             out.append((0, number, None, None, None, None, *listing))
             continue
-        count = next(totals)
+        place, count = next(counts)
         shared = count > 1
-        own = np.frombuffer(owners, "<u2")[shared]
-        counts = np.minimum(count[shared], 0xFFFFFFFF)
-        out.append((0, number, 0, (place[shared] + base).astype("<u4").tobytes(), own.tobytes(), _planes(counts), *[None] * 5))
+        if shared.any():
+            own = np.frombuffer(owners, "<u2")[shared]
+            out.append((0, number, *_packed(place[shared]), own.tobytes(), _planes(count[shared]), *[None] * 5))
     return _rows(out, _SENT)
 
 
@@ -135,59 +168,65 @@ def _batch_prefixes(rows: list[tuple], percent: int) -> list[tuple]:
     listing = next(r for r in rows if r[1] is None)
     ids, classes, sizes, often, often_owners = listing[5:]
     answers = [r for r in rows if r[1] is not None]
-    bucket = np.concatenate([np.zeros(0, "<u4"), *[np.frombuffer(r[2], "<u4") for r in answers]]).astype(np.int64)
+    token = np.concatenate([np.zeros(0, np.uint64), *[_unpacked(r[1], r[2]) for r in answers]])
     owner = np.concatenate([np.zeros(0, "<u2"), *[np.frombuffer(r[3], "<u2") for r in answers]]).astype(np.int64)
-    count = np.concatenate([np.zeros(0, "<u4"), *[_from_planes(r[4]) for r in answers]]).astype(np.int64)
+    count = np.concatenate([np.zeros(0, "<u8"), *[_from_planes(r[4]) for r in answers]]).astype(np.int64)
     common = owner == NOBODY
-    known, known_count = bucket[common], count[common]
+    known, known_count = token[common], count[common]
     order = np.argsort(known)
-    held, held_owner = np.frombuffer(often, "<u4").astype(np.int64), np.frombuffer(often_owners, "<u2").astype(np.int64)
-    held_count = known_count[order][np.searchsorted(known[order], held)] if len(held) else held
-    bucket = np.concatenate([bucket[~common], held])
+    held, held_owner = np.frombuffer(often, "<u8"), np.frombuffer(often_owners, "<u2").astype(np.int64)
+    held_count = known_count[order][np.searchsorted(known[order], held)] if len(held) else np.zeros(0, np.int64)
+    token = np.concatenate([token[~common], held])
     owner = np.concatenate([owner[~common], held_owner])
     count = np.concatenate([count[~common], held_count])
-    order = np.lexsort((bucket, count, owner))
-    bucket, ends = bucket[order], np.searchsorted(owner[order], np.arange(len(ids) + 1))
+    order = np.lexsort((token, count, owner))
+    token, ends = token[order].view(np.int64), np.searchsorted(owner[order], np.arange(len(ids) + 1))
     out = []
     for k, (name, n) in enumerate(zip(ids, np.frombuffer(sizes, "<u4").tolist())):
         a, b = int(ends[k]), int(ends[k + 1])
         alone = n - (b - a)
         reach = max(0, prefix_length(n, percent) - alone)
-        out.append((name, classes[16 * k:16 * k + 16], n, alone, bucket[a:min(b, a + reach)].tolist()))
+        out.append((name, classes[16 * k:16 * k + 16], n, alone, token[a:min(b, a + reach)].tolist()))
     return out
 
 
+def range_bits(docs: DataFrame) -> int:
+    """Bits that number the ranges: some for each partition, more for more text, at two bytes a shingle or more."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    wanted = max(shuffle_parts(docs.sparkSession) * 4, size // 2 // RANGE_SHINGLES)
+    return max(4, min(wanted.bit_length(), (BATCH_TOKENS // 32).bit_length() - 1))
+
+
 def document_prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, class, n, alone, prefix) of all documents, stored.
 
     ``alone`` shingles stand before the prefix and are in no other document.
     """
     parts = shuffle_parts(docs.sparkSession)
-    bits = max(4, parts.bit_length() + 2)
-    shift = 32 - bits
+    shift = 64 - range_bits(docs)
     result = pa.schema([("doc_id", pa.int64()), ("class", pa.binary()), ("n", pa.int64()), ("alone", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
     @tidy
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = TaskContext.get().partitionId() << 32, 0
-        names, digests, buckets = [], [], []
+        names, digests, sets = [], [], []
         for batch in batches:
             for name, tokens in _sets(batch, size):
                 names.append(name)
                 digests.append(_digest(tokens))
-                buckets.append((tokens >> np.uint64(32)).astype(np.uint32))
+                sets.append(tokens)
                 held += len(tokens)
                 if held >= BATCH_TOKENS or len(names) >= BATCH_DOCUMENTS:
-                    yield _send_batch(number, names, digests, buckets, shift)
+                    yield _send_batch(number, names, digests, sets, shift)
                     number, held = number + 1, 0
-                    names, digests, buckets = [], [], []
+                    names, digests, sets = [], [], []
         if names:
-            yield _send_batch(number, names, digests, buckets, shift)
+            yield _send_batch(number, names, digests, sets, shift)
 
     @tidy
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for at, rows in _grouped(batches, _SENT.names):
-            yield _answer_range(at, rows, shift)
+        for _, rows in _grouped(batches, _SENT.names):
+            yield _answer_range(rows)
 
     @tidy
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,8 +288,9 @@ def clusters(classes: DataFrame) -> DataFrame:
     postings = stored(tokens.join(maybe_broadcast(common, common.count(), 64), "token", "left_semi"), "postings")
     heads = postings.groupBy("token").agg(F.min("class").alias("a"))
     links = postings.join(heads, "token").where(F.col("class") != F.col("a")).select("a", F.col("class").alias("b")).distinct()
-    found = stored(components(links), "clusters")
-    sizes = found.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / F.lit(CHUNK)).cast("int").alias("chunks"))
+    found = stored(components(links), "clusters").join(classes.select(F.col("class").alias("node"), "n"), "node")
+    wanted = F.greatest(F.count(F.lit(1)) / F.lit(CHUNK), F.sum("n") / F.lit(CHUNK_SHINGLES))
+    sizes = found.groupBy("label").agg(F.ceil(wanted).cast("int").alias("chunks"))
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     return found.join(sizes, "label").select(
         F.col("node").alias("class"), F.col("label").alias("cluster"), chunk.alias("chunk"), "chunks")
@@ -279,39 +319,61 @@ def _linked(shared: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> n
     return 100 * shared >= percent * (a + b - shared)
 
 
-def _positional_bound(places: dict[int, int], prefix: list[int], a: int, b: int) -> int:
-    """The most that two sets can share, from the first prefix bucket they share; a and b are
-    the sizes without the shingles that one document has alone."""
-    for j, token in enumerate(prefix):
-        if (i := places.get(token)) is not None:
-            return min(a - i, b - j)
-    return 0
-
+def _positional_bounds(prefixes: list[np.ndarray], rest: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The most that each pair can share, from the first prefix shingle they share; 0 where they share none.
 
-def _few_links(
-    sets: list[np.ndarray], prefixes: list[list[int]], alone: list[int], left: list[int], right: list[int], percent: int
-) -> Iterator[tuple[int, int]]:
-    """Links of a small block, pair by pair: length, positional and suffix filter, then the overlap."""
-    counts = [_suffix_counts(s) for s in sets]
-    places = [{token: i for i, token in enumerate(p)} for p in prefixes]
-    for i in left:
-        for j in right:
-            a, b = len(sets[i]), len(sets[j])
-            if (left is right and i >= j) or 100 * min(a, b) < percent * max(a, b):
-                continue
-            if not _linked(_positional_bound(places[i], prefixes[j], a - alone[i], b - alone[j]), a, b, percent):
-                continue
-            if not _linked(np.minimum(counts[i], counts[j]).sum(), a, b, percent):
-                continue
-            if _linked(len(np.intersect1d(sets[i], sets[j], assume_unique=True)), a, b, percent):
-                yield i, j
-
-
-def _many_links(sets: list[np.ndarray], left: list[int], right: list[int], percent: int) -> Iterator[tuple[int, int]]:
-    """Links of a large block: overlaps of all pairs as products of presence matrices, in slices."""
+    ``rest`` has the sizes without the shingles that one document has alone.  Both places grow along
+    the common order, so the first shared shingle is the one that leaves most.
+    """
+    sizes = [len(p) for p in prefixes]
+    token, owner = np.concatenate(prefixes), np.repeat(np.arange(len(prefixes)), sizes)
+    after = rest[owner] - np.concatenate([np.arange(n) for n in sizes])
+    order = np.argsort(token, kind="stable")
+    token, owner, after = token[order], owner[order], after[order]
+    at = np.full((2, len(prefixes)), -1)
+    at[0, left], at[1, right] = np.arange(len(left)), np.arange(len(right))
+    bounds = np.zeros((len(left), len(right)), np.int64)
+    starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, int)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(token)]):
+        if b - a > 1:
+            rows, columns = at[0, owner[a:b]], at[1, owner[a:b]]
+            r, c = rows >= 0, columns >= 0
+            pairs = np.ix_(rows[r], columns[c])
+            bounds[pairs] = np.maximum(bounds[pairs], np.minimum(after[a:b][r][:, None], after[a:b][c][None, :]))
+    return bounds
+
+
+def _candidates(
+    sets: list[np.ndarray], prefixes: list[np.ndarray], alone: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int,
+) -> np.ndarray:
+    """Pairs that the length, the positional and the suffix filter leave; each pair of one side once."""
     size = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), size)
-    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    a, b = size[left][:, None], size[right][None, :]
+    ok = 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+    ok &= _linked(_positional_bounds(prefixes, size - alone, left, right), a, b, percent)
+    if left is right:
+        ok &= np.triu(ok, 1)
+    if ok.any():
+        counts = np.stack([_suffix_counts(s) for s in sets])
+        most = np.zeros(ok.shape, np.int64)
+        for k in range(1 << SUFFIX_BITS):
+            most += np.minimum(counts[left, k][:, None], counts[right, k][None, :])
+        ok &= _linked(most, a, b, percent)
+    return ok
+
+
+def _few_links(sets: list[np.ndarray], pairs: list[tuple[int, int]], percent: int) -> Iterator[tuple[int, int]]:
+    for i, j in pairs:
+        if _linked(len(np.intersect1d(sets[i], sets[j], assume_unique=True)), len(sets[i]), len(sets[j]), percent):
+            yield i, j
+
+
+def _many_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, ok: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """The candidates that link: overlaps as products of presence matrices, in slices."""
+    size = np.array([len(s) for s in sets], np.int64)
+    used = np.unique(np.concatenate([left, right]))
+    owner = np.repeat(used, size[used])
+    _, column, times = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True, return_counts=True)
     # Shingles of one class alone are in no overlap.
     rank = np.cumsum(times > 1) - 1
     use = times[column] > 1
@@ -324,18 +386,28 @@ def _many_links(sets: list[np.ndarray], left: list[int], right: list[int], perce
     for start in range(0, width, DENSE_COLUMNS):
         a, b = np.searchsorted(column, [start, start + DENSE_COLUMNS])
         sides = []
-        for rows in ([left] if left is right else [left, right]):
+        for rows in (left, right):
             place[:] = -1
             place[rows] = np.arange(len(rows))
             own = place[owner[a:b]]
             matrix = np.zeros((len(rows), min(DENSE_COLUMNS, width - start)), np.float32)
             matrix[own[own >= 0], column[a:b][own >= 0] - start] = 1
             sides.append(matrix)
-        shared += sides[0] @ sides[-1].T
-    ok = _linked(shared.astype(np.int64), size[left][:, None], size[right][None, :], percent)
+        shared += sides[0] @ sides[1].T
+    ok &= _linked(shared.astype(np.int64), size[left][:, None], size[right][None, :], percent)
     for i, j in zip(*(x.tolist() for x in np.nonzero(ok))):
-        if left is not right or i < j:
-            yield left[i], right[j]
+        yield int(left[i]), int(right[j])
+
+
+def links_of(
+    sets: list[np.ndarray], prefixes: list[np.ndarray], alone: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int,
+) -> Iterator[tuple[int, int]]:
+    """All links between two sides of a block (or inside one): filters first, then exact overlaps of what they leave."""
+    ok = _candidates(sets, prefixes, alone, left, right, percent)
+    rows, columns = ok.any(axis=1), ok.any(axis=0)
+    if ok.sum() <= FEW:
+        return _few_links(sets, [(int(left[i]), int(right[j])) for i, j in zip(*np.nonzero(ok))], percent)
+    return _many_links(sets, left[rows], right[columns], ok[np.ix_(rows, columns)], percent)
 
 
 def block_links(blocks: DataFrame, percent: int) -> DataFrame:
@@ -344,8 +416,8 @@ def block_links(blocks: DataFrame, percent: int) -> DataFrame:
     def forest(rows: list[tuple[int, bytes, int, list[int], bytes]], same: bool) -> list[tuple[bytes, bytes]]:
         sides, names, alone, prefixes, tokens = zip(*rows)
         sets = [np.frombuffer(t, "<u8") for t in tokens]
-        left = [k for k, side in enumerate(sides) if side == 0]
-        right = left if same else [k for k, side in enumerate(sides) if side == 1]
+        left = np.flatnonzero(np.array(sides) == 0)
+        right = left if same else np.flatnonzero(np.array(sides) == 1)
         root = list(range(len(rows)))
 
         def find(x: int) -> int:
@@ -354,10 +426,8 @@ def block_links(blocks: DataFrame, percent: int) -> DataFrame:
                 x = root[x]
             return x
 
-        few = len(rows) <= FEW
-        found = _few_links(sets, prefixes, alone, left, right, percent) if few else _many_links(sets, left, right, percent)
         out = []
-        for i, j in found:
+        for i, j in links_of(sets, [np.array(p, np.int64) for p in prefixes], np.array(alone), left, right, percent):
             a, b = find(i), find(j)
             if a != b:
                 root[b] = a

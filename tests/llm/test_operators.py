@@ -1,5 +1,6 @@
 """Operators by themselves: hand-worked cases, properties, other parameters."""
 
+import collections
 import itertools
 import random
 import re
@@ -250,13 +251,80 @@ def test_components_of_a_long_shuffled_chain(spark):
     assert got == {n: min(part) for part in (names[:2500], names[2500:]) for n in part}
 
 
-def test_large_and_small_blocks_find_the_same_links():
-    rng = np.random.default_rng(1)
-    sets = [np.unique(rng.integers(0, 60, 50).astype(np.uint64) << np.uint64(57)) for _ in range(12)]
-    left, right = list(range(7)), list(range(7, 12))
-    for a, b in ((left, left), (left, right)):
-        few = set(near._few_links(sets, [[1]] * 12, [0] * 12, a, b, 50))
-        assert few == set(near._many_links(sets, a, b, 50))
+def rare_first(sets, percent):
+    """(prefixes, alone) of sets, from the counts over all of them."""
+    counts = collections.Counter(t for one in sets for t in one.tolist())
+    prefixes, alone = [], []
+    for one in sets:
+        order = sorted(one.tolist(), key=lambda t: (counts[t], t))
+        single = sum(counts[t] == 1 for t in order)
+        reach = max(0, near.prefix_length(len(order), percent) - single)
+        prefixes.append(np.array(order[single:single + reach], np.uint64).view(np.int64))
+        alone.append(single)
+    return prefixes, np.array(alone)
+
+
+@pytest.mark.parametrize("few", [0, 1 << 30])
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_filters_lose_no_link(monkeypatch, few, percent):
+    monkeypatch.setattr(near, "FEW", few)
+    rng = np.random.default_rng(percent)
+    for _ in range(20):
+        base = [rng.integers(0, 1 << 63, rng.integers(3, 60)).astype(np.uint64) * np.uint64(2) for _ in range(4)]
+        sets = []
+        for _ in range(14):
+            own = base[rng.integers(0, 4)]
+            kept = own[rng.random(len(own)) > rng.choice([0, 0.05, 0.3])]
+            sets.append(np.unique(np.concatenate([kept, own[:1], rng.integers(0, 1 << 63, rng.integers(0, 4)).astype(np.uint64)])))
+        prefixes, alone = rare_first(sets, percent)
+        first, second = np.arange(8), np.arange(8, 14)
+        for left, right in ((first, first), (first, second)):
+            wanted = set()
+            for i in left.tolist():
+                for j in right.tolist():
+                    both = len(np.intersect1d(sets[i], sets[j]))
+                    if (left is not right or i < j) and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                        wanted.add((i, j))
+            assert set(near.links_of(sets, prefixes, alone, left, right, percent)) == wanted
+
+
+@pytest.mark.parametrize("width", [1, 300, 1 << 20, (1 << 40) - 1, (1 << 64) - 1])
+def test_planes_and_gaps_come_back(width):
+    values = np.unique(np.random.default_rng(3).integers(0, width, 50, dtype=np.uint64, endpoint=True))
+    assert near._from_planes(near._planes(values)).tolist() == values.tolist()
+    assert near._unpacked(*near._packed(values)).tolist() == values.tolist()
+
+
+def test_totals_by_slices(monkeypatch):
+    rng = np.random.default_rng(2)
+    places = [np.sort(rng.integers(0, 1 << 60, 400).astype(np.uint64) % np.uint64(500) << np.uint64(50)) for _ in range(5)]
+    times = [rng.integers(1, 9, 400) for _ in range(5)]
+    whole = near._totals(places, times)
+    monkeypatch.setattr(near, "SLICE_SHINGLES", 70)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, near._totals(places, times)))
+    sums = collections.Counter()
+    for p, t in zip(places, times):
+        for value, n in zip(p.tolist(), t.tolist()):
+            sums[value] += n
+    assert [sums[v] for v in places[0].tolist()] == whole[0].tolist()
+
+
+def test_strangers_that_share_half_a_hash_meet_in_no_block(spark, monkeypatch, rows):
+    """Shingles in only some 20 buckets of their upper 32 bits, a load of hundreds."""
+    real = near.shingle_sets
+
+    def crowded(texts, size):
+        return [np.unique((s & np.uint64(0xFFFFFFFF)) | (s % np.uint64(20)) << np.uint64(60)) for s in real(texts, size)]
+
+    monkeypatch.setattr(near, "shingle_sets", crowded)
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(120))
+    docs = spark.createDataFrame([(i, text(i)) for i in range(60)] + [(99, text(7) + " more")], "doc_id bigint, text string").coalesce(1)
+    prefixes = near.document_prefixes(docs, 3, 90)
+    assert {r.doc_id for r in prefixes.where("size(prefix) > 0").collect()} <= {7, 99}
+    classes = prefixes.where("n > 0").select("class", "doc_id", "n", "prefix")
+    assert near.clusters(classes).count() <= 2
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(docs).collect()}
+    assert got == {**{i: i for i in range(60)}, 99: 7}
 
 
 # --- language, fingerprints -------------------------------------------------------------------
