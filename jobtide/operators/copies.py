@@ -13,13 +13,12 @@ be broadcast, no row is taken for alone and all take the exact path.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from math import ceil, log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.operators.aggregate import count_distinct_mart
+from jobtide.operators.bloom import Bloom, bloom_filter
 from jobtide.operators.lookup import BROADCAST_LIMIT
 from jobtide.sources.tables import stored_scratch
 
@@ -29,24 +28,6 @@ _HASH_BYTES = 32
 # The share of rows that are alone which a Bloom filter may mistake, and the most memory it may take.
 FALSE_SHARE = 0.01
 FILTER_LIMIT = 8 * BROADCAST_LIMIT
-# Fixed by Spark: bits of one bitmap of its bitmap functions.
-_BITMAP_BITS = 1 << 15
-# Bits set for a hash; each is 15 bits of one of two further hashes.
-_PROBES = 6
-
-
-def _blocks(hashes: int, share: float) -> int:
-    """Blocks of a filter of so many hashes: the size for half the share, as hashes are dealt unevenly."""
-    bits = -_PROBES / log(1 - (share / 2) ** (1 / _PROBES))
-    return max(1, ceil(hashes * bits / _BITMAP_BITS))
-
-
-def _places(tag: Column) -> list[Column]:
-    """The bits of a hash within its block."""
-    wide, narrow = F.xxhash64(tag), F.hash(tag).cast("bigint")
-    mask = F.lit(_BITMAP_BITS - 1).cast("bigint")
-    return [F.shiftrightunsigned(wide, 15 * k).bitwiseAND(mask) for k in range(4)] + [
-        F.shiftrightunsigned(narrow, 15 * k).bitwiseAND(mask) for k in range(_PROBES - 4)]
 
 
 @dataclass(frozen=True)
@@ -59,8 +40,7 @@ class CopyFilter:
     probe: tuple[str, ...]
     repeated: int  # hashes that repeat
     hashes: DataFrame | None = None  # the hashes, while they are broadcast as they are
-    blocks: int = 0
-    maps: DataFrame | None = None  # (block, bits) of the Bloom filter
+    bloom: Bloom | None = None
 
     def split(self, df: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
         """``(alone, repeated)``: rows that have no copy, and the rest.  None stands for no rows."""
@@ -70,19 +50,10 @@ class CopyFilter:
         if self.hashes is not None:
             sides = F.broadcast(self.hashes)
             return tuple(tagged.join(sides, _TAG, how).drop(_TAG) for how in ("left_anti", "left_semi"))
-        if self.maps is None:
+        if self.bloom is None:
             return None, df
-        flagged = tagged.join(
-            F.broadcast(self.maps), F.pmod(_TAG, F.lit(self.blocks)) == F.col("__block"), "left").withColumn("__again", self._is_set())
-        return tuple(
-            flagged.where(side).drop(_TAG, "__again", "__block", "__map") for side in (~F.col("__again"), F.col("__again")))
-
-    def _is_set(self) -> Column:
-        def bit(place: Column) -> Column:
-            byte = F.substring("__map", (F.floor(place / 8) + 1).cast("int"), F.lit(1))
-            return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int")) == 1
-
-        return F.coalesce(reduce(lambda a, b: a & b, map(bit, _places(F.col(_TAG)))), F.lit(False))
+        flagged = self.bloom.flagged(tagged, _TAG, "__again")
+        return tuple(flagged.where(side).drop(_TAG, "__again") for side in (~F.col("__again"), F.col("__again")))
 
 
 def copy_filter(
@@ -94,13 +65,7 @@ def copy_filter(
     repeated = again.count()
     if repeated * _HASH_BYTES <= limit:
         return CopyFilter(tuple(probe), repeated, again)
-    blocks = _blocks(repeated, share)
-    if blocks * _BITMAP_BITS // 8 > filter_limit:
-        return CopyFilter(tuple(probe), repeated)
-    bits = again.select(
-        F.pmod(_TAG, F.lit(blocks)).alias("__block"), F.explode(F.array(*_places(F.col(_TAG)))).alias("__bit"))
-    maps = bits.groupBy("__block").agg(F.bitmap_construct_agg("__bit").alias("__map"))
-    return CopyFilter(tuple(probe), repeated, None, blocks, stored_scratch(maps, "copy-filter"))
+    return CopyFilter(tuple(probe), repeated, None, bloom_filter(again, _TAG, repeated, share, filter_limit))
 
 
 def split_copies(

@@ -123,7 +123,7 @@ def test_a_filter_mistakes_few_rows_however_many_hashes_it_has(spark, repeated):
     copied = spark.range(repeated).select(F.concat(F.lit("c"), F.col("id")).alias("ID"))
     single = spark.range(50000).select(F.concat(F.lit("s"), F.col("id")).alias("ID"))
     made = copies.copy_filter(copied.union(copied).union(single), ["ID"], NEVER)
-    assert made.maps is not None and made.blocks * 4096 < 2 * repeated + 4096
+    assert made.hashes is None and made.bloom.blocks * 4096 < 2 * repeated + 4096
     alone, again = made.split(single)
     assert again.count() <= copies.FALSE_SHARE * 50000
     assert made.split(copied)[0].isEmpty() and made.split(copied)[1].count() == repeated
