@@ -8,24 +8,31 @@ documents that hold a prefix token are joined to the windows, those where the wi
 reach over an end of the document are dropped (length and position bounds), and the rest is
 compared word by word.
 
-A side is broadcast only when its counted size is below the limit; past that the positions
-are shuffled on their token with the words around them, and adaptive execution splits a token
-that is still frequent.
+The windows are broadcast only when their counted size is below the limit.  Past that a Bloom
+filter of the prefix tokens is broadcast, sized by their number, and each position that may hold one is
+shuffled on its token with 128 bits of hash for every window that reaches over it, no words; adaptive
+execution splits a token that is still frequent.  Item ids are not carried by occurrences:
+windows of the same items share a number, and a document's distinct numbers are looked up last.
 
 Null or empty text has no words and is in the result with zeros.  Items without words match
-nothing; an item with null id marks words but is not listed.  Rows with the same doc_id and
-text are one document.  With an empty benchmark nothing is hit.  Other columns are not read.
+nothing; an item with null id marks words but is not listed.  Rows that repeat each get a row.  With an
+empty benchmark nothing is hit.  Other columns are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from jobtide.llm.common import ascii_lower, small_enough, stored, table
+from jobtide.llm.common import ascii_lower, let, small_enough, stored, table, unused
+from jobtide.operators.bloom import bloom_filter
 
 WINDOW = 10
+# The share of other tokens that a filter may let pass, and the most memory it may take.
+FALSE_SHARE, FILTER_BYTES = 0.01, 256 << 20
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Ends every document's word list; no word can hold it.
 END = "\u0000"
@@ -41,65 +48,91 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     length = F.least(F.size("words"), F.lit(window))
     starts = F.sequence(F.lit(1), F.size("words") - length + 1)
     each = listed.select("item_id", F.explode(F.transform(starts, lambda s: F.slice("words", s, length))).alias("window"))
-    return each.groupBy("window").agg(F.collect_set("item_id").alias("items"))
+    return each.groupBy("window").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
 
 
 def token_counts(docs: DataFrame, vocabulary: DataFrame, limit: int) -> DataFrame:
-    """How often the benchmark's tokens occur in all documents."""
+    """How often the benchmark's tokens occur in all documents.
+
+    Past the broadcast limit tokens of other texts are sorted out by a Bloom filter and the rest is
+    counted in each task before it is shuffled.
+    """
     rows = vocabulary.count()
-    side = F.broadcast(vocabulary) if small_enough(rows, 64, limit) else vocabulary
     tokens = docs.select(F.explode(words(F.col("text"))).alias("token"))
-    return tokens.join(side, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    if small_enough(rows, 64, limit):
+        return tokens.join(F.broadcast(vocabulary), "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    near = _maybe(tokens, vocabulary, rows)
+    return near.groupBy("token").agg(F.count(F.lit(1)).alias("n")).join(vocabulary, "token")
+
+
+def _maybe(tokens: DataFrame, sought: DataFrame, count: int) -> DataFrame:
+    """Rows whose token may be one of the sought ones: all of them where a filter would be too large."""
+    tag, found = unused(tokens, "_tag"), unused(tokens, "_found")
+    bloom = bloom_filter(sought.select(F.xxhash64("token").alias(tag)), tag, count, FALSE_SHARE, FILTER_BYTES)
+    if bloom is None:
+        return tokens
+    return bloom.flagged(tokens.withColumn(tag, F.xxhash64("token")), tag, found).where(found).drop(tag, found)
 
 
 def prefixed_windows(docs: DataFrame, windows: DataFrame, limit: int) -> DataFrame:
     """Windows with their rarest token over all documents and its place in the window."""
     places = windows.select("window", F.posexplode("window").alias("offset", "token"))
-    counts = token_counts(docs, places.select("token").distinct(), limit)
+    vocabulary = stored(places.select("token").distinct(), "vocabulary")
+    counts = token_counts(docs, vocabulary, limit)
     ranked = places.join(counts, "token", "left").groupBy("window").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "offset")).alias("rarest"))
     # A window with a token that no document holds occurs nowhere.
     kept = ranked.where(F.col("rarest.n") > 0)
     return kept.join(windows, "window").select(
         F.col("rarest.token").alias("token"), F.col("rarest.offset").alias("offset"),
-        F.size("window").alias("length"), "window", "items")
+        F.size("window").alias("length"), "window", "owners")
 
 
-def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = 64 << 20) -> DataFrame:
-    """(doc_id, key, start, end, items): a row for each window in a document, and one that
-    starts and ends after the last word of each document."""
-    spark = docs.sparkSession
-    read = docs.select("doc_id", "text")
-    found = stored(prefixed_windows(read, item_windows(items, window), limit), "windows")
-    size = found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("items")).alias("ids")).first()
-    broadcast = small_enough(size["n"], 120 + 24 * window, limit) and small_enough(size["ids"] or 0, 16, limit)
-    item_type = dict(items.dtypes)["item_id"]
-    end_row = spark.range(1).select(
+def _listed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("text").alias("key"), words(F.col("text")).alias("words"))
+
+
+def _by_broadcast(docs: DataFrame, found: DataFrame) -> DataFrame:
+    end_row = docs.sparkSession.range(1).select(
         F.lit(END).alias("token"), F.lit(0).alias("offset"), F.lit(0).alias("length"),
-        F.array().cast("array<string>").alias("window"), F.array().cast(f"array<{item_type}>").alias("items"))
-    sought = found.unionByName(end_row)
-    listed = read.select(
-        "doc_id", F.xxhash64("text").alias("key"), F.concat(words(F.col("text")), F.array(F.lit(END))).alias("words"))
-    if broadcast:
-        placed = listed.select("doc_id", "key", "words", F.posexplode("words").alias("pos", "token"))
-        start = F.col("pos") - F.col("offset")
-        fits = (start >= 0) & (start + F.col("length") < F.size("words"))
-        same = F.slice("words", start + 1, F.col("length")) == F.col("window")
-        side = F.broadcast(sought)
-    else:
-        around = F.transform("words", lambda w, i: F.struct(
-            i.alias("pos"), w.alias("token"), F.least(i, F.lit(window - 1)).alias("before"),
-            F.slice("words", F.greatest(i - window + 2, F.lit(1)), F.lit(2 * window - 1)).alias("near")))
-        placed = listed.select("doc_id", "key", F.inline(around))
-        start = F.col("pos") - F.col("offset")
-        begin = F.col("before") - F.col("offset")
-        fits = (begin >= 0) & (begin + F.col("length") <= F.size("near"))
-        same = F.slice("near", begin + 1, F.col("length")) == F.col("window")
-        side = sought
+        F.array().cast("array<string>").alias("window"), F.lit(None).cast("bigint").alias("owners"))
+    listed = _listed(docs).withColumn("words", F.concat("words", F.array(F.lit(END))))
+    placed = listed.select("doc_id", "key", "words", F.posexplode("words").alias("pos", "token"))
+    start = F.col("pos") - F.col("offset")
+    fits = (start >= 0) & (start + F.col("length") < F.size("words"))
+    same = F.slice("words", start + 1, F.col("length")) == F.col("window")
     is_end = F.col("token") == END
-    hits = placed.join(side, "token").where(is_end | (fits & same))
+    hits = placed.join(F.broadcast(found.unionByName(end_row)), "token").where(is_end | (fits & same))
     return hits.select(
-        "doc_id", "key", start.alias("start"), (start + F.col("length")).alias("end"), "items", is_end.alias("is_end"))
+        "doc_id", "key", start.alias("start"), (start + F.col("length")).alias("end"), "owners", is_end.alias("is_end"))
+
+
+def _digest(window: Column) -> Column:
+    """128 bits of the words of a window, which hold no blank."""
+    return let(F.array_join(window, " "), lambda text: F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(END), text).alias("b")))
+
+
+def _by_shuffle(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The same rows for windows of any number, those of one length after the other."""
+    read = _listed(docs)
+    parts = [read.select(
+        "doc_id", "key", F.size("words").alias("start"), F.size("words").alias("end"),
+        F.lit(None).cast("bigint").alias("owners"), F.lit(True).alias("is_end"))]
+    for row in found.groupBy("length").agg(F.count_distinct("token").alias("tokens")).collect():
+        length = row["length"]
+        of_length = found.where(F.col("length") == length)
+        placed = read.where(F.size("words") >= length).select("doc_id", "key", "words", F.posexplode("words").alias("pos", "token"))
+        near = _maybe(placed, of_length.select("token").distinct(), row["tokens"])
+        begin = lambda o: F.col("pos") - o
+        over = F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda o: F.when(
+            (begin(o) >= 0) & (begin(o) + length <= F.size("words")), _digest(F.slice("words", begin(o) + 1, F.lit(length)))))
+        narrow = near.select("doc_id", "key", "pos", F.xxhash64("token").alias("tag"), over.alias("over"))
+        sought = of_length.select(F.xxhash64("token").alias("tag"), "offset", _digest(F.col("window")).alias("digest"), "owners")
+        hits = narrow.join(sought, "tag").where(F.element_at("over", F.col("offset") + 1) == F.col("digest"))
+        start = F.col("pos") - F.col("offset")
+        parts.append(hits.select(
+            "doc_id", "key", start.alias("start"), (start + length).alias("end"), "owners", F.lit(False).alias("is_end")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit: int = 64 << 20) -> DataFrame:
@@ -108,17 +141,36 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, limit
     Hit words are counted as the length of the union of the windows: in order of start, each
     adds what reaches beyond the ends before.
     """
-    found = occurrences(docs, items, window, limit)
+    read = docs.select("doc_id", "text")
+    windows = stored(item_windows(items, window), "item-windows")
+    # A number for each set of items that windows have in common.
+    owners = stored(windows.select("items").distinct().select(F.monotonically_increasing_id().alias("owners"), "items"), "owners")
+    numbered = windows.join(owners, "items").select("window", "owners")
+    found = stored(prefixed_windows(read, numbered, limit), "windows")
+    broadcast = small_enough(found.count(), 120 + 24 * window, limit)
+    hits = _by_broadcast(read, found) if broadcast else _by_shuffle(read, found)
     order = W.partitionBy("doc_id", "key").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
     reach = F.coalesce(F.max("end").over(order), F.lit(0))
     adds = F.greatest(F.col("end") - F.greatest(F.col("start"), F.col("reach")), F.lit(0))
-    ids = F.array_distinct(F.flatten(F.collect_set("items")))
-    summed = found.withColumn("reach", reach).groupBy("doc_id", "key").agg(
+    summed = stored(hits.withColumn("reach", reach).groupBy("doc_id", "key").agg(
         F.max(F.when(F.col("is_end"), F.col("start"))).cast("bigint").alias("n_words"),
-        F.sum(adds).cast("bigint").alias("n_hit"),
-        F.array_sort(F.transform(ids, lambda i: i.cast("string"))).alias("items"),
-    )
-    return summed.select(
+        F.sum(F.when(F.col("is_end"), 0).otherwise(adds)).cast("bigint").alias("n_hit"),
+        F.count_if("is_end").cast("int").alias("rows"), F.collect_set("owners").alias("owners")), "hit-documents")
+    hit = summed.where("n_hit > 0").select("doc_id", "key", F.explode("owners").alias("owners"))
+    listing = owners.select(F.col("owners").alias("_owners"), F.explode("items").alias("item"))
+    size = listing.count()
+    side = F.broadcast(listing) if small_enough(size, 48, limit) else listing
+    ids = hit.join(side, F.col("owners") == F.col("_owners")).groupBy("doc_id", "key").agg(
+        F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items")).select(
+        F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key"), "items")
+    clean = summed.where("n_hit = 0").withColumn("items", F.array().cast("array<string>"))
+    marked = summed.where("n_hit > 0").join(
+        ids, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("key") == F.col("_key")), "left").withColumn(
+        "items", F.coalesce("items", F.array().cast("array<string>")))
+    both = clean.select("doc_id", "key", "n_words", "n_hit", "items", "rows").unionByName(
+        marked.select("doc_id", "key", "n_words", "n_hit", "items", "rows"))
+    each = both.withColumn("rows", F.explode(F.sequence(F.lit(1), "rows")))
+    return each.select(
         "doc_id", "key", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items",
         (F.col("n_hit") > 0).alias("contaminated"))
 
