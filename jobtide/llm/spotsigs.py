@@ -7,15 +7,19 @@ signature set of a text ignores case, punctuation and the common words between.
 words give no signature has one of its own, made of the whole text.
 
 The fingerprint is the set's size, a digest of the sorted set and its 16 smallest members:
-equal sets have equal fingerprints, and different sets differ.  Sets fall into classes by
-length; two sets can only reach a likeness of ``least`` when the shorter has at least that
-share of the longer.  Likeness is Jaccard.  The query compares fixed pairs, a text with its edited
-form and with the next one, and wants each exact value: there the class is a column only, no bound
-is passed, and neither partitions nor prunes anything.
+equal sets have equal fingerprints, and different sets differ.  Likeness is Jaccard.
+
+:func:`near_sets` finds all pairs of different sets that are alike.  Sets are partitioned by length:
+two sets can only reach a likeness of ``least`` if their classes are equal or neighbours.  Within
+these they meet on rare signatures first: of a set's signatures in order of their frequency
+only as many are posted as it takes for two alike sets to share one.  Of the pairs that meet,
+those whose lengths, or whose places of the first shared signature, rule the likeness out are
+pruned, and the others are compared.  The query compares fixed pairs, a text with its edited
+form and with the next one, and wants each exact value, so that there nothing can be pruned.
 
 Null text is empty text; two empty texts are equal.  Rows are kept as they are: repeated rows
 give repeated results, ties in doc_id stand in the order of their text's hash, null ids last.
-An empty table gives no rows; a single document is its own next one.
+An empty table gives no rows; a single document is its own next one.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from jobtide.llm.common import let, table
+from jobtide.llm.common import let, maybe_broadcast, stored, table
 
 # Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -89,8 +93,53 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     return F.when(possible, shared).otherwise(F.lit(0.0))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_text): the document after each one by descending doc_id, round the end.
+def set_classes(sets: DataFrame) -> DataFrame:
+    """(class, id, sigs) of the different sets among (id, sigs) rows; the class is a digest, the id the smallest."""
+    keyed = sets.select(F.md5(F.array_join("sigs", ",").cast("binary")).alias("class"), "id", "sigs")
+    return keyed.groupBy("class").agg(F.min("id").alias("id"), F.first("sigs").alias("sigs"))
+
+
+def near_sets(classes: DataFrame, least: float = CLASS_RATIO) -> DataFrame:
+    """(a, b, likeness) of all pairs of different sets that are at least so alike, each pair once.
+
+    ``classes`` has (class, sigs) rows with sorted, distinct signatures, see :func:`set_classes`; it has to
+    be a stored table.  A pair of one length class is found there, one of neighbouring classes in the
+    larger set's.  Empty sets are like nothing.
+    """
+    step = -math.log(least)
+    sized = classes.where(F.size("sigs") > 0).withColumn("n", F.size("sigs"))
+    each = sized.select("class", "n", F.explode("sigs").alias("sig"))
+    common = stored(each.groupBy("sig").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "common-signatures")
+    # Signatures of one set alone come first of all and lead to nobody.
+    shared = each.join(maybe_broadcast(common, common.count(), 64), "sig").groupBy("class", "n").agg(
+        F.array_sort(F.collect_list(F.struct("often", "sig"))).alias("ranked"))
+    alone = F.col("n") - F.size("ranked")
+    reach = F.greatest(F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9).cast("int") + 1 - alone, F.lit(0))
+    posted = stored(
+        shared.select("class", "n", alone.alias("alone"), F.slice("ranked", F.lit(1), reach).alias("prefix"))
+        .select("class", "n", F.floor(F.ln("n") / F.lit(step) + 1e-9).cast("int").alias("length"),
+                F.posexplode("prefix").alias("place", "p"), "alone")
+        .select("class", "length", F.col("p.sig").alias("sig"), F.struct("class", "n", (F.col("n") - F.col("alone") - F.col("place")).alias("rest")).alias("e")),
+        "postings")
+    # A set is looked for by those of its own class that come after it, and by all of the next class.
+    left = posted.select("sig", "length", F.col("e").alias("x"), F.lit(0).alias("up"))
+    left = left.unionByName(left.select("sig", (F.col("length") + 1).alias("length"), "x", F.lit(1).alias("up")))
+    right = posted.select("sig", "length", F.col("e").alias("y"))
+    met = left.join(right, ["sig", "length"]).where((F.col("up") == 1) | (F.col("x.class") < F.col("y.class")))
+    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    within = small >= F.lit(least - 1e-12) * large
+    # The first signature that two sets share leaves most of both behind it.
+    most = met.where(within).groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b")).agg(
+        F.max(F.least("x.rest", "y.rest")).alias("most"), F.first(small + large).alias("both"))
+    kept = most.where(F.col("most") >= F.lit(least - 1e-12) * (F.col("both") - F.col("most"))).select("a", "b")
+    one = classes.select(F.col("class").alias("a"), F.col("sigs").alias("a_sigs"))
+    two = classes.select(F.col("class").alias("b"), F.col("sigs").alias("b_sigs"))
+    like = likeness(F.col("a_sigs"), F.col("b_sigs"), least)
+    return kept.join(one, "a").join(two, "b").select("a", "b", like.alias("likeness")).where(F.col("likeness") >= least)
+
+
+def in_ranges(docs: DataFrame) -> DataFrame:
+    """Documents dealt over ranges (``part``) of descending doc_id.
 
     Ids are dealt over ranges from percentiles of all ids.  The first document of a range is
     also the last neighbour of the range before, so each range is ordered by itself; the only
@@ -100,19 +149,38 @@ def with_next(docs: DataFrame) -> DataFrame:
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     marks = docs.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10000).alias("m")).first()["m"]
     cuts = F.array(*[F.lit(m).cast("bigint") for m in sorted(set(marks or []))]).cast("array<bigint>")
-    part = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(
+    # Rows without an id come last; the hash that orders them also deals them over ranges of their own.
+    by_hash = F.floor((F.shiftright(F.xxhash64(F.coalesce("text", F.lit(""))), 32) + (1 << 31)) * F.lit(parts) / F.lit(1 << 32)).cast("int")
+    part = F.when(F.col("doc_id").isNull(), -1 - by_hash).otherwise(
         F.size(F.filter(cuts, lambda m: m <= F.col("doc_id"))))
-    ranged = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), part.alias("part"))
-    heads = sorted(ranged.groupBy("part").agg(F.max("doc_id").alias("head")).collect(), key=lambda r: -r["part"])
-    before = [(r["part"], r["head"], heads[i - 1]["part"]) for i, r in enumerate(heads)]
-    ends = F.broadcast(spark.createDataFrame(before, "part int, head bigint, before int"))
+    ranged = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), part.alias("part")).withColumn(
+        "hash", F.xxhash64("text"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("down"), "hash")).alias("first")
+    heads = sorted(ranged.groupBy("part").agg(first).collect(), key=lambda r: -r["part"])
+    before = [
+        (r["part"], None if r["first"]["none"] else -r["first"]["down"], r["first"]["hash"], heads[i - 1]["part"])
+        for i, r in enumerate(heads)]
+    ends = F.broadcast(spark.createDataFrame(before, "part int, head bigint, head_hash bigint, before int"))
     copies = F.when(
-        F.col("doc_id").eqNullSafe(F.col("head")),
+        F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("hash") == F.col("head_hash")),
         F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("copy")), F.struct(F.col("before").alias("part"), F.lit(1).alias("copy"))),
     ).otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(0).alias("copy"))))
-    dealt = ranged.join(ends, "part").select("doc_id", "text", F.inline(copies))
-    order = W.partitionBy("part").orderBy("copy", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
-    return dealt.withColumn("next_text", F.lead("text").over(order)).where("copy = 0").select("doc_id", "text", "next_text")
+    return ranged.join(ends, "part").select("doc_id", "text", "hash", F.inline(copies))
+
+
+def following(column: str) -> Column:
+    """The value of the next document, among the rows of a range and the copy that ends it."""
+    return F.lead(column).over(W.partitionBy("part").orderBy("copy", F.col("doc_id").desc_nulls_last(), "hash"))
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, sigs, next_text, next_sigs): the document after each one by descending doc_id, round the end.
+
+    Each document's signatures are made once, where the ranges are in order, and handed to the one before.
+    """
+    dealt = in_ranges(docs).withColumn("next_text", following("text")).withColumn("sigs", signatures(F.col("text")))
+    return dealt.withColumn("next_sigs", following("sigs")).where("copy = 0").select(
+        "doc_id", "text", "sigs", "next_text", "next_sigs")
 
 
 def with_edit(pairs: DataFrame) -> DataFrame:
@@ -127,13 +195,12 @@ def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     edited = with_edit(with_next(table(spark, sf_dir, "documents").select("doc_id", "text")))
     sets = edited.select(
         "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        signatures(F.col("text")).alias("own"), signatures(F.col("edited")).alias("other"),
-        signatures(F.col("next_text")).alias("following"))
+        F.col("sigs").alias("own"), signatures(F.col("edited")).alias("other"), "next_sigs")
     return sets.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"),
         fingerprint(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), F.col("following")).alias("near_next"),
+        likeness(F.col("own"), F.col("next_sigs")).alias("near_next"),
         length_class(F.col("own")).alias("length_class"))
 
 
