@@ -5,8 +5,10 @@ decides.  The urls that rules decide are the labels for the rest:
 
 1. *Shapes.*  A path segment with a digit becomes ``*`` (its extension stays).  Pages are
    counted by (host, shape) first, so a host with most pages is a few rows from there on.
-2. *Variable segments.*  Where a node of the host's tree has at least ``MIN_CHILDREN`` child
-   values with fewer than ``ROWS_PER_CHILD`` rows each on average, the child becomes ``*``.
+2. *Variable segments.*  The host's tree is walked from the top.  Where a node has at least
+   ``MIN_CHILDREN`` child values with fewer than ``ROWS_PER_CHILD`` rows each on average, the child
+   becomes ``*``, and what follows is counted below that one node.  Segments past ``MOST_DEPTH``
+   count as one.
 3. *Merged branches.*  Siblings that differ in their last literal segment are pooled unless
    a branch's block rate is more than ``Z`` standard errors from the pooled rate.
 4. *Purity.*  Block share of a template, smoothed towards the share of the same template on
@@ -33,6 +35,7 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 MIN_CHILDREN, ROWS_PER_CHILD, Z, WEIGHT, REJECT = 20, 3, 2.0, 5.0, 0.5
+MOST_DEPTH = 12
 
 
 def split_url(df: DataFrame, url: str = "url") -> DataFrame:
@@ -70,21 +73,35 @@ def shape_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def generalise(shapes: DataFrame, min_children: int = MIN_CHILDREN, rows_per_child: int = ROWS_PER_CHILD) -> DataFrame:
-    """Add ``template`` to (host, shape) rows: variable nodes of the host's tree become ``*``."""
-    segments = F.split("shape", "/")
-    nodes = shapes.select("host", "shape", "n", F.posexplode(segments).alias("depth", "segment")).withColumn(
-        "parent", F.array_join(F.slice(F.split("shape", "/"), F.lit(1), F.col("depth")), "/"))
-    children = nodes.groupBy("host", "depth", "parent", "segment").agg(F.sum("n").alias("n"))
-    variable = (
-        children.groupBy("host", "depth", "parent").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n"))
-        .where((F.col("kinds") >= min_children) & (F.col("n") < rows_per_child * F.col("kinds")))
-        .select("host", "depth", "parent", F.lit(True).alias("varies"))
-    )
-    named = nodes.join(variable, ["host", "depth", "parent"], "left").withColumn(
-        "segment", F.when(F.col("varies"), "*").otherwise(F.col("segment")))
-    template = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("depth", "segment"))), lambda x: x["segment"]), "/")
-    return shapes.join(named.groupBy("host", "shape").agg(template.alias("template")), ["host", "shape"])
+def segments_of(shape: Column, most: int = MOST_DEPTH) -> Column:
+    """The segments of a shape, those past ``most`` as one."""
+    each = F.split(shape, "/")
+    rest = F.array_join(F.slice(each, F.lit(most), F.size(each)), "/")
+    return F.when(F.size(each) <= most, each).otherwise(F.concat(F.slice(each, 1, most - 1), F.array(rest)))
+
+
+def generalise(
+    shapes: DataFrame, min_children: int = MIN_CHILDREN, rows_per_child: int = ROWS_PER_CHILD, most_depth: int = MOST_DEPTH,
+) -> DataFrame:
+    """Add ``template`` to (host, shape) rows: variable nodes of the host's tree become ``*``.
+
+    One round for each level; a round counts the children of the nodes that the rounds before have made.
+    """
+    walked = stored(shapes.withColumns({
+        "segments": segments_of(F.col("shape"), most_depth), "template": F.lit("")}), "level")
+    depth = walked.agg(F.max(F.size("segments"))).first()[0] or 0
+    for d in range(depth):
+        node = walked.where(F.size("segments") > d).groupBy("host", "template", F.col("segments")[d].alias("child")).agg(F.sum("n").alias("n"))
+        variable = node.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all")).where(
+            (F.col("kinds") >= min_children) & (F.col("all") < rows_per_child * F.col("kinds"))).select(
+            F.col("host").alias("_host"), F.col("template").alias("_template"), F.lit(True).alias("varies"))
+        here = (F.col("host") == F.col("_host")) & (F.col("template") == F.col("_template")) & (F.size("segments") > d)
+        segment = F.when(F.col("varies"), "*").otherwise(F.col("segments")[d])
+        longer = F.concat("template", F.lit("/" if d else ""), segment)
+        walked = stored(
+            walked.join(variable, here, "left").withColumn("template", F.when(F.size("segments") > d, longer).otherwise(F.col("template")))
+            .drop("_host", "_template", "varies"), "level")
+    return walked.drop("segments")
 
 
 def template_purity(shapes: DataFrame, weight: float = WEIGHT, z: float = Z) -> DataFrame:
@@ -115,7 +132,7 @@ def judge_urls(df: DataFrame, url: str = "url", rules=RULES, reject: float = REJ
     added = ("host", "path", "rule", "verdict", "template", "purity")
     kept = [c for c in df.columns if c.lower() not in (*added, "shape", "rule_verdict")]
     pages = with_shape(apply_rules(split_url(df.select(kept), url), rules))
-    shapes = stored(generalise(shape_counts(pages)), "shapes")
+    shapes = generalise(shape_counts(pages))
     purity = template_purity(shapes)
     verdict = F.coalesce("rule_verdict", F.when(F.col("purity") >= reject, "block").otherwise("allow"))
     return pages.join(purity, ["host", "shape"], "left").withColumn("verdict", verdict).select(
@@ -133,6 +150,21 @@ _RULE_CASE = "\n".join(
 )
 _VERDICT_CASE = " ".join(f"WHEN rule = '{h}{p}' THEN '{v}'" for v, h, p in RULES)
 
+def _level(d: int) -> str:
+    """CTEs of one level of the tree, in the way of the round of the same number."""
+    child = f"segs[{d + 1}]"
+    return f"""c{d} AS MATERIALIZED (SELECT host, template FROM l{d} WHERE len(segs) > {d} GROUP BY host, template
+  HAVING count(DISTINCT {child}) >= {MIN_CHILDREN} AND sum(n) < {ROWS_PER_CHILD} * count(DISTINCT {child})),
+l{d + 1} AS MATERIALIZED (SELECT l.host, shape, n, segs, l.template || CASE WHEN len(segs) <= {d} THEN ''
+    ELSE '{"/" if d else ""}' || CASE WHEN c.host IS NULL THEN {child} ELSE '*' END END AS template
+  FROM l{d} l LEFT JOIN c{d} c ON l.host = c.host AND l.template = c.template AND len(segs) > {d})"""
+
+
+_LEVELS = f"""parted AS (SELECT host, shape, n, string_split(shape, '/') AS s FROM shapes),
+l0 AS MATERIALIZED (SELECT host, shape, n, CASE WHEN len(s) <= {MOST_DEPTH} THEN s
+  ELSE s[1:{MOST_DEPTH - 1}] || [array_to_string(s[{MOST_DEPTH}:len(s)], '/')] END AS segs, '' AS template FROM parted),
+""" + ",\n".join(_level(d) for d in range(MOST_DEPTH))
+
 SQL = rf"""
 WITH cut AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
@@ -143,16 +175,8 @@ ruled AS (SELECT *, CASE {_RULE_CASE} END AS rule,
 voted AS (SELECT *, CASE {_VERDICT_CASE} END AS rule_verdict FROM ruled),
 shapes AS (SELECT host, shape, count(*) AS n, count(rule_verdict) AS n_labelled,
   count(CASE WHEN rule_verdict = 'block' THEN 1 END) AS n_blocked FROM voted GROUP BY host, shape),
-places AS (SELECT host, shape, n, string_split(shape, '/') AS segments,
-  unnest(range(0, len(string_split(shape, '/')))) AS depth FROM shapes),
-nodes AS (SELECT host, shape, n, depth, segments[depth + 1] AS segment,
-  array_to_string(segments[1:depth], '/') AS parent FROM places),
-children AS (SELECT host, depth, parent, segment, sum(n) AS n FROM nodes GROUP BY ALL),
-varying AS (SELECT host, depth, parent FROM children GROUP BY host, depth, parent
-  HAVING count(*) >= {MIN_CHILDREN} AND sum(n) < {ROWS_PER_CHILD} * count(*)),
-named AS (SELECT a.host, a.shape, a.depth, CASE WHEN v.host IS NULL THEN a.segment ELSE '*' END AS segment
-  FROM nodes a LEFT JOIN varying v ON a.host = v.host AND a.depth = v.depth AND a.parent = v.parent),
-templates AS (SELECT host, shape, string_agg(segment, '/' ORDER BY depth) AS template FROM named GROUP BY host, shape),
+{_LEVELS},
+templates AS (SELECT host, shape, template FROM l{MOST_DEPTH}),
 own AS (SELECT t.host, t.template, sum(n_labelled) AS n_labelled, sum(n_blocked) AS n_blocked,
     regexp_replace(t.template, '/[^/*][^/]*((?:/\*[^/]*)*)$', '/+\1') AS branch
   FROM templates t JOIN shapes s ON t.host = s.host AND t.shape = s.shape GROUP BY t.host, t.template),
