@@ -5,7 +5,8 @@ and balanced label propagation moves linked ones: in each round a group's docume
 towards the shards that hold most of the group, as few of them as have room for it, and as many
 documents as the shards' quotas admit.  Documents of a group in one shard are alike, so the rounds work on cells of (group,
 shard, number) and a group of any size is at most one row per shard; no pair of documents is
-ever formed.  Rounds stop when nothing moves.
+ever formed.  A move goes from a smaller cell to a larger one of the same group, so the sum of their squares
+grows, and rounds go on until nothing moves.
 
 Quotas are exact: shard counts differ by at most one (law ``rows``).  What the rounds have put
 into a shard beyond its quota, and documents without a link, fill the room that is left in
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.common import salted_offsets, salted_ranks, shuffle_parts, stored, table
 
-SHARDS, ROUNDS, ROW_BYTES = 24, 6, 8
+SHARDS, ROW_BYTES = 24, 8
 
 
 def _by_shard(values: list[int]) -> Column:
@@ -47,12 +48,12 @@ def _totals(rows: DataFrame, shards: int) -> list[int]:
     return totals
 
 
-def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
+def propagate(cells: DataFrame, quotas: list[int], rounds: int | None = None) -> DataFrame:
     """Move cells towards the largest cells of their group, under the quotas.
 
     A shard has room for what its quota leaves besides the documents that want to stay: those in
     the largest cell of their group.  Where more come than others leave, the surplus is dealt with
-    by :func:`within_quotas`.
+    by :func:`within_quotas`.  ``rounds`` ends the propagation early.
     """
     shards, salts = len(quotas), shuffle_parts(cells.sparkSession)
     cells = stored(cells, "cells")
@@ -63,7 +64,8 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Data
     def earlier(value: Column) -> Column:
         return F.coalesce(F.sum(value).over(before), F.lit(0))
 
-    for _ in range(rounds):
+    while rounds is None or rounds > 0:
+        rounds = rounds and rounds - 1
         placed = stored(
             cells.withColumn("place", F.row_number().over(by_size))
             .withColumn("all", F.sum("n").over(W.partitionBy("group"))), "placed")
