@@ -85,16 +85,18 @@ def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
+def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """The hash of each run of ``width`` words."""
+    mixed = np.full(max(0, len(words) - width + 1), width, np.uint64)
+    for k in range(width):
+        mixed = mix(mixed * np.uint64(_BASE) + words[k:k + len(mixed)])
+    return mixed
+
+
 def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; fewer words than ``size`` make one shingle."""
     out = []
     for words in word_hashes(texts):
         width = min(size, len(words))
-        if not width:
-            out.append(np.zeros(0, np.uint64))
-            continue
-        mixed = np.full(len(words) - width + 1, width, np.uint64)
-        for k in range(width):
-            mixed = mix(mixed * np.uint64(_BASE) + words[k:len(words) - width + 1 + k])
-        out.append(np.unique(mixed))
+        out.append(np.unique(window_hashes(words, width)) if width else np.zeros(0, np.uint64))
     return out
