@@ -73,5 +73,4 @@ def tokens(texts: list[str]) -> list[list[int]]:
     from jobtide.llm.tokens import default_tokenizer
 
     tokenizer = Tokenizer.from_file(default_tokenizer())
-    tokenizer.encode_special_tokens = True
     return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]

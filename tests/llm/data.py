@@ -30,7 +30,7 @@ def texts() -> list[str | None]:
         f"{PROSE} {ITEM} {PROSE}", ITEM.upper().replace(" ", "--"), "a", "a  b   c  ", "tail blank ",
         "mail me at someone.7@mail.example.com or +1 (724) 555-7058 or 4111 1111 1111 1111 from 10.1.2.3",
         "\U0001F600 café x@y.zz éé 192.168.0.1 999.1.1.1", "x" * 300, "zz " * 40, "unique words only here",
-        " ".join(f"{PROSE}{i}" for i in range(700)), "nul \x00 in text",
+        " ".join(f"{PROSE}{i}" for i in range(700)), "nul \x00 in text", "an added token <|endoftext|> in text",
     ]
 
 

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from jobtide.llm import dac, extract, language, near, packing, pii, sharding, shingles, spotsigs, tokens, urls
+from jobtide.llm import dac, decontaminate, extract, language, near, packing, pii, sharding, shingles, spotsigs, tokens, urls
 from jobtide.llm.common import running_sums, salted_offsets, salted_ranks, stored
 from llm import brute, data
 
@@ -411,6 +411,51 @@ def test_variable_segments_become_wildcards(spark):
     assert {r.verdict for r in got} == {"allow"}
 
 
+def _plain_templates(shapes, most):
+    """Templates by walking each host's tree from the top, over (host, shape, n) rows."""
+    done = {}
+    state = []
+    for host, shape, n in shapes:
+        parts = shape.split("/")
+        state.append([host, shape, n, parts if len(parts) <= most else [*parts[:most - 1], "/".join(parts[most - 1:])], []])
+    for d in range(most):
+        nodes = collections.defaultdict(lambda: collections.defaultdict(int))
+        for host, _, n, parts, made in state:
+            if len(parts) > d:
+                nodes[host, tuple(made)][parts[d]] += n
+        for row in state:
+            host, _, _, parts, made = row
+            if len(parts) > d:
+                children = nodes[host, tuple(made)]
+                varies = len(children) >= urls.MIN_CHILDREN and sum(children.values()) < urls.ROWS_PER_CHILD * len(children)
+                row[4] = [*made, "*" if varies else parts[d]]
+    for host, shape, _, _, made in state:
+        done[host, shape] = "/".join(made)
+    return done
+
+
+@pytest.mark.parametrize("most", [3, 12])
+def test_templates_equal_a_walk_from_the_top(spark, most):
+    rng = random.Random(12)
+    names = [f"n{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    shapes = {}
+    for _ in range(400):
+        host = rng.choice(["a", "b"])
+        # Variable names, titles that differ below each of them, and a few parts.
+        parts = ["", rng.choice(names), f"t{rng.choice(names)}{rng.choice(names)}", rng.choice(["view", "edit"]), *rng.choices(names, k=rng.randint(0, 3))]
+        shapes[host, "/".join(parts[:rng.randint(1, len(parts))])] = rng.randint(1, 2)
+    rows = [(h, s, n) for (h, s), n in shapes.items()] + [("c", "", 4)]
+    got = urls.generalise(spark.createDataFrame(rows, "host string, shape string, n bigint"), most_depth=most).collect()
+    assert {(r.host, r["shape"]): r.template for r in got} == _plain_templates(rows, most)
+
+
+def test_two_variable_levels(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(f"https://x.net/{a}user/{b}title{a}/view",) for a in letters for b in letters[:2]] * 1
+    got = urls.judge_urls(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id bigint, url string")).collect()
+    assert {r.template for r in got} == {"/*/*/view"}
+
+
 def test_repeated_unnamed_blocks_go_and_repeated_articles_stay(spark):
     rng = random.Random(4)
 
@@ -477,3 +522,159 @@ def test_small_hosts_are_judged_by_themselves(spark):
 ])
 def test_blocks(html, text):
     assert " ".join(b.text for b in extract.main_blocks(extract.read_blocks(html))) == re.sub(r"\s+", " ", text)
+
+
+# --- fingerprints in general --------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("least", [0.5, 0.8, 0.9])
+def test_near_sets_equal_all_pairs(spark, least):
+    rng = random.Random(int(least * 10))
+    base = [[f"{rng.getrandbits(40):010x}" for _ in range(rng.randint(1, 40))] for _ in range(6)]
+    rows = [(1000, []), (1001, [])]
+    for i in range(70):
+        own = rng.choice(base)
+        kept = [s for s in own if rng.random() > rng.choice([0, 0.05, 0.2])]
+        rows.append((i, sorted(set(kept + [f"{rng.getrandbits(40):010x}" for _ in range(rng.choice([0, 0, 1, 3]))]))))
+    rows.append((70, rows[5][1]))
+    classes = stored(spotsigs.set_classes(spark.createDataFrame(rows, "id bigint, sigs array<string>")), "classes")
+    by_class = {r["class"]: frozenset(r.sigs) for r in classes.collect()}
+    got = [(r.a, r.b, r.likeness) for r in spotsigs.near_sets(classes, least).collect()]
+    found = {frozenset((a, b)): like for a, b, like in got}
+    assert len(found) == len(got)
+    wanted = {}
+    for a, b in itertools.combinations(by_class, 2):
+        x, y = by_class[a], by_class[b]
+        if x and y and len(x & y) >= least * len(x | y):
+            wanted[frozenset((a, b))] = len(x & y) / len(x | y)
+    assert found == pytest.approx(wanted) and len(wanted) > 5
+
+
+def test_lengths_beyond_a_class_never_meet(spark):
+    sets = [(k, [f"{i:04d}" for i in range(n)]) for k, n in enumerate((1, 5, 10, 20, 40, 80))]
+    classes = stored(spotsigs.set_classes(spark.createDataFrame(sets, "id bigint, sigs array<string>")), "classes")
+    assert spotsigs.near_sets(classes, 0.8).collect() == []
+
+
+def test_many_rows_without_an_id_are_ordered_in_parts(spark):
+    docs = spark.createDataFrame([(None, f"text {i % 90}") for i in range(200)] + [(5, "five"), (9, None)], "doc_id bigint, text string")
+    got = spotsigs.with_next(docs).collect()
+    assert len(got) == 202
+    after = collections.Counter((r.doc_id, r.text, r.next_text) for r in got)
+    assert after[(9, "", "five")] == 1 and sum(n for (i, t, x), n in after.items() if i is None and x == "") == 1
+    # Every text is followed by itself as often as it repeats but once, and then by the one of the next hash.
+    assert sorted(collections.Counter(r.next_text for r in got).items()) == sorted(collections.Counter(r.text for r in got).items())
+    parts = {r.part for r in spotsigs.in_ranges(docs).where("doc_id IS NULL").collect()}
+    assert len(parts) > 1
+
+
+# --- shards ---------------------------------------------------------------------------------------
+
+
+def _cells(spark, rows):
+    return spark.createDataFrame(rows, "group binary, shard int, n bigint")
+
+
+def test_propagation_ends_where_nothing_moves(spark):
+    rng = random.Random(4)
+    rows = [(bytes([g]), s, rng.randint(1, 30)) for g in range(12) for s in rng.sample(range(8), rng.randint(2, 8))]
+    totals = [sum(n for _, s, n in rows if s == k) for k in range(8)]
+    quotas = [-(-sum(totals) // 8)] * 8
+    squares = []
+    for rounds in range(1, 40):
+        cells = sharding.propagate(_cells(spark, rows), quotas, rounds).collect()
+        assert sum(r.n for r in cells) == sum(n for *_, n in rows)
+        squares.append(sum(r.n ** 2 for r in cells))
+        if len(squares) > 1 and squares[-1] == squares[-2]:
+            break
+    assert all(a < b for a, b in zip(squares, squares[1:-1]))
+    whole = sharding.propagate(_cells(spark, rows), quotas).collect()
+    assert sum(r.n ** 2 for r in whole) == squares[-1]
+
+
+def _cut(shards_of_groups):
+    """Pairs of equal documents in different shards."""
+    out = 0
+    for shards in shards_of_groups:
+        n = len(shards)
+        out += (n * n - sum(k * k for k in collections.Counter(shards).values())) // 2
+    return out
+
+
+def test_cut_against_the_best_and_the_random_one(spark):
+    """Groups that fit: the best assignment of all cuts nothing, one by hash cuts most pairs."""
+    rng = random.Random(6)
+    sizes = [3, 3, 2, 2, 2, 4, 4, 4]
+    rows, i = [], 0
+    for g, size in enumerate(sizes):
+        for _ in range(size):
+            rows.append((i, f"text {g}"))
+            i += 1
+    shards = 3
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), shards).collect()
+    by_group = collections.defaultdict(list)
+    for r in got:
+        by_group[r.text_crc32].append(r.shard)
+    best = min(_cut([[s] * n for s, n in zip(placed, sizes)]) + 10**6 * any(
+        abs(sum(n for s, n in zip(placed, sizes) if s == k) - 8) > 0 for k in range(shards))
+        for placed in itertools.product(range(shards), repeat=len(sizes)))
+    assert best == 0
+    by_hash = _cut([[rng.randrange(shards) for _ in range(n)] for n in sizes])
+    assert _cut(by_group.values()) <= by_hash / 2
+    counts = collections.Counter(r.shard for r in got)
+    assert max(counts.values()) - min(counts.values()) <= 1
+
+
+# --- benchmark windows of any number --------------------------------------------------------------
+
+
+def _plain_hits(docs, items, window=10):
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
+    out = []
+    for name, text in docs:
+        words, hit, found = cut(text), set(), set()
+        for item, wanted in items:
+            w = cut(wanted)
+            size = min(window, len(w))
+            for k in range(len(w) - size + 1 if w else 0):
+                for at in range(len(words) - size + 1):
+                    if words[at:at + size] == w[k:k + size]:
+                        hit.update(range(at, at + size))
+                        found.add(str(item))
+        out.append((name, len(words), len(hit), sorted(found)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("limit", [-1, 64 << 20])
+def test_windows_of_all_lengths_by_both_ways(spark, monkeypatch, limit):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(12)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, text(rng.choice([1, 2, 3, 9, 10, 11, 14]))) for i in range(25)]
+    docs = [(i, text(rng.choice([0, 1, 5, 40])) + " " + rng.choice(items)[1] + " " + text(6)) for i in range(40)] + [(3, "again"), (3, "again")]
+    for filter_bytes in (256 << 20, 0):
+        monkeypatch.setattr(decontaminate, "FILTER_BYTES", filter_bytes)
+        got = decontaminate.decontaminate(
+            spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), limit=limit)
+        assert sorted((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got.collect()) == _plain_hits(docs, items)
+
+
+def test_the_shuffled_rows_are_narrow(spark):
+    """No words, no row for each document under one key, no item ids, however many items share a window."""
+    passage = "one two three four five six seven eight nine ten"
+    docs = spark.range(10000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 50, passage).otherwise(
+        F.concat(F.lit("some other text with number "), F.col("id"))).alias("text"))
+    items = spark.range(1000).select(F.col("id").alias("item_id"), F.lit(passage).alias("text"))
+    windows = stored(decontaminate.item_windows(items), "windows")
+    assert windows.count() == 1
+    found = stored(decontaminate.prefixed_windows(docs, windows.select("window", F.lit(0).cast("bigint").alias("owners")), -1), "found")
+    hits = decontaminate._by_shuffle(docs, found)
+    assert dict(hits.dtypes) == {"doc_id": "bigint", "key": "bigint", "start": "int", "end": "int", "owners": "bigint", "is_end": "boolean"}
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "tag" in line
+    assert hits.where("NOT is_end").count() == 50 and hits.where("is_end").count() == 10000
+    got = decontaminate.decontaminate(docs, items, limit=-1)
+    assert got.where("contaminated").select("n_items").distinct().collect() == [(1000,)]
+    assert got.count() == 10000 and got.where("contaminated").count() == 50
