@@ -5,22 +5,24 @@ that both hold, divided by the root of the product of their numbers: a blended s
 presence features.  N-grams are hashed into 2**20 features.  Nyström landmarks are a bounded
 sample of labelled texts, and one ridge regression per language is fitted on their kernel
 values.  Scoring takes the presence matrix of a few dozen texts at a time, multiplies it by
-the landmarks' matrix and the result by the coefficients.
+the landmarks' matrix and the result by the coefficients.  The landmarks are kept as postings (the
+landmarks that have a feature); where their dense matrix would be large, it is made and
+multiplied a block of features at a time, in the fit as in the scoring.
 
-Only the sample is bounded (``LANDMARKS`` and ``FIT_ROWS`` texts per language, chosen by the
-hash of their ids); every text is scored whole, in pieces of any length.
+Only the sample is bounded, chosen by the hash of the ids: ``LANDMARKS`` and ``FIT_ROWS`` texts per
+language, and where there are many languages ``ALL_LANDMARKS`` and ``ALL_ROWS`` shared between them, one of
+each at least.  There is no bound on their number.  Every text is scored whole, in pieces of any length.
 
 Null texts and texts without a letter are ``und`` with score 0.  Without any labelled text
-all are ``und``; more than ``MOST_LANGUAGES`` label values are an error.  Equal scores go to the
-first language by name.  Repeated rows each get a row; rows with null ``lang`` are scored, not
-learned from.
+all are ``und``.  Equal scores go to the first language by name.  Repeated rows each get a row; rows
+with null ``lang`` are scored, not learned from.  Columns besides doc_id, text and lang are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,14 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from jobtide.llm.common import short_batches, table, tidy
+from jobtide.llm.common import maybe_broadcast, short_batches, stored, table, tidy
 
 FEATURE_BITS, ORDERS = 20, 3
 LANDMARKS, FIT_ROWS, RIDGE = 40, 250, 1e-3
-MOST_LANGUAGES = 500
+ALL_LANDMARKS, ALL_ROWS = 4096, 25_000
 UNKNOWN = "und"
-# Texts of one presence matrix, and letters hashed at once.
-ROWS_AT_ONCE, CHARS_AT_ONCE = 64, 1 << 18
+# Texts of one presence matrix, letters hashed at once, and numbers of a dense matrix.
+ROWS_AT_ONCE, CHARS_AT_ONCE, CELLS_AT_ONCE = 64, 1 << 18, 1 << 24
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
@@ -74,13 +76,13 @@ def _features(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield at, ((mixed[at] * _MULTIPLIERS[0]) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
 
 
-def text_features(text: str | None) -> list[int]:
+def text_features(text: str | None) -> np.ndarray:
     """Sorted distinct features of one text."""
     seen = np.zeros(1 << FEATURE_BITS, bool)
     for piece in _pieces(text or ""):
         for _, feature in _features(_codes(piece)):
             seen[feature] = True
-    return np.flatnonzero(seen).tolist()
+    return np.flatnonzero(seen).astype(np.int32)
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -93,11 +95,65 @@ def _pieces(text: str) -> Iterator[str]:
         yield (" " if start == 0 else "") + text[max(0, start - 2):start + step] + (" " if start + step >= len(text) else "")
 
 
+@dataclass(frozen=True)
+class Landmarks:
+    """The features of the landmark texts as postings: of the k-th feature that any has, the landmarks
+    ``owners[ends[k]:ends[k + 1]]`` have it."""
+
+    column_of: np.ndarray  # feature -> number of the feature, -1 for none
+    ends: np.ndarray
+    owners: np.ndarray
+    scale: np.ndarray  # 1 divided by the root of a landmark's size
+
+    def __getstate__(self) -> dict:
+        """Tasks make the dense matrix themselves."""
+        return {k: v for k, v in self.__dict__.items() if k != "_whole"}
+
+    @property
+    def width(self) -> int:
+        return len(self.ends) - 1
+
+    def _dense(self, start: int, end: int) -> np.ndarray:
+        out = np.zeros((end - start, len(self.scale)), np.float32)
+        a, b = self.ends[start], self.ends[end]
+        rows = np.repeat(np.arange(end - start), np.diff(self.ends[start:end + 1]))
+        out[rows, self.owners[a:b]] = self.scale[self.owners[a:b]]
+        return out
+
+    @cached_property
+    def _whole(self) -> np.ndarray:
+        return self._dense(0, self.width)
+
+    def times(self, presence: np.ndarray) -> np.ndarray:
+        """The product of presence rows and the scaled landmark matrix."""
+        step = max(1, CELLS_AT_ONCE // max(1, len(self.scale)))
+        if self.width <= step:
+            return presence @ self._whole
+        out = np.zeros((len(presence), len(self.scale)), np.float32)
+        for start in range(0, self.width, step):
+            end = min(start + step, self.width)
+            out += presence[:, start:end] @ self._dense(start, end)
+        return out
+
+    def rows_at_once(self) -> int:
+        return max(1, min(ROWS_AT_ONCE, CELLS_AT_ONCE // max(1, self.width)))
+
+
+def landmarks_of(features: list[np.ndarray]) -> Landmarks:
+    owner = np.repeat(np.arange(len(features), dtype=np.int32), [len(f) for f in features])
+    feature = np.concatenate([np.zeros(0, np.int32), *features])
+    order = np.argsort(feature, kind="stable")
+    used, first = np.unique(feature[order], return_index=True)
+    column_of = np.full(1 << FEATURE_BITS, -1, np.int32)
+    column_of[used] = np.arange(len(used))
+    scale = 1 / np.sqrt(np.maximum([len(f) for f in features], 1))
+    return Landmarks(column_of, np.append(first, len(feature)).astype(np.int64), owner[order], np.asarray(scale, np.float32))
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
-    column_of: np.ndarray  # feature -> column of the landmark matrix, -1 for none
-    landmarks: np.ndarray  # columns x landmarks, 1 divided by the root of the landmark's size
+    landmarks: Landmarks
     weights: np.ndarray  # landmarks x languages
 
 
@@ -142,57 +198,70 @@ def _presence(texts: list[str | None], column_of: np.ndarray, width: int) -> tup
     return known, known.sum(axis=1) + np.bincount(others >> FEATURE_BITS, minlength=len(texts)), lettered
 
 
-def _kernel(presence: np.ndarray, landmarks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    return (presence @ landmarks) / np.sqrt(np.maximum(sizes, 1)).astype(np.float32)[:, None]
+def _kernel(presence: np.ndarray, landmarks: Landmarks, sizes: np.ndarray) -> np.ndarray:
+    return landmarks.times(presence) / np.sqrt(np.maximum(sizes, 1)).astype(np.float32)[:, None]
 
 
-def fit(texts: list[tuple[str, list[int]]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+def fit(texts: list[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """A model from (language, features) of sampled texts; the first of a language are its landmarks."""
     languages = sorted({lang for lang, _ in texts})
-    chosen = [f for lang in languages for f in [f for own, f in texts if own == lang and f][:landmarks]]
-    used = np.unique(np.concatenate([np.asarray(f, np.int64) for f in chosen])) if chosen else np.zeros(0, np.int64)
-    column_of = np.full(1 << FEATURE_BITS, -1, np.int32)
-    column_of[used] = np.arange(len(used))
-
-    def matrix(lists: list[list[int]]) -> np.ndarray:
-        out = np.zeros((len(lists), len(used)), np.float32)
-        for row, features in enumerate(lists):
-            at = column_of[features] if features else np.zeros(0, np.int32)
-            out[row, at[at >= 0]] = 1
-        return out
-
-    marks = matrix(chosen)
-    marks = (marks / np.sqrt(np.maximum(marks.sum(axis=1, keepdims=True), 1))).T.astype(np.float32)
-    between = (marks.T @ marks).astype(np.float64)
-    sizes = np.array([len(f) for _, f in texts])
-    known = _kernel(matrix([f for _, f in texts]), marks, sizes).astype(np.float64)
-    target = np.array([[float(lang == own) for own in languages] for lang, _ in texts])
-    system = known.T @ known + ridge * len(texts) * between + 1e-6 * np.eye(len(chosen))
-    weights = np.linalg.solve(system, known.T @ target) if chosen else np.zeros((0, len(languages)))
-    return Model(languages, column_of, np.ascontiguousarray(marks), weights.astype(np.float32))
-
-
-def sample_texts(labelled: DataFrame, per_language: int = FIT_ROWS) -> list[tuple[str, list[int]]]:
-    """(language, features) of at most ``per_language`` texts of each language, by the hash of their ids.
+    number = {lang: k for k, lang in enumerate(languages)}
+    by_language: list[list[np.ndarray]] = [[] for _ in languages]
+    for lang, features in texts:
+        if len(features) and len(by_language[number[lang]]) < landmarks:
+            by_language[number[lang]].append(np.asarray(features, np.int32))
+    chosen = [f for own in by_language for f in own]
+    marks = landmarks_of(chosen)
+
+    def kernels(rows: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+        """(first row, kernel values) of some rows after the others."""
+        step = marks.rows_at_once()
+        for start in range(0, len(rows), step):
+            part = rows[start:start + step]
+            presence = np.zeros((len(part), marks.width), np.float32)
+            for row, features in enumerate(part):
+                at = marks.column_of[features]
+                presence[row, at[at >= 0]] = 1
+            yield start, _kernel(presence, marks, np.array([len(f) for f in part])).astype(np.float64)
+
+    between = np.concatenate([np.zeros((0, len(chosen))), *[known for _, known in kernels(chosen)]])
+    system = ridge * len(texts) * between + 1e-6 * np.eye(len(chosen))
+    sums = np.zeros((len(chosen), len(languages)))
+    for start, known in kernels([np.asarray(f, np.int32) for _, f in texts]):
+        system += known.T @ known
+        for row, (lang, _) in enumerate(texts[start:start + len(known)]):
+            sums[:, number[lang]] += known[row]
+    weights = np.linalg.solve(system, sums) if chosen else np.zeros((0, len(languages)))
+    return Model(languages, marks, weights.astype(np.float32))
+
+
+def shares(languages: int) -> tuple[int, int]:
+    """(landmarks, texts) of the sample for each of so many languages."""
+    each = max(1, languages)
+    return max(1, min(LANDMARKS, ALL_LANDMARKS // each)), max(1, min(FIT_ROWS, ALL_ROWS // each))
+
+
+def sample_texts(labelled: DataFrame) -> tuple[list[tuple[str, np.ndarray]], int]:
+    """(language, features) of some texts of each language, by the hash of their ids, and the landmarks of each.
 
     A threshold on the hash is set from the counts first, so that only about as many rows as
     are wanted meet in the ranking, however many rows a language has.
     """
-    counts = labelled.groupBy("lang").count().withColumnRenamed("count", "_n")
-    languages = counts.limit(MOST_LANGUAGES + 1).count()
-    if languages > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages: is this the language column?")
+    counts = stored(labelled.groupBy("lang").count().withColumnRenamed("count", "_n"), "languages")
+    languages = counts.count()
+    landmarks, wanted = shares(languages)
     place = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
-    near = labelled.join(F.broadcast(counts), "lang").withColumn("_at", place).where(
-        F.col("_at") * F.col("_n") <= 2 * per_language + 20)
+    near = labelled.join(maybe_broadcast(counts, languages, 64), "lang").withColumn("_at", place).where(
+        F.col("_at") * F.col("_n") <= 2 * wanted + 20)
     ranked = near.withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy("_at", "doc_id", "text")))
 
-    @F.udf("array<int>")
+    @F.udf("binary")
     def features(text):
-        return text_features(text)
+        return text_features(text).tobytes()
 
-    rows = ranked.where(F.col("_rank") <= per_language).select("lang", "_rank", features("text").alias("f")).collect()
-    return [(r["lang"], r["f"]) for r in sorted(rows, key=lambda r: (r["lang"], r["_rank"]))]
+    rows = ranked.where(F.col("_rank") <= wanted).select("lang", "_rank", features("text").alias("f")).collect()
+    ordered = sorted(rows, key=lambda r: (r["lang"], r["_rank"]))
+    return [(r["lang"], np.frombuffer(r["f"], np.int32)) for r in ordered], landmarks
 
 
 def predict(model: Model):
@@ -201,15 +270,15 @@ def predict(model: Model):
     @F.pandas_udf("lang_pred string, score double")
     @tidy
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        width = len(model.landmarks)
+        marks, step = model.landmarks, model.landmarks.rows_at_once()
         for texts in batches:
             names, scores = [], []
-            for start in range(0, len(texts), ROWS_AT_ONCE):
-                part = [t if isinstance(t, str) else None for t in texts.iloc[start:start + ROWS_AT_ONCE]]
-                presence, sizes, lettered = _presence(part, model.column_of, width)
+            for start in range(0, len(texts), step):
+                part = [t if isinstance(t, str) else None for t in texts.iloc[start:start + step]]
+                presence, sizes, lettered = _presence(part, marks.column_of, marks.width)
                 if not model.languages:
                     lettered[:] = False
-                values = _kernel(presence, model.landmarks, sizes) @ model.weights if model.languages else np.zeros((len(part), 1))
+                values = _kernel(presence, marks, sizes) @ model.weights if model.languages else np.zeros((len(part), 1))
                 best = values.argmax(axis=1)
                 names += [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
                 scores += [float(min(1.0, max(0.0, v))) if ok else 0.0 for v, ok in zip(values.max(axis=1), lettered)]
@@ -226,7 +295,7 @@ def learn(docs: DataFrame) -> Model:
     """Fit on labelled documents outside the held-out third."""
     short_batches(docs.sparkSession)
     usable = docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return fit(sample_texts(usable))
+    return fit(*sample_texts(usable))
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:

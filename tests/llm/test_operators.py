@@ -353,10 +353,47 @@ def test_the_norm_counts_the_ngrams_of_no_landmark(spark, monkeypatch, at_once):
     monkeypatch.setattr(language, "CHARS_AT_ONCE", at_once)
     scores = next(language.predict(model).func(iter([pd.Series(texts)]))).score
     assert scores[0] > 0.9 and scores[1] < scores[0] / 2
-    _, sizes, _ = language._presence(texts, model.column_of, len(model.landmarks))
+    _, sizes, _ = language._presence(texts, model.landmarks.column_of, model.landmarks.width)
     assert sizes.tolist() == [len(language.text_features(t)) for t in texts]
 
 
+def _made_up(rng, letters, n):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(n))
+
+
+def test_blocks_of_features_give_the_same_model_and_scores(monkeypatch):
+    import pickle
+
+    import pandas as pd
+
+    rng = random.Random(1)
+    sample = [(lang, language.text_features(_made_up(rng, letters, 40))) for lang, letters in
+              (("aa", "abcde"), ("bb", "defgh"), ("cc", "hijkl")) for _ in range(8)]
+    texts = pd.Series([_made_up(rng, letters, 20) for letters in ("abcde", "defgh", "hijkl", "xyz")] + [None])
+    model = language.fit(sample, 5)
+    whole = next(language.predict(model).func(iter([texts])))
+    assert "_whole" in model.landmarks.__dict__ and "_whole" not in pickle.loads(pickle.dumps(model)).landmarks.__dict__
+    monkeypatch.setattr(language, "CELLS_AT_ONCE", 300)
+    parts = language.fit(sample, 5)
+    assert np.allclose(parts.weights, model.weights, atol=1e-3)
+    got = next(language.predict(parts).func(iter([texts])))
+    assert got.lang_pred.tolist() == whole.lang_pred.tolist() == ["aa", "bb", "cc", whole.lang_pred[3], "und"]
+    assert np.allclose(got.score, whole.score, atol=1e-3)
+
+
+def test_600_languages(spark):
+    rng = random.Random(2)
+    alphabets = {f"l{k:03d}": "".join(rng.sample("abcdefghijklmnopqrstuvwxyzäöüéèñçøåß", 6)) for k in range(600)}
+    rows = [(n, _made_up(rng, letters, 25), lang) for n, (lang, letters) in enumerate(list(alphabets.items()) * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert language.shares(600) == (6, 41) and len(model.languages) > 500
+    tested = [(n, _made_up(rng, alphabets[lang], 40), lang) for n, lang in enumerate(rng.sample(model.languages, 100))]
+    test = spark.createDataFrame(tested, "doc_id long, text string, lang string").coalesce(2)
+    got = test.select("lang", language.predict(model)("text").alias("p")).select("lang", "p.lang_pred").collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 90
+
+
 def test_no_labelled_text_means_unknown(spark):
     docs = spark.createDataFrame([(1, "some text", None)], "doc_id bigint, text string, lang string")
     scored = docs.select(language.predict(language.learn(docs))("text").alias("p")).first()["p"]
