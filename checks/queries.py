@@ -15,6 +15,7 @@ from jobtide.functions import rules, text
 from jobtide.functions.salary import exact_mean
 from jobtide.operators import aggregate as agg
 from jobtide.operators import copies, filters, lookup, order, project, sets, trend
+from jobtide.operators.collapse import collapse_by_place
 from jobtide.plans import conformed as conf
 from jobtide.plans import dimensions as dims
 from jobtide.plans import listings as lst
@@ -375,7 +376,8 @@ def a7_collapse(spark, sf_dir):
 
 @query
 def a7_collapse_all_keys(spark, sf_dir):
-    return flat(agg.collapse(X.sightings(spark, sf_dir), KEPT_COLUMNS, STANDARDISED_COLUMNS))
+    rows = tables.stored_scratch(X.sightings(spark, sf_dir), "sightings")
+    return flat(collapse_by_place(rows, KEPT_COLUMNS, STANDARDISED_COLUMNS))
 
 
 @query

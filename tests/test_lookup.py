@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from jobtide.operators import copies, lookup
 from jobtide.operators.aggregate import collapse, count_distinct_mart
+from jobtide.operators.collapse import collapse_by_place
 
 NEVER, ALWAYS = -1, 1 << 40
 
@@ -136,6 +137,17 @@ def test_past_the_largest_filter_all_rows_take_the_exact_path(rows, postings):
     assert rows(copies.count_distinct_split(alone, repeated, ["c"])) == rows(count_distinct_mart(postings, ["c"]))
 
 
+@pytest.mark.parametrize("limit", [NEVER, ALWAYS])
+def test_collapse_by_place(spark, rows, postings, limit):
+    more = postings.withColumn("t", F.when(F.col("s").isNotNull(), F.concat(F.lit("é"), F.col("s")))).withColumn("none", F.lit(None).cast("string"))
+    want = rows(collapse(more, ["ID", "c"], ["s", "t", "none"]))
+    got = collapse_by_place(more, ["ID", "c"], ["s", "t", "none"], limit)
+    assert rows(got) == want
+    above = got._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert ("SortAggregate" in above) == (limit == NEVER)
+    lookup.release()
+
+
 def test_one_filter_serves_rows_made_from_its_own(rows, postings):
     made = copies.copy_filter(postings, ["ID", "c"])
     part = postings.where("s IS NOT NULL")
