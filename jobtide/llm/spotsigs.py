@@ -52,24 +52,32 @@ def signatures(text: Column) -> Column:
     """Sorted distinct signatures of a text, 16 hex digits each."""
     body = F.coalesce(text, F.lit(""))
     spoken = F.filter(F.split(F.lower(body), NOT_WORD), lambda w: w != "")
+    none, nowhere = F.array().cast("array<string>"), F.array().cast("array<int>")
 
-    def chain(words: Column, after: Column) -> Column:
-        near = F.slice(words, after, F.lit(REACH))
-        return F.array_join(F.slice(F.filter(near, lambda w: ~_is_anchor(w)), 1, CHAIN), " ")
+    def chain(content: Column, after: Column) -> Column:
+        return F.array_join(F.slice(F.array_remove(F.slice(content, after, F.lit(REACH)), ""), 1, CHAIN), " ")
+
+    def bare(anchors: Column, n: Column) -> Column:
+        # Between neighbouring anchors, and before the first, the words after REACH ones without any.
+        ends = F.concat(anchors, F.array(n))
+        gaps = F.zip_with(F.concat(F.array(F.lit(-1)), anchors), ends, lambda p, q: F.when(
+            p + REACH + 1 < q, F.sequence(p + REACH + 1, q - 1)).otherwise(nowhere))
+        return F.flatten(gaps)
 
     def spots(words: Column) -> Column:
-        def bare(i: Column) -> Column:
-            return (i >= REACH) & ~F.exists(F.slice(words, i - REACH + 1, F.lit(REACH)), _is_anchor)
+        def of(content: Column) -> Column:
+            anchors = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: content[i] == "")
+            places = let(anchors, lambda at: F.concat(at, bare(at, F.size(words))))
+            after = F.transform(places, lambda i: F.concat(words[i], F.lit(" "), chain(content, i + 2)))
+            return F.concat(F.array(F.concat(F.lit("^ "), chain(content, F.lit(1)))), after)
 
-        places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: _is_anchor(words[i]) | bare(i))
-        after = F.transform(places, lambda i: F.concat(words[i], F.lit(" "), chain(words, i + 2)))
-        return F.concat(F.array(F.concat(F.lit("^ "), chain(words, F.lit(1)))), after)
+        # Common words are blanked once, so that a chain only has to leave out blanks.
+        return let(F.transform(words, lambda w: F.when(_is_anchor(w), "").otherwise(w)), of)
 
     def complete(chains: Column) -> Column:
         # An anchor without a content word after it says nothing.
         return F.filter(chains, lambda s: ~F.endswith(s, F.lit(" ")))
 
-    none = F.array().cast("array<string>")
     found = let(spoken, lambda w: F.when(F.size(w) > 0, complete(spots(w))).otherwise(none))
     hashed = let(found, lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.concat(F.lit("= "), body))))
     return F.sort_array(F.array_distinct(F.transform(hashed, lambda s: F.substring(F.md5(s.cast("binary")), 1, 16))))
