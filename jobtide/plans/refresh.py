@@ -10,8 +10,10 @@ after a run that stopped between two of them, all are built again.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,15 @@ from jobtide.plans.dimensions import city_dimension, seniority_dimension, state_
 from jobtide.plans.ingest import IngestReport, Layout
 from jobtide.plans.marts import MART_DIMS, MART_PROBE, count_marts, mart, merged_mart
 from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA
-from jobtide.sources.tables import create_table, current_version, extend_table, overwrite_table, read_table, table_exists
+from jobtide.sources.tables import (
+    create_table,
+    current_version,
+    extend_table,
+    newest_part,
+    overwrite_table,
+    read_table,
+    table_exists,
+)
 from jobtide.streaming.incremental import ingest_arrivals, total_report
 
 DIMENSIONS = ["base_city", "base_state", "base_seniority"]
@@ -51,6 +61,16 @@ def made_from(spark: SparkSession, layout: Layout) -> int | None:
     return calls.pop() if len(calls) == 1 else None
 
 
+def _together(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Models that do not need each other, made at the same time, as most are too small to fill a cluster."""
+    def run(job: Callable[[], DataFrame]) -> DataFrame:
+        with lookup_scope():
+            return job()
+
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return dict(zip(jobs, pool.map(run, jobs.values())))
+
+
 def build_models(spark: SparkSession, layout: Layout, upto: int = 0) -> dict[str, DataFrame]:
     """Build all models but the trend from the cleaned table.
 
@@ -67,13 +87,15 @@ def build_models(spark: SparkSession, layout: Layout, upto: int = 0) -> dict[str
     with lookup_scope():
         again = copy_filter(cleaned, MART_PROBE)
         placed = {"in_place": True} if layout.buckets else {"again": again}
-        tables = {"base_city": store("base_city", city_dimension(cleaned))}
+        tables = _together({
+            "base_city": lambda: store("base_city", city_dimension(cleaned)),
+            "base_seniority": lambda: store("base_seniority", seniority_dimension(cleaned)),
+            "posting_links": lambda: store("posting_links", posting_links(cleaned, **placed)),
+        })
         tables["base_state"] = store("base_state", state_dimension(tables["base_city"]))
-        tables["base_seniority"] = store("base_seniority", seniority_dimension(cleaned))
         tables["conformed"] = store("conformed", conformed_postings(cleaned, tables["base_state"], **placed))
-        tables["posting_links"] = store("posting_links", posting_links(cleaned, **placed))
-        for name, made in count_marts(tables["conformed"], again).items():
-            tables[name] = store(name, made)
+        counted = count_marts(tables["conformed"], again)
+        tables.update(_together({name: partial(store, name, made) for name, made in counted.items()}))
     return tables
 
 
@@ -101,11 +123,13 @@ def extend_models(spark: SparkSession, layout: Layout, new: DataFrame, upto: int
         return overwrite_table(df, layout.table(name), upto=upto)
 
     with lookup_scope():
-        cities = old["base_city"].unionByName(city_dimension(new)).distinct()
-        tables = {"base_city": store("base_city", cities)}
+        tables = _together({
+            "base_city": lambda: store("base_city", old["base_city"].unionByName(city_dimension(new)).distinct()),
+            "base_seniority": lambda: store(
+                "base_seniority", old["base_seniority"].unionByName(seniority_dimension(new)).distinct()),
+            "posting_links": lambda: extend_table(posting_links(new), layout.table("posting_links"), upto),
+        })
         tables["base_state"] = store("base_state", state_dimension(tables["base_city"]))
-        seniorities = old["base_seniority"].unionByName(seniority_dimension(new)).distinct()
-        tables["base_seniority"] = store("base_seniority", seniorities)
         before = state_lookup(old["base_state"]).withColumnRenamed("STATE_STANDARDIZED", "before")
         moved = state_lookup(tables["base_state"]).join(before, "CITY_STANDARDIZED").where(
             ~F.col("STATE_STANDARDIZED").eqNullSafe(F.col("before")))
@@ -116,12 +140,11 @@ def extend_models(spark: SparkSession, layout: Layout, new: DataFrame, upto: int
             tables["conformed"] = store("conformed", whole)
         else:
             tables["conformed"] = extend_table(added, layout.table("conformed"), upto)
-        tables["posting_links"] = extend_table(posting_links(new), layout.table("posting_links"), upto)
-        for name, counted in count_marts(added).items():
-            merged = merged_mart(old[name], counted)
-            if name == "by_state" and changed.rows:
-                merged = mart(tables["conformed"], name)
-            tables[name] = store(name, merged)
+            added = newest_part(spark, layout.table("conformed"), added.schema)
+        merged = {name: merged_mart(old[name], counted) for name, counted in count_marts(added).items()}
+        if changed.rows:
+            merged["by_state"] = mart(tables["conformed"], "by_state")
+        tables.update(_together({name: partial(store, name, made) for name, made in merged.items()}))
     return tables
 
 

@@ -312,17 +312,23 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 def extend_table(df: DataFrame, path: str, upto: int) -> DataFrame:
     """Add rows to a refreshed table as a version of its own: the folders there are, and one more.
 
-    Past ``MOST_FOLDERS`` all rows are written as one folder instead.
+    Before that more than ``MOST_FOLDERS`` folders are written as one.
     """
     spark = df.sparkSession
     before = current_version(spark, path)
     if before is None:
         raise ValueError(f"table {path} was never refreshed")
     if len(before.folders) >= MOST_FOLDERS:
-        return _write_version(read_table(spark, path, df.schema).unionByName(df), path, (), before, (), upto)
+        overwrite_table(read_table(spark, path, df.schema), path, upto=before.upto)
+        before = current_version(spark, path)
     return _write_version(df, path, before.folders, before, (), upto)
 
 
+def newest_part(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows that the last refresh added."""
+    return spark.read.schema(schema).parquet(f"{path}/{current_version(spark, path).folders[-1]}")
+
+
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a reused result in memory for the duration of a block."""
