@@ -395,6 +395,7 @@ ask("c9_state_listing", CONFORM, f"SELECT * FROM ({BY['by_state']}) WHERE JOB_CA
 ask("c9_city_listing", CONFORM, f"SELECT * FROM ({BY['by_city']}) ORDER BY total_jobs DESC")
 ask("c9_org_listing", CONFORM, f"SELECT * FROM ({BY['by_org']}) WHERE JOB_CATEGORY = 'Data Engineer' ORDER BY total_jobs DESC")
 ask("c10_skills_listing", [], "SELECT DISTINCT p_type AS Job_Title, p_name AS skill FROM part ORDER BY 1")
+ask("c11_refresh_by_day", [*INGEST, *TRENDS], _LONG, postings=ingested())
 ask("c11_refresh_rebuilt", [*INGEST, *TRENDS], _LONG, postings=ingested())
 ask("c11_refresh_conformed", [*INGEST, *CONFORM], f"SELECT {flat(CLEANED_COLUMNS)} FROM conformed", postings=ingested())
 ask("c11_refresh_dimensions", [*INGEST, *RULED], """SELECT 'base_city' AS model, CITY AS a, CITY_STANDARDIZED AS b, STATE AS c,

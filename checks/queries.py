@@ -829,10 +829,15 @@ def c11_refresh_rebuilt(spark, sf_dir):
     return _long_form(_refreshed(spark, sf_dir, whole=True, partition_by=(), buckets=4))
 
 
+@query
+def c11_refresh_by_day(spark, sf_dir):
+    """With the default layout of the cleaned table, a folder for each day."""
+    return _long_form(_refreshed(spark, sf_dir))
+
+
 @query
 def c11_refresh_conformed(spark, sf_dir):
-    """With the default layout of the cleaned table."""
-    return flat(_refreshed(spark, sf_dir)["conformed"].select(*CLEANED_COLUMNS))
+    return flat(_refreshed(spark, sf_dir, partition_by=())["conformed"].select(*CLEANED_COLUMNS))
 
 
 @query
