@@ -10,7 +10,7 @@ What the markup does not name is found by repetition, in two steps.
 
 *Blocks.*  Outside articles and main elements whole blocks are judged by their zone.  The words of
 these blocks form one token stream a host, and its suffixes are sorted on their first ``DEPTH`` words,
-kept at block starts and at one in ``SPACING`` words, chosen by the word itself.  The whole text
+every one that has so many in its block.  The whole text
 of each block is a key, too, so that short blocks are counted exactly.  Keys on at least
 ``MIN_PAGES`` distinct pages of a host repeat; pages with equal article texts (equal texts, where
 nothing is marked as an article) count as one.  A block repeats if its whole text does, or most of
@@ -19,13 +19,12 @@ have its zone, or if its zone is mostly repeated, as a mean over these pages and
 their length: articles are copied too, and an article on a few pages of many stays.
 
 *Runs.*  The texts that are left, articles included, are joined per host into one stream, whose
-suffixes are again compared by their first ``DEPTH`` words.  Kept are those at block starts and the
-one with the least hash in each ``SPREAD`` neighbours, so that every run of ``SPREAD + DEPTH - 1``
-words or more has a kept suffix in the same place wherever it stands.  Where a kept suffix
-is on at least ``COVERED`` of the host's distinct pages (and on ``MIN_PAGES``), all suffixes around
-it are counted, which gives the ends of the run to the word.  The words that such runs cover are
-removed and the unique runs between are kept; a page whose greater half would go is a copied
-article and stays whole.
+suffixes are again compared by their first ``DEPTH`` words, all of them.  Runs are sought on at
+least ``COVERED`` of the host's distinct pages (and on ``MIN_PAGES``).  Such a run is on that share of the
+pages of some task, too, however pages are dealt over tasks; so each task names the suffixes
+that are on that share of its own pages of a host, and only these are counted over all pages.  The words
+that such runs cover are removed and the unique runs between are kept; a page whose greater half would
+go is a copied article and stays whole.
 
 Pages are parsed once, into a stored table.  The sorts are Spark groupings on (host, key), so a
 host with most of the pages is spread over tasks; no page meets another one.
@@ -40,9 +39,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache, lru_cache
 from hashlib import blake2b
 from typing import NamedTuple
@@ -57,7 +55,9 @@ from pyspark.sql import functions as F
 from jobtide.llm.common import maybe_broadcast, short_batches, stored, table, tidy
 from jobtide.llm.shingles import window_hashes, word_hashes
 
-DEPTH, SPACING, SPREAD, MIN_PAGES, COVERED = 8, 16, 48, 3, 0.5
+DEPTH, SPREAD, MIN_PAGES, COVERED = 8, 48, 3, 0.5
+# Suffixes that a task compares at once.
+HELD = 1 << 22
 
 _SPECIAL, _NAME = re.compile(r"[>\"']"), re.compile(r"/?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -247,15 +247,11 @@ def _number(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def block_keys(block: Block) -> list[int]:
-    """The key of the whole block, then those of its kept suffixes: its first words, and those
-    after chosen words."""
-    words = block.text.split(" ")
-    keys = [_number(block.text)]
-    for i, word in enumerate(words):
-        if i == 0 or zlib.crc32(word.encode("utf-8", "surrogatepass")) % SPACING == 0:
-            keys.append(_number(" ".join(words[i:i + DEPTH])))
-    return list(dict.fromkeys(keys))
+def block_keys(text: str) -> list[int]:
+    """The key of the whole block, then those of all its runs of ``DEPTH`` words; a shorter block is its only run."""
+    words = text.split(" ")
+    runs = (" ".join(words[i:i + DEPTH]) for i in range(max(1, len(words) - DEPTH + 1)))
+    return list(dict.fromkeys([_number(text), *map(_number, runs)]))
 
 
 def main_blocks(blocks: list[Block]) -> list[Block]:
@@ -274,15 +270,15 @@ def _host(url: str | None) -> str:
 
 
 _READ = ("host bigint, body bigint, marked boolean, texts array<string>, "
-         "zones array<bigint>, keys array<array<bigint>>")
+         "zones array<bigint>, outside array<string>")
 
 
 def read_pages(pages: DataFrame) -> DataFrame:
     """Every page read once: id, page_id, url, then its host, a number of its article text, whether
-    the markup names an article, the blocks' texts; and zones and keys of all blocks outside articles,
-    which without an article stand in the order of the texts."""
+    the markup names an article, the blocks' texts; and zones and texts of all blocks outside articles,
+    which without an article are the texts themselves and not kept twice."""
     page_type = pages.schema["page_id"].dataType
-    lists = [pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))]
+    lists = [pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.string())]
     types = [pa.int64(), pa.int64(), pa.bool_(), *lists]
 
     @tidy
@@ -298,18 +294,33 @@ def read_pages(pages: DataFrame) -> DataFrame:
                 texts = [b.text for b in found]
                 rows.append((
                     _number(_host(url)), _number("\n".join(texts)), marked, texts,
-                    [b.zone for b in outside], [block_keys(b) for b in outside]))
+                    [b.zone for b in outside], [b.text for b in outside] if marked else None))
             columns = list(zip(*rows)) or [()] * len(types)
             ids = pa.array(range(number, number + len(rows)), pa.int64())
             number += len(rows)
             yield pa.RecordBatch.from_arrays(
                 [ids, batch.column("page_id"), batch.column("url"), *(pa.array(c, t) for c, t in zip(columns, types))],
-                ["id", "page_id", "url", "host", "body", "marked", "texts", "zones", "keys"])
+                ["id", "page_id", "url", "host", "body", "marked", "texts", "zones", "outside"])
 
     return pages.select("page_id", "url", "html").mapInArrow(
         read, f"id bigint, page_id {page_type.simpleString()}, url string, {_READ}")
 
 
+def _with_keys(pages: DataFrame) -> DataFrame:
+    """(id, host, body, marked, place, zone, keys) of the blocks outside articles."""
+    blocks = pages.select("id", "host", "body", "marked", F.posexplode(
+        F.arrays_zip("zones", F.coalesce("outside", "texts").alias("texts"))).alias("place", "b"))
+    read = blocks.select("id", "host", "body", "marked", "place", F.col("b.zones").alias("zone"), F.col("b.texts").alias("text"))
+
+    @tidy
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pa.array([block_keys(text) for text in batch.column("text").to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], keys], [*batch.schema.names[:-1], "keys"])
+
+    return read.mapInArrow(emit, "id bigint, host bigint, body bigint, marked boolean, place int, zone bigint, keys array<bigint>")
+
+
 def repeated_blocks(read: DataFrame) -> DataFrame | None:
     """(id, places): the blocks of unmarked pages that are boilerplate of their host; None without such pages.
 
@@ -320,8 +331,7 @@ def repeated_blocks(read: DataFrame) -> DataFrame | None:
     if not n_hosts:
         return None
     asked = read.join(maybe_broadcast(unmarked, n_hosts, 16), F.col("host") == F.col("_host"), "left_semi")
-    blocks = asked.select("id", "host", "body", "marked", F.posexplode(F.arrays_zip("zones", "keys")).alias("place", "b")).select(
-        "id", "host", "body", "marked", "place", F.col("b.zones").alias("zone"), F.col("b.keys").alias("keys"))
+    blocks = stored(_with_keys(asked), "block-keys")
     keyed = blocks.select("*", F.explode("keys").alias("key"))
     pages = F.count(F.lit(1)).alias("pages")
     shared = stored(
@@ -360,38 +370,27 @@ def without_blocks(read: DataFrame) -> DataFrame:
     return stored(read.where("marked").select(*kept).union(unmarked.select(*kept)), "left-blocks")
 
 
-def kept_suffixes(keys: np.ndarray, starts: list[int]) -> np.ndarray:
-    """Places of the suffixes that are compared: block starts, and the least of each ``SPREAD`` neighbours."""
-    chosen = [np.array([s for s in starts if s < len(keys)], np.int64)]
-    if len(keys) > SPREAD:
-        chosen.append(np.lib.stride_tricks.sliding_window_view(keys, SPREAD).argmin(axis=1) + np.arange(len(keys) - SPREAD + 1))
-    elif len(keys):
-        chosen.append(keys.argmin()[None])
-    return np.unique(np.concatenate(chosen))
+def kept_suffixes(keys: np.ndarray, starts: Sequence[int] = ()) -> np.ndarray:
+    """Places of the suffixes that are compared: all, wherever blocks start."""
+    return np.arange(len(keys))
 
 
-def _suffixes(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray, list[int]]]:
-    """(id, host, body, key of each word's suffix, words before each block) of the pages of a batch."""
+def _suffixes(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(id, host, body, key of each word's suffix) of the pages of a batch."""
     columns = [batch.column(c).to_pylist() for c in ("id", "host", "body", "texts")]
     for start in range(0, len(columns[0]), 64):
         part = [c[start:start + 64] for c in columns]
         words = word_hashes([" ".join(texts) for texts in part[3]])
-        for own, host, body, texts, hashes in zip(*part, words):
-            counts = [t.count(" ") + 1 for t in texts]
-            yield own, host, body, window_hashes(hashes, DEPTH).view(np.int64), np.cumsum([0, *counts[:-1]]).tolist()
+        for own, host, body, _, hashes in zip(*part, words):
+            yield own, host, body, window_hashes(hashes, DEPTH).view(np.int64)
 
 
-def _keyed(pages: DataFrame, places: str | None) -> DataFrame:
-    """(id, host, body, place, key) of the kept suffixes of all pages, or of those around ``places`` of a page."""
+def _keyed(pages: DataFrame) -> DataFrame:
+    """(id, host, body, place, key) of the suffixes of all pages."""
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        around = batch.column(places).to_pylist() if places else None
         found = []
-        for k, (own, host, body, keys, starts) in enumerate(_suffixes(batch)):
-            if around is None:
-                at = kept_suffixes(keys, starts)
-            else:
-                at = np.unique((np.array(around[k])[:, None] + np.arange(-SPREAD - DEPTH, SPREAD + DEPTH + 1)).ravel())
-                at = at[(at >= 0) & (at < len(keys))]
+        for own, host, body, keys in _suffixes(batch):
+            at = kept_suffixes(keys)
             found.append((np.full(len(at), own), np.full(len(at), host), np.full(len(at), body), at, keys[at]))
         columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 5
         return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["id", "host", "body", "place", "key"])
@@ -399,11 +398,68 @@ def _keyed(pages: DataFrame, places: str | None) -> DataFrame:
     @tidy
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                yield rows(batch.slice(start, 256))
+            for start in range(0, batch.num_rows, 64):
+                yield rows(batch.slice(start, 64))
+
+    return pages.select("id", "host", "body", "texts").mapInArrow(
+        emit, "id bigint, host bigint, body bigint, place bigint, key bigint")
+
+
+def _distinct_pages(pages: DataFrame) -> DataFrame:
+    """One page of each body of a host, and whether all its suffixes are to be named.
+
+    Pages of one body differ only where blocks of some were removed; then all of them are given, to be named whole.
+    """
+    text = F.xxhash64("texts")
+    several = pages.groupBy(F.col("host").alias("_host"), F.col("body").alias("_body")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("first"), (F.min(text) != F.max(text)).alias("differ"))
+    copied = stored(several.where("n > 1").drop("n"), "copied-pages")
+    same = (F.col("host") == F.col("_host")) & (F.col("body") == F.col("_body"))
+    joined = pages.join(maybe_broadcast(copied, copied.count(), 48), same, "left")
+    whole = F.coalesce("differ", F.lit(False))
+    return joined.where(F.col("first").isNull() | (F.col("first") == F.col("id")) | whole).select(
+        "id", "host", "body", "texts", whole.alias("whole"))
+
+
+def _named(host: int, sets: list[np.ndarray], whole: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = np.unique(np.concatenate([*sets, np.zeros(0, np.int64)]), return_counts=True)
+    found = np.unique(np.concatenate([keys[n >= COVERED * len(sets)], *whole]))
+    return np.full(len(found), host, np.int64), found
+
+
+def likely_suffixes(pages: DataFrame) -> DataFrame:
+    """(host, key), some of them more than once: every suffix on ``COVERED`` of a host's bodies, and few others.
+
+    Were a suffix on a lesser share of the pages in each task, it would be on a lesser share of them all.
+    """
+    @tidy
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def named() -> Iterator[pa.RecordBatch]:
+            for host, (sets, whole) in held.items():
+                hosts, keys = _named(host, sets, whole)
+                for start in range(0, len(keys), 1 << 16):
+                    part = slice(start, start + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([pa.array(hosts[part]), pa.array(keys[part])], ["host", "key"])
+
+        held: dict[int, tuple[list, list]] = {}
+        size = 0
+        for batch in batches:
+            whole = batch.column("whole").to_pylist()
+            for k, (_, host, _, keys) in enumerate(_suffixes(batch)):
+                held.setdefault(host, ([], []))[whole[k]].append(np.unique(keys))
+                size += len(keys)
+                if size >= HELD:
+                    yield from named()
+                    held, size = {}, 0
+        yield from named()
+
+    return _distinct_pages(pages).mapInArrow(emit, "host bigint, key bigint")
 
-    read = pages.select("id", "host", "body", "texts", *([places] if places else []))
-    return read.mapInArrow(emit, "id bigint, host bigint, body bigint, place bigint, key bigint")
+
+def _of_hosts(pages: DataFrame, found: DataFrame) -> DataFrame:
+    """The pages of the hosts of a stored table."""
+    own = found.select(F.col("host").alias("_host")).distinct()
+    return pages.join(maybe_broadcast(own, own.count(), 32), F.col("host") == F.col("_host"), "left_semi")
 
 
 def _on_most_pages(keyed: DataFrame, hosts: DataFrame) -> DataFrame:
@@ -421,18 +477,17 @@ def repeated_runs(pages: DataFrame) -> DataFrame | None:
     """
     bodies = pages.select("host", "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("bodies"))
     hosts = stored(bodies.where(F.col("bodies") >= MIN_PAGES), "hosts")
-    hot = stored(_on_most_pages(_keyed(pages, None), hosts), "hot-suffixes")
-    n = hot.count()
+    of_hosts = _of_hosts(pages, hosts)
+    likely = stored(likely_suffixes(of_hosts).distinct(), "likely-suffixes")
+    n = likely.count()
+    if not n:
+        return None
+    counted = _keyed(_of_hosts(of_hosts, likely)).join(maybe_broadcast(likely, n, 48), ["host", "key"], "left_semi")
+    runs = stored(_on_most_pages(counted, hosts), "runs")
+    n = runs.count()
     if not n:
         return None
-    own = hot.select("host").distinct().withColumnRenamed("host", "_host")
-    of_hosts = pages.join(maybe_broadcast(own, hosts.count(), 32), F.col("host") == F.col("_host"), "left_semi")
-    at = _keyed(of_hosts, None).join(maybe_broadcast(hot, n, 48), ["host", "key"]).groupBy(F.col("id").alias("_id")).agg(
-        F.collect_list("place").alias("around"))
-    marked = stored(at, "hot-pages")
-    near = stored(_keyed(pages.join(maybe_broadcast(marked, marked.count(), 256), F.col("id") == F.col("_id")), "around"), "near-suffixes")
-    runs = stored(_on_most_pages(near, hosts), "runs")
-    found = near.join(maybe_broadcast(runs, runs.count(), 48), ["host", "key"])
+    found = _keyed(_of_hosts(of_hosts, runs)).join(maybe_broadcast(runs, n, 48), ["host", "key"])
     covered = F.array_distinct(F.flatten(F.transform(F.collect_list("place"), lambda p: F.sequence(p, p + DEPTH - 1))))
     return found.groupBy("id").agg(covered.alias("covered"))
 

@@ -108,6 +108,46 @@ def test_runs_equal_a_comparison_of_all_suffixes(spark):
     assert got == wanted and sum(len(a.split()) < len(t) for a, (_, t) in zip(wanted, pages)) > 10
 
 
+def test_short_runs_inside_long_texts(spark):
+    """Runs of a few words more than a suffix, far from block starts and from each other's places; copies of pages beside them."""
+    rng = random.Random(23)
+    pages = []
+    for host, size in (("a.example", 3), ("b.example", 7), ("c.example", 40)):
+        runs = [(words(rng, rng.randint(extract.DEPTH, 14)), share) for share in (1, 0.7, 0.5, 0.4)]
+        for k in range(size):
+            text = words(rng, rng.randint(20, 60))
+            for run, share in rng.sample(runs, len(runs)):
+                text += (run if k < share * size else []) + words(rng, rng.randint(60, 90))
+            pages += [(host, text)] * (1 + 5 * (k == size - 1))
+    rng.shuffle(pages)
+    got = texts_of(spark, [(host, f"<article><p>{' '.join(text)}</p></article>") for host, text in pages])
+    wanted = plainly(pages, extract.COVERED)
+    assert got == wanted and sum(len(a.split()) < len(t) for a, (_, t) in zip(wanted, pages)) > 40
+
+
+def test_a_block_has_a_key_for_each_of_its_runs():
+    rng = random.Random(29)
+    own = words(rng, 30)
+    shared = extract.block_keys(" ".join(words(rng, 40) + own + words(rng, 40)))
+    keys = extract.block_keys(" ".join(own))
+    assert len(keys) == 1 + len(own) - extract.DEPTH + 1 and set(keys[1:]) <= set(shared)
+    assert len(extract.block_keys("a short block")) == 1
+
+
+def test_likely_suffixes_of_pages_whose_copies_were_cut(spark, monkeypatch):
+    """Every run of half the bodies is named, however few pages a task holds at once; pages of a body may differ."""
+    monkeypatch.setattr(extract, "HELD", 100)
+    rng = random.Random(31)
+    run, other = words(rng, 12), words(rng, 12)
+    rows = [(k, 1, k, [" ".join(words(rng, 30) + (run if k % 2 else []) + words(rng, 30))]) for k in range(20)]
+    rows += [(100 + k, 1, 0, [" ".join(words(rng, 20) + other)]) for k in range(9)]
+    pages = spark.createDataFrame(rows, "id bigint, host bigint, body bigint, texts array<string>").repartition(4)
+    named = {(r.host, r.key) for r in extract.likely_suffixes(pages).collect()}
+    for part in (run, other):
+        keys = extract.window_hashes(extract.word_hashes([" ".join(part)])[0], extract.DEPTH).view(np.int64)
+        assert {(1, int(k)) for k in keys} <= named
+
+
 def test_deep_pages_have_zones_of_one_size():
     blocks = extract.read_blocks("<div class='c'>" * 3000 + "deep")
     assert blocks[0].text == "deep" and -(1 << 63) <= blocks[0].zone < 1 << 63
