@@ -606,12 +606,18 @@ def f15_reported_period(spark, sf_dir):
 # --- composed --------------------------------------------------------------------------------------
 
 
+def _land(rows: DataFrame, path: str) -> None:
+    """Landing files as they are sent: compressed, one record per line, of a bounded length."""
+    writer = rows.write.mode("append").partitionBy("job_category").option("ignoreNullFields", False)
+    writer.option("compression", "gzip").option("maxRecordsPerFile", 1_000_000).json(path)
+
+
 def _landed(spark, sf_dir, partition_by=()) -> Layout:
     """Raw records and the dictionary of the driver tables, written as a run would find them."""
     root = tables.scratch_folder(spark, "run")
     layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", partition_by)
     raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus")
-    raw.write.partitionBy("job_category").option("ignoreNullFields", False).json(layout.landing)
+    _land(raw, layout.landing)
     X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
     return layout
 
@@ -665,10 +671,10 @@ def c1_arrivals_missing_key(spark, sf_dir):
     layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", ())
     X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
     tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA)
-    raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus").coalesce(1)
+    raw = tables.stored_scratch(X.raw_postings(spark, sf_dir).drop("o_orderstatus"), "raw")
     early = F.crc32(F.col("id").cast("binary")) % 2 == 0
     for rows in (raw.where(early).drop("linkedin_org_slug"), raw.where(~early)):
-        rows.write.mode("append").partitionBy("job_category").option("ignoreNullFields", False).json(layout.landing)
+        _land(rows.repartition("job_category"), layout.landing)
     ingest_arrivals(spark, layout, files_per_batch=1)
     return _ingested(spark, layout)
 
@@ -679,7 +685,7 @@ def _drifted(spark, sf_dir) -> Layout:
     layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", ())
     X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
     tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA)
-    raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus")
+    raw = tables.stored_scratch(X.raw_postings(spark, sf_dir).drop("o_orderstatus"), "raw")
     key = F.replace("id", F.lit("job-"), F.lit("")).cast("bigint")
     dated = raw.withColumn("date_created", F.when(key % 97 == 0, F.lit("next week")).otherwise(F.col("date_created")))
     other = {
@@ -690,8 +696,7 @@ def _drifted(spark, sf_dir) -> Layout:
     }
     for part in range(5):
         name, value = other.get(part, ("id", F.col("id")))
-        rows = dated.where(key % 5 == part).withColumn(name, value)
-        rows.write.mode("append").partitionBy("job_category").option("ignoreNullFields", False).json(layout.landing)
+        _land(dated.where(key % 5 == part).withColumn(name, value), layout.landing)
     broken = raw.where(key % 89 == 0).select(F.concat(F.lit("{broken "), "id").alias("value"), "job_category")
     broken.write.mode("append").partitionBy("job_category").text(layout.landing)
     return layout
@@ -809,11 +814,10 @@ def _refreshed(spark, sf_dir, whole: bool = False, **layout_options) -> dict[str
     root = tables.scratch_folder(spark, "run")
     layout = Layout(f"{root}/tables", f"{root}/landing", f"{root}/dictionary", **layout_options)
     X.dictionary(spark, sf_dir).write.parquet(layout.dictionary)
-    raw = X.raw_postings(spark, sf_dir).drop("o_orderstatus")
+    raw = tables.stored_scratch(X.raw_postings(spark, sf_dir).drop("o_orderstatus"), "raw")
     early = F.crc32(F.col("id").cast("binary")) % 2 == 0
     for part in (early, ~early):
-        rows = raw.where(part).write.mode("append").partitionBy("job_category")
-        rows.option("ignoreNullFields", False).json(layout.landing)
+        _land(raw.where(part), layout.landing)
         result = refresh(spark, layout, AS_OF, whole)
     return result.tables
 

@@ -29,7 +29,7 @@ from jobtide.schema import (
     SEARCH_TITLES,
     TRANSLATED_COLUMNS,
 )
-from jobtide.sources.landing import CORRUPT, absent_keys, conform, is_rejected, names_of, parse_landed
+from jobtide.sources.landing import CORRUPT, FILE, absent_keys, conform, is_rejected, names_of, parse_landed
 from jobtide.sources.tables import delete_path, read_table, scratch_path, table_exists
 
 RECORD = "_record"
@@ -144,11 +144,11 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
     contract keys are absent (a task that is run again counts once, as nothing is shuffled
     there).  Records that are no JSON or have a date that is none go to the folder ``name`` of
     the rejected rows with their file, text and reason, so that a batch taken again writes its own
-    folder anew; every other record is kept.  The rows not loaded before are kept in a second
-    scratch table, which is counted, translated and written to ``into``.
+    folder anew; every other record is kept.  The rows not loaded before are counted by their IDs,
+    then translated and written to ``into`` in one pass over the scratch table.
     """
     spark = lines.sparkSession
-    landed = parse_landed(lines, record=RECORD)
+    landed = parse_landed(lines, record=RECORD, keep=[FILE])
     wanted = ~is_rejected(CORRUPT) & has_phrase(F.col("title"), SEARCH_TITLES)
     reason = F.when(is_rejected(CORRUPT), "not JSON").when(wanted & is_bad_date(F.col("date_created")), "bad date")
     seen = Observation()
@@ -161,10 +161,10 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
     )
     noted = counted.where(wanted | reason.isNotNull()).withColumns({
         "_reason": reason,
-        "_file": F.input_file_name(),
+        "_file": F.col(FILE),
         "_text": F.when(reason.isNotNull(), F.col(RECORD)),
     })
-    cleaned = _derived(upper_names(conform(noted.drop(RECORD)).drop(CORRUPT)))
+    cleaned = _derived(upper_names(conform(noted.drop(RECORD, FILE)).drop(CORRUPT)))
     scratch = scratch_path(spark, "ingest")
     try:
         with lookup_scope():
@@ -184,11 +184,11 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
             if not counts["title_kept"]:
                 return Taken(IngestReport("no_data", counts), absent)
             history = read_table(spark, layout.cleaned, CLEANED_SCHEMA)
-            fresh = _staged(blank_to_null(keep_new(batch, history)), f"{scratch}/fresh")
-            counts["appended"] = fresh.count()
+            new = keep_new(batch, history)
+            counts["appended"] = new.select("ID").count()
             if not counts["appended"]:
                 return Taken(IngestReport("nothing_new", counts), absent)
-            translated = normalise_via_dictionary(fresh, TRANSLATED_COLUMNS, read_table(spark, layout.dictionary))
+            translated = normalise_via_dictionary(blank_to_null(new), TRANSLATED_COLUMNS, read_table(spark, layout.dictionary))
             translated.write.mode("overwrite").parquet(into)
             return Taken(IngestReport("loaded", counts), absent)
     finally:

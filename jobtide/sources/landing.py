@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from jobtide.schema import RAW_SCHEMA
 
 CORRUPT = "_corrupt_record"
+FILE = "_landed_file"
 
 
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
@@ -51,23 +53,34 @@ def conform(landed: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
 def landed_lines(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The text under ``path``: a row per line, or per file with ``multi_line``.
 
-    Directories ``job_category=<title>`` add the title.
+    Directories ``job_category=<title>`` add the title; the file is told beside the text.
     """
-    return spark.read.text(path, wholetext=multi_line)
+    return spark.read.text(path, wholetext=multi_line).withColumn(FILE, F.input_file_name())
 
 
-def parse_landed(lines: DataFrame, schema: T.StructType = RAW_SCHEMA, record: str | None = None) -> DataFrame:
+def dealt_lines(lines: DataFrame, tasks: int) -> DataFrame:
+    """Landed text dealt over ``tasks`` by the place of each line, so that copies are spread, too.
+
+    For few files: a compressed one is read by a single task, and parsing costs far more than reading.
+    """
+    return lines.repartition(tasks, F.monotonically_increasing_id() % tasks)
+
+
+def parse_landed(
+    lines: DataFrame, schema: T.StructType = RAW_SCHEMA, record: str | None = None, keep: Sequence[str] = (),
+) -> DataFrame:
     """Lines or whole files as one row per record, every declared field as text.
 
     The columns are declared, never inferred.  A text that is a JSON array gives a row for each of
     its elements; blank ones give none.  A text that is no JSON becomes a row with only the
-    corrupt-text column set.  ``record`` names a column that keeps the text of the record.
+    corrupt-text column set.  ``record`` names a column that keeps the text of the record,
+    ``keep`` columns of the lines that every record of theirs keeps.
     """
     tagged = "job_category" in lines.columns
     fields = text_schema(T.StructType([f for f in schema.fields if not (tagged and f.name == "job_category")]))
     listed = F.from_json("value", T.ArrayType(T.StringType()))
     each = F.when(F.startswith(F.ltrim("value"), F.lit("[")) & listed.isNotNull(), listed).otherwise(F.array("value"))
-    kept = ["job_category"] if tagged else []
+    kept = [*(["job_category"] if tagged else []), *keep]
     records = lines.select(*kept, F.explode(each).alias("_record")).where(F.trim("_record") != "")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = records.withColumn("_parsed", F.from_json("_record", with_corrupt_column(fields), options))
@@ -77,7 +90,7 @@ def parse_landed(lines: DataFrame, schema: T.StructType = RAW_SCHEMA, record: st
     corrupt = F.coalesce(f"_parsed.{CORRUPT}", F.when(F.col("_parsed").isNull(), F.col("_record")))
     return parsed.select(
         *[columns[f.name].alias(f.name) for f in schema.fields], corrupt.alias(CORRUPT),
-        *([F.col("_record").alias(record)] if record else []))
+        *([F.col("_record").alias(record)] if record else []), *keep)
 
 
 def read_landed(

@@ -9,9 +9,11 @@ the rows do not depend on how the files are dealt over micro-batches.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jobtide.plans.arrivals import Arrivals
 from jobtide.plans.ingest import IngestReport, Layout, take_records
+from jobtide.sources.landing import FILE, dealt_lines
 
 
 def landing_stream(
@@ -21,20 +23,23 @@ def landing_stream(
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path, wholetext=multi_line)
+    return reader.text(path, wholetext=multi_line).withColumn(FILE, F.input_file_name())
 
 
 def ingest_arrivals(spark: SparkSession, layout: Layout, files_per_batch: int | None = None) -> list[IngestReport]:
     """Ingest the files that arrived since the last call; one report per micro-batch.
 
     ``files_per_batch`` splits a large arrival into several batches; the stored rows, or the
-    error of a broken contract, are the same for every value.
+    error of a broken contract, are the same for every value.  The text of fewer files than there are
+    cores is dealt over all of them.
     """
     arrivals = Arrivals(spark, layout)
     reports: list[IngestReport] = []
+    cores = spark.sparkContext.defaultParallelism
+    few = files_per_batch is not None and files_per_batch < cores
 
     def take(batch: DataFrame, number: int) -> None:
-        taken = take_records(batch, layout, f"arrival={number}", arrivals.rows(number))
+        taken = take_records(dealt_lines(batch, cores) if few else batch, layout, f"arrival={number}", arrivals.rows(number))
         arrivals.note(number, taken.absent)
         reports.append(taken.report)
 

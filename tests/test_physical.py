@@ -125,3 +125,15 @@ def test_rows_alone_meet_no_shuffle_past_the_broadcast_limit(spark, stored):
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
     assert set(re.findall(r"Exchange hashpartitioning\((\w+?)#", text)) <= {"__bucket"}
     assert alone.count() < stored.count() and alone.union(repeated).count() > stored.count()
+
+
+def test_landing_files_are_not_made_in_one_task(spark, monkeypatch):
+    """Files of the arrivals without a key are dealt by title; their join runs on all partitions."""
+    from checks import queries as Q
+
+    landed, land = [], Q._land
+    monkeypatch.setattr(Q, "_land", lambda rows, path: landed.append(rows) or land(rows, path))
+    Q.c1_arrivals_missing_key(spark, SMALL)
+    plans = [rows._jdf.queryExecution().executedPlan().toString() for rows in landed]
+    assert len(plans) == 2 and not any("Coalesce" in plan for plan in plans)
+    assert all("hashpartitioning(job_category" in plan for plan in plans)

@@ -365,3 +365,34 @@ def test_shared_counting_equals_single_marts(spark, rows):
     assert set(all_marts(fact, dt.date(2001, 8, 1))) == {"by_city", "by_org", "by_state", "by_type", "daily", "wow_trend"}
     fact.unpersist()
     doubled.unpersist()
+
+
+def test_lines_of_few_files_are_dealt_over_all_tasks(spark, tmp_path):
+    """Compressed files, one a batch; equal lines are spread, too, and each keeps the name of its file."""
+    from jobtide.sources.landing import FILE, dealt_lines, landed_lines
+
+    rows = spark.range(400).selectExpr("if(id < 300, 'same', concat('line ', id)) AS value").coalesce(1)
+    rows.write.option("compression", "gzip").text(str(tmp_path / "landing"))
+    lines = landed_lines(spark, str(tmp_path / "landing"))
+    dealt = dealt_lines(lines, 4).withColumn("task", F.spark_partition_id())
+    assert sorted(r.n for r in dealt.groupBy("task").agg(F.count(F.lit(1)).alias("n")).collect()) == [100] * 4
+    assert sorted(r.value for r in dealt.collect()) == sorted(r.value for r in lines.collect())
+    files = {r[FILE] for r in dealt.collect()}
+    assert len(files) == 1 and files.pop().endswith(".txt.gz")
+
+
+def test_an_ingest_writes_new_rows_once_beside_the_parsed_batch(spark, tmp_path, monkeypatch):
+    """Records that are all stored already are counted by ID and written nowhere; landing files are compressed."""
+    from checks import queries as Q
+    from jobtide.plans import ingest as I
+
+    written, staged = [], I._staged
+    monkeypatch.setattr(I, "_staged", lambda df, path: written.append(path) or staged(df, path))
+    layout = Q._landed(spark, SMALL)
+    files = [name for title in tables.list_names(spark, layout.landing) if title.startswith("job_category")
+             for name in tables.list_names(spark, f"{layout.landing}/{title}")]
+    assert files and all(name.endswith(".json.gz") for name in files)
+    tables.create_table(spark, layout.cleaned, I.CLEANED_SCHEMA)
+    first, again = ingest(spark, layout), ingest(spark, layout)
+    assert first.counts["appended"] == again.known > 0 and again.status == "nothing_new"
+    assert [path.rsplit("/", 1)[1] for path in written] == ["batch", "batch"]
