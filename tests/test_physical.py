@@ -137,3 +137,11 @@ def test_landing_files_are_not_made_in_one_task(spark, monkeypatch):
     plans = [rows._jdf.queryExecution().executedPlan().toString() for rows in landed]
     assert len(plans) == 2 and not any("Coalesce" in plan for plan in plans)
     assert all("hashpartitioning(job_category" in plan for plan in plans)
+
+
+def test_collapse_sorts_shuffle_partitions_only(spark):
+    from checks import queries as Q
+
+    plan = Q.a7_collapse(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(ID" in plan and "partial_max" in plan
+    assert plan.index("partial_max") < plan.index("hashpartitioning(ID")  # from the result down: both aggregates above the exchange
