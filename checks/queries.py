@@ -754,7 +754,8 @@ def c5_conformed_split(spark, sf_dir):
 
 @query
 def c6_posting_links(spark, sf_dir):
-    return order.read_order(conf.posting_links(X.sightings(spark, sf_dir)), "posting_links")
+    rows = tables.stored_scratch(X.sightings(spark, sf_dir).select(*conf.LINK_COLUMNS), "sightings")
+    return order.read_order(conf.posting_links(rows), "posting_links")
 
 
 @query

@@ -145,3 +145,9 @@ def test_collapse_sorts_shuffle_partitions_only(spark):
     plan = Q.a7_collapse(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(ID" in plan and "partial_max" in plan
     assert plan.index("partial_max") < plan.index("hashpartitioning(ID")  # from the result down: both aggregates above the exchange
+
+
+def test_links_read_stored_rows(spark):
+    from checks import queries as Q
+
+    assert not [name for name in Q.c6_posting_links(spark, SMALL).inputFiles() if "lineitem" in name]
