@@ -36,9 +36,21 @@ def _places(tag: Column) -> list[Column]:
         F.shiftrightunsigned(narrow, 15 * k).bitwiseAND(mask) for k in range(_PROBES - 4)]
 
 
+def _words(bitmap: str) -> Column:
+    """A bitmap as whole numbers of 32 bits, which are looked up without making texts of bytes."""
+    def word(i: Column) -> Column:
+        first = F.lit(0).cast("bigint")
+        for k in range(4):
+            byte = F.conv(F.hex(F.substring(F.col(bitmap), i * 4 + k + 1, F.lit(1))), 16, 10).cast("bigint")
+            first = first + F.call_function("shiftleft", byte, F.lit(8 * k))
+        return F.when(first >= 1 << 31, first - (1 << 32)).otherwise(first).cast("int")
+
+    return F.transform(F.sequence(F.lit(0), F.lit(_BITMAP_BITS // 32 - 1)), word)
+
+
 @dataclass(frozen=True)
 class Bloom:
-    """A stored filter: (block, bitmap) rows, small enough to be broadcast."""
+    """A stored filter: (block, words of its bitmap) rows, small enough to be broadcast."""
 
     blocks: int
     maps: DataFrame
@@ -46,8 +58,8 @@ class Bloom:
     def flagged(self, df: DataFrame, tag: str, name: str) -> DataFrame:
         """``df`` with whether the hash in column ``tag`` may be in the filter."""
         def bit(place: Column) -> Column:
-            byte = F.substring("__map", (F.floor(place / 8) + 1).cast("int"), F.lit(1))
-            return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int")) == 1
+            word = F.get("__map", F.shiftright(place, 5).cast("int"))
+            return F.getbit(word, place.bitwiseAND(F.lit(31).cast("bigint")).cast("int")) == 1
 
         is_set = F.coalesce(reduce(lambda a, b: a & b, map(bit, _places(F.col(tag)))), F.lit(False))
         joined = df.join(F.broadcast(self.maps), F.pmod(F.col(tag), F.lit(self.blocks)) == F.col("__block"), "left")
@@ -62,4 +74,4 @@ def bloom_filter(hashes: DataFrame, tag: str, count: int, share: float, limit: i
     bits = hashes.select(
         F.pmod(F.col(tag), F.lit(blocks)).alias("__block"), F.explode(F.array(*_places(F.col(tag)))).alias("__bit"))
     maps = bits.groupBy("__block").agg(F.bitmap_construct_agg("__bit").alias("__map"))
-    return Bloom(blocks, stored_scratch(maps, "bloom"))
+    return Bloom(blocks, stored_scratch(maps.select("__block", _words("__map").alias("__map")), "bloom"))
