@@ -63,7 +63,7 @@ def dealt_lines(lines: DataFrame, tasks: int) -> DataFrame:
 
     For few files: a compressed one is read by a single task, and parsing costs far more than reading.
     """
-    return lines.repartition(tasks, F.monotonically_increasing_id() % tasks)
+    return lines.repartition(tasks, F.monotonically_increasing_id())
 
 
 def parse_landed(
