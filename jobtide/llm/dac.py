@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -94,7 +95,7 @@ class CodedIds:
 def write_files(docs: DataFrame, tokenizer: str, end_id: int = END_ID, file_ids: int = FILE_IDS) -> DataFrame:
     """Token files of all documents by ascending doc_id, stored."""
 
-    @tidy
+    @partial(tidy, uses="encoder")
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         names: list[int | None] = []

@@ -28,7 +28,7 @@ in it, null only where all are null.  An empty table gives no rows; other column
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -46,6 +46,8 @@ BATCH_TOKENS, BATCH_DOCUMENTS, OFTEN, NOBODY = 1 << 20, 60_000, 32, 0xFFFF
 # Shingles that a range is meant to hold, and those it adds up at once.  There are at most as many
 # ranges as leave 32 shingles of a batch for each, so past some terabytes of text the batches have to grow, too.
 RANGE_SHINGLES, SLICE_SHINGLES = 1 << 22, 1 << 20
+# Bytes that a task hands back to Spark at once.
+SENT_BYTES = 1 << 20
 CHUNK, CHUNK_SHINGLES, SUFFIX_BITS, DENSE_COLUMNS, FEW = 384, 1 << 21, 4, 1 << 13, 8
 
 
@@ -100,28 +102,41 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _send_batch(number: int, names: list, digests: list[bytes], sets: list[np.ndarray], shift: int) -> pa.RecordBatch:
+def _short(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows in record batches of some ``SENT_BYTES``, or of one longer row, as each is held once more in the JVM."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) if isinstance(v, bytes) else 8 * len(v) if isinstance(v, list) else 8 for v in row)
+        if size >= SENT_BYTES:
+            yield _rows(held, schema)
+            held, size = [], 0
+    if held:
+        yield _rows(held, schema)
+
+
+def _send_batch(number: int, names: list, digests: list[bytes], sets: list[np.ndarray], shift: int) -> Iterator[tuple]:
     """One row for each range with shingles of the batch, and one that lists its documents."""
     sizes = np.array([len(b) for b in sets], np.int64)
     flat = np.concatenate(sets)
+    del sets
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)[order]
     first = np.ones(len(flat), bool)
     first[1:] = flat[1:] != flat[:-1]
-    runs = np.diff(np.flatnonzero(first), append=len(flat))
+    runs = np.diff(np.flatnonzero(first), append=len(flat)).astype(np.int32)
     often = np.repeat(runs >= OFTEN, runs)
     keep = ~often | first
-    times = np.where(often, np.repeat(runs, runs), 1)[keep]
+    times = np.where(often, np.repeat(runs, runs), np.int32(1))[keep]
     sent, owners = flat[keep], np.where(often, NOBODY, owner)[keep].astype("<u2")
     ranges = 1 << (64 - shift)
     cuts = np.append(np.searchsorted(sent, np.arange(ranges, dtype=np.uint64) << np.uint64(shift)), len(sent))
-    rows = []
+    listing = (names, b"".join(digests), sizes.astype("<u4").tobytes(), flat[often].astype("<u8").tobytes(), owner[often].astype("<u2").tobytes())
+    del flat, owner, order, first, often, keep
     for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
         if b > a:
-            rows.append((r, number, *_packed(sent[a:b]), owners[a:b].tobytes(), _planes(times[a:b]), *[None] * 5))
-    listing = (names, b"".join(digests), sizes.astype("<u4").tobytes(), flat[often].astype("<u8").tobytes(), owner[often].astype("<u2").tobytes())
-    rows.append((number % ranges, number, None, None, None, None, *listing))
-    return _rows(rows, _SENT)
+            yield r, number, *_packed(sent[a:b]), owners[a:b].tobytes(), _planes(times[a:b]), *[None] * 5
+    yield number % ranges, number, None, None, None, None, *listing
 
 
 def _totals(places: list[np.ndarray], times: list[np.ndarray]) -> list[np.ndarray]:
@@ -145,22 +160,20 @@ def _totals(places: list[np.ndarray], times: list[np.ndarray]) -> list[np.ndarra
     return out
 
 
-def _answer_range(rows: list[tuple]) -> pa.RecordBatch:
+def _answer_range(rows: list[tuple]) -> Iterator[tuple]:
     """The counts of a range's shared shingles for each batch; listings go on as they are."""
-    out = []
     sent = [r for r in rows if r[1] is not None]
     places = [_unpacked(r[1], r[2]) for r in sent]
     counts = iter(zip(places, _totals(places, [_from_planes(r[4]) for r in sent]))) if sent else iter(())
     for number, first, _, owners, _, *listing in rows:
         if first is None:
-            out.append((0, number, None, None, None, None, *listing))
+            yield 0, number, None, None, None, None, *listing
             continue
         place, count = next(counts)
         shared = count > 1
         if shared.any():
             own = np.frombuffer(owners, "<u2")[shared]
-            out.append((0, number, *_packed(place[shared]), own.tobytes(), _planes(count[shared]), *[None] * 5))
-    return _rows(out, _SENT)
+            yield 0, number, *_packed(place[shared]), own.tobytes(), _planes(count[shared]), *[None] * 5
 
 
 def _batch_prefixes(rows: list[tuple], percent: int) -> list[tuple]:
@@ -217,21 +230,24 @@ def document_prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 sets.append(tokens)
                 held += len(tokens)
                 if held >= BATCH_TOKENS or len(names) >= BATCH_DOCUMENTS:
-                    yield _send_batch(number, names, digests, sets, shift)
+                    rows = _send_batch(number, names, digests, sets, shift)
                     number, held = number + 1, 0
                     names, digests, sets = [], [], []
+                    yield from _short(rows, _SENT)
         if names:
-            yield _send_batch(number, names, digests, sets, shift)
+            rows = _send_batch(number, names, digests, sets, shift)
+            del names, digests, sets
+            yield from _short(rows, _SENT)
 
     @tidy
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _grouped(batches, _SENT.names):
-            yield _answer_range(rows)
+            yield from _short(_answer_range(rows), _SENT)
 
     @tidy
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _grouped(batches, _SENT.names[1:]):
-            yield _rows(_batch_prefixes([(None, *r) for r in rows], percent), result)
+            yield from _short(_batch_prefixes([(None, *r) for r in rows], percent), result)
 
     read = docs.select(F.col("doc_id").cast("bigint"), "text")
     sent = read.mapInArrow(send, _SENT_DDL).repartition(parts, "range").sortWithinPartitions("range")

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -51,7 +52,7 @@ def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of all documents with their lengths and checksums."""
 
-    @tidy
+    @partial(tidy, uses="encoder")
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names: list[int | None] = []

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -19,6 +19,7 @@ from functools import cache
 
 import numpy as np
 
+from jobtide.llm.common import keep_between_tasks
 from jobtide.llm.shingles import mix, powers
 
 MEMO_PARTS, RECENT_PARTS, POOL_IDS, PIECE_BYTES, LONG_BYTES = 1_500_000, 50_000, 12_000_000, 1 << 19, 1 << 21
@@ -193,5 +194,8 @@ def _pieces(texts: Iterator[tuple[int, str]]) -> Iterator[tuple[list[int], list[
 
 @cache
 def encoder(path: str) -> Encoder:
-    """One encoder per task process and file."""
+    """One encoder per task process and file, as long as tasks that use it follow each other."""
     return Encoder(path)
+
+
+keep_between_tasks("encoder", encoder.cache_clear)

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from jobtide.llm import dac, decontaminate, extract, language, near, packing, pii, sharding, shingles, spotsigs, tokens, urls
+from jobtide.llm import common, dac, decontaminate, extract, language, near, packing, pii, sharding, shingles, spotsigs, tokens, urls
 from jobtide.llm.common import running_sums, salted_offsets, salted_ranks, stored
 from llm import brute, data
 
@@ -228,6 +228,28 @@ def copies(spark):
     return rows, spark.createDataFrame(rows, "doc_id bigint, text string")
 
 
+def test_shingles_are_handed_back_in_short_batches():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 64, 50_000, np.uint64)) for _ in range(12)]
+    rows = near._send_batch(7, list(range(12)), [bytes([k]) * 16 for k in range(12)], sets, 54)
+    batches = list(near._short(rows, near._SENT))
+    assert len(batches) > 3
+    assert max(b.nbytes for b in batches) < 2 * near.SENT_BYTES
+    sent = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
+    found = np.concatenate([near._unpacked(r[2], r[3]) for r in sent if r[2] is not None])
+    assert found.tolist() == np.sort(np.concatenate(sets)).tolist()
+    assert [r[6] for r in sent if r[2] is None] == [list(range(12))]
+
+
+def test_tasks_let_go_of_what_only_other_tasks_use():
+    path = tokens.default_tokenizer()
+    kept = tokens.encoder(path)
+    assert list(common.tidy(iter, uses="encoder")([1])) == [1]
+    assert tokens.encoder(path) is kept
+    assert list(common.tidy(iter)([1])) == [1]
+    assert tokens.encoder.cache_info().currsize == 0
+
+
 @pytest.mark.parametrize("size,percent", [(3, 90), (5, 80), (2, 60)])
 @pytest.mark.parametrize("chunk", [8, 384])
 def test_groups_of_many_near_copies(spark, monkeypatch, size, percent, chunk):
