@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import salted_offsets, salted_ranks, shuffle_parts, stored, table
+from jobtide.llm.common import files_for, salted_offsets, salted_ranks, shuffle_parts, stored, table
 
 SHARDS, ROW_BYTES = 24, 8
 
@@ -56,7 +56,9 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int | None = None) ->
     by :func:`within_quotas`.  ``rounds`` ends the propagation early.
     """
     shards, salts = len(quotas), shuffle_parts(cells.sparkSession)
-    cells = stored(cells, "cells")
+    # There are no more cells than documents, nor more moves.
+    files = files_for(sum(quotas))
+    cells = stored(cells, "cells", files)
     # A group's cells in order of size; the hash settles ties differently for each group.
     by_size = W.partitionBy("group").orderBy(F.desc("n"), F.xxhash64("group", "shard"), "shard")
     before = W.partitionBy("group").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
@@ -68,7 +70,7 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int | None = None) ->
         rounds = rounds and rounds - 1
         placed = stored(
             cells.withColumn("place", F.row_number().over(by_size))
-            .withColumn("all", F.sum("n").over(W.partitionBy("group"))), "placed")
+            .withColumn("all", F.sum("n").over(W.partitionBy("group"))), "placed", files)
         free = _by_shard([max(0, q - n) for q, n in zip(quotas, _totals(placed.where("place = 1"), shards))])
         room = free[F.col("shard")]
         # The largest cells are goals until they and their room hold the whole group.
@@ -77,28 +79,28 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int | None = None) ->
             "group", F.col("shard").alias("goal"), earlier(room).alias("from"), (earlier(room) + room).alias("to"))
         movers = marked.where("NOT is_goal").select("group", "shard", "n", earlier(F.col("n")).alias("at"))
         share = F.least(F.col("at") + F.col("n"), F.col("to")) - F.greatest("at", "from")
-        moves = stored(movers.join(goals, "group").select("group", "shard", "goal", share.alias("n")).where("n > 0"), "moves")
+        moves = stored(movers.join(goals, "group").select("group", "shard", "goal", share.alias("n")).where("n > 0"), "moves", files)
         queued = salted_offsets(moves, ["goal"], "n", ["group", "shard"], salts, "ahead")
         admitted = F.greatest(F.least(free[F.col("goal")] - F.col("ahead"), F.col("n")), F.lit(0))
-        taken = stored(queued.withColumn("moved", admitted).where("moved > 0"), "taken")
+        taken = stored(queued.withColumn("moved", admitted).where("moved > 0"), "taken", files)
         if taken.isEmpty():
             return cells
         signed = cells.unionByName(taken.select("group", F.col("goal").alias("shard"), F.col("moved").alias("n"))).unionByName(
             taken.select("group", "shard", (-F.col("moved")).alias("n")))
-        cells = stored(signed.groupBy("group", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "cells")
+        cells = stored(signed.groupBy("group", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "cells", files)
     return cells
 
 
 def within_quotas(cells: DataFrame, quotas: list[int]) -> tuple[DataFrame, list[int]]:
     """Cells cut to the quotas, the overflow moved into room elsewhere; the room left after it."""
     spark, salts = cells.sparkSession, shuffle_parts(cells.sparkSession)
-    quota = _by_shard(quotas)
-    cells = stored(salted_offsets(cells, ["shard"], "n", ["group"], salts, "before"), "cells")
+    quota, files = _by_shard(quotas), files_for(sum(quotas))
+    cells = stored(salted_offsets(cells, ["shard"], "n", ["group"], salts, "before"), "cells", files)
     kept = F.greatest(F.least(quota[F.col("shard")] - F.col("before"), F.col("n")), F.lit(0))
     split = cells.withColumn("kept", kept)
     stay = split.where("kept > 0").select("group", "shard", F.col("kept").alias("n"))
     room = [q - used for q, used in zip(quotas, _totals(stay, len(quotas)))]
-    over = stored(split.where("n > kept").select("group", "shard", (F.col("n") - F.col("kept")).alias("n")), "over")
+    over = stored(split.where("n > kept").select("group", "shard", (F.col("n") - F.col("kept")).alias("n")), "over", files)
     if over.isEmpty():
         return stay, room
     at = salted_offsets(over, [], "n", ["group", "shard"], salts, "at")
@@ -111,7 +113,7 @@ def within_quotas(cells: DataFrame, quotas: list[int]) -> tuple[DataFrame, list[
     parts = at.withColumn("to", F.explode(spans)).select(
         "group", F.col("to.shard").alias("shard"),
         (F.least(F.col("at") + F.col("n"), F.col("to.b")) - F.greatest("at", F.col("to.a"))).alias("n")).where("n > 0")
-    cells = stored(stay.unionByName(parts).groupBy("group", "shard").agg(F.sum("n").alias("n")), "cells")
+    cells = stored(stay.unionByName(parts).groupBy("group", "shard").agg(F.sum("n").alias("n")), "cells", files)
     return cells, [q - used for q, used in zip(quotas, _totals(cells, len(quotas)))]
 
 
@@ -121,8 +123,8 @@ def _pick(places: Column, rank: Column) -> Column:
 
 def place(docs: DataFrame, cells: DataFrame, quotas: list[int], room: list[int]) -> DataFrame:
     """Add ``shard`` and ``slot`` to the stored (doc_id, ..., group) rows."""
-    salts = shuffle_parts(docs.sparkSession)
-    based = salted_offsets(stored(cells, "cells"), ["shard"], "n", ["group"], salts, "base")
+    salts, files = shuffle_parts(docs.sparkSession), files_for(sum(quotas))
+    based = salted_offsets(stored(cells, "cells", files), ["shard"], "n", ["group"], salts, "base")
     spans = based.withColumn("lo", F.sum("n").over(W.partitionBy("group").orderBy("shard").rowsBetween(
         W.unboundedPreceding, W.currentRow)) - F.col("n"))
     places = spans.groupBy("group").agg(F.collect_list(F.struct(
@@ -140,7 +142,7 @@ def place(docs: DataFrame, cells: DataFrame, quotas: list[int], room: list[int])
         .withColumn("place", _pick(F.col("places"), F.col("rank")))
         .select(*docs.columns, F.col("place.shard").alias("shard"),
                 (F.col("place.base") + F.col("rank") - F.col("place.lo")).alias("slot")),
-        "placed")
+        "placed", files)
     linked = at.where(F.col("shard").isNotNull())
     loose = salted_ranks(at.where(F.col("shard").isNull()).select(*docs.columns), [], ["doc_id", "group"], salts)
     lows = [sum(room[:j]) for j in range(len(room))]

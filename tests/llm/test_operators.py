@@ -651,6 +651,25 @@ def test_propagation_ends_where_nothing_moves(spark):
     assert sum(r.n ** 2 for r in whole) == squares[-1]
 
 
+def test_shard_tables_are_in_few_files(spark):
+    """Few rows in a file for each shuffle partition cost more forks, tasks and seconds than the rows do."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(i, f"text {i % 40}") for i in range(200)]
+        cells = sharding.propagate(_cells(spark, [(bytes([g]), s, 3) for g in range(60) for s in range(4)]), [180] * 4)
+        assert len(cells.inputFiles()) == 1
+        got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert len(set(got.inputFiles())) == 1
+        assert sorted(r.doc_id for r in got.collect()) == list(range(200))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert common.files_for(0) == 1
+    assert common.files_for(10**9) > 10_000
+
+
 def _cut(shards_of_groups):
     """Pairs of equal documents in different shards."""
     out = 0
