@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import maybe_broadcast, stored, table, unused
+from jobtide.llm.common import files_for, maybe_broadcast, stored, table, unused
 from jobtide.llm.decontaminate import decontaminate
 from jobtide.llm.language import UNKNOWN, learn, predict
 from jobtide.llm.near import near_duplicates
@@ -52,16 +52,17 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     own = unused(docs, "_id")
     same = F.col("doc_id") == F.col(own)
-    groups = stored(near_duplicates(docs, SHINGLE, PERCENT), "groups")
+    files = files_for(docs.count())
+    groups = stored(near_duplicates(docs, SHINGLE, PERCENT), "groups", files)
     repeated = stored(
         groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(own)).agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select(own), "repeated")
+        .where("n > 1").select(own), "repeated", files)
     single = docs
     if not repeated.isEmpty():
         ids = maybe_broadcast(repeated, repeated.count(), 64)
         several = docs.join(ids, same, "left_semi").dropDuplicates(["doc_id", "text"])
         single = docs.join(ids, same, "left_anti").unionByName(several)
-    goes = stored(groups.where("doc_id != component_id").select(F.col("doc_id").alias(own)).distinct(), "goes")
+    goes = stored(groups.where("doc_id != component_id").select(F.col("doc_id").alias(own)).distinct(), "goes", files)
     return single.join(maybe_broadcast(goes, goes.count(), 64), same, "left_anti")
 
 

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import maybe_broadcast, short_batches, shuffle_parts, stored, table, tidy
+from jobtide.llm.common import files_for, maybe_broadcast, short_batches, shuffle_parts, stored, table, tidy
 from jobtide.llm.shingles import shingle_sets
 
 SHINGLE, PERCENT = 3, 90
@@ -269,15 +269,21 @@ def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
         yield at, rows
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, most: int | None = None) -> DataFrame:
     """(node, label) for all nodes of (a, b) edges; the label is the smallest node reachable.
 
     Each round takes the smallest label of the neighbours, hands it to the node that the old label
     names as well, so that whole trees are hooked on, and then takes the label's own label.  Rounds
     go on until nothing moves; in chains of shuffled nodes their number grows with the logarithm.
+    ``most`` is a number that the edges do not exceed, where one is known.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels")
+    # One pass: the edges may be what a long task makes.
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("way")
+    both = stored(edges.select(ways).select("way.*").distinct(), "edges", None if most is None else files_for(2 * most))
+    # There are no more nodes than edges in both directions.
+    files = files_for(both.count())
+    labels = stored(
+        both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels", files)
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("_a")).agg(F.min("label").alias("_near"))
         next_ = labels.join(near, F.col("node") == F.col("_a")).select(
@@ -290,7 +296,7 @@ def components(edges: DataFrame) -> DataFrame:
         moved = stored(
             hooked.join(own, F.col("_new") == F.col("_of")).select(
                 "node", F.least("_new", "_short").alias("label"), (F.least("_new", "_short") != F.col("_old")).alias("_moved")),
-            "labels")
+            "labels", files)
         labels = moved.select("node", "label")
         if moved.where("_moved").isEmpty():
             return labels
@@ -300,11 +306,12 @@ def clusters(classes: DataFrame) -> DataFrame:
     """(class, cluster, chunk, chunks) of the classes that share a prefix shingle with another one."""
     spark = classes.sparkSession
     tokens = classes.select("class", F.explode("prefix").alias("token"))
-    common = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"), "common")
-    postings = stored(tokens.join(maybe_broadcast(common, common.count(), 64), "token", "left_semi"), "postings")
+    files = files_for(classes.agg(F.sum(F.size("prefix"))).first()[0] or 0)
+    common = stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"), "common", files)
+    postings = stored(tokens.join(maybe_broadcast(common, common.count(), 64), "token", "left_semi"), "postings", files)
     heads = postings.groupBy("token").agg(F.min("class").alias("a"))
     links = postings.join(heads, "token").where(F.col("class") != F.col("a")).select("a", F.col("class").alias("b")).distinct()
-    found = stored(components(links), "clusters").join(classes.select(F.col("class").alias("node"), "n"), "node")
+    found = components(links, postings.count()).join(classes.select(F.col("class").alias("node"), "n"), "node")
     wanted = F.greatest(F.count(F.lit(1)) / F.lit(CHUNK), F.sum("n") / F.lit(CHUNK_SHINGLES))
     sizes = found.groupBy("label").agg(F.ceil(wanted).cast("int").alias("chunks"))
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
@@ -468,15 +475,18 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     classes = stored(
         members.where("n > 0").groupBy("class").agg(
             F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("alone").alias("alone"), F.first("prefix").alias("prefix")), "classes")
-    dealt = stored(clusters(classes), "dealt")
+    files = files_for(classes.count())
+    dealt = stored(clusters(classes), "dealt", files)
     wanted = dealt.join(classes.select("class", "doc_id"), "class").select("doc_id", "class")
-    sets = candidate_sets(docs, stored(wanted, "wanted"), size)
+    sets = candidate_sets(docs, stored(wanted, "wanted", files), size)
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
     filled = dealt.join(sets, "class").join(classes.select("class", "alone", "prefix"), "class")
     blocks = filled.select("*", other).select(
         F.struct("cluster", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")).alias("block"),
         F.when(F.col("chunk") <= F.col("other"), 0).otherwise(1).alias("side"), "class", "alone", "prefix", "tokens")
-    labels = components(stored(block_links(blocks, percent), "links"))
+    # A block's forest has fewer links than the block has classes.
+    most = dealt.agg(F.sum("chunks")).first()[0] or 0
+    labels = components(block_links(blocks, percent), most)
     ids = labels.join(classes.select("class", "doc_id"), F.col("node") == F.col("class"))
     least = ids.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     joined = ids.join(least, "label").select("class", "component_id")

@@ -273,6 +273,28 @@ def test_components_of_a_long_shuffled_chain(spark):
     assert got == {n: min(part) for part in (names[:2500], names[2500:]) for n in part}
 
 
+def test_labels_are_in_few_files_and_edges_made_once(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    try:
+        edges = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(100)], "a bigint, b bigint")
+        labels = near.components(edges.mapInArrow(count, edges.schema), 100)
+        assert made.value == 100
+        assert len(labels.inputFiles()) == 1
+        assert {(r.node, r.label) for r in labels.collect()} == {(k, k - k % 2) for k in range(200)}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def rare_first(sets, percent):
     """(prefixes, alone) of sets, from the counts over all of them."""
     counts = collections.Counter(t for one in sets for t in one.tolist())
