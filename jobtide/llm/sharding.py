@@ -122,7 +122,10 @@ def _pick(places: Column, rank: Column) -> Column:
 
 
 def place(docs: DataFrame, cells: DataFrame, quotas: list[int], room: list[int]) -> DataFrame:
-    """Add ``shard`` and ``slot`` to the stored (doc_id, ..., group) rows."""
+    """Add ``shard`` and ``slot`` to the stored (doc_id, ..., group) rows.
+
+    The result is in few partitions, as whoever writes it makes a file of each.
+    """
     salts, files = shuffle_parts(docs.sparkSession), files_for(sum(quotas))
     based = salted_offsets(stored(cells, "cells", files), ["shard"], "n", ["group"], salts, "base")
     spans = based.withColumn("lo", F.sum("n").over(W.partitionBy("group").orderBy("shard").rowsBetween(
@@ -151,15 +154,17 @@ def place(docs: DataFrame, cells: DataFrame, quotas: list[int], room: list[int])
         F.lit(quotas[j] - r).cast("bigint").alias("base")) for j, (low, r) in enumerate(zip(lows, room))])
     filled = loose.withColumn("place", _pick(rest, F.col("rank"))).select(
         *docs.columns, F.col("place.shard").alias("shard"), (F.col("place.base") + F.col("rank") - F.col("place.lo")).alias("slot"))
-    return linked.unionByName(filled)
+    return linked.unionByName(filled).coalesce(files)
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, group, shard, slot) of all documents."""
     text = F.coalesce("text", F.lit(""))
+    # Texts are read by as many tasks as there are; only the narrow rows are brought into few files.
     slim = stored(docs.select(
         "doc_id", (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text.cast("binary"))).alias("group")), "shard-docs")
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text.cast("binary"))).alias("group"),
+    ).repartition(files_for(docs.count())), "shard-docs")
     total = slim.count()
     quotas = [total // shards + (j < total % shards) for j in range(shards)]
     cells, room = within_quotas(propagate(first_cells(slim, shards), quotas), quotas)

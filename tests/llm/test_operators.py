@@ -692,6 +692,24 @@ def test_shard_tables_are_in_few_files(spark):
     assert common.files_for(10**9) > 10_000
 
 
+def test_shards_of_many_partitions_are_written_in_few_files(spark, tmp_path):
+    """Neither the partitions of the input nor those of a shuffle are files of the rows or of the result."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(i, f"text {i % 40 if i < 100 else i}") for i in range(200)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(20)
+        got = sharding.shard_documents(docs)
+        assert len(set(got.inputFiles())) <= 2  # the rows and their places
+        got.write.parquet(f"{tmp_path}/out")
+        assert len(spark.read.parquet(f"{tmp_path}/out").inputFiles()) == 1
+        assert sorted(r.doc_id for r in got.collect()) == list(range(200))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def _cut(shards_of_groups):
     """Pairs of equal documents in different shards."""
     out = 0
