@@ -29,12 +29,14 @@ from jobtide.schema import (
     SEARCH_TITLES,
     TRANSLATED_COLUMNS,
 )
-from jobtide.sources.landing import CORRUPT, FILE, absent_keys, conform, is_rejected, names_of, parse_landed
+from jobtide.sources.landing import CORRUPT, FILE, absent_keys, conform, is_rejected, names_of, parse_landed, unread_keys
 from jobtide.sources.tables import delete_path, read_table, scratch_path, table_exists
 
 RECORD = "_record"
 # The contract columns that are keys of the records; the title comes from the folder.
 LANDED_KEYS = [c.lower() for c in EXPECTED_COLUMNS if c != "JOB_CATEGORY"]
+# Records whose keys are listed before those of all are.
+FIRST_RECORDS = 1000
 
 
 @dataclass(frozen=True)
@@ -121,6 +123,22 @@ def check_contract(layout: Layout, absent: Sequence[int | None]) -> None:
         raise ValueError(f"expected columns missing in source data: {missing}")
 
 
+def absent_everywhere(landed: DataFrame, unread: int | None) -> int | None:
+    """The contract keys that no landed record has, see :func:`absent_keys`; None without records.
+
+    ``unread`` has the keys without a value in any record, see :func:`unread_keys`; None where that is not
+    known.  One record that has a key settles it, so the first ones are asked; only if they
+    leave one open are the keys of all records listed.
+    """
+    if unread == 0:
+        return 0
+    masks = landed.where(~is_rejected(CORRUPT)).select(absent_keys(F.col(RECORD), LANDED_KEYS).alias("absent"))
+    first = masks.limit(FIRST_RECORDS).agg(F.bit_and("absent")).first()[0]
+    if first is not None and first & (-1 if unread is None else unread) == 0:
+        return 0
+    return masks.agg(F.bit_and("absent")).first()[0]
+
+
 def rejected_rows(spark: SparkSession, layout: Layout) -> DataFrame:
     """The rejected records with file, title, reason and text, each once."""
     if not table_exists(spark, layout.rejected):
@@ -141,8 +159,8 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
     """Take one batch of landed text (as :func:`landed_lines` gives it).
 
     The text is read and parsed once, by a map-only job that also counts the rows and notes which
-    contract keys are absent (a task that is run again counts once, as nothing is shuffled
-    there).  Records that are no JSON or have a date that is none go to the folder ``name`` of
+    contract keys have no value (a task that is run again counts once, as nothing is shuffled
+    there); whether these are absent is looked up after it.  Records that are no JSON or have a date that is none go to the folder ``name`` of
     the rejected rows with their file, text and reason, so that a batch taken again writes its own
     folder anew; every other record is kept.  The rows not loaded before are counted by their IDs,
     then translated and written to ``into`` in one pass over the scratch table.
@@ -157,7 +175,7 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
         F.count(F.lit(1)).alias("landed"),
         F.count(reason).alias("rejected"),
         F.count_if(wanted & reason.isNull()).alias("title_kept"),
-        F.bit_and(F.when(~is_rejected(CORRUPT), absent_keys(F.col(RECORD), LANDED_KEYS))).alias("absent"),
+        F.bit_and(F.when(~is_rejected(CORRUPT), unread_keys(F.col(RECORD), LANDED_KEYS))).alias("unread"),
     )
     noted = counted.where(wanted | reason.isNotNull()).withColumns({
         "_reason": reason,
@@ -172,7 +190,7 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
             batch = staged.where("_REASON IS NULL").select(*CLEANED_COLUMNS)
             counts = {name: seen.get.get(name) or 0 for name in ("landed", "rejected", "title_kept")}
             counts["appended"] = 0
-            absent = seen.get.get("absent")
+            absent = absent_everywhere(landed, seen.get.get("unread")) if counts["landed"] > 0 else None
             rejects = f"{layout.rejected}/{name}"
             if counts["rejected"]:
                 staged.where("_REASON IS NOT NULL").select(

@@ -118,6 +118,18 @@ def absent_keys(record: Column, names: list[str]) -> Column:
     return F.aggregate(missing, F.lit(0).cast("bigint"), lambda mask, name: mask.bitwiseOR(bit(name)))
 
 
+def unread_keys(record: Column, names: list[str]) -> Column:
+    """The ``names`` whose parsed columns are null in a record, as bits in their order.
+
+    A value that was read is proof of its key, and asking for it costs no second parse of the text, as
+    :func:`absent_keys` does.  A null is no proof of absence: the key may be there with a null.  Null for
+    what does not begin as an object.
+    """
+    bits = [F.when(F.col(f"`{name}`").isNull(), F.lit(1 << place)).otherwise(F.lit(0)).cast("bigint")
+            for place, name in enumerate(names)]
+    return F.when(F.startswith(F.ltrim(record), F.lit("{")), reduce(Column.bitwiseOR, bits))
+
+
 def names_of(mask: int, names: list[str]) -> list[str]:
     return [name for place, name in enumerate(names) if mask >> place & 1]
 

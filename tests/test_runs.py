@@ -11,6 +11,7 @@ from checks import fixtures as X
 from jobtide.operators.aggregate import collapse, daily_mart
 from jobtide.plans import conformed as conf
 from jobtide.plans import dimensions as dims
+from jobtide.plans import ingest as ingest_plan
 from jobtide.plans import refresh as runs
 from jobtide.plans.arrivals import Arrivals
 from jobtide.plans.backfill import ingest
@@ -19,6 +20,7 @@ from jobtide.plans.marts import all_marts, count_marts, mart
 from jobtide.plans.refresh import refresh
 from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA, EXPECTED_COLUMNS, KEPT_COLUMNS, STANDARDISED_COLUMNS
 from jobtide.sources import tables
+from jobtide.sources.landing import absent_keys, is_rejected, landed_lines, names_of, parse_landed, unread_keys
 from jobtide.streaming.incremental import ingest_arrivals
 
 from conftest import SMALL
@@ -76,6 +78,46 @@ def test_ingest_without_data(spark, layout):
     assert cleaned(spark, layout).count() == 0
 
 
+def test_keys_with_a_value_are_not_listed(spark, layout, monkeypatch):
+    """Listing the keys of every record is a second parse; a value that was read already proves its key."""
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    keys = [c.lower() for c in EXPECTED_COLUMNS if c != "JOB_CATEGORY"]
+    full = {**{k: "x" for k in keys}, **{k: v for k, v in record(1).items() if v is not None}}
+    halves = [{k: v if (place + half) % 2 else None for place, (k, v) in enumerate(full.items())} for half in (0, 1)]
+    land(layout, "Data Engineer", "a", [*({**h, "title": "Data Engineer", "id": f"{n}"} for n, h in enumerate(halves)), "{broken"])
+
+    def listed(*_):
+        raise AssertionError("keys are listed")
+
+    monkeypatch.setattr(ingest_plan, "absent_keys", listed)
+    assert ingest(spark, layout).counts == {"landed": 3, "rejected": 1, "title_kept": 2, "appended": 2}
+
+
+@pytest.mark.parametrize("first", [1, 1000])
+def test_absent_keys_are_those_of_no_record(spark, layout, monkeypatch, first):
+    """A key that is null everywhere is there, wherever its record is; one that no record has is not."""
+    monkeypatch.setattr(ingest_plan, "FIRST_RECORDS", first)
+    names = ingest_plan.LANDED_KEYS
+    lacking = {k: v for k, v in record(1).items() if k not in ("source", "url")}
+    cases = {
+        "null_value": ([lacking, lacking, {**lacking, "source": None}], ["url"]),
+        "all_there": ([lacking, {**lacking, "source": None}, {**lacking, "url": None}], []),
+        "of_a_list": ([[lacking, {**lacking, "url": "x"}]], ["source"]),
+        "nested_list": ([lacking, [[{**lacking, "url": "x", "source": "x"}]]], ["source", "url"]),
+        "broken": (["{broken", {}], names),
+        "no_object": (["{broken", "7"], None),
+    }
+    for case, (records, missing) in cases.items():
+        land(layout, "Data Engineer", case, [r if isinstance(r, str) else json.dumps(r) for r in records])
+        path = f"{layout.landing}/job_category=Data Engineer/{case}.json"
+        landed = parse_landed(landed_lines(spark, path), record=ingest_plan.RECORD)
+        good = landed.where(~is_rejected())
+        unread = good.agg(F.bit_and(unread_keys(F.col(ingest_plan.RECORD), names))).first()[0]
+        got = ingest_plan.absent_everywhere(landed, unread)
+        assert (None if got is None else sorted(names_of(got, names))) == (None if missing is None else sorted(missing)), case
+        assert got == good.agg(F.bit_and(absent_keys(F.col(ingest_plan.RECORD), names))).first()[0], case
+
+
 def test_missing_target_raises(spark, layout):
     land(layout, "Data Engineer", "a", [record(1)])
     with pytest.raises(Exception, match="(?i)not exist|PATH_NOT_FOUND"):
