@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.functions.text import (
@@ -35,8 +35,9 @@ from jobtide.sources.tables import delete_path, read_table, scratch_path, table_
 RECORD = "_record"
 # The contract columns that are keys of the records; the title comes from the folder.
 LANDED_KEYS = [c.lower() for c in EXPECTED_COLUMNS if c != "JOB_CATEGORY"]
-# Records whose keys are listed before those of all are.
+# Records of a task whose keys are listed in any case.
 FIRST_RECORDS = 1000
+_PLACE = "_place"
 
 
 @dataclass(frozen=True)
@@ -123,20 +124,28 @@ def check_contract(layout: Layout, absent: Sequence[int | None]) -> None:
         raise ValueError(f"expected columns missing in source data: {missing}")
 
 
-def absent_everywhere(landed: DataFrame, unread: int | None) -> int | None:
+def maybe_absent(landed: DataFrame) -> tuple[DataFrame, Column]:
+    """The records with a mark, and by it the contract keys that each may lack; null for what is no object.
+
+    The keys of the first records of a task are listed, which settles keys that are null everywhere.
+    Of the others a key may be absent if it has no value.
+    """
+    first = F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1)) < FIRST_RECORDS
+    record = F.col(RECORD)
+    mask = F.when(first, absent_keys(record, LANDED_KEYS)).otherwise(unread_keys(record, LANDED_KEYS))
+    return landed.withColumn(_PLACE, F.monotonically_increasing_id()), F.when(~is_rejected(CORRUPT), mask)
+
+
+def absent_everywhere(landed: DataFrame, maybe: int | None) -> int | None:
     """The contract keys that no landed record has, see :func:`absent_keys`; None without records.
 
-    ``unread`` has the keys without a value in any record, see :func:`unread_keys`; None where that is not
-    known.  One record that has a key settles it, so the first ones are asked; only if they
-    leave one open are the keys of all records listed.
+    ``maybe`` has the keys that every record may lack, see :func:`maybe_absent`; only if it leaves one
+    open is the text read again, and the keys of all records are listed.
     """
-    if unread == 0:
-        return 0
-    masks = landed.where(~is_rejected(CORRUPT)).select(absent_keys(F.col(RECORD), LANDED_KEYS).alias("absent"))
-    first = masks.limit(FIRST_RECORDS).agg(F.bit_and("absent")).first()[0]
-    if first is not None and first & (-1 if unread is None else unread) == 0:
+    if maybe == 0:
         return 0
-    return masks.agg(F.bit_and("absent")).first()[0]
+    good = landed.where(~is_rejected(CORRUPT))
+    return good.agg(F.bit_and(absent_keys(F.col(RECORD), LANDED_KEYS))).first()[0]
 
 
 def rejected_rows(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -159,8 +168,8 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
     """Take one batch of landed text (as :func:`landed_lines` gives it).
 
     The text is read and parsed once, by a map-only job that also counts the rows and notes which
-    contract keys have no value (a task that is run again counts once, as nothing is shuffled
-    there); whether these are absent is looked up after it.  Records that are no JSON or have a date that is none go to the folder ``name`` of
+    contract keys may be absent (a task that is run again counts once, as nothing is shuffled
+    there); only if one may be is the text read again to be sure.  Records that are no JSON or have a date that is none go to the folder ``name`` of
     the rejected rows with their file, text and reason, so that a batch taken again writes its own
     folder anew; every other record is kept.  The rows not loaded before are counted by their IDs,
     then translated and written to ``into`` in one pass over the scratch table.
@@ -170,19 +179,21 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
     wanted = ~is_rejected(CORRUPT) & has_phrase(F.col("title"), SEARCH_TITLES)
     reason = F.when(is_rejected(CORRUPT), "not JSON").when(wanted & is_bad_date(F.col("date_created")), "bad date")
     seen = Observation()
-    counted = landed.observe(
+    marked, lacking = maybe_absent(landed)
+    counted = marked.observe(
         seen,
         F.count(F.lit(1)).alias("landed"),
         F.count(reason).alias("rejected"),
         F.count_if(wanted & reason.isNull()).alias("title_kept"),
-        F.bit_and(F.when(~is_rejected(CORRUPT), unread_keys(F.col(RECORD), LANDED_KEYS))).alias("unread"),
+        F.count_if(~is_rejected(CORRUPT)).alias("parsed"),
+        F.bit_and(lacking).alias("maybe_absent"),
     )
     noted = counted.where(wanted | reason.isNotNull()).withColumns({
         "_reason": reason,
         "_file": F.col(FILE),
         "_text": F.when(reason.isNotNull(), F.col(RECORD)),
     })
-    cleaned = _derived(upper_names(conform(noted.drop(RECORD, FILE)).drop(CORRUPT)))
+    cleaned = _derived(upper_names(conform(noted.drop(RECORD, FILE, _PLACE)).drop(CORRUPT)))
     scratch = scratch_path(spark, "ingest")
     try:
         with lookup_scope():
@@ -190,7 +201,7 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
             batch = staged.where("_REASON IS NULL").select(*CLEANED_COLUMNS)
             counts = {name: seen.get.get(name) or 0 for name in ("landed", "rejected", "title_kept")}
             counts["appended"] = 0
-            absent = absent_everywhere(landed, seen.get.get("unread")) if counts["landed"] > 0 else None
+            absent = absent_everywhere(landed, seen.get.get("maybe_absent")) if seen.get.get("parsed") else None
             rejects = f"{layout.rejected}/{name}"
             if counts["rejected"]:
                 staged.where("_REASON IS NOT NULL").select(
