@@ -41,6 +41,54 @@ def test_counts_beyond_the_bound_are_left_to_the_back_off(spark):
     assert set(small.grams.tolist()) <= set(whole.grams.tolist())
 
 
+def many_runs(rng=random.Random(4)):
+    """Texts whose words share hardly a run of four."""
+    return [" ".join("".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(5)) for _ in range(500)) for _ in range(80)]
+
+
+def test_no_run_is_left_out(spark):
+    """More runs than the driver used to take (131,072) are all counted."""
+    docs = spark.createDataFrame([(t,) for t in many_runs()], "text string")
+    counts = toxicity.gram_counts(docs)
+    assert counts.count() > 1 << 17
+    model = toxicity.char_model(docs)
+    assert len(model.grams) == counts.count() and model.counts.sum() == counts.groupBy().sum("n").first()[0]
+    assert toxicity.legible(docs)[1].grams.tolist() == model.grams.tolist()
+
+
+@pytest.fixture
+def disguised(spark):
+    rng = random.Random(5)
+    texts = [disguise(t, rng) for t in corpus(rng)] + [None, "", " ", "2024年7月 中.文.字 st*pid", "i d i o t!x -i.d.i.o.t- x86", "no disguise at all", "A²1b"]
+    return spark.createDataFrame([(None if k == 3 else k, t) for k, t in enumerate([*texts, texts[0]])], "doc_id long, text string").repartition(3)
+
+
+def test_runs_past_the_broadcast_are_sent_to_the_texts_that_ask(spark, disguised):
+    plain, chars = toxicity.legible(disguised)
+    clear, none = toxicity.legible(disguised, limit=0)
+    assert chars is not None and none is None and clear.schema.names == disguised.schema.names
+    restorer = toxicity.Restorer(chars)
+    rows = sorted(((r.doc_id, r.text) for r in plain.collect()), key=repr)
+    wanted = [(i, None if t is None else restorer.text(t)) for i, t in rows]
+    assert sorted(((r.doc_id, r.text) for r in clear.collect()), key=repr) == sorted(wanted, key=repr)
+    for _, text in rows:
+        assert dict(toxicity.Restored().words(None if text is None else restorer.text(text))) == dict(restorer.words(text))
+
+
+def test_scores_are_the_same_both_ways(spark, disguised):
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    rows = [(r.doc_id, r.text if r.text is None or not (r.doc_id or 0) % 2 else f"{r.text} garden lantern g4rd3n l a n t e r n")
+            for r in disguised.collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for limit in (1 << 26, 0):
+        read, chars = toxicity.legible(docs, limit)
+        scorer = toxicity.learn_from(read, labels, chars)
+        rows = read.select("doc_id", toxicity.score(scorer)("text").alias("s")).collect()
+        got.append((scorer.features, sorted((repr(r.doc_id), r.s) for r in rows)))
+    assert got[0] == got[1] and got[0][0]
+
+
 def test_steps_are_probabilities(model):
     context, letters = (ord("i") << 16 | ord("d")), [0, *map(ord, "abcdefghijklmnopqrstuvwxyz")]
     known = [np.exp(model.step(context, 2, c)) for c in letters if (context << 16 | c) in model._tables[2]]
