@@ -675,8 +675,9 @@ def c1_arrivals_missing_key(spark, sf_dir):
     tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA)
     raw = tables.stored_scratch(X.raw_postings(spark, sf_dir).drop("o_orderstatus"), "raw")
     early = F.crc32(F.col("id").cast("binary")) % 2 == 0
+    slices = 1 + raw.count() // 5_000_000  # of a title, so that a large landing is written by more tasks than there are titles
     for rows in (raw.where(early).drop("linkedin_org_slug"), raw.where(~early)):
-        _land(rows.repartition("job_category"), layout.landing)
+        _land(rows.repartition("job_category", F.monotonically_increasing_id() % slices), layout.landing)
     ingest_arrivals(spark, layout, files_per_batch=1)
     return _ingested(spark, layout)
 

@@ -1,10 +1,12 @@
 """What calls of the ingest have taken, beside the cleaned table.
 
 A call is a folder ``call=<n>`` with the rows of its batches and, for each batch, the contract keys that
-none of its records has.  Its steps, each marked by a small file when it is done:
+none of its records has, or may have: then with its files.  Its steps, each marked by a small file when it is done:
 
-1. batches are taken; one that is repeated after a failure overwrites its own folder;
-2. the contract is judged once, over all batches of all calls that wait.  If it is broken nothing is
+1. batches are listed, then taken; one that is repeated after a failure overwrites its own folder.  The list
+   of a batch stays beside the calls until the batch is taken, so that a call that failed loses no file;
+2. the contract is judged once, over all batches of all calls that wait.  Only where a key may be absent from
+   all of them are their texts read again to be sure.  If it is broken nothing is
    stored; the call is closed and waits, to be judged again together with the next one;
 3. ``fixed``: its rows that the table does not have are settled;
 4. ``stored``: they are in the table.
@@ -15,11 +17,16 @@ extended by them, see :mod:`jobtide.plans.refresh`; without models they are drop
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from jobtide.operators.lookup import keep_new, lookup_scope
-from jobtide.plans.ingest import Layout, check_contract
+from jobtide.plans.ingest import Layout, absent_of_all, check_contract, settled_absent
 from jobtide.schema import CLEANED_COLUMNS, CLEANED_SCHEMA
+from jobtide.sources.landing import dealt_lines, file_lines
 from jobtide.sources.tables import (
     append_table,
     current_version,
@@ -32,6 +39,8 @@ from jobtide.sources.tables import (
     write_text,
 )
 
+_TEXT = T.StructType([T.StructField("value", T.StringType())])
+
 
 class Arrivals:
     """The calls beside the table, and the open one that batches go to.
@@ -41,6 +50,7 @@ class Arrivals:
 
     def __init__(self, spark: SparkSession, layout: Layout, resume: bool = True):
         self.spark, self.layout, self.root = spark, layout, layout.table("_arriving")
+        self.lists = layout.table("_listed")
         calls = self._calls()
         last = calls[-1] if calls else 0
         self.failed = bool(calls) and not self._done(last, "closed") and not self._done(last, "stored")
@@ -58,26 +68,72 @@ class Arrivals:
     def _mark(self, call: int, step: str) -> None:
         write_text(self.spark, f"{self._folder(call)}/{step}", "")
 
+    def hand_out(self, batch: int, files: Sequence[str]) -> None:
+        """List the files of a batch, which is to be taken by this call or, if that fails, the next."""
+        write_text(self.spark, f"{self.lists}/batch={batch}", json.dumps(list(files)))
+
+    def handed_out(self) -> dict[int, list[str]]:
+        """The batches that are not taken yet, with their files."""
+        names = [name for name in list_names(self.spark, self.lists) if name.removeprefix("batch=").isdigit()]
+        batches = sorted(int(name.removeprefix("batch=")) for name in names)
+        return {batch: json.loads(read_text(self.spark, f"{self.lists}/batch={batch}")) for batch in batches}
+
+    def took(self, batch: int, maybe_absent: int | None, files: Sequence[str]) -> None:
+        """Note a batch of the list as taken."""
+        self.note(batch, maybe_absent, files)
+        delete_path(self.spark, f"{self.lists}/batch={batch}")
+
     def rows(self, batch: int | str) -> str:
         """An empty place for the rows of a batch of the open call."""
         path = f"{self._folder(self.open)}/rows/batch={batch}"
         delete_path(self.spark, path)
         return path
 
-    def note(self, batch: int | str, absent: int | None) -> None:
-        """Keep what a batch tells about the contract."""
-        write_text(self.spark, f"{self._folder(self.open)}/absent/batch={batch}", "" if absent is None else str(absent))
-
-    def _absent(self, call: int) -> list[int | None]:
-        folder = f"{self._folder(call)}/absent"
-        texts = [read_text(self.spark, f"{folder}/{name}") for name in list_names(self.spark, folder)]
-        return [int(text) if text else None for text in texts]
+    def note(self, batch: int | str, absent: int | None, files: Sequence[str] = ()) -> None:
+        """Keep what a batch tells about the contract; with ``files`` what it may lack, which they settle."""
+        self._note(f"{self._folder(self.open)}/absent/batch={batch}", absent, files if absent else ())
+
+    def _note(self, path: str, absent: int | None, files: Sequence[str] = ()) -> None:
+        mask = "" if absent is None else str(absent)
+        write_text(self.spark, path, "\n".join([mask, json.dumps(list(files))] if files else [mask]))
+
+    def _notes(self, call: int) -> dict[str, tuple[int | None, list[str]]]:
+        folder, notes = f"{self._folder(call)}/absent", {}
+        for name in list_names(self.spark, folder):
+            mask, _, files = read_text(self.spark, f"{folder}/{name}").partition("\n")
+            notes[f"{folder}/{name}"] = (int(mask) if mask else None, json.loads(files) if files else [])
+        return notes
+
+    def _absent(self, calls: Sequence[int]) -> list[int | None]:
+        """The keys that the batches of ``calls`` lack.
+
+        While some key may be absent from all, the batches that leave it open are read again, in one job; what they
+        lack together is noted for each.  Of files that are gone the records count as lacking what they may lack.
+        """
+        notes = {path: note for call in calls for path, note in self._notes(call).items()}
+        unsure = {path: files for path, (_, files) in notes.items() if files}
+        maybe = absent_of_all([mask for mask, _ in notes.values()])
+        if unsure and maybe and self.layout.on_missing == "error":
+            there = {path: [f for f in files if table_exists(self.spark, f)] for path, files in unsure.items()}
+            whole = [path for path, files in unsure.items() if there[path] == files]
+            if whole:
+                files = [f for path in whole for f in there[path]]
+                absent = settled_absent(self._text(files), maybe)
+                for path in whole:
+                    self._note(path, absent)
+                    notes[path] = (absent, [])
+        return [mask for mask, _ in notes.values()]
+
+    def _text(self, files: Sequence[str]) -> DataFrame:
+        lines = file_lines(self.spark, files, _TEXT, self.layout.landing, self.layout.multi_line)
+        cores = self.spark.sparkContext.defaultParallelism
+        return dealt_lines(lines, cores) if len(files) < cores else lines
 
     def store(self, keep_broken: bool = True) -> None:
         """Judge the calls that wait and append them one by one, so that a later one drops what an earlier has."""
         waiting = [call for call in self._calls() if not self._done(call, "stored")]
         try:
-            check_contract(self.layout, [mask for call in waiting for mask in self._absent(call)])
+            check_contract(self.layout, self._absent(waiting))
         except ValueError:
             if not keep_broken:
                 delete_path(self.spark, self._folder(self.open))

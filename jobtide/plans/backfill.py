@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from jobtide.plans.arrivals import Arrivals
-from jobtide.plans.ingest import IngestReport, Layout, take_records
+from jobtide.plans.ingest import IngestReport, Layout, settled_absent, take_records
 from jobtide.sources.landing import landed_lines
 
 
@@ -17,6 +17,6 @@ def ingest(spark: SparkSession, layout: Layout) -> IngestReport:
     arrivals = Arrivals(spark, layout, resume=False)
     lines = landed_lines(spark, layout.landing, layout.multi_line)
     taken = take_records(lines, layout, "backfill", arrivals.rows("all"))
-    arrivals.note("all", taken.absent)
+    arrivals.note("all", settled_absent(lines, taken.maybe_absent))
     arrivals.store(keep_broken=False)
     return taken.report

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,7 @@ from jobtide.sources.tables import delete_path, read_table, scratch_path, table_
 RECORD = "_record"
 # The contract columns that are keys of the records; the title comes from the folder.
 LANDED_KEYS = [c.lower() for c in EXPECTED_COLUMNS if c != "JOB_CATEGORY"]
+ALL_KEYS = (1 << len(LANDED_KEYS)) - 1
 # Records of a task whose keys are listed in any case.
 FIRST_RECORDS = 1000
 _PLACE = "_place"
@@ -109,16 +112,19 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def absent_of_all(absent: Sequence[int | None]) -> int:
+    """The contract keys that are absent from every batch; ``absent`` has those of each, None where it has no records."""
+    masks = [mask for mask in absent if mask is not None]
+    return reduce(and_, masks) if masks else 0
+
+
 def check_contract(layout: Layout, absent: Sequence[int | None]) -> None:
     """Raise when a contract column is a key of no landed record.
 
     ``absent`` has the keys that no record of a batch has, see :func:`absent_keys`; None where a
     batch has no records.
     """
-    masks = [mask for mask in absent if mask is not None]
-    nowhere = masks[0] if masks else 0
-    for mask in masks:
-        nowhere &= mask
+    nowhere = absent_of_all(absent)
     if nowhere and layout.on_missing == "error":
         missing = [name.upper() for name in names_of(nowhere, LANDED_KEYS)]
         raise ValueError(f"expected columns missing in source data: {missing}")
@@ -158,10 +164,18 @@ def rejected_rows(spark: SparkSession, layout: Layout) -> DataFrame:
 
 @dataclass(frozen=True)
 class Taken:
-    """What a batch left: its report, and the contract keys that none of its records has."""
+    """What a batch left: its report, and the contract keys that each of its records may lack.
+
+    None stands for no records; a key that is not among them is a key of some record.
+    """
 
     report: IngestReport
-    absent: int | None
+    maybe_absent: int | None
+
+
+def settled_absent(lines: DataFrame, maybe: int | None) -> int | None:
+    """The contract keys that no record of landed text has, of those that :class:`Taken` leaves open."""
+    return maybe if not maybe else absent_everywhere(parse_landed(lines, record=RECORD), maybe)
 
 
 def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Taken:
@@ -169,7 +183,7 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
 
     The text is read and parsed once, by a map-only job that also counts the rows and notes which
     contract keys may be absent (a task that is run again counts once, as nothing is shuffled
-    there); only if one may be is the text read again to be sure.  Records that are no JSON or have a date that is none go to the folder ``name`` of
+    there); :func:`settled_absent` reads it again where that is not enough.  Records that are no JSON or have a date that is none go to the folder ``name`` of
     the rejected rows with their file, text and reason, so that a batch taken again writes its own
     folder anew; every other record is kept.  The rows not loaded before are counted by their IDs,
     then translated and written to ``into`` in one pass over the scratch table.
@@ -201,7 +215,8 @@ def take_records(lines: DataFrame, layout: Layout, name: str, into: str) -> Take
             batch = staged.where("_REASON IS NULL").select(*CLEANED_COLUMNS)
             counts = {name: seen.get.get(name) or 0 for name in ("landed", "rejected", "title_kept")}
             counts["appended"] = 0
-            absent = absent_everywhere(landed, seen.get.get("maybe_absent")) if seen.get.get("parsed") else None
+            maybe = seen.get.get("maybe_absent")
+            absent = None if not seen.get.get("parsed") else ALL_KEYS if maybe is None else maybe
             rejects = f"{layout.rejected}/{name}"
             if counts["rejected"]:
                 staged.where("_REASON IS NOT NULL").select(

@@ -58,6 +58,18 @@ def landed_lines(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     return spark.read.text(path, wholetext=multi_line).withColumn(FILE, F.input_file_name())
 
 
+def file_lines(spark: SparkSession, files: Sequence[str], schema: T.StructType, base: str, multi_line: bool = False) -> DataFrame:
+    """The text of some ``files`` under ``base``, as :func:`landed_lines` gives it.
+
+    ``schema`` is that of the whole folder, so that a title is of one type whatever files are read.
+    Names are taken as they are, not as patterns.
+    """
+    if not files:
+        return spark.createDataFrame([], schema).withColumn(FILE, F.input_file_name())
+    reader = spark.read.schema(schema).option("basePath", base).option("__globPaths__", "false")
+    return reader.text(list(files), wholetext=multi_line).withColumn(FILE, F.input_file_name())
+
+
 def dealt_lines(lines: DataFrame, tasks: int) -> DataFrame:
     """Landed text dealt over ``tasks`` by the place of each line, so that copies are spread, too.
 

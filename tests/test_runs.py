@@ -436,3 +436,95 @@ def test_an_ingest_writes_new_rows_once_beside_the_parsed_batch(spark, tmp_path,
     first, again = ingest(spark, layout), ingest(spark, layout)
     assert first.counts["appended"] == again.known > 0 and again.status == "nothing_new"
     assert [path.rsplit("/", 1)[1] for path in written] == ["batch", "batch"]
+
+
+def test_a_key_of_some_batch_is_settled_without_a_second_read(spark, layout, monkeypatch):
+    """Batches whose records all lack a column are read again only where no other batch has it."""
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    for n in range(1, 4):
+        land(layout, "Data Engineer", f"a{n}", [lacking(n, "linkedin_org_slug")])
+    land(layout, "Data Engineer", "b", [record(4)])
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_plan, "absent_everywhere", lambda *_: pytest.fail("the text is read again"))
+        assert sum(r.counts["appended"] for r in ingest_arrivals(spark, layout, 1)) == 4
+    land(layout, "Data Engineer", "c", [lacking(5, "url")])
+    land(layout, "Data Engineer", "d", [lacking(6, "url", "source")])
+    read, real = [], ingest_plan.absent_everywhere
+    monkeypatch.setattr(ingest_plan, "absent_everywhere", lambda *a: read.append(1) or real(*a))
+    with pytest.raises(ValueError, match=r"\['URL'\]"):
+        ingest_arrivals(spark, layout, 1)
+    assert read == [1]
+
+
+def test_batches_are_taken_side_by_side(spark, layout, monkeypatch):
+    """Both batches wait for each other before they end."""
+    import threading
+
+    from jobtide.streaming import incremental
+
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    land(layout, "Data Engineer", "a", [record(1)])
+    land(layout, "Data Analyst", "b", [record(1), record(2)])
+    both, take = threading.Barrier(2), incremental.take_records
+    monkeypatch.setattr(incremental, "take_records", lambda *a: both.wait(60) is None or take(*a))
+    assert sorted(r.counts["appended"] for r in ingest_arrivals(spark, layout, 1)) == [1, 2]
+
+
+def test_batches_that_a_failed_call_listed_are_taken_by_the_next(spark, layout, monkeypatch, rows):
+    from jobtide.streaming import incremental
+
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    for n in range(1, 8):
+        land(layout, "Data [Engineer]" if n % 2 else "01", f"f {n}", [record(n), "{broken"])
+    take = incremental.take_records
+    monkeypatch.setattr(incremental, "take_records", lambda lines, layout, name, into: 1 / 0 if name == "arrival=2" else take(lines, layout, name, into))
+    with pytest.raises(ZeroDivisionError):
+        ingest_arrivals(spark, layout, 1)
+    assert cleaned(spark, layout).count() == 0
+    monkeypatch.undo()
+    land(layout, "01", "g", [record(8)])
+    ingest_arrivals(spark, layout, 1)
+    assert rows(cleaned(spark, layout).select("ID", "JOB_CATEGORY")) == [
+        (str(n), "Data [Engineer]" if n % 2 else "01") for n in range(1, 9)]
+    assert rejected_rows(spark, layout).count() == 7 and ingest_arrivals(spark, layout, 1) == []
+
+
+def test_files_of_an_earlier_text_stream_are_not_taken_again(spark, layout):
+    from jobtide.streaming.incremental import landing_stream
+
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    land(layout, "Data Engineer", "a", [record(1)])
+    earlier = landing_stream(spark, layout.landing).writeStream.foreachBatch(lambda *_: None)
+    earlier.option("checkpointLocation", layout.table("_arrivals")).trigger(availableNow=True).start().awaitTermination()
+    land(layout, "Data Engineer", "b", [record(2)])
+    assert [r.counts["appended"] for r in ingest_arrivals(spark, layout)] == [1]
+    assert [r.ID for r in cleaned(spark, layout).collect()] == ["2"]
+
+
+def test_a_large_landing_is_written_by_more_tasks_than_titles(spark, monkeypatch):
+    """Slices of a title; the number of rows is made up."""
+    from checks import queries as Q
+
+    landed, stored = [], tables.stored_scratch
+
+    def large(df, name):
+        held = stored(df, name)
+        held.count = lambda: 12_000_000
+        return held
+
+    monkeypatch.setattr(Q.tables, "stored_scratch", large)
+    monkeypatch.setattr(Q, "_land", lambda rows, path: landed.append(rows))
+    monkeypatch.setattr(Q, "ingest_arrivals", lambda *_, **__: [])
+    Q.c1_arrivals_missing_key(spark, SMALL)
+    with tables._setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        for rows in landed:
+            tasks = rows.select("job_category").withColumn("task", F.spark_partition_id()).distinct()
+            assert tasks.count() > tasks.select("job_category").distinct().count() == 3
+
+
+def test_arrivals_without_any_title_and_empty_files(spark, layout):
+    tables.create_table(spark, layout.cleaned, CLEANED_SCHEMA, layout.partition_by)
+    land(layout, "__HIVE_DEFAULT_PARTITION__", "a", [record(1)])
+    land(layout, "__HIVE_DEFAULT_PARTITION__", "b", [])
+    assert sorted((r.status, r.counts["appended"]) for r in ingest_arrivals(spark, layout, 1)) == [("loaded", 1), ("no_data", 0)]
+    assert [(r.ID, r.JOB_CATEGORY) for r in cleaned(spark, layout).collect()] == [("1", None)]
